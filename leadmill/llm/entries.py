@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audio
+from . import audio, simhash
 from .common import table
 
 
@@ -10,8 +10,13 @@ def op2_media_columns(spark, sf_dir):
     return audio.digests(table(spark, sf_dir, "documents"))
 
 
+def op9_simhash_near_dedup(spark, sf_dir):
+    return simhash.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_media_columns": op2_media_columns,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
 #: Queries that DuckDB's SQL can express.
