@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audio, simhash
+from . import audio, sharding, simhash
 from .common import table
 
 
@@ -10,12 +10,17 @@ def op2_media_columns(spark, sf_dir):
     return audio.digests(table(spark, sf_dir, "documents"))
 
 
+def op7_sharding(spark, sf_dir):
+    return sharding.digests(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_near_dedup(spark, sf_dir):
     return simhash.digests(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op2_media_columns": op2_media_columns,
+    "op7_sharding": op7_sharding,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
