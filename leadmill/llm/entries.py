@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import audio, sharding, simhash
+from . import audio, mixing, sharding, simhash
 from .common import table
 
 
+def op1_mixing_sources(spark, sf_dir):
+    return mixing.digests(table(spark, sf_dir, "documents"))
+
+
 def op2_media_columns(spark, sf_dir):
     return audio.digests(table(spark, sf_dir, "documents"))
 
@@ -19,6 +23,7 @@ def op9_simhash_near_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_mixing_sources": op1_mixing_sources,
     "op2_media_columns": op2_media_columns,
     "op7_sharding": op7_sharding,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
