@@ -1,0 +1,8 @@
+"""Business-listing analytics on Spark: sources, linkage, scoring, curation and publishing as DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
