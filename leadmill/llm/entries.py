@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audio, mixing, sharding, simhash
+from . import audio, chat, mixing, sharding, simhash
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op7_sharding(spark, sf_dir):
     return sharding.digests(table(spark, sf_dir, "documents"))
 
 
+def op8_chat_formatting(spark, sf_dir):
+    return chat.digests(table(spark, sf_dir, "conversations"))
+
+
 def op9_simhash_near_dedup(spark, sf_dir):
     return simhash.digests(table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,7 @@ QUERIES = {
     "op1_mixing_sources": op1_mixing_sources,
     "op2_media_columns": op2_media_columns,
     "op7_sharding": op7_sharding,
+    "op8_chat_formatting": op8_chat_formatting,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
