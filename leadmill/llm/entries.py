@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audio, chat, mixing, sharding, simhash
+from . import audio, chat, decontam, mixing, quality, sharding, simhash
 from .common import table
 
 
@@ -14,6 +14,14 @@ def op2_media_columns(spark, sf_dir):
     return audio.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_decontamination(spark, sf_dir):
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_quality_classifier(spark, sf_dir):
+    return quality.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_sharding(spark, sf_dir):
     return sharding.digests(table(spark, sf_dir, "documents"))
 
@@ -29,6 +37,8 @@ def op9_simhash_near_dedup(spark, sf_dir):
 QUERIES = {
     "op1_mixing_sources": op1_mixing_sources,
     "op2_media_columns": op2_media_columns,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_sharding": op7_sharding,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
