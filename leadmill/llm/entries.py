@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audio, chat, decontam, mixing, quality, sharding, simhash
+from . import audio, chat, decontam, mixing, quality, sharding, simhash, warc
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op9_simhash_near_dedup(spark, sf_dir):
     return simhash.digests(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark, sf_dir):
+    return warc.digests(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_mixing_sources": op1_mixing_sources,
     "op2_media_columns": op2_media_columns,
@@ -42,6 +46,7 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_warc": op10_warc,
 }
 
 #: Queries that DuckDB's SQL can express.
