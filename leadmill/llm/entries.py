@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audio, chat, decontam, linededup, mixing, quality, sharding, simhash, warc
+from . import audio, chat, decontam, licenses, linededup, mixing, quality, sharding, simhash, warc
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op3_line_dedup(spark, sf_dir):
     return linededup.digests(table(spark, sf_dir, "documents"))
 
 
+def op4_license_scans(spark, sf_dir):
+    return licenses.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_benchmark_decontamination(spark, sf_dir):
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op1_mixing_sources": op1_mixing_sources,
     "op2_media_columns": op2_media_columns,
     "op3_line_dedup": op3_line_dedup,
+    "op4_license_scans": op4_license_scans,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_sharding": op7_sharding,
