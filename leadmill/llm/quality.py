@@ -32,7 +32,11 @@ Rule = tuple[tuple[int, bool, float], ...]  # (feature, above, threshold), all o
 
 
 def statistics(docs: DataFrame, *keep: Column) -> DataFrame:
-    """The columns to keep, and FEATURES of the whole text."""
+    """The columns to keep, and FEATURES of the whole text.
+
+    They come out of a generator of one row: no later filter or sum is moved below it, where it would have them
+    computed again for every rule.
+    """
     t = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select(*keep, t.alias("__t"), F.array_remove(F.split(t, SPACE), "").alias("__w"), F.split(t, "\n").alias("__l"))
     n, chars, w = F.greatest(F.size("__w"), F.lit(1)), F.greatest(F.length("__t"), F.lit(1)), F.col("__w")
@@ -54,7 +58,8 @@ def statistics(docs: DataFrame, *keep: Column) -> DataFrame:
         "line_distinct": F.size(F.array_distinct("__l")) / F.size("__l"),
     }
     names = [c for c in base.columns if c not in ("__t", "__w", "__l")]
-    return base.select(*names, *[F.when(F.col("__t") == "", 0.0).otherwise(made[f].cast("double")).alias(f"__{f}") for f in FEATURES])
+    values = F.struct(*[F.when(F.col("__t") == "", 0.0).otherwise(F.coalesce(made[f].cast("double"), F.lit(0.0))).alias(f"__{f}") for f in FEATURES])
+    return base.select(*names, F.inline(F.array(values)))
 
 
 @dataclass(frozen=True)
