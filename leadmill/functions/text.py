@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Legal forms and filler that do not identify a business.
 NAME_NOISE = [
@@ -120,7 +121,7 @@ def token_similarity(a: Column, b: Column) -> Column:
     return F.round(F.least(token_score(a, b), gate(a, b)), 4)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching characters of two strings by longest common blocks, as a share of their lengths."""
     known: dict[tuple[str, str], float] = {}

@@ -49,3 +49,11 @@ def categories(queries: DataFrame, known: DataFrame) -> DataFrame:
 def with_population(cities: DataFrame, population: DataFrame) -> DataFrame:
     """Gazetteer places with their population by geoid; names lose the kind of place."""
     return cities.join(population, "geoid").withColumn("name", text.without_place_suffix(F.col("name")))
+
+
+def parsed_location(c):
+    """zip_code, city and state of "12345" or "City, ST"; other texts give nulls."""
+    t = F.trim(c)
+    pattern = r"^([^,]+),\s*([A-Za-z]{2})$"
+    place = t.rlike(pattern)
+    return [F.when(t.rlike("^[0-9]{5}$"), t).alias("zip_code"), F.when(place, F.trim(F.regexp_extract(t, pattern, 1))).alias("city"), F.when(place, F.upper(F.regexp_extract(t, pattern, 2))).alias("state")]

@@ -10,6 +10,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def title(html: Column) -> Column:
@@ -107,12 +108,12 @@ def _series(f):
     return lambda s, *a: pd.Series([None if x is None else f(x, *a) for x in s], dtype="object")
 
 
-@F.pandas_udf("array<struct<id: string, json: string>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("id", T.StringType()), T.StructField("json", T.StringType())])))
 def json_scripts_udf(html: pd.Series) -> pd.Series:
     return _series(lambda x: [{"id": a, "json": b} for a, b in json_texts(x)])(html)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def flight_udf(html: pd.Series) -> pd.Series:
     return _series(flight)(html)
 
@@ -140,7 +141,11 @@ def state(pages: DataFrame, html: str, name: str, schema: str) -> DataFrame:
     return pages.withColumn("state", F.from_json(assigned_json(F.col(html), name), schema))
 
 
-PROFILE = "struct<name: string, description: string, followers: long, talking_about: long, checkins: long, recommend_percentage: int, review_count: int, websites: array<string>, emails: array<string>, phones: array<string>, links: array<string>>"
+_WORDS = T.ArrayType(T.StringType())
+PROFILE = T.StructType([T.StructField(k, t) for k, t in {
+    "name": T.StringType(), "description": T.StringType(), "followers": T.LongType(), "talking_about": T.LongType(), "checkins": T.LongType(),
+    "recommend_percentage": T.IntegerType(), "review_count": T.IntegerType(), "websites": _WORDS, "emails": _WORDS, "phones": _WORDS, "links": _WORDS,
+}.items()])
 
 
 def walk(node) -> Iterator[dict]:
@@ -178,6 +183,5 @@ def profile(html: str) -> dict | None:
 
 @F.pandas_udf(PROFILE)
 def profile_udf(html: pd.Series) -> pd.DataFrame:
-    names = ["name", "description", "followers", "talking_about", "checkins", "recommend_percentage", "review_count", "websites", "emails", "phones", "links"]
-    rows = [profile(x) or dict.fromkeys(names) for x in html]
-    return pd.DataFrame(rows, columns=names, dtype="object")
+    names = PROFILE.names
+    return pd.DataFrame([profile(x) or dict.fromkeys(names) for x in html], columns=names, dtype="object")
