@@ -46,6 +46,11 @@ def _yes(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
+def _tidy(c: Column, places: int) -> Column:
+    """Rounded without the noise of binary sums: 59.949999999999996 is 59.95."""
+    return F.round(F.round(c, 8), places)
+
+
 def _flag(c: Column) -> Column:
     return _yes(c).cast("int")
 
@@ -106,13 +111,13 @@ def sentiment_signal(as_of: Column) -> Column:
     base = F.when(bad == 0, 18.0).when(share <= 0.6, 78.0).when(share < 1, 60.0).otherwise(45.0)
     age = dates.days_since(F.col("most_recent_review_date"), as_of)
     weight = reduce(lambda w, r: w.when(age <= r[0], r[1]), RECENCY[1:], F.when(age <= RECENCY[0][0], RECENCY[0][1])).when(age.isNull(), 0.85).otherwise(0.7)
-    return F.when(n > 0, F.round(F.least(F.lit(100.0), base * weight), 1))
+    return F.when(n > 0, _tidy(F.least(F.lit(100.0), base * weight), 1))
 
 
 def review_need() -> Column:
     """Only for matched rows and their own counts: few or bad reviews need work."""
     n, y = _c("yelp_review_count"), yelp_rating()
-    full = F.round(100 * (0.6 * (5 - y) / 5 + 0.4 * (1 - F.least(n, F.lit(float(FULL_VOLUME))) / FULL_VOLUME)), 1)
+    full = _tidy(100 * (0.6 * (5 - y) / 5 + 0.4 * (1 - F.least(n, F.lit(float(FULL_VOLUME))) / FULL_VOLUME)), 1)
     return F.when((F.col("match_status") == "matched") & n.isNotNull(), F.when((n < MIN_REVIEWS) | y.isNull(), 70.0).otherwise(full))
 
 
@@ -142,7 +147,7 @@ def lead_score() -> Column:
     bonus = bonus + F.when(_c("registry_years_in_business") >= TENURE_YEARS, float(TENURE_BONUS)).otherwise(0.0) + F.when(text.truthy(F.col("registry_accredited")), float(ACCREDITED_BONUS)).otherwise(0.0)
     total = base + bonus
     reached = F.when(F.col("has_phone") == 1, total + F.when(F.col("has_named_contact") == 1, float(CONTACT_BONUS)).otherwise(0.0)).otherwise(total * NO_PHONE)
-    return F.round(F.least(reached, F.lit(TOP)), 1)
+    return _tidy(F.least(reached, F.lit(TOP)), 1)
 
 
 def registry(as_of: Column) -> list[dict[str, Column]]:
@@ -159,7 +164,7 @@ def registry(as_of: Column) -> list[dict[str, Column]]:
         "registry_review_avg": review_average(),
         "registry_reviews_total": F.col("reviews_total"),
         "registry_complaints_total": F.col("complaints_total"),
-        "rating_gap": F.round(grade() / 4.33 * 5 - yelp_rating(), 2),
+        "rating_gap": _tidy(grade() / 4.33 * 5 - yelp_rating(), 2),
         "reputation_divergence_flag": divergence(),
         "review_need_score": review_need(),
         "low_review_volume_flag": F.when(matched, (_c("yelp_review_count") < LOW_VOLUME).cast("int")),

@@ -483,8 +483,8 @@ _S = f"""with m as (select * from ({master})), x as (select *, {q_grade('registr
  y as (select *, coalesce(case when yelp_review_count >= 5 then yelp_rating end, case when mq and mapquest_review_count >= 5 then mapquest_rating_value end) as yr,
   coalesce(case when match_status = 'matched' then yelp_review_count end, case when mq then mapquest_review_count end) as yn, coalesce(lower(trim(registry_accredited)) in ('true', '1', 'yes', 'y', 't'), false) as acc,
   date '{AS_OF}' - most_recent_review_date as age from x),
- z as (select *, case when review_sentiment_analyzed_count > 0 then round(least(100.0::double, (case when review_sentiment_negative_count = 0 then 18 when review_sentiment_negative_count / review_sentiment_analyzed_count <= 0.6 then 78 when review_sentiment_negative_count / review_sentiment_analyzed_count < 1 then 60 else 45 end)::double
-   * (case when age <= 180 then 1.15 when age <= 365 then 1.0 when age <= 730 then 0.85 when age is null then 0.85 else 0.7 end)::double), 1) end as sent,
+ z as (select *, case when review_sentiment_analyzed_count > 0 then round(round(least(100.0::double, (case when review_sentiment_negative_count = 0 then 18 when review_sentiment_negative_count / review_sentiment_analyzed_count <= 0.6 then 78 when review_sentiment_negative_count / review_sentiment_analyzed_count < 1 then 60 else 45 end)::double
+   * (case when age <= 180 then 1.15 when age <= 365 then 1.0 when age <= 730 then 0.85 when age is null then 0.85 else 0.7 end)::double), 8), 1) end as sent,
   cast(coalesce(avg_review_gap_days > 0 and age > 3 * avg_review_gap_days, false) as int) as gapf, cast(acc and (coalesce(yr < 3, false) or coalesce(ar < 3, false) or coalesce(ravg < 3, false)) as int) as accl,
   cast(coalesce(g >= 3.67, false) and (coalesce(yr < 3, false) or coalesce(ar < 3, false) or coalesce(ravg < 2.5, false) or coalesce(complaints_total >= 5, false) or coalesce(review_sentiment_negative_count / nullif(review_sentiment_analyzed_count, 0) > 0.5, false)) as int) as dvg,
   coalesce(trim(ph) <> '', false) as hp, coalesce(trim(registry_principal_contact) <> '', false) as hc from y),
@@ -493,15 +493,15 @@ _S = f"""with m as (select * from ({master})), x as (select *, {q_grade('registr
   list_avg(list_filter([case when g between 1.67 and 3.33 then 65.0 when g < 1.67 then 32.0 when g is not null then 22.0 end, {_BAND.format('ravg')}, case when complaints_total = 0 then 30.0 when complaints_total <= 10 then 68.0 when complaints_total <= 25 then 50.0 when complaints_total is not null then 25.0 end], lambda v: v is not null)::double[]) as bl_br,
   case when facebook_status = 'ok' then list_avg(list_filter([{_BAND.format('(facebook_recommend_percentage / 20.0)')}, {_VOLUME.format('facebook_review_count')}], lambda v: v is not null)::double[]) end as bl_bf from z),
  w as (select *, (coalesce(bl_by * 0.3::double, 0) + coalesce(bl_ba * 0.25::double, 0) + coalesce(sent * 0.25::double, 0) + coalesce(bl_br * 0.2::double, 0) + coalesce(bl_bf * 0.1::double, 0)) / nullif((case when bl_by is not null then 0.3::double else 0 end) + (case when bl_ba is not null then 0.25::double else 0 end) + (case when sent is not null then 0.25::double else 0 end) + (case when bl_br is not null then 0.2::double else 0 end) + (case when bl_bf is not null then 0.1::double else 0 end), 0) as base from b),
- sc as (select *, round(least(130.0::double, case when hp then base + (dvg * 12 + accl * 8 + gapf * 6 + case when registry_years_in_business >= 10 then 6 else 0 end + case when acc then 4 else 0 end)::double + case when hc then 5 else 0 end
-  else (base + (dvg * 12 + accl * 8 + gapf * 6 + case when registry_years_in_business >= 10 then 6 else 0 end + case when acc then 4 else 0 end)::double) * 0.5::double end), 1) as score from w)"""
+ sc as (select *, round(round(least(130.0::double, case when hp then base + (dvg * 12 + accl * 8 + gapf * 6 + case when registry_years_in_business >= 10 then 6 else 0 end + case when acc then 4 else 0 end)::double + case when hc then 5 else 0 end
+  else (base + (dvg * 12 + accl * 8 + gapf * 6 + case when registry_years_in_business >= 10 then 6 else 0 end + case when acc then 4 else 0 end)::double) * 0.5::double end), 8), 1) as score from w)"""
 
 
 def _scored(s, d):
     return scoring.with_scores(bound(s, d, MASTER), AS_OF)
 
 
-@query("intel_flags", _S + " select idx, dvg as reputation_divergence_flag, accl as accredited_but_low_rated, gapf as review_gap_flag, cast(match_status in ('matched', 'a_only') as int) as present_registry, cast(match_status = 'matched' or mq as int) as present_yelp, cast(coalesce(trim(angi_name) <> '', false) as int) as on_angi, case when match_status = 'matched' then cast(yelp_review_count < 25 as int) end as low_review_volume_flag, cast(website_dead = 'yes' as int) as website_dead_flag, round(g / 4.33::double * 5 - yr, 2) as rating_gap, ravg as registry_review_avg from sc")
+@query("intel_flags", _S + " select idx, dvg as reputation_divergence_flag, accl as accredited_but_low_rated, gapf as review_gap_flag, cast(match_status in ('matched', 'a_only') as int) as present_registry, cast(match_status = 'matched' or mq as int) as present_yelp, cast(coalesce(trim(angi_name) <> '', false) as int) as on_angi, case when match_status = 'matched' then cast(yelp_review_count < 25 as int) end as low_review_volume_flag, cast(website_dead = 'yes' as int) as website_dead_flag, round(round(g / 4.33::double * 5 - yr, 8), 2) as rating_gap, ravg as registry_review_avg from sc")
 def _(s, d):
     return _scored(s, d).select("idx", "reputation_divergence_flag", "accredited_but_low_rated", "review_gap_flag", "present_registry", "present_yelp", "on_angi", "low_review_volume_flag", "website_dead_flag", "rating_gap", "registry_review_avg")
 
@@ -511,7 +511,7 @@ def _(s, d):
     return _scored(s, d).select("idx", "review_sentiment_signal", "lead_priority_score")
 
 
-@query("review_need", _S + " select idx, case when match_status = 'matched' and yelp_review_count is not null then case when yelp_review_count < 5 or yr is null then 70.0::double else round(100 * (0.6::double * (5 - yr) / 5 + 0.4::double * (1 - least(yelp_review_count, 150.0::double) / 150)), 1) end end as review_need_score from sc")
+@query("review_need", _S + " select idx, case when match_status = 'matched' and yelp_review_count is not null then case when yelp_review_count < 5 or yr is null then 70.0::double else round(round(100 * (0.6::double * (5 - yr) / 5 + 0.4::double * (1 - least(yelp_review_count, 150.0::double) / 150)), 8), 1) end end as review_need_score from sc")
 def _(s, d):
     return _scored(s, d).select("idx", "review_need_score")
 
