@@ -12,7 +12,7 @@ def distance_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Co
     """Great-circle distance; null if any coordinate is."""
     p1, p2 = F.radians(lat1), F.radians(lat2)
     a = F.pow(F.sin((p2 - p1) / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return 2 * EARTH_MILES * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+    return 2 * EARTH_MILES * F.asin(F.sqrt(F.when(a > 1, 1.0).otherwise(a)))  # least() would take 1 for a null
 
 
 def destination(lat: Column, lon: Column, bearing: Column, miles: Column) -> tuple[Column, Column]:

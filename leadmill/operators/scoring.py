@@ -147,7 +147,7 @@ def lead_score() -> Column:
     bonus = bonus + F.when(_c("registry_years_in_business") >= TENURE_YEARS, float(TENURE_BONUS)).otherwise(0.0) + F.when(text.truthy(F.col("registry_accredited")), float(ACCREDITED_BONUS)).otherwise(0.0)
     total = base + bonus
     reached = F.when(F.col("has_phone") == 1, total + F.when(F.col("has_named_contact") == 1, float(CONTACT_BONUS)).otherwise(0.0)).otherwise(total * NO_PHONE)
-    return _tidy(F.least(reached, F.lit(TOP)), 1)
+    return _tidy(F.when(reached > TOP, TOP).otherwise(reached), 1)
 
 
 def registry(as_of: Column) -> list[dict[str, Column]]:

@@ -63,7 +63,8 @@ def q_similarity(x: str, y: str) -> str:
 
 
 def q_miles(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    return f"(2 * 3958.8::double * asin(sqrt(least(1.0::double, pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2)))))"
+    h = f"(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))"
+    return f"(2 * 3958.8::double * asin(sqrt(case when {h} > 1 then 1.0::double else {h} end)))"
 
 
 def q_grade(c: str) -> str:
@@ -493,8 +494,8 @@ _S = f"""with m as (select * from ({master})), x as (select *, {q_grade('registr
   list_avg(list_filter([case when g between 1.67 and 3.33 then 65.0 when g < 1.67 then 32.0 when g is not null then 22.0 end, {_BAND.format('ravg')}, case when complaints_total = 0 then 30.0 when complaints_total <= 10 then 68.0 when complaints_total <= 25 then 50.0 when complaints_total is not null then 25.0 end], lambda v: v is not null)::double[]) as bl_br,
   case when facebook_status = 'ok' then list_avg(list_filter([{_BAND.format('(facebook_recommend_percentage / 20.0)')}, {_VOLUME.format('facebook_review_count')}], lambda v: v is not null)::double[]) end as bl_bf from z),
  w as (select *, (coalesce(bl_by * 0.3::double, 0) + coalesce(bl_ba * 0.25::double, 0) + coalesce(sent * 0.25::double, 0) + coalesce(bl_br * 0.2::double, 0) + coalesce(bl_bf * 0.1::double, 0)) / nullif((case when bl_by is not null then 0.3::double else 0 end) + (case when bl_ba is not null then 0.25::double else 0 end) + (case when sent is not null then 0.25::double else 0 end) + (case when bl_br is not null then 0.2::double else 0 end) + (case when bl_bf is not null then 0.1::double else 0 end), 0) as base from b),
- sc as (select *, round(round(least(130.0::double, case when hp then base + (dvg * 12 + accl * 8 + gapf * 6 + case when registry_years_in_business >= 10 then 6 else 0 end + case when acc then 4 else 0 end)::double + case when hc then 5 else 0 end
-  else (base + (dvg * 12 + accl * 8 + gapf * 6 + case when registry_years_in_business >= 10 then 6 else 0 end + case when acc then 4 else 0 end)::double) * 0.5::double end), 8), 1) as score from w)"""
+ sc0 as (select *, round(round((case when hp then base + (dvg * 12 + accl * 8 + gapf * 6 + case when registry_years_in_business >= 10 then 6 else 0 end + case when acc then 4 else 0 end)::double + case when hc then 5 else 0 end
+  else (base + (dvg * 12 + accl * 8 + gapf * 6 + case when registry_years_in_business >= 10 then 6 else 0 end + case when acc then 4 else 0 end)::double) * 0.5::double end), 8), 1) as score0 from w), sc as (select *, case when score0 > 130 then 130.0::double else score0 end as score from sc0)"""
 
 
 def _scored(s, d):
