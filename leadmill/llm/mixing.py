@@ -31,7 +31,7 @@ SEED = 17
 #: The dynamic program fits remainders up to this many tokens; whatever is above is taken evenly first.
 STRETCH = 1 << 15
 #: Documents of one length of one source that are ranked together.
-GROUP = 4096
+GROUP = 512
 #: Sources that may come to the driver, where the budgets are set; more raise an error.
 MOST_SOURCES = 1_000_000
 
