@@ -9,7 +9,8 @@ Reading: archives are read whole, each a bounded file, walked by Content-Length,
 The captures of an archive leave it sorted by URL key, timestamp and page: a run.
 
 Index: runs are dealt to key ranges, and within a range a loser tree merges its k runs.  The composite key
-(url key, timestamp, page) splits the captures of one hot URL over several ranges.  (range, place) is the global order.
+(url key, timestamp, page) splits the captures of one hot URL over several ranges.  Counts of the ranges turn the
+place within a range into the position in the whole history.
 
 Defined results: null html is an empty payload; null urls have an empty key; a null page_id is written as an empty
 number, never the response of others if any has a number, and read back as null; repeated rows are separate
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import scratch, written
@@ -168,7 +170,7 @@ RANGE_ROWS = 10_000
 
 
 def index(captures: DataFrame, rows: int) -> DataFrame:
-    """The captures with merge_range and place: ordered by both, they are in the order of URL key, time and page."""
+    """The captures with position: counted from 0 in the order of URL key, time and page."""
     ranges = captures.repartitionByRange(max(1, -(-rows // RANGE_ROWS)), "url_key", "captured_at", "page_id", "run", "offset")
     columns = captures.columns
 
@@ -184,7 +186,11 @@ def index(captures: DataFrame, rows: int) -> DataFrame:
             part = out[start : start + 10_000]
             yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*part, strict=True), CAPTURES.types, strict=True)), pa.array(range(start, start + len(part)), pa.int64())], [*columns, "place"])
 
-    return ranges.mapInArrow(each, f"{CAPTURES_DDL}, place long").withColumn("merge_range", F.spark_partition_id())
+    # Ranges are drawn from a sample, so the merged rows are written before anything is counted by range.
+    placed = written(ranges.mapInArrow(each, f"{CAPTURES_DDL}, place long").withColumn("merge_range", F.spark_partition_id()), "index")
+    before = F.coalesce(F.sum("n").over(W.orderBy("merge_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = placed.groupBy("merge_range").agg(F.count("*").alias("n")).select("merge_range", before.alias("start"))  # a row for each RANGE_ROWS captures
+    return placed.join(starts, "merge_range").withColumn("position", F.col("start") + F.col("place")).drop("merge_range", "place", "start")
 
 
 def digests(pages: DataFrame) -> DataFrame:
@@ -195,4 +201,4 @@ def digests(pages: DataFrame) -> DataFrame:
     revisited = captures.where(f"record_type = '{REVISIT}'").select(F.col("refers_to").alias("id"), F.col("digest").alias("d")).distinct()
     kept = captures.where(f"record_type = '{RESPONSE}'").join(revisited, (F.col("page_id") == F.col("id")) & (F.col("digest") == F.col("d")), "left_semi").groupBy(F.col("page_id").alias("id"), F.col("digest").alias("d")).agg(F.first("payload_bytes").alias("b"), F.first("payload_digest").alias("p"))
     rows = ordered.join(kept, (F.col("refers_to") == F.col("id")) & (F.col("digest") == F.col("d")), "left")
-    return rows.select("page_id", F.coalesce("payload_bytes", "b").alias("payload_bytes"), F.coalesce("payload_digest", "p").alias("payload_digest"), "record_type", "refers_to", "url_key", "captured_at", F.col("merge_range").cast("long").alias("merge_range"), "place")
+    return rows.select("page_id", F.coalesce("payload_bytes", "b").alias("payload_bytes"), F.coalesce("payload_digest", "p").alias("payload_digest"), "record_type", "refers_to", "url_key", "captured_at", "position")
