@@ -49,7 +49,7 @@ def positions(th: str) -> Column:
 
 
 def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, h, item_id, matched, item_tokens, part_score, at): the best verified place of each text and item; h is a hash of the text.
+    """(doc_id, h, item_id, matched, item_tokens, part_score, place): the best verified place of each text and item; h is a hash of the text.
 
     What verifies is chosen after the grouping: a filter below it would move into the join and take it, and all
     positions with it, out of generated code.
@@ -70,16 +70,16 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     met = train.join(F.broadcast(keys) if small else keys, "seed")
     from_ = F.col("i") - F.col("pos")
     around = F.slice("th", F.greatest(from_, F.lit(0)) + 1, F.size("ith"))
-    met = met.select("doc_id", "h", "item_id", "ith", from_.alias("at"), around.alias("around"))
-    same = F.transform(F.sequence(F.lit(0), F.size("ith") - 1), lambda p: F.coalesce(F.get("ith", p) == F.get("around", p + F.least(F.col("at"), F.lit(0))), F.lit(False)))
-    met = met.select("doc_id", "h", "item_id", "at", same.alias("same"))
+    met = met.select("doc_id", "h", "item_id", "ith", from_.alias("place"), around.alias("around"))
+    same = F.transform(F.sequence(F.lit(0), F.size("ith") - 1), lambda p: F.coalesce(F.get("ith", p) == F.get("around", p + F.least(F.col("place"), F.lit(0))), F.lit(False)))
+    met = met.select("doc_id", "h", "item_id", "place", same.alias("same"))
     best = F.aggregate("same", F.struct(F.lit(0).alias("run"), F.lit(0).alias("best")), lambda s, x: F.struct(_step(s, x).alias("run"), F.greatest(s["best"], _step(s, x)).alias("best")))["best"]
     matched = F.size(F.filter("same", lambda x: x))
-    got = met.select("doc_id", "h", "item_id", "at", matched.cast("long").alias("matched"), F.size("same").cast("long").alias("item_tokens"), best.cast("long").alias("part_score"))
+    got = met.select("doc_id", "h", "item_id", "place", matched.cast("long").alias("matched"), F.size("same").cast("long").alias("item_tokens"), best.cast("long").alias("part_score"))
     share = F.when(F.col("item_tokens") < 8, F.lit(1.0)).otherwise(F.lit(ITEM_SHARE))
     found = (F.col("matched") >= share * F.col("item_tokens")) | (F.col("part_score") >= PART_SCORE)
-    got = got.groupBy("doc_id", "h", "item_id").agg(F.max(F.struct(found.alias("found"), "matched", "part_score", (-F.col("at")).alias("back"), "item_tokens")).alias("b"))
-    return got.where("b.found").select("doc_id", "h", "item_id", "b.matched", "b.item_tokens", "b.part_score", (-F.col("b.back")).cast("long").alias("at"))
+    got = got.groupBy("doc_id", "h", "item_id").agg(F.max(F.struct(found.alias("found"), "matched", "part_score", (-F.col("place")).alias("back"), "item_tokens")).alias("b"))
+    return got.where("b.found").select("doc_id", "h", "item_id", "b.matched", "b.item_tokens", "b.part_score", (-F.col("b.back")).cast("long").alias("place"))
 
 
 def _step(s: Column, x: Column) -> Column:
@@ -87,9 +87,9 @@ def _step(s: Column, x: Column) -> Column:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, matched, item_tokens, part_score, at): one row for each document and item found in it."""
-    best = F.max(F.struct("matched", "part_score", "at", "item_tokens")).alias("b")
-    return hits(docs, benchmark).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.matched", "b.item_tokens", "b.part_score", "b.at")
+    """(doc_id, item_id, matched, item_tokens, part_score, place): one row for each document and item found in it."""
+    best = F.max(F.struct("matched", "part_score", "place", "item_tokens")).alias("b")
+    return hits(docs, benchmark).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.matched", "b.item_tokens", "b.part_score", "b.place")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from . import audio, chat, decontam, licenses, linededup, mixing, quality, sharding, simhash, warc
 from .common import table
+from .oracle import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 
 def op1_mixing_sources(spark, sf_dir):
@@ -59,5 +62,3 @@ QUERIES = {
     "op10_warc": op10_warc,
 }
 
-#: Queries that DuckDB's SQL can express.
-ORACLE_SQL: dict[str, str] = {}

@@ -154,4 +154,6 @@ def _hash(text):
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    return deduplicated(docs.select("doc_id", "text"))
+    """(doc_id, text, n_lines, removed_lines, removed): the runs that went as "start-end;..." in lines from 0, ends exclusive."""
+    spans = F.transform("removed", lambda r: F.concat(r["start"].cast("string"), F.lit("-"), r["end"].cast("string")))
+    return deduplicated(docs.select("doc_id", "text")).withColumn("removed", F.array_join(spans, ";"))

@@ -51,7 +51,7 @@ def test_decontamination_bears_substitutions(spark, data):
 def test_decontamination_edges(spark):
     docs = spark.createDataFrame([(None, None), (1, ""), (2, "a b c"), (2, "a b c"), (3, "what is This, thing?"), (4, "a x b c")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "is this thing"), (2, None), (3, ""), (None, "a b c")], "item_id long, text string")
-    assert sorted((r.doc_id, r.item_id, r.at) for r in decontam.contaminated(docs, items).collect()) == [(2, None, 0), (3, 1, 1)]
+    assert sorted((r.doc_id, r.item_id, r.place) for r in decontam.contaminated(docs, items).collect()) == [(2, None, 0), (3, 1, 1)]
     assert sorted(str(r.doc_id) for r in decontam.clean(docs, items).collect()) == ["1", "4", "None"]
     assert decontam.contaminated(docs, items.limit(0)).count() == 0 and decontam.contaminated(docs.limit(0), items).count() == 0
 
