@@ -43,3 +43,8 @@ def flag_count(*flags: str) -> Column:
 def histogram(rows: DataFrame, column: str) -> DataFrame:
     """Counts, most common first."""
     return rows.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column)
+
+
+def tally(rows: DataFrame, by: list[str], **conditions: Column) -> DataFrame:
+    """Rows, and rows for which each named condition holds, for every list: the progress figures of a run."""
+    return rows.groupBy(*by).agg(F.count("*").alias("rows"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in conditions.items()])

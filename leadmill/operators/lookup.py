@@ -57,3 +57,13 @@ def parsed_location(c):
     pattern = r"^([^,]+),\s*([A-Za-z]{2})$"
     place = t.rlike(pattern)
     return [F.when(t.rlike("^[0-9]{5}$"), t).alias("zip_code"), F.when(place, F.trim(F.regexp_extract(t, pattern, 1))).alias("city"), F.when(place, F.upper(F.regexp_extract(t, pattern, 2))).alias("state")]
+
+
+def by_slug_token(slugs: DataFrame, known: DataFrame) -> DataFrame:
+    """(slug, category_id): the one category whose words all are whole tokens of the slug; none or several give null."""
+    s = slugs.select("slug", F.array_distinct(F.split(F.lower("slug"), "[^a-z0-9]+")).alias("t")).withColumn("n", F.lit(1))
+    k = known.select(F.col("id").alias("category_id"), F.array_distinct(F.split(F.lower("slug"), "[^a-z0-9]+")).alias("k")).where("size(k) > 0")
+    met = s.select("slug", F.explode("t").alias("w")).join(k.select("category_id", F.size("k").alias("need"), F.explode("k").alias("w")), "w")
+    full = met.groupBy("slug", "category_id").agg(F.count("*").alias("n"), F.first("need").alias("need")).where("n = need")
+    one = full.groupBy("slug").agg(F.count("*").alias("n"), F.min("category_id").alias("category_id")).where("n = 1").select("slug", "category_id")
+    return slugs.select("slug").join(one, "slug", "left")

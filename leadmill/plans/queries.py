@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, geo, grades, text, urls
 from ..operators import browse, curation, dedupe, enrich, linkage, lookup, publish, reviews, scoring
-from ..sources import markup, payloads
+from ..sources import markup, payloads, profiles
 from .bindings import CITIES, MASTER, REVIEWS, A, B, bound, plain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -617,3 +617,50 @@ def _(s, d):
 def _(s, d):
     r = s.read.parquet(f"{d}/lineitem.parquet")
     return curation.chains(r, F.col("l_returnflag"), ["l_suppkey"]).select("l_suppkey", F.col("name_key").alias("l_returnflag"), "n")
+
+
+# --- profiles ---------------------------------------------------------------------------------------------------
+def _profiles(s, d):
+    """Registry profile pages made of listing rows."""
+    r = bound(s, d, A)
+    k = F.col("idx")
+    person = F.struct(F.struct(F.lit("Pat").alias("first"), F.when(k % 2 == 0, k.cast("string")).alias("last")).alias("name"), F.when(k % 3 == 0, "Owner").alias("title"), (k % 4 != 0).alias("isPrincipal"))
+    p = F.struct(
+        F.concat(F.lit("0_"), k.cast("string")).alias("id"), F.lit("0633").alias("bbbId"), F.when(k % 5 > 0, k.cast("string")).alias("businessId"), F.struct(F.col("name").alias("primary")).alias("names"),
+        F.struct(F.when(k % 2 == 0, F.concat(F.lit("/p/addressId/9"), k.cast("string"))).alias("localProfile")).alias("urls"),
+        F.struct(F.col("phone").alias("phoneNumber"), F.concat(F.lit("!~xK_bL!u"), k.cast("string"), F.lit("__at__x__dot__com!~xK_bL!")).alias("emailAddress"), F.array(person).alias("contacts")).alias("contactInformation"),
+        F.struct(F.col("grade").alias("bbbRating")).alias("rating"),
+    )
+    body = F.to_json(F.struct(p.alias("businessProfile")))
+    return r.select("idx", F.concat(F.lit("<script>window.__PRELOADED_STATE__ = "), body, F.lit(";</script>")).alias("html"))
+
+
+@query("profile_details", f"""select idx, case when idx % 5 > 0 then '0633_' || idx || '_' || case when idx % 2 = 0 then '9' || idx else idx::varchar end end as listing_id, name, 'u' || idx || '@x.com' as email, grade as rating,
+ case when idx % 4 <> 0 then case when idx % 2 = 0 then 'Pat ' || idx else 'Pat' end || case when idx % 3 = 0 then ', Owner' else '' end end as principal_contact from ({a})""")
+def _(s, d):
+    return profiles.registry_details(_profiles(s, d)).select("idx", "listing_id", "name", "email", "rating", "principal_contact")
+
+
+@query("split_address", f"select idx, case when idx % 3 = 0 then idx || ' Main St, Unit 2' end as street, case when idx % 3 < 2 then 'Elgin' end as city, case when idx % 3 < 2 then 'IL' end as state, case when idx % 3 < 2 then lpad(cast(idx as varchar), 5, '0') end as zip from ({a})")
+def _(s, d):
+    k = F.col("idx").cast("string")
+    place = F.concat(F.lit("Elgin, IL "), F.lpad(k, 5, "0"))
+    raw = F.when(F.col("idx") % 3 == 0, F.concat(k, F.lit(" Main St, Unit 2, "), place)).when(F.col("idx") % 3 == 1, place).otherwise(F.lit("serves the county"))
+    return bound(s, d, A).select("idx", profiles.split_address(raw).alias("p")).select("idx", "p.*")
+
+
+@query("category_by_slug", "select slug, case when k % 3 = 0 then 'roofing' end as category_id from (select distinct p_size as k, case p_size % 3 when 0 then 'roofing-' || p_size || '-fl' when 1 then 'roofings-' || p_size else 'air-roofing-duct-' || p_size end as slug from part) where k % 3 < 2 union all select slug, null from (select distinct 'air-roofing-duct-' || p_size as slug from part where p_size % 3 = 2)")
+def _(s, d):
+    slugs = bound(s, d, "select distinct case p_size % 3 when 0 then concat('roofing-', cast(p_size as string), '-fl') when 1 then concat('roofings-', cast(p_size as string)) else concat('air-roofing-duct-', cast(p_size as string)) end as slug from {part}")
+    return lookup.by_slug_token(slugs, s.sql("select * from values ('roofing', 'roofing'), ('ducts', 'air-duct') as t(id, slug)"))
+
+
+@query("run_tally", f"select list_id, count(*) as rows, count(*) filter (phone is not null) as with_phone, count(*) filter (lat is not null and grade <> 'NR') as located from ({a}) group by 1")
+def _(s, d):
+    return browse.tally(bound(s, d, A), ["list_id"], with_phone=F.col("phone").isNotNull(), located=F.col("lat").isNotNull() & (F.col("grade") != "NR"))
+
+
+@query("email_backfill", f"select idx, case when idx % 2 = 0 then 'own' when idx % 3 = 0 then 'fb' else '' end as registry_email, case when idx % 2 > 0 and idx % 3 = 0 then 'facebook' end as registry_email_source from ({a})")
+def _(s, d):
+    rows = bound(s, d, A).select("idx", F.when(F.col("idx") % 2 == 0, "own").otherwise("").alias("registry_email"), F.when(F.col("idx") % 3 == 0, "fb").alias("facebook_email"))
+    return profiles.email_backfilled(rows).select("idx", "registry_email", "registry_email_source")

@@ -119,7 +119,7 @@ def flight_udf(html: pd.Series) -> pd.Series:
 
 
 def assigned_json(html: Column, name: str) -> Column:
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def found(s: pd.Series) -> pd.Series:
         return _series(lambda x: assigned(x, name))(s)
 
@@ -129,7 +129,7 @@ def assigned_json(html: Column, name: str) -> Column:
 def component(blob: Column, anchor: str) -> Column:
     """The JSON object that follows an anchor text in a streamed blob."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def found(s: pd.Series) -> pd.Series:
         return _series(lambda x: object_at(x, x.index(anchor) + len(anchor)) if anchor in x else None)(s)
 
@@ -185,3 +185,18 @@ def profile(html: str) -> dict | None:
 def profile_udf(html: pd.Series) -> pd.DataFrame:
     names = PROFILE.names
     return pd.DataFrame([profile(x) or dict.fromkeys(names) for x in html], columns=names, dtype="object")
+
+
+def props(blob: Column, anchor: str, marker: str = ",null,") -> Column:
+    """The object in which an anchor text lies: it begins behind the last marker before the anchor."""
+
+    @F.pandas_udf(T.StringType())
+    def found(s: pd.Series) -> pd.Series:
+        def one(x: str) -> str | None:
+            at = x.find(anchor)
+            start = x.rfind(marker + "{", 0, at) if at >= 0 else -1
+            return object_at(x, start + len(marker)) if start >= 0 else None
+
+        return _series(one)(s)
+
+    return found(blob)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadmill.sinks import writers
-from leadmill.sources import capture, markup, payloads, tables
+from leadmill.sources import capture, markup, payloads, profiles, tables
 from leadmill.streaming import ingest
 
 
@@ -92,3 +92,19 @@ def test_streaming(spark, tmp_path, data):
     counts = ingest.event_counts(events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type")
     counts.writeStream.outputMode("complete").format("memory").queryName("counted").trigger(availableNow=True).start().awaitTermination()
     assert spark.table("counted").agg(F.sum("n")).first()[0] == spark.read.parquet(f"{data}/events.parquet").count()
+
+
+def test_profiles(spark):
+    state = {"businessProfile": {"id": "0_77", "bbbId": "1", "businessId": "2", "names": {"primary": "A"}, "urls": {}, "contactInformation": {"phoneNumber": "3056424409", "contacts": [{"name": {"first": "X"}, "title": ""}, {"name": {"first": "P", "last": "Q"}, "title": "Owner", "isPrincipal": True}, {}]}, "display": {"socialMediaList": [{"type": "facebook", "url": "f"}, {"type": "x"}]}, "accreditationInformation": {"text": [{"customText": "ok"}, {}]}, "customerReviews": {"page": 1, "totalPages": 3, "items": [{"id": "r", "text": " it&#39;s ", "date": {"day": "9", "month": "2", "year": "2026"}}, {"id": "s", "date": {"day": "x"}}]}}}
+    pages = spark.createDataFrame([(1, f"<script>window.__PRELOADED_STATE__ = {json.dumps(state)};</script>"), (2, "<html>"), (3, None)], "k long, html string")
+    r = profiles.registry_details(pages).collect()
+    assert len(r) == 1 and (r[0].listing_id, r[0].principal_contact, r[0].accreditation_status) == ("1_2_77", "P Q, Owner", "ok")
+    assert [c.name for c in r[0].contacts] == ["X", "P Q"] and [s.url for s in r[0].socials] == ["f"]
+    assert [(x.review_id, x.text, x.date, x.total_pages) for x in profiles.registry_reviews(pages).collect()] == [("r", "it's", "2026-02-09", 3), ("s", None, None, 3)]
+    blob = 'z:["$","$L1",null,{"data-testid":"businessProfileHero","name":"N","phoneNumber":"$undefined","overallRating":"4.5","reviewCount":"$undefined","isPaidPro":true,"categories":[{"name":"c"},{}]}] "profileUrl":"/companylist/a" "profileUrl":"/companylist/b" "profileUrl":"/companylist/a" "resultCount":19,"limit":10,"page":1'
+    pro = spark.createDataFrame([(f"<script>self.__next_f.push([1,{json.dumps(blob)}])</script>",), ("<p>",)], "html string").coalesce(1)
+    rows = profiles.pros_details(pro.withColumn("u", F.lit(1))).collect()
+    assert (rows[0].name, rows[0].phone, rows[0].overall_rating, rows[0].review_count, rows[0].is_paid_pro, rows[0].categories) == ("N", None, 4.5, None, True, ["c"]) and rows[1].name is None
+    first = profiles.pros_listing(pro).first()
+    assert (first.profile_urls, first.result_count, first.page) == (["/companylist/a", "/companylist/b"], 19, 1)
+    assert spark.range(1).select(profiles.facebook_url(profiles.socials_of(F.lit('[{"platform": "x", "url": "n"}, {"platform": "facebook", "url": "f"}]')))).first()[0] == "f"
