@@ -3,7 +3,7 @@
 from pyspark.sql import SparkSession
 
 
-def session(app: str = "leadmill", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def session(app: str = "leadmill", master: str | None = None, shuffle_partitions: int | None = None, driver_memory: str | None = None) -> SparkSession:
     """UTC, ANSI and adaptive execution.  Partition counts are the cluster's business unless given."""
     builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true")
     builder = builder.config("spark.sql.adaptive.skewJoin.enabled", "true").config("spark.sql.ansi.enabled", "true")
@@ -11,4 +11,6 @@ def session(app: str = "leadmill", master: str | None = None, shuffle_partitions
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     return builder.getOrCreate()
