@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -48,3 +48,9 @@ def histogram(rows: DataFrame, column: str) -> DataFrame:
 def tally(rows: DataFrame, by: list[str], **conditions: Column) -> DataFrame:
     """Rows, and rows for which each named condition holds, for every list: the progress figures of a run."""
     return rows.groupBy(*by).agg(F.count("*").alias("rows"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in conditions.items()])
+
+
+def observed(rows: DataFrame, name: str, **conditions: Column) -> tuple[DataFrame, Observation]:
+    """rows, and counters that are filled while they are written: no pass of their own."""
+    seen = Observation(name)
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in conditions.items()]), seen

@@ -85,3 +85,8 @@ def manifest_upsert(old: DataFrame, entries: DataFrame) -> DataFrame:
 def stitched(manifest_rows: DataFrame, datasets: DataFrame) -> DataFrame:
     """Dataset rows with industry and metro of their manifest entry; entries without a dataset drop out."""
     return datasets.drop("industry", "metro").join(manifest_rows.select("id", "industry", "metro"), "id")
+
+
+def write_datasets(rows: DataFrame, path: str) -> None:
+    """JSON lines by industry and metro; only the lists that are written again are replaced."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("industry", "metro").json(path)

@@ -54,3 +54,18 @@ def listing_csv(spark: SparkSession, *paths: str) -> DataFrame:
         return df.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns], (F.lit(n) * F.lit(1 << 40) + F.monotonically_increasing_id()).alias("row_idx"))
 
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [one(p, n) for n, p in enumerate(sorted(paths))])
+
+
+def checkpoints(spark: SparkSession, folder: str, industry: str) -> DataFrame:
+    """All finished list files `INDUSTRY--*.csv` of a folder, by name; columns are united by name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{industry}--*.csv")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    paths = [str(f.getPath().toString()) for f in found or []]
+    if not paths:
+        raise FileNotFoundError(str(path))
+    return listing_csv(spark, *paths)
+
+
+def unfinished(lists: DataFrame, done: DataFrame, keys: list[str], again: bool = False) -> DataFrame:
+    """Lists without a finished file; all of them if they are to run again."""
+    return lists if again else lists.join(done.select(*keys).distinct(), keys, "left_anti")

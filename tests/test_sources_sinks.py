@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from leadmill.operators import browse, publish
 from leadmill.sinks import writers
 from leadmill.sources import capture, markup, payloads, profiles, tables
 from leadmill.streaming import ingest
@@ -108,3 +109,21 @@ def test_profiles(spark):
     first = profiles.pros_listing(pro).first()
     assert (first.profile_urls, first.result_count, first.page) == (["/companylist/a", "/companylist/b"], 19, 1)
     assert spark.range(1).select(profiles.facebook_url(profiles.socials_of(F.lit('[{"platform": "x", "url": "n"}, {"platform": "facebook", "url": "f"}]')))).first()[0] == "f"
+
+
+def test_runs(spark, tmp_path):
+    for name, body in (("roofing--b", "name,x\nB,1\n"), ("roofing--a", "name\nA\n"), ("hvac--a", "name\nZ\n")):
+        (tmp_path / f"{name}.csv").write_text(body)
+    got = tables.checkpoints(spark, str(tmp_path), "roofing").orderBy("row_idx").collect()
+    assert [(r.name, r.x) for r in got] == [("A", None), ("B", "1")]
+    with pytest.raises(FileNotFoundError):
+        tables.checkpoints(spark, str(tmp_path), "none")
+    lists = spark.createDataFrame([("a",), ("b",)], "metro string")
+    assert [r.metro for r in tables.unfinished(lists, lists.where("metro = 'a'"), ["metro"]).collect()] == ["b"] and tables.unfinished(lists, lists, ["metro"], True).count() == 2
+    rows, seen = browse.observed(lists, "run", first=F.col("metro") == "a")
+    writers.null(rows)
+    assert seen.get == {"rows": 2, "first": 1}
+    sets = spark.createDataFrame([("i", "m", 1), ("i", "n", 2)], "industry string, metro string, k int")
+    publish.write_datasets(sets, str(tmp_path / "sets"))
+    publish.write_datasets(sets.where("metro = 'n'").withColumn("k", F.lit(9)), str(tmp_path / "sets"))
+    assert sorted(r.k for r in spark.read.json(str(tmp_path / "sets")).collect()) == [1, 9]
