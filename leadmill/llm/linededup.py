@@ -117,12 +117,12 @@ def repeated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """(doc_id, h, start, end) of the windows to delete; lines are counted from 0, end is exclusive."""
     table = written(line_table(docs, least).dropDuplicates(["doc_id", "h"]), "lines")
     prints = table.select("doc_id", "h", F.inline("prints"))
-    again = prints.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
+    again = written(prints.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "again")  # written: hot keys of the next join can be split
     at = prints.join(again, "g", "left_semi").groupBy("doc_id", "h").agg(F.collect_list("pos").alias("at")).alias("a")
     rows = table.alias("t").join(at, F.col("t.doc_id").eqNullSafe(F.col("a.doc_id")) & (F.col("t.h") == F.col("a.h"))).select("t.doc_id", "t.h", "t.lines", "t.words", "a.at")
     found = written(extended(rows, least), "windows")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h", "start", "end")
-    first = found.groupBy("window").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("window", "first")
+    first = written(found.groupBy("window").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("window", "first"), "first")
     later = found.join(first, "window").withColumn("here", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("h") == F.col("first.h")))
     later = later.where("not here or start <> first.start")
     return later.select("doc_id", "h", F.when(F.col("here"), F.greatest("start", F.col("first.end"))).otherwise(F.col("start")).alias("start"), "end").where("start < end")
