@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import pyarrow as pa
@@ -27,8 +29,23 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Paths that this driver has handed out and not removed.
+_HANDED_OUT: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/leadmill/{name}-{uuid.uuid4().hex}"
+    _HANDED_OUT.append(f"{shared_dir(spark)}/leadmill/{name}-{uuid.uuid4().hex}")
+    return _HANDED_OUT[-1]
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession, keep: str) -> Iterator[None]:
+    """What is written as scratch inside goes at the end, but for `keep`; only for results that are written inside as well."""
+    before = set(_HANDED_OUT)
+    yield
+    for path in [p for p in _HANDED_OUT if p not in before and p != keep]:
+        removed(spark, path)
+        _HANDED_OUT.remove(path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -32,7 +32,9 @@ CLASSES = (1, 4, 16, 64, 256, 1024)
 MOST_TEMPLATES = 2_000_000
 #: Words that are scanned at a time.
 PIECE = 1 << 17
-WORD = re.compile(r"[^\W_]+")
+#: Characters whose words are held as strings at a time.
+TEXT_PIECE = 1 << 20
+WORD, BLANK = re.compile(r"[^\W_]+"), re.compile(r"\s")
 
 #: License notices and the openings of license texts: fixed public wording.
 TEMPLATES = {
@@ -57,8 +59,13 @@ class _Hashes(dict):
 
 
 def word_hashes(text: str, known: _Hashes) -> np.ndarray:
-    found = WORD.findall(text.lower())
-    return np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
+    out, at = [], 0
+    while at < len(text) or not out:  # long texts in pieces that end at white space
+        end = len(text) if len(text) - at <= TEXT_PIECE else next((m.end() for m in BLANK.finditer(text, at + TEXT_PIECE)), len(text))
+        found = WORD.findall(text[at:end].lower())
+        out.append(np.fromiter(map(known.__getitem__, found), np.uint64, len(found)))
+        at = end
+    return out[0] if len(out) == 1 else np.concatenate(out)
 
 
 def shingles(words: np.ndarray, size: int) -> np.ndarray:

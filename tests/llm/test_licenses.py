@@ -42,3 +42,10 @@ def test_band_guarantee():
     for n in licenses.CLASSES:
         low = max(1, n // 4)
         assert (1 - low / (2 * n)) ** licenses.bands_of(n, low) <= licenses.MISS
+
+
+def test_long_texts_in_pieces(monkeypatch):
+    text = "Ab c_d é " * 500 + "x" * 300 + " end"
+    want = licenses.word_hashes(text, licenses._Hashes()).tolist()
+    monkeypatch.setattr(licenses, "TEXT_PIECE", 7)
+    assert licenses.word_hashes(text, licenses._Hashes()).tolist() == want and len(want) == 2002 and len(licenses.word_hashes("", {})) == 0
