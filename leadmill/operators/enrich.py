@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..session import kept
 from . import linkage
 from .dedupe import first_of
 
@@ -14,7 +15,7 @@ from .dedupe import first_of
 SAME_PLACE, PICK_SIBLING, PICK_BY_NAME = 0.72, 0.90, 0.85
 
 
-def phone_first(rows: DataFrame, other: DataFrame, keep=lambda df: df.checkpoint(), similarity=text.name_similarity) -> DataFrame:
+def phone_first(rows: DataFrame, other: DataFrame, keep=kept, similarity=text.name_similarity) -> DataFrame:
     """(list_id, row_idx, other_idx, how) for rows (list_id, row_idx, name, phone, city, postal) and other (idx for row_idx).
 
     how: phone (every row with the phone of the first other record that has it), place (same city or zip and a
@@ -28,8 +29,11 @@ def phone_first(rows: DataFrame, other: DataFrame, keep=lambda df: df.checkpoint
     by_phone = keep(r.alias("r").join(firsts.alias("o"), ["list_id", "phone"]).select("list_id", "row_idx", "idx"))
     claimed = by_phone.groupBy("list_id", "idx").agg(F.min("row_idx").alias("claimed_at"))
     rest = r.join(by_phone.select("list_id", "row_idx"), ["list_id", "row_idx"], "left_anti")
-    # Two equi-joins, as for linkage: city or zip.
-    met = [rest.alias("r").where(f"r.{k} is not null and r.{k} <> ''").join(usable.alias("o"), (F.col("r.list_id") == F.col("o.list_id")) & (F.col(f"r.{k}") == F.col(f"o.{k}"))).select("r.list_id", "r.row_idx", "o.idx", F.col("r.words").alias("rw"), F.col("o.words").alias("ow")) for k in ("city", "zip")]
+    # Names that reach SAME_PLACE share a distinctive word (others are capped below it), so the two equi-joins are on
+    # city or zip and such a word, not on all pairs of a city.
+    words = lambda df: df.withColumn("word", F.explode(F.array_except("words", F.lit(text.GENERIC_WORDS))))
+    left, right = words(rest).alias("r"), words(usable).alias("o")
+    met = [left.where(f"r.{k} is not null and r.{k} <> ''").join(right, (F.col("r.list_id") == F.col("o.list_id")) & (F.col(f"r.{k}") == F.col(f"o.{k}")) & (F.col("r.word") == F.col("o.word"))).select("r.list_id", "r.row_idx", "o.idx", F.col("r.words").alias("rw"), F.col("o.words").alias("ow")) for k in ("city", "zip")]
     pairs = met[0].union(met[1]).dropDuplicates(["list_id", "row_idx", "idx"])
     pairs = pairs.join(claimed, ["list_id", "idx"], "left").where("claimed_at is null or claimed_at > row_idx")
     edges = pairs.where(similarity(F.col("rw"), F.col("ow")) >= SAME_PLACE).select("list_id", "row_idx", "idx")

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
+from ..session import kept
 
 RECORD = ("list_id", "idx", "name", "phone", "postal", "city", "state", "lat", "lon")
 # Weights of the signals, and the limits of the score.
@@ -52,12 +53,18 @@ def near(a: DataFrame, b: DataFrame, miles: float) -> DataFrame:
     return met.where(far <= miles).select("a.list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"))
 
 
-def signals(pairs: DataFrame, a: DataFrame, b: DataFrame, similarity=text.name_similarity) -> DataFrame:
-    """pairs with sig_phone, sig_name, sig_geo, sig_zip, sig_city: null where a side lacks what the signal needs."""
+def signals(pairs: DataFrame, a: DataFrame, b: DataFrame, similarity=text.name_similarity, worth: bool = False) -> DataFrame:
+    """pairs with sig_phone, sig_name, sig_geo, sig_zip, sig_city: null where a side lacks what the signal needs.
+
+    worth: leave out pairs that no name score can save, before names are compared: other phones, and no distinctive
+    word in common though both have some.
+    """
     on = lambda side, k: (F.col("p.list_id") == F.col(f"{side}.list_id")) & (F.col(f"p.{side}_idx") == F.col(f"{side}.idx"))  # noqa: E731, ARG005
     j = pairs.alias("p").join(a.alias("a"), on("a", 0)).join(b.alias("b"), on("b", 0))
     one = lambda c: c.cast("double")
     c = F.col
+    if worth:
+        j = j.where(F.coalesce(c("a.phone") == c("b.phone"), F.lit(False)) | (text.gate(c("a.words"), c("b.words")) >= WEAK_NAME))
     miles = geo.distance_miles(c("a.lat"), c("a.lon"), c("b.lat"), c("b.lon"))
     same_place = (c("a.city") == c("b.city")) & (c("a.city") != "") & (c("a.state") == c("b.state"))
     return j.select(
@@ -82,12 +89,12 @@ def confidence() -> Column:
 
 def scored(pairs: DataFrame, a: DataFrame, b: DataFrame, least: float = REVIEW, similarity=text.name_similarity) -> DataFrame:
     """Pairs worth assigning, with signals, confidence and band."""
-    s = signals(pairs, a, b, similarity)
+    s = signals(pairs, a, b, similarity, worth=True)
     s = s.where((F.coalesce(F.col("sig_phone"), F.lit(0.0)) == 1) | (F.col("sig_name") >= WEAK_NAME)).withColumn("confidence", confidence())
     return s.where(F.col("confidence") >= least).withColumn("band", F.when(F.col("confidence") >= CONFIDENT, "confident").otherwise("review"))
 
 
-def assigned(edges: DataFrame, keep=lambda df: df.checkpoint(), left: str = "a_idx", right: str = "b_idx", order: list[Column] | None = None) -> DataFrame:
+def assigned(edges: DataFrame, keep=kept, left: str = "a_idx", right: str = "b_idx", order: list[Column] | None = None) -> DataFrame:
     """One-to-one by best score first, ties by a_idx, b_idx: what a sequential greedy pass over the sorted edges takes.
 
     Each round takes the edges that come first for both of their ends and drops the edges of those ends; edges left

@@ -29,16 +29,6 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder that the cluster names; a cached copy where it names none."""
-    sc = df.sparkSession.sparkContext
-    if not (df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()):
-        import tempfile
-
-        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="leadmill-"))
-    return df.checkpoint()
-
-
 # SQL of the scalar functions, for the oracle.
 def q_phone(c: str) -> str:
     d = f"regexp_replace({c}, '[^0-9]', '', 'g')"
@@ -366,7 +356,7 @@ def _edges(s, d):
 
 
 def _matches(s, d):
-    return linkage.assigned(_edges(s, d), keep)
+    return linkage.assigned(_edges(s, d))
 
 
 @query("blocked_pairs", _PAIRS + " select list_id, a_idx, b_idx from pairs")
@@ -411,7 +401,7 @@ def _(s, d):
  union all select list_id, null, idx, 'new' from u where not exists (select 1 from f where f.list_id = u.list_id and f.idx = u.idx)""")
 def _(s, d):
     rows = bound(s, d, A).where("idx % 3 = 0").withColumnRenamed("idx", "row_idx")
-    return enrich.phone_first(rows, bound(s, d, B), keep, text.token_similarity).select("list_id", "row_idx", "other_idx", "how")
+    return enrich.phone_first(rows, bound(s, d, B), similarity=text.token_similarity).select("list_id", "row_idx", "other_idx", "how")
 
 
 @query("picker", f"""with q as (select idx as query_id, {q_phone('phone')} as qp, {q_words('name')} as qw from ({a})), c as (select idx % 100 as g, idx as cand_idx, {q_phone('phone')} as cp, {q_words('name')} as cw, case when idx % 3 = 0 then 0 else review_count end as n from ({b})),

@@ -1,6 +1,8 @@
 """Spark sessions for jobs of this library."""
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "leadmill", master: str | None = None, shuffle_partitions: int | None = None, driver_memory: str | None = None) -> SparkSession:
@@ -14,3 +16,20 @@ def session(app: str = "leadmill", master: str | None = None, shuffle_partitions
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)
     return builder.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir.  Where it is unset, a local run gets one of its own; a cluster must name one."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="leadmill-")
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df computed once and written to the shared folder: loops start anew from it, and lost executors cost nothing."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
