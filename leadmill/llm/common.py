@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -12,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 #: Word separators and words as the digests define them: ASCII white space only.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -20,15 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or, where it is unset (tests), one of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="leadmill-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
 #: Paths that this driver has handed out and not removed.
 _HANDED_OUT: list[str] = []
 

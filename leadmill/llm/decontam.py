@@ -9,7 +9,7 @@ item and text lie against each other, and around it the whole item is compared t
 * a part of it is there if some stretch scores PART_SCORE, a match counting 1 and a substitution -2.
 
 Items shorter than a mask use the mask cut to their length.  Only the benchmark side is broadcast, after its windows
-were counted; beyond BROADCAST_WINDOWS the join shuffles.  Every position of every text is looked up; what is
+were measured; beyond BROADCAST_BYTES the join shuffles.  Every position of every text is looked up; what is
 verified leaves the task as counts.  No Python runs on the executors.
 
 Defined results: null and empty texts and items match nothing; a null doc_id or item_id is a value like any other;
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 MASKS = ((0, 1, 3, 4, 7, 9), (0, 2, 3, 5, 8, 10), (0, 1, 5, 6, 7, 10), (0, 2, 4, 5, 6, 9))
 SPAN = 1 + max(m[-1] for m in MASKS)
 ITEM_SHARE, PART_SCORE = 0.7, 13
-#: Benchmark windows that may be broadcast, at 28 bytes each.
-BROADCAST_WINDOWS = 1_000_000
+#: Bytes of benchmark windows, each with its item's tokens, that may be broadcast.
+BROADCAST_BYTES = 64 << 20
 
 
 def tokens(text: Column) -> Column:
@@ -62,7 +62,8 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     test = items.select("item_id", "ith", positions("ith").alias("pos")).select("item_id", "ith", "pos", fits.alias("fits"), F.posexplode(seeds("ith", F.col("pos"), masks)).alias("k", "seed"))
     test = test.where(F.get("fits", "k")).select("seed", "item_id", "ith", "pos")
     keys = test.groupBy("seed", "item_id", "ith").agg(F.collect_set("pos").alias("pos"))
-    small = keys.count() <= BROADCAST_WINDOWS
+    held = keys.agg(F.sum(F.size("pos") * (8 * F.size("ith").cast("long") + 40))).first()[0] or 0
+    small = held <= BROADCAST_BYTES
     keys = keys.select("seed", "item_id", "ith", F.explode("pos").alias("pos"))
     train = docs.select("doc_id", F.xxhash64("text").alias("h"), tokens(F.col("text")).alias("th"))
     train = train.select("doc_id", "h", "th", positions("th").alias("i"))

@@ -117,3 +117,14 @@ def test_chat_escapes(spark, text):
     back = {r.conv_id: r for r in chat.read_back(chat.windows(rows)).collect()}
     assert back[5].turns == f"a<b>&\n{text}\n" + f"assistant\n{text}\n" * 2 and back[5].loss == text * 2 and back[None].turns == "\n\n"
     assert chat.windows(rows.limit(0)).count() == 0
+
+
+def test_decontamination_of_a_large_benchmark(spark, data, monkeypatch):
+    docs, bench = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "benchmark"))
+    want = sorted(map(tuple, decontam.contaminated(docs, bench).collect()))
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert sorted(map(tuple, decontam.contaminated(docs, bench).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
