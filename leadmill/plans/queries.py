@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, geo, grades, text, urls
 from ..operators import browse, curation, dedupe, enrich, linkage, lookup, publish, reviews, scoring
+from ..session import shared_dir
 from ..sources import markup, payloads, profiles
+from ..streaming import ingest
 from .bindings import CITIES, MASTER, REVIEWS, A, B, bound, plain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -652,3 +654,17 @@ def _(s, d):
 def _(s, d):
     rows = bound(s, d, A).select("idx", F.when(F.col("idx") % 2 == 0, "own").otherwise("").alias("registry_email"), F.when(F.col("idx") % 3 == 0, "fb").alias("facebook_email"))
     return profiles.email_backfilled(rows).select("idx", "registry_email", "registry_email_source")
+
+
+# --- streams ----------------------------------------------------------------------------------------------------
+@query("stream_event_counts", "select date_trunc('hour', ts) as start, event_type, count(*) as n from events group by 1, 2")
+def _(s, d):
+    """The events as a stream that ends when all files are read, counted by hour behind a watermark."""
+    import uuid
+
+    kind = s.read.parquet(f"{d}/events.parquet").schema
+    stream = s.readStream.schema(kind).parquet(f"{d}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
+    name = f"counted_{uuid.uuid4().hex}"
+    counts = ingest.event_counts(stream, "ts", "event_type")
+    counts.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", f"{shared_dir(s)}/leadmill/{name}").trigger(availableNow=True).start().awaitTermination()
+    return s.table(name).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
