@@ -66,16 +66,17 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     small = held <= BROADCAST_BYTES
     train = docs.select("doc_id", F.xxhash64("text").alias("h"), tokens(F.col("text")).alias("th"))
     lines = train.select("doc_id", "h", "th", positions("th").alias("i")).select("doc_id", "h", "th", "i", F.explode(seeds("th", F.col("i"), masks)).alias("seed"))
-    place = (F.col("i") - F.col("pos")).alias("place")
-    around = F.slice("th", F.greatest(F.col("place"), F.lit(0)) + 1, F.size("ith")).alias("around")
-    if small:  # texts stay where they are, and their tokens with them
+    place = F.col("i") - F.col("pos")
+    if small:  # texts stay where they are, and their tokens with them; one projection right above the join is in its generated code
         keys = keys.select("seed", "item_id", "ith", F.explode("pos").alias("pos"))
-        met = lines.join(F.broadcast(keys), "seed").select("doc_id", "h", "item_id", "ith", "th", place).select("doc_id", "h", "item_id", "ith", "place", around)
+        around = F.slice("th", F.greatest(place, F.lit(0)) + 1, F.size("ith")).alias("around")
+        met = lines.join(F.broadcast(keys), "seed").select("doc_id", "h", "item_id", "ith", place.alias("place"), around)
     else:  # windows travel without tokens; those come back for the places that met
         keys = keys.select("seed", "item_id", F.explode("pos").alias("pos"))
-        places = lines.select("doc_id", "h", "i", "seed").join(keys, "seed").select("doc_id", "h", "item_id", place).distinct().alias("p")
+        places = lines.select("doc_id", "h", "i", "seed").join(keys, "seed").select("doc_id", "h", "item_id", place.alias("place")).distinct().alias("p")
         held = train.dropDuplicates(["doc_id", "h"]).alias("t")
         met = places.join(held, F.col("p.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("p.h") == F.col("t.h"))).select("p.*", "t.th").alias("m")
+        around = F.slice("th", F.greatest(F.col("place"), F.lit(0)) + 1, F.size("ith")).alias("around")
         met = met.join(items.alias("n"), F.col("m.item_id").eqNullSafe(F.col("n.item_id"))).select("doc_id", "h", "m.item_id", "ith", "place", around)
     same = F.transform(F.sequence(F.lit(0), F.size("ith") - 1), lambda p: F.coalesce(F.get("ith", p) == F.get("around", p + F.least(F.col("place"), F.lit(0))), F.lit(False)))
     met = met.select("doc_id", "h", "item_id", "place", same.alias("same"))
