@@ -95,9 +95,9 @@ def chained(x: np.ndarray, most: int) -> np.ndarray:
     return alive.any(axis=-1)
 
 
-def forest(fp: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among some fingerprints."""
-    root = np.arange(len(fp))
+def forest(fp: np.ndarray, root: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links among some fingerprints, but for what their roots already join."""
+    _, root = np.unique(root, return_inverse=True)
     edges = []
     for i in range(len(fp) - 1):
         rest = np.flatnonzero(root[i + 1 :] != root[i]) + i + 1
@@ -114,24 +114,28 @@ def forest(fp: np.ndarray, most: int) -> list[tuple[int, int]]:
     return edges
 
 
-def links(distinct: DataFrame, most: int, masks: list[int]) -> DataFrame:
-    """(u, v): links among distinct fingerprints that keep every component whole."""
-    keys = distinct.select("fp", F.posexplode(F.lit(masks)).alias("t", "mask")).select("fp", F.xxhash64("t", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
-    met = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v")).where("n > 1")
-    met = written(met, "met")
+def links(rooted: DataFrame, most: int, masks: list[int]) -> DataFrame:
+    """(u, v): of distinct fingerprints (fp, root), links between different roots that keep every component whole.
+
+    Keys whose fingerprints all have one root are left out by their least and greatest root.
+    """
+    keys = rooted.select("fp", "root", F.posexplode(F.lit(masks)).alias("t", "mask")).select("fp", "root", F.xxhash64("t", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
+    met = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v"), F.min("root").alias("r"), F.max("root").alias("s")).where("r < s")
+    met = written(met.select("key", "n", "u", "v"), "met")
     two = met.where("n = 2").select("u", "v").distinct()
     many = keys.join(met.where("n > 2").select("key", "n"), "key")
     blocks = F.ceil(F.col("n") / BLOCK)
     many = many.withColumn("blocks", blocks).withColumn("b", F.pmod(F.xxhash64("fp", F.lit(1)), "blocks"))
     others = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: j != F.col("b")))
-    many = many.select("key", "fp", "b", F.explode(others).alias("j"))
-    pools = many.groupBy("key", F.least("b", "j").alias("i"), F.greatest("b", "j").alias("j")).agg(F.collect_list("fp").alias("fps")).select("fps")
+    many = many.select("key", "fp", "root", "b", F.explode(others).alias("j"))
+    pools = many.groupBy("key", F.least("b", "j").alias("i"), F.greatest("b", "j").alias("j")).agg(F.array_sort(F.collect_list(F.struct("fp", "root"))).alias("p"))
+    pools = pools.select(F.col("p.fp").alias("fps"), F.col("p.root").alias("roots"))
 
     def linked(batches):
         for batch in batches:
             u, v = [], []
-            for x in batch.column(0):
-                for a, b in forest(np.sort(np.array(x.values, np.int64).view(np.uint64)), most):
+            for x, r in zip(batch.column(0), batch.column(1), strict=True):
+                for a, b in forest(np.array(x.values, np.int64).view(np.uint64), np.array(r.values, np.int64), most):
                     u.append(a)
                     v.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
@@ -150,14 +154,20 @@ def links(distinct: DataFrame, most: int, masks: list[int]) -> DataFrame:
 def near_duplicates(docs: DataFrame, words: int = 3, most: int = 3, extra_masks: list[int] | None = None) -> DataFrame:
     """(doc_id, fp, component_id): component_id is the smallest doc_id that links of at most `most` bits reach.
 
-    With most <= 3 the ring masks alone find every link.  A larger `most` needs extra_masks (`loose_masks`).
+    With most <= 3 the ring masks alone find every link.  A larger `most` needs extra_masks (`loose_masks`); they look for
+    links between what the ring masks have joined, so that a large group of copies meets once, not under every mask.
     """
     if most > 3 and not extra_masks:
         raise ValueError("links wider than 3 bits need extra masks")
     marked = written(fingerprints(docs, words), "fingerprints")
     # Tables that joins meet again are written: a join right above a grouping can't have its hot keys split.
     distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(distinct.select("fp"), most, ring_masks() + (extra_masks or [])))
+    found = links(distinct.select("fp", F.col("fp").alias("root")), most, ring_masks())
+    if extra_masks:
+        found = written(found, "links")
+        rooted = distinct.join(components(found).withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+        found = found.unionByName(links(written(rooted, "rooted"), most, extra_masks))
+    roots = components(found)
     linked = written(distinct.join(roots.withColumnRenamed("node", "fp"), "fp"), "linked")  # most fingerprints have no link
     ids = written(linked.groupBy("root").agg(F.min("least").alias("joint")), "joint")
     joint = linked.join(ids, "root").select("fp", "joint")

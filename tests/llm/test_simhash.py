@@ -70,7 +70,7 @@ def test_components_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK", 8)  # several blocks in a bucket
     r = random.Random(5)
     fps = near_group(r, 25)
-    df = spark.createDataFrame([(simhash._signed(f),) for f in set(fps)], "fp long")
+    df = spark.createDataFrame([(simhash._signed(f),) * 2 for f in set(fps)], "fp long, root long")
     roots = {x.node & simhash.FULL: x.root for x in components(simhash.links(df, 3, simhash.ring_masks())).collect()}
     distinct = sorted(set(fps))
     want = brute_components(distinct, distinct, 3)
@@ -106,3 +106,20 @@ def test_one_of_each(spark):
     docs = spark.createDataFrame([(3, base, 0), (1, base, 0), (2, base.replace("word7 ", "other "), 0), (4, "something else entirely here", 0), (None, base, 0), (1, base, 0)], "doc_id long, text string, component_id int")
     kept = sorted(str(r.doc_id) for r in simhash.one_of_each(docs, most=7, extra_masks=simhash.loose_masks()).collect())
     assert kept == ["1", "4", "None"]
+
+
+def test_roots_leave_no_link_out(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    r = random.Random(6)
+    distinct = sorted(set(near_group(r, 12)))
+    want = brute_components(distinct, distinct, 3)
+    # Any coarser start, here pairs of one component, must end in the same components.
+    some = {w: [f for f, x in zip(distinct, want, strict=True) if x == w][:7] for w in set(want)}
+    start = {f: simhash._signed(min(g)) for g in some.values() for f in g}
+    df = spark.createDataFrame([(simhash._signed(f), start.get(f, simhash._signed(f))) for f in distinct], "fp long, root long")
+    given = spark.createDataFrame([(simhash._signed(f), x) for f, x in start.items()] or [(0, 0)], "u long, v long")
+    roots = {x.node & simhash.FULL: x.root for x in components(simhash.links(df, 3, simhash.ring_masks()).unionByName(given)).collect()}
+    groups = {}
+    for f, w in zip(distinct, want, strict=True):
+        groups.setdefault(w, set()).add(roots.get(f, simhash._signed(f)))
+    assert all(len(g) == 1 for g in groups.values()) and len(set().union(*groups.values())) == len(groups)
