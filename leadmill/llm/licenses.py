@@ -149,11 +149,14 @@ class Templates:
         at = at[owner[at] == owner[at + size - 1]]
         for d in np.unique(owner[at]):
             mine = at[owner[at] == d]
-            # The best stretch of the template's length, by distinct shingles of it.
-            got, place = max((len(np.unique(x[mine[(mine >= p) & (mine < p + span)]])), -int(p)) for p in mine)
-            if got >= CONTAINED * len(own):
-                last = mine[(mine >= -place) & (mine < -place + span)][-1]
-                yield t, -place, int(last) + size + place, got / len(own)
+            # The best stretch of the template's length, by distinct shingles of it; then the best of what lies beside it.
+            while len(mine):
+                got, place = max((len(np.unique(x[mine[(mine >= p) & (mine < p + span)]])), -int(p)) for p in mine)
+                if got < CONTAINED * len(own):
+                    break
+                first, last = -place, int(mine[(mine >= -place) & (mine < -place + span)][-1])
+                yield t, first, last + size - first, got / len(own)
+                mine = mine[(mine + size <= first) | (mine >= last + size)]
 
 
 FOUND = pa.list_(pa.struct([("license", pa.string()), ("first_word", pa.int64()), ("words", pa.int64()), ("containment", pa.float64())]))

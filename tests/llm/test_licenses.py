@@ -49,3 +49,19 @@ def test_long_texts_in_pieces(monkeypatch):
     want = licenses.word_hashes(text, licenses._Hashes()).tolist()
     monkeypatch.setattr(licenses, "TEXT_PIECE", 7)
     assert licenses.word_hashes(text, licenses._Hashes()).tolist() == want and len(want) == 2002 and len(licenses.word_hashes("", {})) == 0
+
+
+def test_every_copy_is_a_place(spark):
+    notice = licenses.TEMPLATES["MIT"][1]
+    size = len(licenses.WORD.findall(notice))
+    docs = []
+    for gaps in ([300, 20], [300, 0], [0, 5, 90, 200], [500, 1, 1, 1]):
+        parts, at, want = [], 0, []
+        for g in gaps:
+            parts += ["filler"] * g + [notice]
+            want.append(at + g)
+            at += g + size
+        docs.append((len(docs), " ".join(parts), want))
+    got = licenses.found(spark.createDataFrame(docs, "doc_id long, text string, want array<long>")).collect()
+    for r in got:
+        assert [(p.first_word, p.words, p.containment) for p in r.licenses if p.license == "MIT"] == [(w, size, 1.0) for w in docs[r.doc_id][2]]
