@@ -3,8 +3,8 @@
 Texts and templates are cut into lower-cased words (letters and digits) and shingles of five words; a template of
 fewer words is one shingle of its length.  Templates are sorted into classes by their number of shingles: of class
 N those with N/4 to N.  Windows of class N have 2N shingles and start every N, so any copy of such a template lies
-whole in a window, whose Jaccard similarity with it is N/8N or more.  A band is one MinHash value, and a class has as
-many bands as make the chance of missing such a window less than MISS.  Windows that share a band with a template
+whole in a window.  A band is one MinHash value, and a class has as many bands as make the chance of missing a window
+that holds CONTAINED of its smallest template less than MISS.  Windows that share a band with a template
 are verified around the place: the share of the template's shingles found there must reach CONTAINED.
 
 The templates are the only table that goes to every task; they are bounded by MOST_TEMPLATES words.  Texts are
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 WORDS, CONTAINED, MISS, SEED = 5, 0.8, 1e-3, 29
 #: Shingles of the largest templates of each class: powers of 4.
-CLASSES = (1, 4, 16, 64, 256, 1024)
+CLASSES = (1, 4, 16, 64, 256, 1024, 4096, 16384, 65536, 262144, 1048576, 4194304)
 MOST_TEMPLATES = 2_000_000
 #: Words that are scanned at a time.
 PIECE = 1 << 17
@@ -79,7 +79,7 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
 
 def bands_of(n: int, low: int) -> int:
     """Bands of class n, whose templates have at least `low` shingles."""
-    return int(np.ceil(np.log(MISS) / np.log1p(-low / (2 * n))))
+    return int(np.ceil(np.log(MISS) / np.log1p(-CONTAINED * low / (2 * n + (1 - CONTAINED) * low))))
 
 
 def multipliers(count: int) -> np.ndarray:

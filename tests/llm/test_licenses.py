@@ -65,3 +65,15 @@ def test_every_copy_is_a_place(spark):
     got = licenses.found(spark.createDataFrame(docs, "doc_id long, text string, want array<long>")).collect()
     for r in got:
         assert [(p.first_word, p.words, p.containment) for p in r.licenses if p.license == "MIT"] == [(w, size, 1.0) for w in docs[r.doc_id][2]]
+
+
+def test_bands_of_partial_copies_and_long_templates():
+    for n in licenses.CLASSES:
+        for low in {max(1, n // 4), n}:
+            similarity = licenses.CONTAINED * low / (2 * n + (1 - licenses.CONTAINED) * low)
+            assert (1 - similarity) ** licenses.bands_of(n, low) <= licenses.MISS
+    for count in (2052, 6000):  # distinct shingles of 2048 and more
+        text = " ".join(f"w{i}" for i in range(count))
+        words = licenses.word_hashes(f"a b c {text} d", licenses._Hashes())
+        found = licenses.Templates([("long", text)]).scan(words, words * 0)
+        assert licenses.merged([("long", *p[1:]) for p in found]) == [{"license": "long", "first_word": 3, "words": count, "containment": 1.0}]
