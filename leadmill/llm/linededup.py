@@ -1,159 +1,237 @@
-"""Line dedup by winnowing over line hashes.
-
-A run is a stretch of consecutive lines of one document; it counts as a repeat from MIN_WORDS words on.  For every
-line, the shortest run from it that reaches MIN_WORDS words is its window.  The least line hash of a window is its
-fingerprint (ties: the last line), and positions are kept once for all windows that select them.  Windows depend on
-their lines alone, so any run of MIN_WORDS words or more that occurs twice shares a fingerprint in both places: none is
-missed.
-
-Fingerprints that occur once are dropped by a grouped count.  From each position of the others the match is
-extended both ways to the windows that selected it, identified by a hash of all their lines, and each window is
-joined to its first occurrence (least doc_id, then text hash, then line): a grouped minimum, so a passage in a
-third of all documents costs a row a task, and no pairs are made.  Windows that are not first are deleted; together
-they are the maximal repeated runs, however long.  Where a run repeats within its document and overlaps its first
-occurrence, the first stays.
-
-Defined results: null and empty texts are one empty line; lines are what lies between line feeds, compared exactly;
-lines without words count no words but belong to runs; null doc_ids come last; rows equal in doc_id and text are one
-document and are treated alike; an empty table gives no rows.  A document whose every line goes has the empty text.
+"""Line dedup by winnowing over line hashes, extended to maximal repeated runs of words.
+
+Line feeds move when a text is wrapped anew, and passages begin and end inside lines; so a line here is LINE words in a
+row, one from every word on, and line feeds are white space.  A run of words counts as a repeat from MIN_WORDS words
+on.  Every stretch of MIN_WORDS words is a window; the least line hash in it is its fingerprint (ties: the last line).
+Fingerprints depend on a window's words alone, so a run of MIN_WORDS words that occurs twice has a fingerprint in both
+places: none is missed.
+
+The windows in a row that select one line are kept together as one row: the fingerprint, its place, and a hash of all
+words these windows cover, the context.  Fingerprints that occur once are dropped by a grouped count.  The others are
+joined, and matches are extended both ways in two steps.
+
+1. Places whose whole contexts agree: each is joined to the first of them, a grouped minimum, so a passage in a third
+   of all documents costs a row a task and no pairs are made.  All windows of a context that is not first have
+   occurred before.
+2. Where a fingerprint has several contexts, matches end within them.  There the first place of every context (and
+   those that follow in the same document) is cut into its single windows, and each is joined to its first place.
+
+Windows that have occurred before are deleted, and overlapping ones are one run.  A run of MIN_WORDS words or more that
+occurs earlier is the union of its windows, so what goes are the maximal repeated runs, to the word and however long.
+
+Defined results: first means the least doc_id (null last), then text hash, then place.  Where a window overlaps its
+first place in the same document, the first place stays.  Words are compared exactly; null texts stay null, and null
+and empty texts have no words; runs under MIN_WORDS words stay; rows equal in doc_id and text are one document and are
+treated alike; an empty table gives no rows.  A removed run takes the white space after it along; a document whose
+every word goes has the empty text, and one that loses nothing keeps its text as it is.  Long texts are read whole, in
+pieces of PIECE characters that overlap by a window, so memory is bounded by PIECE.  Other columns stay; columns named
+n_words, removed_words or removed are replaced.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import SPACE, written
+from .licenses import shingles
 
-MIN_WORDS = 50
+MIN_WORDS, LINE = 50, 16
+#: Characters whose words are held at a time.
+PIECE = 1 << 20
+#: Words that are hashed together.
+TOGETHER = 1 << 16
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
+WORD = r"[^\x20\x09-\x0D]+"
 KEY = "doc_id long, h long"
-
-
-def _lines(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").split(b"\n")
-
-
-def windows(words: np.ndarray, least: int) -> np.ndarray:
-    """For every line the end (exclusive) of the shortest run from it with `least` words; 0 if the text ends before."""
-    sums = np.concatenate([[0], np.cumsum(words)])
-    end = np.searchsorted(sums, sums[:-1] + least, side="left")
-    end[end > len(words)] = 0
-    return end
-
-
-def selected(hashes: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The position of the least hash of every window, the last of equal ones; -1 for lines without a window."""
-    out = np.full(len(end), -1, np.int64)
-    best: list[int] = []  # of the current window: positions with rising hashes
-    head = right = 0
-    for i, e in enumerate(end):
-        if not e:
-            break
-        while right < e:
-            while len(best) > head and hashes[best[-1]] >= hashes[right]:
-                best.pop()
-            best.append(right)
-            right += 1
-        while best[head] < i:
-            head += 1
-        out[i] = best[head]
-    return out
-
-
-def line_table(docs: DataFrame, least: int) -> DataFrame:
-    """(doc_id, h, lines, words, prints): line hashes, word counts, and (hash, position) of the selected lines."""
+SPAN = "array<struct<start: int, end: int>>"
+#: An odd base of the polynomial hashes, and its inverse modulo 2**64.
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+
+
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+def pieces(text: str | None, known: _Hashes, least: int):
+    """(offset, word hashes) of the text in pieces that overlap by least - 1 words; every window lies in one piece."""
+    raw, at, offset, held = (text or "").encode("utf-8", "surrogatepass"), 0, 0, np.zeros(0, np.uint64)
+    while True:
+        end = len(raw)
+        if end - at > PIECE:
+            blank = BLANK.search(raw, at + PIECE)
+            end = blank.end() if blank else end
+        own = raw[at:end].split()
+        words = np.concatenate([held, np.fromiter(map(known.__getitem__, own), np.uint64, len(own))])
+        yield offset, words
+        if end == len(raw):
+            return
+        kept = min(len(words), least - 1)
+        at, offset, held = end, offset + len(words) - kept, words[len(words) - kept :]
+
+
+def least_lines(lines: np.ndarray, width: int) -> np.ndarray:
+    """For every place the position of the least of `width` hashes from there on, the last of equal ones."""
+    value, at, held = lines, np.arange(len(lines)), 1
+    while held < width:
+        step = min(held, width - held)  # two stretches of `held`, overlapping where the width is no power of two
+        right, right_at = value[step:], at[step:]
+        value, at = value[: len(right)], at[: len(right)]
+        take = right <= value
+        value, at, held = np.where(take, right, value), np.where(take, right_at, at), held + step
+    return at
+
+
+class Sums:
+    """Polynomial hashes of any stretch of words, equal for equal words wherever they stand."""
+
+    def __init__(self, words: np.ndarray):
+        n = len(words)
+        self.power, self.inverse = (np.cumprod(np.append(np.uint64(1), np.full(n, b, np.uint64))) for b in (BASE, INVERSE))
+        self.sums = np.append(np.uint64(0), np.cumsum(words * self.power[:n]))
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        x = (self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(np.uint64)
+        x = (x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+        return (x ^ x >> np.uint64(32)).view(np.int64)
+
+
+def prints(words: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """(start, n, fingerprint, context) of every run of windows with one fingerprint; `ends` is each word's end of text."""
+    line = min(LINE, least)
+    if len(words) < least:
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    lines = shingles(words, line)
+    chosen = least_lines(lines[: len(words) - line + 1], least - line + 1)
+    starts = np.flatnonzero(np.arange(len(chosen)) + least <= ends[: len(chosen)])
+    new = np.flatnonzero(np.diff(chosen[starts], prepend=-1) != 0)
+    first, n = starts[new], np.diff(np.append(new, len(starts)))
+    return first, n, lines[chosen[first]].view(np.int64), Sums(words)(first, first + n - 1 + least)
+
+
+PRINT = pa.struct([("g", pa.int64()), ("c", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
+PRINTS = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("prints", pa.list_(PRINT))])
+WINDOWS = pa.schema([("g", pa.int64()), ("w", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32())])
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, h, text): documents are told apart by number and text hash."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"), text.alias("text"))
+
+
+def print_table(docs: DataFrame, least: int) -> DataFrame:
+    """(doc_id, h, prints): of every piece of a text, its fingerprints with place and context."""
+
+    def flush(held):
+        words = np.concatenate([x[3] for x in held])
+        edges = np.cumsum([0, *(len(x[3]) for x in held)])
+        start, n, g, c = prints(words, np.repeat(edges[1:], np.diff(edges)), least)
+        cuts = np.searchsorted(start, edges)
+        offset = np.repeat(np.array([x[2] for x in held], np.int64) - edges[:-1], np.diff(cuts))
+        rows = pa.StructArray.from_arrays([pa.array(g), pa.array(c), pa.array((start + offset).astype(np.int32)), pa.array(n.astype(np.int32))], fields=list(PRINT))
+        lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), rows)
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in held], pa.int64()), pa.array([x[1] for x in held], pa.int64()), lists], schema=PRINTS)
 
     def each(batches):
+        known = _Hashes()
         for b in batches:
-            for part in (b.slice(at, 256) for at in range(0, b.num_rows, 256)):
-                rows = []
-                for d, x in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    own = _lines(x)
-                    h = np.array([xxhash.xxh3_64_intdigest(y) for y in own], np.uint64)
-                    n = np.array([len(y.split()) for y in own], np.int64)
-                    at = selected(h, windows(n, least))
-                    at = np.unique(at[at >= 0])
-                    signed = h.view(np.int64)
-                    rows.append((d, int(np.uint64(xxhash.xxh64_intdigest((x or "").encode("utf-8", "surrogatepass"), 42)).view(np.int64)), signed, n.astype(np.int32), [{"g": int(signed[p]), "pos": int(p)} for p in at]))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), LINES.types, strict=True)], schema=LINES)
+            held, size = [], 0
+            for d, h, x in zip(*b.columns, strict=True):
+                for offset, words in pieces(x.as_py(), known, least):
+                    if len(words) >= least:
+                        held.append((d.as_py(), h.as_py(), offset, words))
+                        size += len(words)
+                    if size >= TOGETHER:
+                        yield flush(held)
+                        held, size = [], 0
+            if held:
+                yield flush(held)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(each, f"{KEY}, lines array<long>, words array<int>, prints array<struct<g: long, pos: int>>")
+    return _keyed(docs).mapInArrow(each, f"{KEY}, prints array<struct<g: long, c: long, start: int, n: int>>")
 
 
-LINES = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("lines", pa.list_(pa.int64())), ("words", pa.list_(pa.int32())), ("prints", pa.list_(pa.struct([("g", pa.int64()), ("pos", pa.int32())])))])
-
-
-def extended(rows: DataFrame, least: int) -> DataFrame:
-    """(doc_id, h, window, start, end) of (doc_id, h, lines, words, at): the windows that selected a position of `at`."""
+def single_windows(rows: DataFrame, least: int) -> DataFrame:
+    """(g, w, doc_id, h, start) of (doc_id, h, text, at): a hash of every window of the runs in `at` (g, start, n)."""
 
     def each(batches):
+        known = _Hashes()
         for b in batches:
-            out = []
-            for d, h, lines, words, at in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                signed = np.array(lines, np.int64)
-                end = windows(np.array(words, np.int64), least)
-                chosen = selected(signed.view(np.uint64), end)
-                raw = signed.tobytes()
-                for i in np.flatnonzero(np.isin(chosen, at)):
-                    out.append((d, h, xxhash.xxh3_128_digest(raw[8 * i : 8 * end[i]]), int(i), int(end[i])))
-                if len(out) > 20_000:
-                    yield _batch(out)
-                    out = []
-            if out:
-                yield _batch(out)
-
-    return rows.select("doc_id", "h", "lines", "words", "at").mapInArrow(each, f"{KEY}, window binary, start int, end int")
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["doc_id", "h", "window", "start", "end"])
+            for d, h, x, at in zip(*b.columns, strict=True):
+                at = at.values
+                n = at.field("n").to_numpy(zero_copy_only=False).astype(np.int64)
+                g = np.repeat(at.field("g").to_numpy(zero_copy_only=False), n)
+                start = np.repeat(at.field("start").to_numpy(zero_copy_only=False).astype(np.int64) - np.cumsum(n) + n, n) + np.arange(n.sum())
+                for offset, words in pieces(x.as_py(), known, least):
+                    here = (start >= offset) & (start + least <= offset + len(words))
+                    if here.any():
+                        mine = start[here] - offset
+                        w = Sums(words)(mine, mine + least)
+                        k = len(mine)
+                        columns = (g[here], w, pa.repeat(d, k), pa.repeat(h, k), start[here])
+                        yield pa.RecordBatch.from_arrays([pa.array(v).cast(t) for v, t in zip(columns, WINDOWS.types, strict=True)], schema=WINDOWS)
+
+    return rows.select("doc_id", "h", "text", "at").mapInArrow(each, f"g long, w long, {KEY}, start int")
 
 
 def repeated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, h, start, end) of the windows to delete; lines are counted from 0, end is exclusive."""
-    table = written(line_table(docs, least).dropDuplicates(["doc_id", "h"]), "lines")
-    prints = table.select("doc_id", "h", F.inline("prints"))
-    again = written(prints.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "again")  # written: hot keys of the next join can be split
-    at = prints.join(again, "g", "left_semi").groupBy("doc_id", "h").agg(F.collect_list("pos").alias("at")).alias("a")
-    rows = table.alias("t").join(at, F.col("t.doc_id").eqNullSafe(F.col("a.doc_id")) & (F.col("t.h") == F.col("a.h"))).select("t.doc_id", "t.h", "t.lines", "t.words", "a.at")
-    found = written(extended(rows, least), "windows")
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h", "start", "end")
-    first = written(found.groupBy("window").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("window", "first"), "first")
-    later = found.join(first, "window").withColumn("here", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("h") == F.col("first.h")))
-    later = later.where("not here or start <> first.start")
-    return later.select("doc_id", "h", F.when(F.col("here"), F.greatest("start", F.col("first.end"))).otherwise(F.col("start")).alias("start"), "end").where("start < end")
+    """(doc_id, h, removed) of documents that lose words: removed has the maximal runs, words from 0, ends exclusive."""
+    rows = written(print_table(docs, least), "prints").select("doc_id", "h", F.inline("prints"))
+    # Grouped sides are written before they are joined, so a hot key of the join can be split.
+    again = rows.groupBy("g").agg(F.count("*").alias("k"), F.min("c").alias("low"), F.max("c").alias("high")).where("k > 1")
+    again = written(again.select("g", (F.col("low") != F.col("high")).alias("several")), "again")
+    rows = written(rows.join(again, "g"), "repeated")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h", "start")
+    here = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("h") == F.col("first.h"))
+    begin = F.when(F.col("here"), F.greatest("start", F.col("first.start") + least)).otherwise(F.col("start")).alias("start")
+    firsts = written(rows.groupBy("g", "c").agg(F.min(place).alias("first")), "first")
+    met = written(rows.join(firsts, ["g", "c"]).withColumn("here", here), "met")
+    whole = met.where("not here or not several and start <> first.start").select("doc_id", "h", begin, (F.col("start") + F.col("n") - 1 + least).alias("end"))
+    # Matches that end within a context, window by window.
+    wanted = written(met.where("here and several").groupBy("doc_id", "h").agg(F.collect_set(F.struct("g", "start", "n")).alias("at")), "wanted").alias("a")
+    texts = _keyed(docs).alias("t").join(wanted, F.col("t.doc_id").eqNullSafe(F.col("a.doc_id")) & (F.col("t.h") == F.col("a.h"))).select("t.*", "a.at")
+    found = written(single_windows(texts, least), "windows")
+    firsts = written(found.groupBy("g", "w").agg(F.min(place).alias("first"), F.count("*").alias("k")).where("k > 1").drop("k"), "first")
+    later = found.join(firsts, ["g", "w"]).withColumn("here", here).where("not here or start <> first.start").select("doc_id", "h", begin, (F.col("start") + least).alias("end"))
+    # Windows that overlap or touch become runs.
+    by = W.partitionBy("doc_id", "h").orderBy("start", "end")
+    runs = whole.unionByName(later).where("start < end").withColumn("upto", F.max("end").over(by.rowsBetween(W.unboundedPreceding, -1)))
+    runs = runs.withColumn("run", F.count_if(F.col("upto").isNull() | (F.col("start") > F.col("upto"))).over(by.rowsBetween(W.unboundedPreceding, 0)))
+    runs = runs.groupBy("doc_id", "h", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return written(runs.groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed")), "removed")
 
 
 def deduplicated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """docs with the repeated runs gone from text, and n_lines, removed_lines and removed (array<struct<start, end>>)."""
-    spans = repeated(docs, least).distinct().groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("s")).alias("s")
-    kept = [c for c in docs.columns if c not in ("n_lines", "removed_lines", "removed")]
-    rows = docs.withColumn("__h", _hash(F.col("text"))).alias("d")
-    rows = rows.join(spans, F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.__h") == F.col("s.h")), "left").select(*[F.col(f"d.`{c}`") for c in kept], F.col("s.s").alias("__s"))
-    # Windows that overlap or touch become maximal runs.
-    merged = F.aggregate("__s", F.array().cast("array<struct<start: int, end: int>>"), _joined)
-    rows = rows.withColumn("removed", F.coalesce(merged, F.array().cast("array<struct<start: int, end: int>>"))).withColumn("__lines", F.split(F.coalesce("text", F.lit("")), "\n"))
-    left = F.array_join(F.filter("__lines", lambda x, i: ~F.exists("removed", lambda r: (r["start"] <= i) & (i < r["end"]))), "\n")
-    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
-    return rows.withColumn("n_lines", F.size("__lines").cast("long")).withColumn("removed_lines", gone).withColumn("text", F.when(F.col("removed_lines") > 0, left).otherwise(F.col("text"))).select(*kept, "n_lines", "removed_lines", "removed")
-
-
-def _joined(runs, x):
-    last = F.try_element_at(runs, F.lit(-1))
-    longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))
-    return F.when(last["end"] >= x["start"], F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(longer))).otherwise(F.concat(runs, F.array(x)))
-
-
-def _hash(text):
-    """The text hash of `line_table`."""
-    return F.xxhash64(F.coalesce(text, F.lit("")))
+    """docs with the repeated runs gone from text, and n_words, removed_words and removed (array<struct<start, end>>)."""
+    kept = [c for c in docs.columns if c not in ("n_words", "removed_words", "removed")]
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumns({"__d": F.col("doc_id").cast("long"), "__h": F.xxhash64(text)})
+    gone = repeated(docs, least).select(F.col("doc_id").alias("__gd"), F.col("h").alias("__gh"), F.col("removed").alias("__s"))
+    rows = rows.join(gone, F.col("__d").eqNullSafe(F.col("__gd")) & (F.col("__h") == F.col("__gh")), "left")
+    # Words with the white space behind them; what lies between the removed runs stays.
+    rows = rows.withColumn("__w", F.regexp_extract_all(text, F.lit(WORD + SPACE[:-1] + "*"), F.lit(0)))
+    none, n = F.array().cast(SPAN), F.size("__w")
+    runs = F.coalesce("__s", none)
+    left = F.zip_with(F.concat(F.array(F.lit(0)), F.transform(runs, lambda r: r["end"])), F.concat(F.transform(runs, lambda r: r["start"]), F.array(n)), lambda a, b: F.slice("__w", a + 1, b - a))
+    count = F.aggregate(runs, F.lit(0).cast("long"), lambda k, r: k + r["end"] - r["start"])
+    rows = rows.withColumns({"n_words": n.cast("long"), "removed_words": count, "removed": runs})
+    lead = F.regexp_extract(text, "^" + SPACE[:-1] + "*", 0)
+    new = F.when(F.col("removed_words") == 0, F.col("text")).when(F.col("removed_words") == F.col("n_words"), "").otherwise(F.concat(lead, F.array_join(F.flatten(left), "")))
+    return rows.withColumn("text", new).select(*[F.col(f"`{c}`") for c in kept], "n_words", "removed_words", "removed")
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, n_lines, removed_lines, removed): the runs that went as "start-end;..." in lines from 0, ends exclusive."""
+    """(doc_id, text, n_words, removed_words, removed): the runs that went as "start-end;..." in words from 0, ends exclusive."""
     spans = F.transform("removed", lambda r: F.concat(r["start"].cast("string"), F.lit("-"), r["end"].cast("string")))
     return deduplicated(docs.select("doc_id", "text")).withColumn("removed", F.array_join(spans, ";"))

@@ -7,18 +7,18 @@ from . import chat, decontam, linededup, warc
 _WORD = "[^\\x20\\x09-\\x0D]+"
 _ESC = "replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 
-# Windows of lines with enough words; all but the first of equal windows are deleted.
-OP3 = f"""with l as (select doc_id, text, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from documents),
- n as (select *, len(regexp_extract_all(line, '{_WORD}')) as w from l), c as (select *, sum(w) over (partition by doc_id order by i) as upto from n),
- e as (select s.doc_id, s.i as a, min(t.i) as b from c s join c t on s.doc_id = t.doc_id and t.i >= s.i and t.upto - s.upto + s.w >= {linededup.MIN_WORDS} group by 1, 2),
- run as (select e.doc_id, e.a, e.b, array_to_string(string_split(d.text, chr(10))[e.a:e.b], chr(10)) as body from e join documents d using (doc_id)),
- r as (select *, row_number() over (partition by body order by doc_id, a) as k, first_value(doc_id) over (partition by body order by doc_id, a) as fd, first_value(b) over (partition by body order by doc_id, a) as fb from run),
- gone as (select distinct l.doc_id, l.i from l join r on l.doc_id = r.doc_id and r.k > 1 and l.i between case when r.fd = r.doc_id then greatest(r.a, r.fb + 1) else r.a end and r.b),
- kept as (select l.doc_id, l.text, l.line, l.i, g.i is not null as gone from l left join gone g on l.doc_id = g.doc_id and l.i = g.i),
+# Every window of words whose like stands earlier goes, but for what it shares with its first place in the same document.
+OP3 = f"""with d as (select doc_id, text, regexp_extract_all(coalesce(text, ''), '{_WORD}[\\x20\\x09-\\x0D]*') as t from documents),
+ w as (select doc_id, unnest(t) as tok, generate_subscripts(t, 1) - 1 as i from d),
+ win as (select doc_id, i, string_agg(regexp_extract(tok, '{_WORD}'), ' ') over f as body, count(*) over f as k from w window f as (partition by doc_id order by i rows between current row and {linededup.MIN_WORDS - 1} following)),
+ r as (select doc_id, i, row_number() over o as k, first_value(doc_id) over o as fd, first_value(i) over o as fi from win where k = {linededup.MIN_WORDS} window o as (partition by body order by doc_id, i)),
+ gone as (select distinct doc_id, unnest(range(case when fd = doc_id then greatest(i, fi + {linededup.MIN_WORDS}) else i end, i + {linededup.MIN_WORDS})) as i from r where k > 1),
+ kept as (select w.doc_id, w.tok, w.i, g.i is not null as gone from w left join gone g on w.doc_id = g.doc_id and w.i = g.i),
  spans as (select doc_id, i, gone, i - row_number() over (partition by doc_id, gone order by i) as grp from kept),
- marks as (select doc_id, string_agg(a || '-' || b, ';' order by a) as removed from (select doc_id, min(i) - 1 as a, max(i) as b from spans where gone group by doc_id, grp) group by 1)
- select k.doc_id, case when any_value(m.removed) is null then any_value(k.text) else coalesce(string_agg(case when not gone then line end, chr(10) order by i), '') end as text, count(*) as n_lines, count(*) filter (gone) as removed_lines, coalesce(any_value(m.removed), '') as removed
- from kept k left join marks m on m.doc_id = k.doc_id group by k.doc_id"""
+ marks as (select doc_id, string_agg(a || '-' || b, ';' order by a) as removed from (select doc_id, min(i) as a, max(i) + 1 as b from spans where gone group by doc_id, grp) group by 1),
+ left_over as (select doc_id, string_agg(tok, '' order by i) filter (not gone) as body, count(*) filter (gone) as removed_words from kept group by 1)
+ select d.doc_id, case when m.removed is null then d.text when l.body is null then '' else regexp_extract(d.text, '^[\\x20\\x09-\\x0D]*') || l.body end as text,
+  cast(len(d.t) as bigint) as n_words, coalesce(l.removed_words, 0) as removed_words, coalesce(m.removed, '') as removed from d left join left_over l using (doc_id) left join marks m using (doc_id)"""
 
 _SEEDS = " union all ".join(f"select {{0}}, p, {k} as m, [" + ", ".join(f"t[p + {o + 1}]" for o in m) + f"] as s from {{1}} where p + {m[-1]} < n" for k, m in enumerate(decontam.MASKS))
 _TOKENS = "list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"

@@ -8,60 +8,93 @@ from leadmill.llm import linededup
 
 
 def brute(docs, least):
-    """Later occurrences of every shortest run that reaches `least` words."""
+    """Words that lie in a run of `least` words or more that also occurs earlier: every pair of places, extended while the words agree."""
     h = lambda t: int(np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).view(np.int64))
     rows = sorted({(d, t or "") for d, t in docs}, key=lambda x: (x[0] is None, x[0] or 0, h(x[1])))
-    gone, first = {r: set() for r in rows}, {}
-    for d, t in rows:
-        lines = t.split("\n")
-        for i in range(len(lines)):
-            words = 0
-            for e in range(i, len(lines)):
-                words += len(lines[e].split())
-                if words >= least:
-                    run = tuple(lines[i : e + 1])
-                    if run not in first:
-                        first[run] = (d, t, e + 1)
-                    else:
-                        start = max(i, first[run][2]) if first[run][:2] == (d, t) else i
-                        gone[d, t] |= set(range(start, e + 1))
-                    break
-    return {k: "\n".join(x for j, x in enumerate(k[1].split("\n")) if j not in v) for k, v in gone.items()}
-
-
-@pytest.mark.parametrize("seed", range(3))
-def test_brute_force(spark, seed):
-    r = random.Random(seed)
-    pool = [" ".join(r.choice("abcdefgh") for _ in range(r.randrange(0, 6))) for _ in range(8)]
-    docs = [(r.choice([None, *range(90)]), "\n".join(r.choice(pool) for _ in range(r.randrange(1, 14)))) for _ in range(60)]
-    docs += [(None, None), (5, ""), *docs[:4]]
-    frame = spark.createDataFrame([(d, t, t, 0) for d, t in docs], "doc_id long, text string, original string, n_lines int")
-    got = linededup.deduplicated(frame, 8).collect()
-    want = brute(docs, 8)
+    words = [t.split() for _, t in rows]
+    gone = [set() for _ in rows]
+    for y, b in enumerate(words):
+        for x in range(y + 1):
+            a = words[x]
+            for i in range(len(a)):
+                for j in range(i + 1 if x == y else 0, len(b)):
+                    if i and j and a[i - 1] == b[j - 1]:
+                        continue  # not the left end of a maximal match
+                    n = 0
+                    while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                        n += 1
+                    if n >= least:
+                        gone[y] |= set(range(max(j, i + least) if x == y else j, j + n))
+    return dict(zip(rows, gone, strict=True))
+
+
+def check(frame, docs, least):
+    got, want = linededup.deduplicated(frame, least).collect(), brute(docs, least)
     assert len(got) == len(docs)
     for x in got:
-        assert (x.text or "") == want[x.doc_id, x.original or ""]
-        assert x.removed_lines == x.n_lines - (len(x.text.split("\n")) if x.text else x.n_lines if not x.removed_lines else x.n_lines - x.removed_lines)
+        gone, words = want[x.doc_id, x.original or ""], (x.original or "").split()
+        assert {i for r in x.removed for i in range(r.start, r.end)} == gone
+        assert (x.text or "").split() == [w for i, w in enumerate(words) if i not in gone]
+        assert (x.n_words, x.removed_words) == (len(words), len(gone))
+        assert gone or x.text == x.original
+    return got
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_brute_force(spark, seed, monkeypatch):
+    r = random.Random(seed)
+    monkeypatch.setattr(linededup, "LINE", (1, 3, 5, 8)[seed])
+    pool = [" ".join(r.choice("abcdefgh") for _ in range(r.randrange(1, 12))) for _ in range(8)]
+    docs = [(r.choice([None, *range(50)]), r.choice(["", " ", "\n"]) + r.choice("\n ").join(r.choice(pool) for _ in range(r.randrange(1, 9)))) for _ in range(45)]
+    docs += [(None, None), (5, ""), *docs[:4], (6, "a b " * 20), (7, "x " * 30), (8, "y " + "x " * 12)]
+    frame = spark.createDataFrame([(d, t, t, 0, 0) for d, t in docs], "doc_id long, text string, original string, n_words int, h int")
+    check(frame, docs, 8)
 
 
-def test_winnowing_guarantee():
+def test_long_texts_in_pieces(spark, monkeypatch):
+    r = random.Random(5)
+    monkeypatch.setattr(linededup, "PIECE", 100)
+    monkeypatch.setattr(linededup, "TOGETHER", 40)
+    monkeypatch.setattr(linededup, "LINE", 4)
+    base = [f"w{r.randrange(300)}" for _ in range(300)]
+    docs = [(1, " ".join(base)), (2, " ".join([*base[40:140], "new", *base[141:290]])), (3, " ".join(["own"] * 3 + base[7:19] + base[100:112])), (4, "x" * 500 + " " + " ".join(base[:30]))]
+    got = check(spark.createDataFrame([(d, t, t) for d, t in docs], "doc_id long, text string, original string"), docs, 10)
+    assert {x.doc_id: [tuple(s) for s in x.removed] for x in got} == {1: [], 2: [(0, 100), (101, 250)], 3: [(3, 27)], 4: [(1, 31)]}
+
+
+def test_fingerprints():
     r = random.Random(1)
     for _ in range(200):
-        words = np.array([r.randrange(0, 5) for _ in range(r.randrange(1, 30))])
-        hashes = np.array([r.randrange(6) for _ in words], np.uint64)
-        end = linededup.windows(words, 6)
-        got = linededup.selected(hashes, end)
-        for i, e in enumerate(end):
-            if e:
-                assert words[i:e].sum() >= 6 > words[i : e - 1].sum()
-                assert got[i] == i + max(k for k, h in enumerate(hashes[i:e]) if h == hashes[i:e].min())
-            else:
-                assert got[i] == -1 and words[i:].sum() < 6
+        lines, width = np.array([r.randrange(6) for _ in range(r.randrange(1, 40))], np.uint64), r.randrange(1, 9)
+        got = linededup.least_lines(lines, width)
+        for i in range(len(lines) - width + 1):
+            own = lines[i : i + width]
+            assert got[i] == i + max(k for k, x in enumerate(own) if x == own.min())
+
+
+def words(name, n):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+def test_runs_reach_their_ends(spark):
+    """Lines of 60, 20 and 20 words are one run of 100; a passage may begin and end inside lines and be wrapped anew."""
+    run = "\n".join([words("a", 60), words("b", 20), words("c", 20)])
+    passage = words("p", 51).split()
+    docs = [
+        (1, f"{run}\n{words('x', 30)}"), (2, f"{run}\n{words('y', 30)}"), (3, f"{words('z', 9)} {' '.join(passage)} {words('u', 9)}"),
+        (4, f"{words('v', 5)}\n{words('s', 3)} {' '.join(passage[:20])}\n{'  '.join(passage[20:])} {words('t', 7)}"), (5, " ".join(passage[1:50])),
+    ]
+    got = {r.doc_id: r for r in linededup.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[2].text == words("y", 30) and [tuple(s) for s in got[2].removed] == [(0, 100)]
+    assert got[4].text == f"{words('v', 5)}\n{words('s', 3)} {words('t', 7)}" and [tuple(s) for s in got[4].removed] == [(8, 59)]
+    assert not got[1].removed and not got[3].removed and not got[5].removed and got[5].text == docs[4][1]
 
 
 def test_passage(spark):
     passage = "\n".join(" ".join(f"w{i}{j}" for j in range(20)) for i in range(3))
     docs = spark.createDataFrame([(i, f"own line {i}\n{passage}\nend {i}") for i in range(30)], "doc_id long, text string")
     got = {r.doc_id: r for r in linededup.deduplicated(docs).collect()}
-    assert got[0].removed_lines == 0 and all(got[i].text == f"own line {i}\nend {i}" for i in range(1, 30))
+    assert got[0].removed_words == 0 and all(got[i].text == f"own line {i}\n{i}" for i in range(1, 30))  # "end" follows everywhere, so the run takes it in
     assert linededup.deduplicated(docs.limit(0)).count() == 0
+    copies = spark.createDataFrame([(i, passage) for i in (4, 4, 5)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in linededup.deduplicated(copies).collect()) == [(4, passage), (4, passage), (5, "")]
