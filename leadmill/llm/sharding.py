@@ -1,20 +1,23 @@
 """Histogram sort: exact byte counts below candidate boundaries, refined until the splitters meet a tolerance.
 
-Rows are ordered by a 64-bit key: 24 bits of the text's hash, then 40 bits of a hash of doc_id and text, so equal
-texts lie together and yet any large group of them can be cut.  A pass counts bytes and rows between candidate
-boundaries; the first pass probes 2**STEP even ones.  Cells that hold a splitter's target, or too many bytes to
-sort in one task, are probed again 2**STEP times finer, until every cell is within the tolerance.  Only the counts
-reach the driver: their number depends on shards and probes, not on rows.  Then every row goes to its cell in one
-exchange, where it gets its place.
-
-Defined results: null texts and null doc_ids are values like any other (size 8 bytes for a null or empty text);
-rows equal in doc_id and text have one key, so they aren't cut apart; an empty table gives no rows; existing
-columns named shard or slot are replaced.  No Python runs on the executors.
+Rows are ordered by a 64-bit key: 24 bits of the text's hash, 24 bits of a hash of doc_id and text, and 16 bits that
+tell rows apart which are equal in both.  So equal texts lie together, and yet any large group can be cut, be it of
+equal texts or of repeated rows.  A pass counts bytes and rows between candidate boundaries; the first probes 2**STEP
+even ones.  Only cells that hold a splitter's target are probed again, 2**STEP times finer, until every cell is within
+the tolerance: at most LEVELS * shards * 2**STEP counts reach the driver, whatever the bytes.  Then every row goes to
+its cell in one exchange, where it gets its place.  A cell of more than CELL_BYTES is sorted in parts, by more bits of
+the key; their counts are summed on Spark and stay there.
+
+Defined results: null texts and null doc_ids are values like any other (size 8 bytes for a null or empty text); rows
+equal in doc_id and text may lie in different shards; texts of any length count their bytes and move as they are; ties
+of the key are ordered by doc_id and text; an empty table gives no rows; existing columns named shard or slot are
+replaced, any others stay.  No Python runs on the executors.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
+from dataclasses import dataclass
 from itertools import accumulate
 
 import pyarrow as pa
@@ -25,11 +28,11 @@ from .common import local_table, written
 
 #: Bits of the key that a pass adds.
 STEP = 10
-#: A cell may hold this part of a shard's bytes before it is cut further; splitters lie at cell boundaries.
+#: A cell that holds a splitter may hold this part of a shard's bytes; splitters lie at cell boundaries.
 TOLERANCE = 1 / 512
 #: Levels of probes: the last one has the whole key.
 LEVELS = -(-64 // STEP)
-#: A cell of more bytes than this is cut further, however many shards there are: it is sorted in one task.
+#: Bytes that are sorted in one task: larger cells are placed in parts.
 CELL_BYTES = 64 << 20
 
 
@@ -38,9 +41,10 @@ def text_bytes(text: Column) -> Column:
 
 
 def sort_key(doc_id: Column, text: Column) -> Column:
-    high = F.shiftright(F.xxhash64(text), 40)
-    low = F.shiftrightunsigned(F.xxhash64(doc_id, text), 24)
-    return F.shiftleft(high, 40).bitwiseOR(low)
+    """To be written once: the last bits come from a row's place in the table, as nothing else tells repeated rows apart."""
+    high = F.shiftleft(F.shiftright(F.xxhash64(text), 40), 40)
+    middle = F.shiftleft(F.shiftrightunsigned(F.xxhash64(doc_id, text), 40), 16)
+    return high.bitwiseOR(middle).bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 48))
 
 
 def _bits(level: int) -> int:
@@ -66,23 +70,36 @@ def cell_of(key: Column, cut: dict[int, list[int]]) -> Column:
     return found
 
 
-def splitters(keyed: DataFrame, shards: int) -> tuple[dict[int, list[int]], DataFrame, int]:
-    """Of (key, size): what was cut by level, the cells as (cell, shard, first_slot), and their number.
+@dataclass
+class Plan:
+    """cut: the prefixes probed further, by level.  cells: (cell, bits, shard, first_slot); bits name a row's part of its cell.  parts: (cell, part, before) or None."""
 
-    Every pass is one aggregation, combined before its shuffle, over the cells that are probed again.
-    """
+    cut: dict[int, list[int]]
+    cells: DataFrame
+    parts: DataFrame | None
+    counted: int
+
+    def located(self, keyed: DataFrame) -> DataFrame:
+        rows = keyed.withColumn("cell", cell_of(F.col("key"), self.cut)).join(F.broadcast(self.cells), "cell")
+        return rows.withColumn("part", F.expr("shiftrightunsigned(key, 64 - bits)")).drop("bits")
+
+
+def planned(keyed: DataFrame, shards: int) -> Plan:
+    """The shards of (key, size).  Every pass is one aggregation, combined before its shuffle, over the cells that are probed again."""
     cut: dict[int, list[int]] = {}
     cells: dict[int, tuple[int, int, int]] = {}  # start -> level, bytes, rows
+    counted = 0
     for level in range(1, LEVELS + 1):
         rows = keyed if level == 1 else keyed.where(_prefix(F.col("key"), level - 1).isin(cut[level - 1]))
         found = rows.groupBy(_prefix(F.col("key"), level).alias("p")).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
         for r in found.select(_start(F.col("p"), level).alias("start"), "bytes", "rows").toLocalIterator():
             cells[r.start] = (level, r.bytes, r.rows)
+            counted += 1
         total, starts = sum(c[1] for c in cells.values()), sorted(cells)
         ends = list(accumulate(cells[s][1] for s in starts))
         targets = [total * k / shards for k in range(1, shards)]
         held = {starts[min(bisect_left(ends, t), len(starts) - 1)] for t in targets} if starts else set()
-        again = [s for s in starts if cells[s][0] == level < LEVELS and cells[s][2] > 1 and (s in held and cells[s][1] > TOLERANCE * total / shards or cells[s][1] > CELL_BYTES)]
+        again = [s for s in held if cells[s][0] == level < LEVELS and cells[s][2] > 1 and cells[s][1] > TOLERANCE * total / shards]
         if not again:
             break
         cut[level] = [((s ^ -(1 << 63)) & (1 << 64) - 1) >> (64 - _bits(level)) for s in again]
@@ -98,33 +115,33 @@ def splitters(keyed: DataFrame, shards: int) -> tuple[dict[int, list[int]], Data
         of.append(shard)
         first.append(slot)
         slot += cells[s][2]
-    table = local_table(keyed.sparkSession, {"cell": pa.array(starts, pa.int64()), "shard": pa.array(of, pa.int32()), "first_slot": pa.array(first, pa.int64())})
-    return cut, table, len(starts)
-
-
-#: Cells that may be broadcast: 20 bytes each.
-BROADCAST_CELLS = 1 << 20
+    bits = [min(64, _bits(cells[s][0]) + (2 * cells[s][1] // CELL_BYTES).bit_length() * (cells[s][1] > CELL_BYTES)) for s in starts]
+    table = local_table(keyed.sparkSession, {"cell": pa.array(starts, pa.int64()), "bits": pa.array(bits, pa.int32()), "shard": pa.array(of, pa.int32()), "first_slot": pa.array(first, pa.int64())})
+    plan = Plan(cut, table, None, counted)
+    if any(b > _bits(cells[s][0]) for s, b in zip(starts, bits, strict=True)):
+        rows = plan.located(keyed).groupBy("cell", "part").agg(F.count("*").alias("rows"))
+        before = F.coalesce(F.sum("rows").over(Window.partitionBy("cell").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        plan.parts = written(rows.select("cell", "part", before.alias("before")), "parts")
+    return plan
 
 
-def placed(keyed: DataFrame, plan: tuple[dict[int, list[int]], DataFrame, int], order: list[str]) -> DataFrame:
-    """keyed with shard and slot, slots counted from 0 in each shard.  The one exchange deals rows to cells."""
-    cut, cells, n = plan
-    cells = F.broadcast(cells) if n <= BROADCAST_CELLS else cells
-    within = Window.partitionBy("cell").orderBy("key", *order)
-    rows = keyed.withColumn("cell", cell_of(F.col("key"), cut)).join(cells, "cell")
-    return rows.withColumn("slot", F.col("first_slot") + F.row_number().over(within) - 1).drop("cell", "first_slot")
+def placed(keyed: DataFrame, plan: Plan, order: list[str]) -> DataFrame:
+    """keyed with shard and slot, slots counted from 0 in each shard.  The one exchange deals rows to cells and their parts."""
+    rows = plan.located(keyed)
+    rows = rows.withColumn("before", F.lit(0)) if plan.parts is None else rows.join(plan.parts, ["cell", "part"])
+    within = Window.partitionBy("cell", "part").orderBy("key", *order)
+    return rows.withColumn("slot", F.col("first_slot") + F.col("before") + F.row_number().over(within) - 1).drop("cell", "part", "before", "first_slot", "key")
 
 
 def digests(docs: DataFrame, shards: int = 24) -> DataFrame:
     crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
     narrow = written(docs.select("doc_id", text_bytes(F.col("text")).alias("size"), crc.alias("text_crc32"), sort_key(F.col("doc_id"), F.col("text")).alias("key")), "sizes")
-    return placed(narrow, splitters(narrow, shards), ["doc_id", "text_crc32"]).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    return placed(narrow, planned(narrow, shards), ["doc_id", "text_crc32"]).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def sharded(docs: DataFrame, shards: int = 24) -> DataFrame:
-    """The rows of docs with shard and slot."""
-    key = sort_key(F.col("doc_id"), F.col("text"))
-    narrow = written(docs.select(key.alias("key"), text_bytes(F.col("text")).alias("size")), "sizes")
+    """The rows of docs with shard and slot.  They are written with their keys once, as the passes and the exchange must see the same keys."""
     kept = [c for c in docs.columns if c not in ("shard", "slot")]
-    whole = docs.select(F.struct(*kept).alias("row"), key.alias("key"))
-    return placed(whole, splitters(narrow, shards), ["row.doc_id", "row.text"]).select("row.*", "shard", "slot")
+    whole = written(docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), text_bytes(F.col("text")).alias("size"), sort_key(F.col("doc_id"), F.col("text")).alias("key")), "keyed")
+    plan = planned(whole.select("key", "size"), shards)
+    return placed(whole.select("row", "key"), plan, ["row.doc_id", "row.text"]).select("row.*", "shard", "slot")
