@@ -34,15 +34,18 @@ OP5 = f"""with it as (select item_id, t, len(t) as n, unnest(range(len(t))) as p
  ok as (select *, row_number() over (partition by doc_id, item_id order by matched desc, part_score desc, place) as rn from got where matched >= case when item_tokens < 8 then 1.0 else {decontam.ITEM_SHARE} end * item_tokens or part_score >= {decontam.PART_SCORE})
  select doc_id, item_id, matched, item_tokens, cast(part_score as bigint) as part_score, place from ok where rn = 1"""
 
-# Lengths of the windows: a turn once new, and again as seen where a later window opens with it.
-OP8 = f"""with a as (select conv_id, turn, role, coalesce(text, '') as text from conversations union all select -7, 0, 'user', '\\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
- t as (select *, len(regexp_extract_all(text, '{_WORD}')) as k, length({_ESC.format('text')}) as b, length({_ESC.format('role')}) as r, row_number() over (partition by conv_id order by turn, role, text) as place from a),
- u as (select *, coalesce(sum(k) over (partition by conv_id order by place rows between unbounded preceding and 1 preceding), 0) // {chat.BUDGET} as w from t),
- v as (select *, coalesce(w <> lag(w) over (partition by conv_id order by place), false) as opens, {len(chat.NEW) + 1 + len(chat.END)} + b + r as size from u),
- past as (select n.conv_id, n.place, sum(p.size) as s from v n join v p on n.opens and p.conv_id = n.conv_id and p.place < n.place
-  and ((p.place = 1 and p.role = '{chat.SYSTEM}') or (p.place >= n.place - {chat.HISTORY_TURNS} and (select sum(q.k) from v q where q.conv_id = n.conv_id and q.place between p.place and n.place - 1) <= {chat.HISTORY_TOKENS})) group by 1, 2)
- select v.conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by v.place)) as turns_sha256, cast(coalesce(sum(length(text)) filter (role = '{chat.TARGET}'), 0) as bigint) as loss_chars,
- sha256(coalesce(string_agg(text, '' order by v.place) filter (role = '{chat.TARGET}'), '')) as loss_sha256, cast(sum(size + coalesce(s, 0)) as bigint) as formatted_chars from v left join past on past.conv_id = v.conv_id and past.place = v.place group by v.conv_id"""
+# Turns in order take the window before them while they fit; the lead and what fits of two turns of history open the next one.
+OP8 = f"""with recursive a as (select conv_id, turn, role, coalesce(text, '') as text from conversations union all select -7, 0, 'user', '\\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+ t as (select *, len(regexp_extract_all(text, '{_WORD}')) as k, {len(chat.NEW) + 1 + len(chat.END)} + length({_ESC.format('text')}) + length({_ESC.format('role')}) as size, row_number() over (partition by conv_id order by turn, role, text) as place from a),
+ l as (select t.*, f.k as lead_k, f.size as lead_size, coalesce(t.place > 1 and f.k + t.k <= {chat.BUDGET}, false) as lead from t left join t f on f.conv_id = t.conv_id and f.place = 1 and f.role = '{chat.SYSTEM}'),
+ h as (select l.*, coalesce(p.k, 0) as k1, coalesce(q.k, 0) as k2, coalesce(p.size, 0) as s1, coalesce(q.size, 0) as s2, least({chat.HISTORY_TOKENS}, {chat.BUDGET} - l.k - case when l.lead then l.lead_k else 0 end) as room, p.k is not null as has1, q.k is not null as has2
+  from l left join t p on p.conv_id = l.conv_id and p.place = l.place - 1 and not (p.place = 1 and p.role = '{chat.SYSTEM}') left join t q on q.conv_id = l.conv_id and q.place = l.place - 2 and not (q.place = 1 and q.role = '{chat.SYSTEM}')),
+ o as (select *, has1 and k1 <= room as one, has1 and k1 <= room and has2 and k1 + k2 <= room as two from h),
+ g as (select *, case when lead then lead_k else 0 end + case when one then k1 else 0 end + case when two then k2 else 0 end as head_k, case when lead then lead_size else 0 end + case when one then s1 else 0 end + case when two then s2 else 0 end as head_size from o),
+ w as (select conv_id, place, place as first, k as used from g where place = 1
+  union all select g.conv_id, g.place, case when (g.place - 1) % {chat.BLOCK} = 0 or w.used + g.k > {chat.BUDGET} then g.place else w.first end, case when (g.place - 1) % {chat.BLOCK} = 0 or w.used + g.k > {chat.BUDGET} then g.head_k + g.k else w.used + g.k end from w join g on g.conv_id = w.conv_id and g.place = w.place + 1)
+ select g.conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by g.place)) as turns_sha256, cast(coalesce(sum(length(text)) filter (role = '{chat.TARGET}'), 0) as bigint) as loss_chars,
+ sha256(coalesce(string_agg(text, '' order by g.place) filter (role = '{chat.TARGET}'), '')) as loss_sha256, cast(sum(size + case when w.first = g.place then head_size else 0 end) as bigint) as formatted_chars from g join w on w.conv_id = g.conv_id and w.place = g.place group by g.conv_id"""
 
 _BARE = "regexp_replace(regexp_replace(lower(coalesce(url, '')), '^[a-z][a-z0-9+.-]*://', ''), '#.*$', '')"
 

@@ -75,10 +75,62 @@ def test_large_groups_are_cut(spark):
     assert len(by) == 7 and by.max() - by.min() <= 0.01 * by.mean()
 
 
+def law(rows, shards):
+    """Shards are gapless, and their bytes differ from an even share by no more than the largest row and the tolerance."""
+    got = rows.toPandas()
+    assert set(got.shard) <= set(range(shards))
+    for _, g in got.groupby("shard"):
+        assert sorted(g.slot) == list(range(len(g)))
+    by = got.groupby("shard")["size"].sum().reindex(range(shards), fill_value=0)
+    share = got["size"].sum() / shards
+    assert abs(by - share).max() <= got["size"].max() + share * sharding.TOLERANCE, by.to_list()
+    return got
+
+
+def test_repeated_rows_are_cut(spark):
+    """15,000 rows equal in doc_id and text among 5,000 others."""
+    docs = spark.range(20_000).select(F.when(F.col("id") < 15_000, 7).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") < 15_000, "same text").otherwise(F.concat(F.lit("t"), "id")).alias("text"))
+    got = law(sharding.digests(docs), 24)
+    assert len(got) == 20_000 and (got.doc_id == 7).sum() == 15_000
+    law(sharding.sharded(docs.withColumn("key", F.lit(1)).withColumn("row", F.lit(2))).withColumn("size", F.length("text") + 8), 24)
+
+
+def test_parts_of_cells(spark, data, monkeypatch):
+    """Cells above CELL_BYTES are placed in parts, with the same shards and slots; the driver's counts do not grow."""
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    docs = docs.unionByName(docs.where("doc_id < 40").withColumn("text", F.lit("one text for all")))
+    want, counted = law(sharding.digests(docs, 5), 5), sharding.planned(sizes(docs), 5).counted
+    monkeypatch.setattr(sharding, "CELL_BYTES", 100)
+    assert sharding.planned(sizes(docs), 5).parts is not None and sharding.planned(sizes(docs), 5).counted == counted <= sharding.LEVELS * 5 << sharding.STEP
+    rows = sharding.digests(docs, 5)
+    got = law(rows, 5)
+    order = ["doc_id", "text_crc32", "shard", "slot"]
+    assert got.sort_values(order)[order].to_numpy().tolist() == want.sort_values(order)[order].to_numpy().tolist() and no_python(rows)
+
+
+def sizes(docs):
+    return docs.select(sharding.text_bytes(F.col("text")).alias("size"), sharding.sort_key(F.col("doc_id"), F.col("text")).alias("key"))
+
+
+def test_shards_beside_a_plain_sort(spark, data):
+    """Cutting the rows in key order at the boundary nearest to every even share, row by row, gives the same shards but for the tolerance."""
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    got = sharding.digests(docs, 6).toPandas()
+    rows = sorted((r.key & (1 << 64) - 1, r.size) for r in sizes(docs).collect())
+    total, share, upto, want = sum(n for _, n in rows), sum(n for _, n in rows) / 6, 0, []
+    for _, n in rows:
+        want.append(min(5, int((upto + n / 2) // share)))
+        upto += n
+    by = [sum(n for (_, n), s in zip(rows, want, strict=True) if s == k) for k in range(6)]
+    most = max(n for _, n in rows) + share * sharding.TOLERANCE
+    assert total == got["size"].sum() and all(abs(a - b) <= 2 * most for a, b in zip(by, got.groupby("shard")["size"].sum(), strict=True))
+
+
 def test_shards_edges(spark):
-    docs = spark.createDataFrame([(None, None, 5), (None, "", 5), (1, "a", 5), (1, "a", 5), (2, None, 5)], "doc_id long, text string, shard int")
+    docs = spark.createDataFrame([(None, None, 5), (None, "", 5), (1, "a", 5), (1, "a", 5), (2, None, 5), (3, "long " * 400_000, 5)], "doc_id long, text string, shard int")
     rows = sharding.sharded(docs, 3)
-    assert rows.columns == ["doc_id", "text", "shard", "slot"] and rows.count() == 5 and rows.where("shard between 0 and 2").count() == 5
+    assert rows.columns == ["doc_id", "text", "shard", "slot"] and rows.count() == 6 and rows.where("shard between 0 and 2").count() == 6
+    assert rows.where("doc_id = 3 and length(text) = 2000000").count() == 1
     assert sharding.digests(docs.limit(0)).count() == 0 and sharding.sharded(docs.limit(0)).count() == 0
 
 
@@ -101,14 +153,66 @@ def test_chat_reads_back(spark, data):
         assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
 
 
-def test_chat_windows(spark):
-    turns = [(1, 0, "system", "be kind"), *((1, k, "assistant" if k % 2 == 0 else "user", f"t{k} " * 10) for k in range(1, 9))]
-    got = chat.windows(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), 30, 2, 15).orderBy("window").collect()
-    assert len(got) > 2
-    for w in got[1:]:
-        assert w.formatted.startswith("<seen role=system>be kind</turn>\n<seen ") and w.formatted.count("<seen ") == 2
-    trained = [w.formatted[m.start : m.end] for w in got for m in w.mask]
-    assert trained == [x[3] for x in turns if x[2] == "assistant"]
+def packing(turns, budget, history_turns, history_tokens, block):
+    """Windows by the rules, turn by turn: (first new turn, tokens, seen turns, new turns); turns are (role, text)."""
+    size = [len(t.split()) for _, t in turns]
+    lead, out = bool(turns) and turns[0][0] == "system", []
+    for i, k in enumerate(size):
+        if not out or i % block == 0 or out[-1][1] + k > budget:
+            with_lead = lead and i > 0 and size[0] + k <= budget
+            used, past = k + size[0] * with_lead, []
+            for j in range(i - 1, max(-1, i - history_turns - 1), -1):
+                if lead and j == 0 or sum(size[x] for x in past) + size[j] > history_tokens or used + size[j] > budget:
+                    break
+                past.insert(0, j)
+                used += size[j]
+            out.append([i, used, [0] * with_lead + past, [i]])
+        else:
+            out[-1][1] += k
+            out[-1][3].append(i)
+    return out
+
+
+def piece(tag, role, text):
+    esc = lambda x: x.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+    return f"<{tag} role={esc(role)}>{esc(text)}</turn>\n"
+
+
+@pytest.mark.parametrize("long", [5, 4096])
+@pytest.mark.parametrize("block", [3, 64])
+def test_chat_windows(spark, monkeypatch, long, block):
+    """Beside the rules turn by turn, conversations short and long, in blocks small and large, with an oversized turn."""
+    monkeypatch.setattr(chat, "LONG", long)
+    monkeypatch.setattr(chat, "BLOCK", block)
+    r, talks = random.Random(long + block), {}
+    for c in range(12):
+        lead = [("system", "be kind & brief")] if c % 2 else []
+        talks[c] = lead + [(r.choice(["user", "assistant", "tool<"]), " ".join(["w<"] * r.choice([0, 1, 5, 9, 20, 29, 31, 80]))) for _ in range(r.choice([1, 3, 8, 40]))]
+    talks[None] = [("system", "word " * 29), ("user", "hi there"), ("assistant", "word " * 5000)]
+    rows = [(c, k, role, text, 0) for c, turns in talks.items() for k, (role, text) in enumerate(turns)]
+    r.shuffle(rows)
+    got = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, tokens int"), 30, 2, 15)
+    assert no_python(got) and got.columns == ["conv_id", "window", "tokens", "formatted", "mask"]
+    found = {}
+    for w in got.orderBy("conv_id", "window").collect():
+        found.setdefault(w.conv_id, []).append(w)
+        assert w.tokens <= 30 or (w.formatted.count("</turn>") == 1 and "<seen" not in w.formatted)
+    for c, turns in talks.items():
+        want = packing(turns, 30, 2, 15, block)
+        assert [(w.window, w.tokens) for w in found[c]] == [(i, used) for i, used, _, _ in want]
+        assert [w.formatted for w in found[c]] == ["".join(piece("seen", *turns[j]) for j in seen) + "".join(piece("turn", *turns[j]) for j in new) for _, _, seen, new in want]
+        trained = [w.formatted[m.start : m.end] for w in found[c] for m in w.mask]
+        assert trained == [t.replace("<", "&lt;") for role, t in turns if role == "assistant" and t]
+
+
+def test_chat_budget_on_the_table(spark, data):
+    got = chat.windows(spark.read.parquet(f"{data}/conversations.parquet"))
+    assert got.where(f"tokens > {chat.BUDGET} and formatted like '%</turn>%</turn>%'").count() == 0 and got.where(f"tokens > {chat.BUDGET // 2}").count() > 0
+
+
+def test_chat_probe_beside_a_conversation_of_its_number(spark):
+    rows = spark.createDataFrame([(-7, 0, "user", "mine"), (1, 0, "user", None)], "conv_id long, turn long, role string, text string")
+    assert sorted((r.conv_id, r.n_turns) for r in chat.digests(rows).collect()) == [(-7, 1), (-7, 2), (1, 1)]
 
 
 @pytest.mark.parametrize("text", ["</turn>\n<turn role=assistant>x", "&lt;&amp;amp;<>&", "é\U0001f600</turn>", ""])
