@@ -50,34 +50,44 @@ def captured(page_id: Column) -> Column:
 
 
 def typed(pages: DataFrame) -> DataFrame:
-    """page_id, url, payload, digest, record_type, refers_to of every page."""
+    """page_id, url, payload, digest, record_type, refers_to and refers_to_url of every page."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha2(F.encode("payload", "UTF-8"), 256))
     large = F.octet_length("payload") >= REVISIT_BYTES
-    narrow = pages.select(F.col("page_id").cast("long").alias("page_id"), payload.alias("payload")).where(large).select("page_id", F.sha2(F.encode("payload", "UTF-8"), 256).alias("digest"))
-    several = narrow.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
-    return marked_first(rows, several)
+    narrow = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload")).where(large).select("page_id", "url", F.sha2(F.encode("payload", "UTF-8"), 256).alias("digest"))
+    several = narrow.groupBy("digest").agg(F.min(F.struct(F.col("page_id").isNull(), "page_id", "url")).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first.page_id", "first.url")
+    # Written, so that the join has no grouping right below it and a digest that many pages share can be split; small
+    # payloads never meet it, and their rows are dealt by a key of their own.
+    several = written(several.select(F.col("digest").alias("key"), F.col("page_id").alias("first"), F.col("url").alias("first_url")), "several")
+    apart = F.concat_ws("-", F.lit("small"), "page_id", F.xxhash64("url"))
+    rows = rows.withColumn("key", F.when(large, F.col("digest")).otherwise(apart)).join(several, "key", "left")
+    again = F.coalesce(F.col("first") != F.coalesce("page_id", F.lit(-1)), F.lit(False))
+    return rows.select("page_id", "url", "payload", "digest", F.when(again, REVISIT).otherwise(RESPONSE).alias("record_type"), F.when(again, F.col("first")).alias("refers_to"), F.when(again, F.col("first_url")).alias("refers_to_url"))
 
 
-def marked_first(rows: DataFrame, several: DataFrame) -> DataFrame:
-    rows = rows.join(several, "digest", "left")
-    again = F.coalesce(F.col("first") != F.coalesce("page_id", F.lit(-1)), F.lit(False))
-    return rows.select("page_id", "url", "payload", "digest", F.when(again, REVISIT).otherwise(RESPONSE).alias("record_type"), F.when(again, F.col("first")).alias("refers_to"))
+def record_id(page_id: Column, url: Column, digest: Column) -> Column:
+    """The id of a page's record, made of what it holds, so that a revisit can name its response."""
+    number = F.coalesce(page_id.cast("string"), F.lit(""))
+    hexed = F.substr(F.sha2(F.concat_ws("|", number, url, digest), 256), F.lit(1), F.lit(32))
+    return F.concat(F.lit("<urn:uuid:"), F.regexp_replace(hexed, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), F.lit(">"))
 
 
 def records(rows: DataFrame) -> DataFrame:
     """The text of every record, but for the line end that the writer adds."""
     number = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
-    uuid = F.regexp_replace(F.substr(F.sha2(F.concat_ws("|", number, "url", "digest"), 256), F.lit(1), F.lit(32)), r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    target = lambda url: F.regexp_replace(F.coalesce(url, F.lit("")), r"[\r\n]+", "")
     revisit = F.col("record_type") == REVISIT
     body = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.octet_length("payload").cast("string"), F.lit(CRLF + CRLF), F.when(revisit, "").otherwise(F.col("payload")))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
     head = F.concat(
-        F.lit("WARC/1.1" + CRLF), line("WARC-Type", F.col("record_type")), line("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), uuid, F.lit(">"))),
-        line("WARC-Date", captured(F.col("page_id"))), line("WARC-Target-URI", F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]+", "")),
+        F.lit("WARC/1.1" + CRLF), line("WARC-Type", F.col("record_type")), line("WARC-Record-ID", record_id(F.col("page_id"), F.col("url"), F.col("digest"))),
+        line("WARC-Date", captured(F.col("page_id"))), line("WARC-Target-URI", target(F.col("url"))),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))), line("X-Page", number), line("X-URL-Key", F.regexp_replace(url_key(F.col("url")), r"[\r\n]+", "")),
-        F.when(revisit, F.concat(line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), line("X-Refers-To-Page", F.col("refers_to").cast("string")))).otherwise(""),
+        F.when(revisit, F.concat(
+            line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), line("WARC-Refers-To", record_id(F.col("refers_to"), F.col("refers_to_url"), F.col("digest"))),
+            line("WARC-Refers-To-Target-URI", target(F.col("refers_to_url"))), line("WARC-Refers-To-Date", captured(F.col("refers_to"))), line("X-Refers-To-Page", F.col("refers_to").cast("string")),
+        )).otherwise(""),
         line("Content-Type", F.lit("application/http; msgtype=response")), line("Content-Length", F.octet_length("body").cast("string")),
     )
     return rows.withColumn("body", body).select(F.concat(head, F.lit(CRLF), F.col("body"), F.lit(CRLF)).alias("value"))

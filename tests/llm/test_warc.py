@@ -53,6 +53,10 @@ def test_archives_are_warc(spark, pages):
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).collect()
     records = [x for f in files for x in warc.parsed(gzip.decompress(f.content))]
     assert len(records) == pages.count()
+    responses = {h["WARC-Record-ID"]: h for h, _, _ in records if h["WARC-Type"] == "response"}
+    again = [h for h, _, _ in records if h["WARC-Type"] == "revisit"]
+    assert again and all(responses[h["WARC-Refers-To"]][k] == h[f"WARC-Refers-To-{k[5:]}"] for h in again for k in ("WARC-Target-URI", "WARC-Date"))
+    assert all(responses[h["WARC-Refers-To"]]["X-Page"] == h["X-Refers-To-Page"] for h in again)
     for head, block, _ in records:
         body = block.split(b"\r\n\r\n", 1)[1]
         digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
