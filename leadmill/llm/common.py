@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
 import pyarrow as pa
@@ -21,23 +22,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Paths that this driver has handed out and not removed.
-_HANDED_OUT: list[str] = []
+#: Scratch paths of the run that this thread or task is in, if it is in one.
+_RUN: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    _HANDED_OUT.append(f"{shared_dir(spark)}/leadmill/{name}-{uuid.uuid4().hex}")
-    return _HANDED_OUT[-1]
+    """A new path in the shared folder.  It stays until the `scratch_removed` around it ends, or its owner removes it."""
+    path = f"{shared_dir(spark)}/leadmill/{name}-{uuid.uuid4().hex}"
+    if (run := _RUN.get()) is not None:
+        run.append(path)
+    return path
 
 
 @contextmanager
-def scratch_removed(spark: SparkSession, keep: str) -> Iterator[None]:
-    """What is written as scratch inside goes at the end, but for `keep`; only for results that are written inside as well."""
-    before = set(_HANDED_OUT)
-    yield
-    for path in [p for p in _HANDED_OUT if p not in before and p != keep]:
-        removed(spark, path)
-        _HANDED_OUT.remove(path)
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """What is written as scratch inside goes at the end, also after an error; only for results that are written inside as well."""
+    run: list[str] = []
+    before = _RUN.set(run)
+    try:
+        yield
+    finally:
+        _RUN.reset(before)
+        for path in run:
+            removed(spark, path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -70,8 +77,9 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(node, root) for every node of an undirected edge list; root is the smallest node of its component.
 
     Alternating large-star and small-star rounds: each is a grouped minimum (combined map-side, so a hub costs
-    one row a task) and a join back, which AQE may split.  The edges are written after each round; only their
-    count and a checksum reach the driver.  Rounds grow with the logarithm of the component size.
+    one row a task) and a join back.  The minima of the large star are written first, so that join has no grouping
+    right below it and a hub can be split.  The edges are written after each round;
+    only their count and a checksum reach the driver.  Rounds grow with the logarithm of the component size.
     No edges: no rows.  Self-loops and repeated edges change nothing.
     """
     e = edges.select(F.greatest(u, v).alias("a"), F.least(u, v).alias("b")).where("a <> b").distinct()
@@ -79,7 +87,7 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     seen = None
     while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "low")
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         small_low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(small_low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("p"))

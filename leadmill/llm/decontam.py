@@ -13,7 +13,8 @@ were measured; beyond BROADCAST_BYTES the join shuffles.  Every position of ever
 verified leaves the task as counts.  No Python runs on the executors.
 
 Defined results: null and empty texts and items match nothing; a null doc_id or item_id is a value like any other;
-repeated rows give one result row; several places of one item give the best; an empty table gives no rows.
+repeated rows give one result row; several places of one item give the best; texts of any length are read whole (a text's
+token hashes are one value, eight bytes a token); an empty table gives no rows; other columns stay, none is read.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: The token positions that each mask looks at.
 MASKS = ((0, 1, 3, 4, 7, 9), (0, 2, 3, 5, 8, 10), (0, 1, 5, 6, 7, 10), (0, 2, 4, 5, 6, 9))
 SPAN = 1 + max(m[-1] for m in MASKS)
@@ -72,7 +75,7 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         around = F.slice("th", F.greatest(place, F.lit(0)) + 1, F.size("ith")).alias("around")
         met = lines.join(F.broadcast(keys), "seed").select("doc_id", "h", "item_id", "ith", place.alias("place"), around)
     else:  # windows travel without tokens; those come back for the places that met
-        keys = keys.select("seed", "item_id", F.explode("pos").alias("pos"))
+        keys = written(keys.select("seed", "item_id", F.explode("pos").alias("pos")), "windows")  # a join right above a grouping can't have its hot keys split
         places = lines.select("doc_id", "h", "i", "seed").join(keys, "seed").select("doc_id", "h", "item_id", place.alias("place")).distinct().alias("p")
         held = train.dropDuplicates(["doc_id", "h"]).alias("t")
         met = places.join(held, F.col("p.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("p.h") == F.col("t.h"))).select("p.*", "t.th").alias("m")
