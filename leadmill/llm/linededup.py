@@ -48,7 +48,7 @@ PIECE = 1 << 20
 #: Words that are hashed together.
 TOGETHER = 1 << 16
 BLANK = re.compile(rb"[\x20\x09-\x0D]")
-WORD = r"[^\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]++"
 KEY = "doc_id long, h long"
 SPAN = "array<struct<start: int, end: int>>"
 #: An odd base of the polynomial hashes, and its inverse modulo 2**64.
@@ -165,22 +165,35 @@ def print_table(docs: DataFrame, least: int) -> DataFrame:
 def single_windows(rows: DataFrame, least: int) -> DataFrame:
     """(g, w, doc_id, h, start) of (doc_id, h, text, at): a hash of every window of the runs in `at` (g, start, n)."""
 
+    def flush(held):
+        count = np.array([len(x[2]) for x in held])
+        of = pa.array(np.repeat(np.arange(len(held)), count))
+        ids = [pa.array([x[k] for x in held], pa.int64()).take(of) for k in (0, 1)]
+        g, w, start = (np.concatenate([x[k] for x in held]) for k in (2, 3, 4))
+        return pa.RecordBatch.from_arrays([pa.array(g), pa.array(w), *ids, pa.array(start.astype(np.int32))], schema=WINDOWS)
+
     def each(batches):
         known = _Hashes()
         for b in batches:
-            for d, h, x, at in zip(*b.columns, strict=True):
-                at = at.values
-                n = at.field("n").to_numpy(zero_copy_only=False).astype(np.int64)
-                g = np.repeat(at.field("g").to_numpy(zero_copy_only=False), n)
-                start = np.repeat(at.field("start").to_numpy(zero_copy_only=False).astype(np.int64) - np.cumsum(n) + n, n) + np.arange(n.sum())
+            held, size = [], 0
+            lists = b.column(3)
+            g, first, n = (lists.values.field(k).to_numpy(zero_copy_only=False) for k in ("g", "start", "n"))
+            bounds = lists.offsets.to_numpy().tolist()
+            for d, h, x, a, z in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), bounds[:-1], bounds[1:], strict=True):
+                many = n[a:z].astype(np.int64)
+                fingerprint = np.repeat(g[a:z], many)
+                start = np.repeat(first[a:z] - np.cumsum(many) + many, many) + np.arange(many.sum())
                 for offset, words in pieces(x.as_py(), known, least):
                     here = (start >= offset) & (start + least <= offset + len(words))
                     if here.any():
                         mine = start[here] - offset
-                        w = Sums(words)(mine, mine + least)
-                        k = len(mine)
-                        columns = (g[here], w, pa.repeat(d, k), pa.repeat(h, k), start[here])
-                        yield pa.RecordBatch.from_arrays([pa.array(v).cast(t) for v, t in zip(columns, WINDOWS.types, strict=True)], schema=WINDOWS)
+                        held.append((d, h, fingerprint[here], Sums(words)(mine, mine + least), start[here]))
+                        size += len(mine)
+                    if size >= TOGETHER:
+                        yield flush(held)
+                        held, size = [], 0
+            if held:
+                yield flush(held)
 
     return rows.select("doc_id", "h", "text", "at").mapInArrow(each, f"g long, w long, {KEY}, start int")
 
@@ -220,8 +233,8 @@ def deduplicated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     gone = repeated(docs, least).select(F.col("doc_id").alias("__gd"), F.col("h").alias("__gh"), F.col("removed").alias("__s"))
     rows = rows.join(gone, F.col("__d").eqNullSafe(F.col("__gd")) & (F.col("__h") == F.col("__gh")), "left")
     # Words with the white space behind them; what lies between the removed runs stays.
-    rows = rows.withColumn("__w", F.regexp_extract_all(text, F.lit(WORD + SPACE[:-1] + "*"), F.lit(0)))
-    none, n = F.array().cast(SPAN), F.size("__w")
+    rows = rows.withColumn("__w", F.when(F.col("__s").isNotNull(), F.regexp_extract_all(text, F.lit(WORD + SPACE[:-1] + "*"), F.lit(0))))
+    none, n = F.array().cast(SPAN), F.when(F.col("__w").isNotNull(), F.size("__w")).otherwise(F.regexp_count(text, F.lit(WORD)))
     runs = F.coalesce("__s", none)
     left = F.zip_with(F.concat(F.array(F.lit(0)), F.transform(runs, lambda r: r["end"])), F.concat(F.transform(runs, lambda r: r["start"]), F.array(n)), lambda a, b: F.slice("__w", a + 1, b - a))
     count = F.aggregate(runs, F.lit(0).cast("long"), lambda k, r: k + r["end"] - r["start"])
