@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,10 +38,31 @@ def coverage_points(places: DataFrame, radius: float, points: int, lat: str = "l
     return rows.withColumn("point_lat", F.when(centre, F.col(lat)).otherwise(to_lat)).withColumn("point_lon", F.when(centre, F.col(lon)).otherwise(to_lon))
 
 
-def cell(lat: Column, lon: Column, miles: float, most_lat: float = 60.0) -> tuple[Column, Column]:
-    """Grid cell whose neighbours hold everything within `miles`, up to latitude most_lat (beyond, cells get narrow: use a larger value)."""
-    import math
+def _band(lat: Column, miles: float) -> Column:
+    return F.floor(lat / (miles / 69.0)).cast("long")
+
 
+def _width(band: Column, miles: float) -> Column:
+    """Degrees of longitude that no two points within `miles` exceed, one of them in the band and the other at most one band away."""
     height = miles / 69.0
-    width = miles / (69.0 * math.cos(math.radians(most_lat)))
-    return F.floor(lat / height), F.floor(lon / width)
+    edge = F.least(F.greatest(F.abs((band - 1) * height), F.abs((band + 2) * height)), F.lit(90.0))
+    ratio = math.sin(min(miles / EARTH_MILES / 2, math.pi / 2)) / F.greatest(F.cos(F.radians(edge)), F.lit(1e-12))
+    return F.degrees(2 * F.asin(F.least(ratio, F.lit(1.0)))) + 1e-9
+
+
+def cell(lat: Column, lon: Column, miles: float) -> Column:
+    """The grid cell (cy, cx) of a point.  Bands of latitude have cells of their own width, so the grid holds up to the poles."""
+    band = _band(lat, miles)
+    return F.struct(band.alias("cy"), F.floor(lon / _width(band, miles)).cast("long").alias("cx"))
+
+
+def cells_around(lat: Column, lon: Column, miles: float) -> Column:
+    """The cells in which all points within `miles` of a point lie, across the date line as well."""
+
+    def of_band(dy):
+        band = _band(lat, miles) + dy
+        width = _width(band, miles)
+        turns = F.filter(F.array(lon, lon - 360, lon + 360), lambda x: (x >= -180 - width) & (x <= 180 + width))
+        return F.flatten(F.transform(turns, lambda x: F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda dx: F.struct(band.alias("cy"), (F.floor(x / width) + dx).cast("long").alias("cx")))))
+
+    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(-1).cast("long"), F.lit(1).cast("long")), of_band)))

@@ -138,9 +138,11 @@ def sequence_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def name_similarity(a: Column, b: Column) -> Column:
     """0..1 for two word arrays: the better of token score and sequence ratio, gated; 0 where either is empty."""
-    ratio = sequence_ratio_udf(F.array_join(a, " "), F.array_join(b, " "))
-    score = F.round(F.least(F.greatest(ratio, token_score(a, b)), gate(a, b)), 4)
-    return F.when((F.size(a) > 0) & (F.size(b) > 0), score).otherwise(F.lit(0.0))
+    tokens, most = token_score(a, b), gate(a, b)
+    open_ = tokens < most  # elsewhere the ratio can't change the score, so the strings are not compared
+    ratio = sequence_ratio_udf(F.when(open_, F.array_join(a, " ")), F.when(open_, F.array_join(b, " ")))
+    score = F.round(F.least(F.greatest(F.coalesce(ratio, F.lit(0.0)), tokens), most), 4)
+    return F.when(F.coalesce(F.size(a) > 0, F.lit(False)) & F.coalesce(F.size(b) > 0, F.lit(False)), score).otherwise(F.lit(0.0))
 
 
 def slug(c: Column) -> Column:
@@ -183,3 +185,28 @@ def entities_plain(c: Column) -> Column:
 def sentinel_to_null(c: Column) -> Column:
     t = F.trim(c)
     return F.when(~t.isin("", "$undefined", "-"), t)
+
+
+def number_text(c: Column) -> Column:
+    """Numbers as text without an idle fraction; blanks are null, and what is no number stays as it is."""
+    n = c.try_cast("double")
+    plain = n.isNotNull() & ~F.isnan(n) & (F.abs(n) < 1e15)
+    return F.when(c == "", None).when(plain & (n == F.floor(n)), F.floor(n).cast("string")).when(plain, n.cast("string")).otherwise(c)
+
+
+def only_strings(c: Column) -> Column:
+    """The strings of a JSON array as array<string>; what else it holds is left out; null for anything but an array with strings."""
+    items = F.try_variant_get(F.try_parse_json(c), "$", "array<variant>")
+    kept = F.transform(F.filter(items, lambda x: F.schema_of_variant(x) == "STRING"), lambda x: F.try_variant_get(x, "$", "string"))
+    return F.when(F.size(kept) > 0, kept)
+
+
+def state_city(c: Column) -> Column:
+    """struct<state, city> of a place id, cut at its last hyphen; without one all of it is the state."""
+    return F.struct(F.substring_index(c, "-", -1).alias("state"), F.regexp_replace(c, "-?[^-]*$", "").alias("city"))
+
+
+def decoded(c: Column, schema: str) -> Column:
+    """JSON text by a schema; null, blank and broken texts are the empty array, or a struct of nulls."""
+    empty = "[]" if schema.lower().startswith("array") else "{}"
+    return F.coalesce(F.from_json(F.when(F.trim(c) != "", c), schema), F.from_json(F.lit(empty), schema))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..session import kept
 
 
 def search(rows: DataFrame, needle: str, fields: list[str]) -> DataFrame:
@@ -23,6 +25,40 @@ def typed_order(c: Column, descending: bool = False) -> list[Column]:
     return [n.isNull().asc(), up(n), up(c.cast("string"))]
 
 
+def ranked(rows: DataFrame, order: list[Column | str]) -> DataFrame:
+    """rows with their position (from 0) in one order of all rows: ranges are sorted by themselves, and each starts
+    after the rows of the ranges before it.  What one task sees of all ranges is a count each."""
+    n = F.monotonically_increasing_id()  # the range, and the place in it
+    sorted_ = kept(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__n", n)).withColumn("__range", F.shiftright("__n", 33))
+    ranges = sorted_.groupBy("__range").agg(F.min("__n").alias("__low"), F.count("*").alias("__rows"))
+    before = F.coalesce(F.sum("__rows").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.select("__range", (before - F.col("__low")).alias("__shift"))
+    return sorted_.join(F.broadcast(ranges), "__range").withColumn("position", F.col("__n") + F.col("__shift")).drop("__n", "__range", "__shift")
+
+
+def chosen(rows: DataFrame, **values: str | None) -> DataFrame:
+    """Rows with the chosen value in every column; a blank choice takes all."""
+    for column, value in values.items():
+        rows = rows.where(F.col(column) == value) if value else rows
+    return rows
+
+
+def dataset_order(recent: bool = False) -> list[Column]:
+    """By industry and metro, or the newest publication first and those without a date last."""
+    by_name = [F.col("industry").asc(), F.col("metro").asc()]
+    return [F.nullif("published_at", F.lit("")).desc_nulls_last(), *by_name] if recent else by_name
+
+
+def sort_keys() -> dict[str, Column]:
+    """Keys of the derived columns that a list is sorted by: one rating, flags raised, the newest review, sources."""
+    flag = lambda *names: flag_count(*names)
+    on = lambda c: (F.coalesce(F.col(c).cast("string"), F.lit("")).isin("true", "1")).cast("int")
+    return {
+        "rating": F.coalesce("yelp_rating", "angi_rating", "registry_review_avg"), "review_date": F.coalesce("most_recent_negative_review_date", "most_recent_review_date"),
+        "flags": flag("reputation_divergence_flag", "accredited_but_low_rated", "website_dead_flag", "review_gap_flag"), "sources": on("on_registry") + on("on_yelp") + on("on_angi"),
+    }
+
+
 def top(rows: DataFrame, score: str, n: int, tie: list[str]) -> DataFrame:
     """The n best; rows without a score come last.  Plans as a top-k of every partition."""
     return rows.orderBy(F.col(score).desc_nulls_last(), *tie).limit(n)

@@ -52,13 +52,17 @@ def picked(queries: DataFrame, candidates: DataFrame, similarity=text.name_simil
     """
     q = queries.select("query_id", text.phone_key(F.col("phone")).alias("qp"), text.name_words(F.col("name")).alias("qw"))
     c = candidates.select("query_id", "cand_idx", text.phone_key(F.col("phone")).alias("cp"), text.name_words(F.col("name")).alias("cw"), F.coalesce("reviews", F.lit(0)).alias("n"))
-    j = q.join(c, "query_id").withColumn("sim", similarity(F.col("qw"), F.col("cw"))).withColumn("same", F.coalesce(F.col("qp") == F.col("cp"), F.lit(False)))
+    j = q.join(c, "query_id").withColumn("same", F.coalesce(F.col("qp") == F.col("cp"), F.lit(False)))
     w = W.partitionBy("query_id")
     j = j.withColumn("hit", F.min(F.when(F.col("same"), F.col("cand_idx"))).over(w))
+    j = j.withColumn("hit_n", F.max(F.when(F.col("cand_idx") == F.col("hit"), F.col("n"))).over(w))
     other = F.col("cand_idx") != F.col("hit")
+    # Names decide only without a usable phone, and beside a hit without reviews; elsewhere they are not compared.
+    decides = F.col("qp").isNull() | (other & (F.col("hit_n") <= 0) & (F.col("n") > 0))
+    j = j.withColumn("sim", similarity(F.when(decides, F.col("qw")), F.when(decides, F.col("cw"))))
     rank = lambda cond: F.max(F.when(cond & (F.col("sim") > 0), F.struct("sim", (-F.col("cand_idx")).alias("at")))).alias
     g = j.groupBy("query_id").agg(
-        F.first("qp").alias("qp"), F.first("hit").alias("hit"), F.max(F.when(F.col("cand_idx") == F.col("hit"), F.col("n"))).alias("hit_n"),
+        F.first("qp").alias("qp"), F.first("hit").alias("hit"), F.first("hit_n").alias("hit_n"),
         rank(other & (F.col("n") > 0))("sibling"), rank(F.lit(True))("best"),
     )
     sibling = F.when(F.col("sibling.sim") >= PICK_SIBLING, -F.col("sibling.at"))
@@ -67,9 +71,15 @@ def picked(queries: DataFrame, candidates: DataFrame, similarity=text.name_simil
     return g.select("query_id", F.when(F.col("qp").isNotNull(), by_phone).otherwise(by_name).alias("cand_idx"))
 
 
-def by_url(rows: DataFrame, url: str, checks: DataFrame, fields: list[str]) -> DataFrame:
-    """rows with the fields of checks (url, ...): every distinct URL is checked once and its result goes to all its rows."""
-    return rows.join(checks.select(F.col("url").alias(url), *fields), url, "left")
+def by_url(rows: DataFrame, url: str, check, fields: list[str]) -> DataFrame:
+    """rows with the fields that `check` finds: it gets every distinct, non-blank URL once, as `url`, and its result goes to all rows of that URL."""
+    asked = rows.select(F.col(url).alias("url")).where("trim(url) <> ''").distinct()
+    return rows.join(check(asked).select(F.col("url").alias(url), *fields), url, "left")
+
+
+def worth_reading(rows: DataFrame, total: str = "reviews_total", url: str = "profile_url", more_than: int = 1) -> DataFrame:
+    """Rows whose reviews are worth fetching: a profile URL, and more reviews than one."""
+    return rows.where((F.trim(url) != "") & (F.col(total) > more_than))
 
 
 def fresh(cache: DataFrame, stamp: str, ttl_days: float, as_of: str) -> DataFrame:

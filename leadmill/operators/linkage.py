@@ -44,11 +44,11 @@ def candidates(a: DataFrame, b: DataFrame, miles: float = BLOCK_MILES) -> DataFr
 
 
 def near(a: DataFrame, b: DataFrame, miles: float) -> DataFrame:
-    cy, cx = geo.cell(F.col("lat"), F.col("lon"), miles)
-    around = F.explode(F.sequence(F.lit(-1), F.lit(1)))
-    spread = a.where("lat is not null and lon is not null").withColumn("dy", around).withColumn("dx", around).withColumn("cy", cy + F.col("dy")).withColumn("cx", cx + F.col("dx")).alias("a")
-    placed = b.where("lat is not null and lon is not null").withColumn("cy", cy).withColumn("cx", cx).alias("b")
-    met = spread.join(placed, (F.col("a.list_id") == F.col("b.list_id")) & (F.col("a.cy") == F.col("b.cy")) & (F.col("a.cx") == F.col("b.cx")))
+    there = lambda df: df.where("lat is not null and lon is not null")
+    lat, lon = F.col("lat"), F.col("lon")
+    spread = there(a).withColumn("cell", F.explode(geo.cells_around(lat, lon, miles))).alias("a")
+    placed = there(b).withColumn("cell", geo.cell(lat, lon, miles)).alias("b")
+    met = spread.join(placed, (F.col("a.list_id") == F.col("b.list_id")) & (F.col("a.cell.cy") == F.col("b.cell.cy")) & (F.col("a.cell.cx") == F.col("b.cell.cx")))
     far = geo.distance_miles(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon"))
     return met.where(far <= miles).select("a.list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"))
 
@@ -98,16 +98,18 @@ def assigned(edges: DataFrame, keep=kept, left: str = "a_idx", right: str = "b_i
     """One-to-one by best score first, ties by a_idx, b_idx: what a sequential greedy pass over the sorted edges takes.
 
     Each round takes the edges that come first for both of their ends and drops the edges of those ends; edges left
-    over are exactly those that the sequential pass would still have open.  `keep` cuts the lineage of a round.
+    over are exactly those that the sequential pass would still have open.  A round is one pass over the open edges,
+    kept once with what it takes marked; `keep` cuts its lineage.
     """
     order = order or [F.col("confidence").desc(), F.col(left), F.col(right)]
-    taken, open_ = None, keep(edges)
+    by_a, by_b = W.partitionBy("list_id", left), W.partitionBy("list_id", right)
+    taken, open_ = None, edges
     while True:
-        first_a = F.row_number().over(W.partitionBy("list_id", left).orderBy(*order))
-        first_b = F.row_number().over(W.partitionBy("list_id", right).orderBy(*order))
-        best = keep(open_.withColumn("__a", first_a).withColumn("__b", first_b).where("__a = 1 and __b = 1").drop("__a", "__b"))
+        seen = open_.withColumn("__a", F.row_number().over(by_a.orderBy(*order))).withColumn("__b", F.row_number().over(by_b.orderBy(*order)))
+        seen = seen.withColumn("__best", (F.col("__a") == 1) & (F.col("__b") == 1)).withColumn("__hit", F.max("__best").over(by_b)).withColumn("__hit", F.col("__hit") | F.max("__best").over(by_a))
+        seen = keep(seen.where("__best or not __hit"))
+        best, open_ = (seen.where(c).drop("__a", "__b", "__best", "__hit") for c in ("__best", "not __best"))
         taken = best if taken is None else taken.unionByName(best)
-        open_ = keep(open_.join(best.select("list_id", left), ["list_id", left], "left_anti").join(best.select("list_id", right), ["list_id", right], "left_anti"))
         if open_.isEmpty():
             return taken
 
@@ -133,7 +135,7 @@ def prefixed(df: DataFrame, prefix: str, keys: tuple[str, ...] = ()) -> DataFram
 
 def master(a: DataFrame, b: DataFrame, rows: DataFrame, a_prefix: str = "registry_", b_prefix: str = "yelp_", include_b_only: bool = True) -> DataFrame:
     """The wide table: matched rows first, then a_only, then b_only by `section`; the absent side is null."""
-    rows = rows if include_b_only else rows.where("match_status <> 'b_only'")
+    rows = rows if include_b_only else rows.where("not (match_status <=> 'b_only')")
     section = F.when(F.col("match_status") == "matched", 0).when(F.col("match_status") == "a_only", 1).otherwise(2)
     wide = rows.withColumn("section", section)
     wide = wide.join(prefixed(a, a_prefix), (F.col("list_id") == F.col(f"{a_prefix}list_id")) & (F.col("a_idx") == F.col(f"{a_prefix}idx")), "left")

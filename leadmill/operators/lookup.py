@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
@@ -17,13 +18,14 @@ def city(rows: DataFrame, cities: DataFrame, name: str = "city", state: str = "s
 
 
 def within_radius(points: DataFrame, cities: DataFrame, miles: float, least_population: int = 0) -> DataFrame:
-    """points (point_id, lat, lon) with the cities around them and miles: grid cells are joined, then measured."""
-    cy, cx = geo.cell(F.col("lat"), F.col("lon"), miles)
-    step = F.explode(F.sequence(F.lit(-1), F.lit(1)))
-    p = points.withColumn("dy", step).withColumn("dx", step).withColumn("cy", cy + F.col("dy")).withColumn("cx", cx + F.col("dx")).alias("p")
-    c = cities.where(F.col("population") >= least_population).withColumn("cy", cy).withColumn("cx", cx).alias("c")
+    """points (point_id, lat, lon) with the cities around them, miles, and place, nearest first (1 for the nearest; ties by
+    geoid): grid cells are joined, then measured."""
+    p = points.withColumn("cell", F.explode(geo.cells_around(F.col("lat"), F.col("lon"), miles))).alias("p")
+    c = cities.where(F.col("population") >= least_population).withColumn("cell", geo.cell(F.col("lat"), F.col("lon"), miles)).alias("c")
     far = geo.distance_miles(F.col("p.lat"), F.col("p.lon"), F.col("c.lat"), F.col("c.lon"))
-    return p.join(c, (F.col("p.cy") == F.col("c.cy")) & (F.col("p.cx") == F.col("c.cx"))).withColumn("miles", far).where(F.col("miles") <= miles).select("p.point_id", "c.name", "c.state", "c.geoid", "c.population", "miles")
+    met = p.join(c, (F.col("p.cell.cy") == F.col("c.cell.cy")) & (F.col("p.cell.cx") == F.col("c.cell.cx"))).withColumn("miles", far).where(F.col("miles") <= miles)
+    place = F.row_number().over(W.partitionBy("point_id").orderBy("miles", "geoid"))
+    return met.select("p.point_id", "c.name", "c.state", "c.geoid", "c.population", "miles").withColumn("place", place)
 
 
 def sweep(seeds: DataFrame, cities: DataFrame, miles: float = 40.0, least_population: int = 25_000) -> DataFrame:

@@ -99,20 +99,6 @@ def _(s, d):
     return bound(s, d, A).select("idx", F.array_join(w, " ").alias("words"), F.size(F.array_distinct(w)).cast("long").alias("n"))
 
 
-@query("token_similarity", f"select a.idx, b.idx as b_idx, {q_similarity(q_words('a.name'), q_words('b.name'))} as similarity from ({a}) a join ({b}) b on a.list_id = b.list_id and a.idx % 50 = b.idx % 50")
-def _(s, d):
-    x, y = bound(s, d, A).alias("a"), bound(s, d, B).alias("b")
-    j = x.join(y, (F.col("a.list_id") == F.col("b.list_id")) & (F.col("a.idx") % 50 == F.col("b.idx") % 50))
-    return j.select("a.idx", F.col("b.idx").alias("b_idx"), text.token_similarity(text.name_words(F.col("a.name")), text.name_words(F.col("b.name"))).alias("similarity"))
-
-
-@query("name_similarity_full")
-def _(s, d):
-    x, y = bound(s, d, A).alias("a"), bound(s, d, B).alias("b")
-    j = x.join(y, (F.col("a.list_id") == F.col("b.list_id")) & (F.col("a.idx") % 50 == F.col("b.idx") % 50))
-    return j.select("a.idx", F.col("b.idx").alias("b_idx"), text.name_similarity(text.name_words(F.col("a.name")), text.name_words(F.col("b.name"))).alias("similarity"))
-
-
 @query("grade_num", f"select idx, {q_grade('grade')} as points from ({a})")
 def _(s, d):
     return bound(s, d, A).select("idx", grades.points(F.col("grade")).alias("points"))
@@ -177,7 +163,39 @@ def _(s, d):
 def _(s, d):
     k = F.col("event_id")
     e = s.read.parquet(f"{d}/events.parquet").withColumn("props", F.when(k % 20 == 0, "{broken").when(k % 10 == 0, "").otherwise(F.col("props")))
-    return e.select("event_id", F.from_json("props", "k long")["k"].alias("k"))
+    return e.select("event_id", text.decoded(F.col("props"), "k long")["k"].alias("k"))
+
+
+@query("decode_json_array", "select event_id, case when event_id % 3 = 0 then 'a;' || event_id else '' end as parts from events")
+def _(s, d):
+    k = F.col("event_id")
+    cell = F.when(k % 3 == 0, F.concat(F.lit('["a", "'), k.cast("string"), F.lit('"]'))).when(k % 3 == 1, "[broken")
+    return s.read.parquet(f"{d}/events.parquet").select("event_id", F.array_join(text.decoded(cell, "array<string>"), ";").alias("parts"))
+
+
+@query("num_or_none", "select p_partkey, case p_partkey % 4 when 0 then cast(p_size as varchar) when 1 then p_size || '.5' when 2 then null else p_name end as t from part")
+def _(s, d):
+    t = bound(s, d, "select p_partkey, case p_partkey % 4 when 0 then concat(cast(p_size as string), '.0') when 1 then concat(cast(p_size as string), '.50') when 2 then '' else p_name end as t from {part}")
+    return t.select("p_partkey", text.number_text(F.col("t")).alias("t"))
+
+
+@query("extended_text", "select p_partkey, case when p_partkey % 3 = 0 then 'x;' || p_partkey end as t from part")
+def _(s, d):
+    k = F.col("p_partkey").cast("string")
+    cell = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit('[{"id": 1}, "x", 5, null, "'), k, F.lit('"]'))).when(F.col("p_partkey") % 3 == 1, '[{"id": 1}]').otherwise("text")
+    return s.read.parquet(f"{d}/part.parquet").select("p_partkey", F.array_join(text.only_strings(cell), ";").alias("t"))
+
+
+@query("state_city", "select n_nationkey, lower(n_name) as city, case when n_nationkey % 2 = 0 then 'tx' else 'az' end as state from nation where n_nationkey > 0 union all select n_nationkey, '' as city, lower(n_name) as state from nation where n_nationkey = 0")
+def _(s, d):
+    n = bound(s, d, "select n_nationkey, case when n_nationkey = 0 then lower(n_name) else concat(lower(n_name), '-', case when n_nationkey % 2 = 0 then 'tx' else 'az' end) end as id from {nation}")
+    return n.select("n_nationkey", text.state_city(F.col("id")).alias("p")).select("n_nationkey", "p.city", "p.state")
+
+
+@query("social_helpers", "select n_nationkey, 'Roofer;' || n_name as parts, 'https://a.com/' || n_nationkey as site, case n_nationkey % 4 when 0 then 'twitter' when 1 then 'instagram' when 2 then 'foo' else 'other' end as platform from nation")
+def _(s, d):
+    n = bound(s, d, "select n_nationkey, n_name, case n_nationkey % 4 when 0 then 'https://www.x.com/a' when 1 then 'https://instagram.com/b' when 2 then 'http://foo.bar.org' else 'no url' end as url from {nation}")
+    return n.select("n_nationkey", F.array_join(markup.dot_list(F.concat(F.lit("Page · Roofer ·  · "), "n_name")), ";").alias("parts"), markup.bare_website(F.concat(F.lit(" https://a.com/"), F.col("n_nationkey").cast("string"), F.lit("?x=1#y"))).alias("site"), markup.platform(F.col("url")).alias("platform"))
 
 
 @query("normalize_url", "select page_id, case when page_id % 3 = 0 then 'https://' || u else 'https://' || u || '/' end as url, regexp_replace(lower(split_part(split_part(split_part(u, '/', 1), '?', 1), '#', 1)), '^www\\.', '') as domain from (select page_id, regexp_replace(url, '^https?://', '') as u from pages)")
@@ -303,10 +321,16 @@ def _(s, d):
     return lookup.within_radius(p, bound(s, d, CITIES), 40.0, 50_000).select("point_id", "geoid", F.round("miles", 6).alias("miles"))
 
 
-@query("place_sweep", f"select a.geoid as point_id, a.geoid, 0.0::double as miles from ({cities}) a where a.population % 50000 = 0 union all select a.geoid, c.geoid, round({q_miles('a.lat', 'a.lon', 'c.lat', 'c.lon')}, 6) from ({cities}) a, ({cities}) c where a.population % 50000 = 0 and {q_miles('a.lat', 'a.lon', 'c.lat', 'c.lon')} <= 100 and c.population >= 60000 and a.geoid <> c.geoid")
+@query("place_sweep", f"select geoid as point_id, geoid, 0.0::double as miles from ({cities}) union all select a.geoid, c.geoid, round({q_miles('a.lat', 'a.lon', 'c.lat', 'c.lon')}, 6) from ({cities}) a, ({cities}) c where {q_miles('a.lat', 'a.lon', 'c.lat', 'c.lon')} <= 100 and c.population >= 60000 and a.geoid <> c.geoid")
 def _(s, d):
     c = bound(s, d, CITIES)
-    return lookup.sweep(c.where("population % 50000 = 0"), c, 100.0, 60_000).select("point_id", "geoid", F.round("miles", 6).alias("miles"))
+    return lookup.sweep(c, c, 100.0, 60_000).select("point_id", "geoid", F.round("miles", 6).alias("miles"))
+
+
+@query("nearest_places", f"select point_id, geoid, cast(row_number() over (partition by point_id order by miles, geoid) as int) as place from (select a.idx as point_id, c.geoid, {q_miles('a.lat', 'a.lon', 'c.lat', 'c.lon')} as miles from ({a}) a join ({cities}) c on {q_miles('a.lat', 'a.lon', 'c.lat', 'c.lon')} <= 120)")
+def _(s, d):
+    p = bound(s, d, A).select(F.col("idx").alias("point_id"), "lat", "lon").where("lat is not null")
+    return lookup.within_radius(p, bound(s, d, CITIES), 120.0).select("point_id", "geoid", "place")
 
 
 _KNOWN = "select distinct p_type as name, lower(p_type) as id from {part}"
@@ -352,13 +376,30 @@ def _sides(s, d):
     return linkage.prepared(bound(s, d, A)), linkage.prepared(bound(s, d, B))
 
 
-def _edges(s, d):
+def _edges(s, d, similarity=text.token_similarity):
+    x, y = _sides(s, d)
+    return linkage.scored(linkage.candidates(x, y), x, y, similarity=similarity)
+
+
+def _matches(s, d, similarity=text.token_similarity):
+    return linkage.assigned(_edges(s, d, similarity))
+
+
+def _similar(s, d, similarity):
     x, y = _sides(s, d)
-    return linkage.scored(linkage.candidates(x, y), x, y, similarity=text.token_similarity)
+    return linkage.signals(linkage.candidates(x, y), x, y, similarity).select(F.col("a_idx").alias("idx"), "b_idx", F.col("sig_name").alias("similarity"))
 
 
-def _matches(s, d):
-    return linkage.assigned(_edges(s, d))
+# The sequence ratio of names has no SQL.  Each query whose names are compared by it (..._full) stands beside one that
+# compares their tokens alone and has SQL; tests/test_linkage.py holds the former against plain Python.
+@query("token_similarity", _PAIRS + " select a_idx as idx, b_idx, sig_name as similarity from pairs")
+def _(s, d):
+    return _similar(s, d, text.token_similarity)
+
+
+@query("name_similarity_full")
+def _(s, d):
+    return _similar(s, d, text.name_similarity)
 
 
 @query("blocked_pairs", _PAIRS + " select list_id, a_idx, b_idx from pairs")
@@ -376,6 +417,27 @@ def _(s, d):
     return _matches(s, d).select("list_id", "a_idx", "b_idx", "confidence")
 
 
+@query("pair_confidence_full")
+def _(s, d):
+    return _edges(s, d, text.name_similarity).select("list_id", "a_idx", "b_idx", "sig_name", "confidence", "band")
+
+
+@query("greedy_match_full")
+def _(s, d):
+    return _matches(s, d, text.name_similarity).select("list_id", "a_idx", "b_idx", "confidence")
+
+
+@query("match_summary_full")
+def _(s, d):
+    return linkage.summary(linkage.outcome(*_sides(s, d), _matches(s, d, text.name_similarity)))
+
+
+@query("master_union_full")
+def _(s, d):
+    rows = linkage.outcome(*_sides(s, d), _matches(s, d, text.name_similarity))
+    return linkage.master(bound(s, d, A), bound(s, d, B), rows).select("section", "registry_name", "yelp_name", "confidence")
+
+
 @query("match_summary", _GREEDY + " select (select count(*) from a) as a_total, (select count(*) from b) as b_total, count(*) as matched, count(*) filter (confidence >= 0.8) as confident, count(*) filter (confidence < 0.8) as review, (select count(*) from a) - count(*) as a_only, (select count(*) from b) - count(*) as b_only from matched")
 def _(s, d):
     x, y = _sides(s, d)
@@ -389,7 +451,7 @@ def _(s, d):
     return linkage.master(x, y, rows).select("section", "registry_name", "yelp_name", "confidence")
 
 
-@query("phone_first_join", f"""with recursive r as (select list_id, idx as row_idx, {q_phone('phone')} as k, {q_words('name')} as w, {CITY.format('city')} as ck, {ZIP.format('postal')} as z from ({a}) where idx % 3 = 0),
+@query("phone_first_join", f"""with recursive r as (select list_id, idx as row_idx, {q_phone('phone')} as k, {q_words('name')} as w, {CITY.format('city')} as ck, {ZIP.format('postal')} as z from ({a})),
  o as (select list_id, idx, {q_phone('phone')} as k, {q_words('name')} as w, {CITY.format('city')} as ck, {ZIP.format('postal')} as z, row_number() over (partition by list_id, {q_phone('phone')} order by idx) as rn from ({b})),
  u as (select * from o where k is null or rn = 1),
  ph as (select r.list_id, row_idx, u.idx from r join u on r.list_id = u.list_id and r.k = u.k), cl as (select list_id, idx, min(row_idx) as at from ph group by 1, 2),
@@ -402,28 +464,46 @@ def _(s, d):
  select list_id, row_idx, idx as other_idx, how from f union all select list_id, row_idx, null, 'none' from r where not exists (select 1 from f where f.list_id = r.list_id and f.row_idx = r.row_idx)
  union all select list_id, null, idx, 'new' from u where not exists (select 1 from f where f.list_id = u.list_id and f.idx = u.idx)""")
 def _(s, d):
-    rows = bound(s, d, A).where("idx % 3 = 0").withColumnRenamed("idx", "row_idx")
-    return enrich.phone_first(rows, bound(s, d, B), similarity=text.token_similarity).select("list_id", "row_idx", "other_idx", "how")
+    return _phone_first(s, d, text.token_similarity)
+
+
+@query("phone_first_join_full")
+def _(s, d):
+    return _phone_first(s, d, text.name_similarity)
 
 
-@query("picker", f"""with q as (select idx as query_id, {q_phone('phone')} as qp, {q_words('name')} as qw from ({a})), c as (select idx % 100 as g, idx as cand_idx, {q_phone('phone')} as cp, {q_words('name')} as cw, case when idx % 3 = 0 then 0 else review_count end as n from ({b})),
- j as (select q.query_id, qp, cand_idx, n, {q_similarity('qw', 'cw')} as sim, coalesce(qp = cp, false) as same from q join c on q.query_id % 100 = c.g),
+def _phone_first(s, d, similarity):
+    rows = bound(s, d, A).withColumnRenamed("idx", "row_idx")
+    return enrich.phone_first(rows, bound(s, d, B), similarity=similarity).select("list_id", "row_idx", "other_idx", "how")
+
+
+@query("picker", _PAIRS + f""", q as (select idx as query_id, k as qp, w as qw from a), c as (select idx as cand_idx, k as cp, w as cw, case when idx % 3 = 0 then 0 else review_count end as n from b),
+ j as (select q.query_id, qp, cand_idx, n, {q_similarity('qw', 'cw')} as sim, coalesce(qp = cp, false) as same from pairs p join q on q.query_id = p.a_idx join c on c.cand_idx = p.b_idx),
  h as (select *, min(case when same then cand_idx end) over (partition by query_id) as hit from j),
  g as (select query_id, min(qp) as qp, min(hit) as hit, max(case when cand_idx = hit then n end) as hn, max(case when cand_idx <> hit and n > 0 then sim end) as ss, max(sim) as bs from h group by 1)
  select g.query_id, case when qp is not null then case when hn > 0 then hit else coalesce(case when hit is not null and ss >= 0.9 then (select min(cand_idx) from h where h.query_id = g.query_id and cand_idx <> g.hit and n > 0 and sim = g.ss) end, hit) end
   else case when bs >= 0.85 then (select min(cand_idx) from h where h.query_id = g.query_id and sim = g.bs) end end as cand_idx from g""")
 def _(s, d):
+    return _picked(s, d, text.token_similarity)
+
+
+@query("picker_full")
+def _(s, d):
+    return _picked(s, d, text.name_similarity)
+
+
+def _picked(s, d, similarity):
+    """The candidates of a listing are those that blocking finds."""
     q = bound(s, d, A).select(F.col("idx").alias("query_id"), "name", "phone")
-    c = bound(s, d, B).select((F.col("idx") % 100).alias("g"), F.col("idx").alias("cand_idx"), F.col("name").alias("cname"), F.col("phone").alias("cphone"), F.when(F.col("idx") % 3 == 0, 0).otherwise(F.col("review_count")).alias("reviews"))
-    c = q.select("query_id").join(c, F.col("query_id") % 100 == F.col("g")).select("query_id", "cand_idx", F.col("cname").alias("name"), F.col("cphone").alias("phone"), "reviews")
-    return enrich.picked(q, c, text.token_similarity)
+    c = bound(s, d, B).select(F.col("idx").alias("cand_idx"), "name", "phone", F.when(F.col("idx") % 3 == 0, 0).otherwise(F.col("review_count")).alias("reviews"))
+    pairs = linkage.candidates(*_sides(s, d)).select(F.col("a_idx").alias("query_id"), F.col("b_idx").alias("cand_idx"))
+    return enrich.picked(q, pairs.join(c, "cand_idx"), similarity)
 
 
 @query("url_checks", "select o_orderkey, o_orderpriority, n as status from orders left join (select o_orderpriority as p, length(o_orderpriority) as n from (select distinct o_orderpriority from orders)) on p = o_orderpriority")
 def _(s, d):
     o = s.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_orderpriority")
-    checks = o.select(F.col("o_orderpriority").alias("url")).distinct().withColumn("status", F.length("url").cast("long"))
-    return enrich.by_url(o, "o_orderpriority", checks, ["status"]).select("o_orderkey", "o_orderpriority", "status")
+    return enrich.by_url(o, "o_orderpriority", lambda asked: asked.withColumn("status", F.length("url").cast("long")), ["status"]).select("o_orderkey", "o_orderpriority", "status")
 
 
 @query("cache_freshness", "select event_id from events where epoch(timestamp '2024-01-20 00:00:00') - epoch(date_trunc('second', ts)) < 14 * 86400")
@@ -549,10 +629,19 @@ def ranked_leads(s, d):
     return kept.select("idx", F.col("registry_name").alias("name"), "lead_priority_score").orderBy(F.desc("lead_priority_score"), "idx")
 
 
-@query("public_records", _CUR + " select industry, metro, coalesce(nullif(registry_name, ''), angi_name) as name, coalesce(nullif(registry_phone, ''), angi_phone) as phone, acc as accredited, cast(registry_years_in_business as int) as years_in_business, case when match_status = 'matched' then yelp_rating end as yelp_rating, score as lead_priority_score from cur where reason is null")
+@query("public_records", _CUR + " select industry, metro, coalesce(nullif(registry_name, ''), angi_name) as name, coalesce(nullif(registry_phone, ''), angi_phone) as phone, acc as accredited, cast(registry_years_in_business as int) as years_in_business, case when match_status = 'matched' then yelp_rating when mq then mapquest_rating_value end as yelp_rating, match_status = 'matched' or mq as on_yelp, score as lead_priority_score from cur where reason is null")
 def _(s, d):
     rows, _counts = publish.published(bound(s, d, MASTER), AS_OF, ["list_id"])
-    return rows.select("industry", "metro", "name", "phone", "accredited", "years_in_business", "yelp_rating", "lead_priority_score")
+    return rows.select("industry", "metro", "name", "phone", "accredited", "years_in_business", "yelp_rating", "on_yelp", "lead_priority_score")
+
+
+@query("reviews_sheet", "select 'B' || conv_id as business, 'Angi' as source, role as reviewer, cast(turn as double) as rating, text from conversations")
+def _(s, d):
+    """Reviews of public records, from a JSON cell of each, as rows."""
+    c = s.read.parquet(f"{d}/conversations.parquet")
+    said = F.to_json(F.collect_list(F.struct(F.col("role").alias("reviewer_name"), F.col("turn").cast("double").alias("rating"), F.lit("May 2024").alias("date_label"), "text")))
+    rows = c.groupBy("conv_id").agg(said.alias("angi_reviews")).select(F.concat(F.lit("B"), "conv_id").alias("registry_name"), "angi_reviews", F.lit("a_only").alias("match_status"))
+    return publish.reviews_sheet(publish.public(rows)).select("business", "source", "reviewer", "rating", "text")
 
 
 @query("manifest", _CUR + " select lower(industry) || '--' || replace(lower(metro), ' ', '-') as id, industry, metro, count(*) as record_count, bool_or(match_status = 'matched') as has_yelp, count(*) filter (match_status = 'matched') as yelp_matched, round(coalesce(max(score), 0), 1) as top_lead_score from cur where reason is null group by industry, metro")
@@ -567,6 +656,25 @@ def _(s, d):
     return browse.landing(m)
 
 
+_LISTS = "select c_mktsegment as industry, concat('Metro ', cast(c_nationkey as string)) as metro, count(*) as record_count, case when min(c_custkey) % 4 = 0 then null else cast(min(c_custkey) as string) end as published_at from {customer} group by 1, 2"
+
+
+@query("dataset_list", f"select industry, metro, row_number() over (order by published_at desc nulls last, industry, metro) - 1 as position from ({plain(_LISTS)}) where industry = 'BUILDING'")
+def _(s, d):
+    return browse.ranked(browse.chosen(bound(s, d, _LISTS), industry="BUILDING", metro=""), browse.dataset_order(recent=True)).select("industry", "metro", "position")
+
+
+@query("dataset_names", f"select industry, metro, row_number() over (order by industry, metro) - 1 as position from ({plain(_LISTS)})")
+def _(s, d):
+    return browse.ranked(bound(s, d, _LISTS), browse.dataset_order()).select("industry", "metro", "position")
+
+
+@query("review_gate", f"select idx from ({master}) where reviews_total > 1 and idx % 4 > 0")
+def _(s, d):
+    m = bound(s, d, MASTER).withColumn("profile_url", F.when(F.col("idx") % 4 == 0, " ").otherwise("u"))
+    return enrich.worth_reading(m).select("idx")
+
+
 @query("search", "select p_partkey, p_name from part where contains(lower(concat_ws(' ', p_name, p_brand, p_type)), 'ring brand#1')")
 def _(s, d):
     return browse.search(s.read.parquet(f"{d}/part.parquet"), " Ring BRAND#1 ", ["p_name", "p_brand", "p_type"]).select("p_partkey", "p_name")
@@ -575,10 +683,10 @@ def _(s, d):
 _CELL = "case p_partkey % 4 when 0 then cast(p_size as string) when 1 then p_name when 2 then null else cast(p_size * 10 as string) end"
 
 
-@query("typed_sort", f"select p_partkey, v from (select p_partkey, {_CELL} as v from part) order by case when try_cast(v as double) is null then 1 else 0 end, try_cast(v as double) desc nulls last, v desc nulls last, p_partkey limit 1500")
+@query("typed_sort", f"select p_partkey, v, row_number() over (order by case when n is null then 1 else 0 end, n desc nulls last, v desc nulls last, p_partkey) - 1 as position from (select p_partkey, {_CELL} as v, try_cast({_CELL} as double) as n from part)")
 def _(s, d):
     p = bound(s, d, f"select p_partkey, {_CELL} as v from {{part}}")
-    return p.orderBy(*browse.typed_order(F.col("v"), True), "p_partkey").limit(1500)
+    return browse.ranked(p, [*browse.typed_order(F.col("v"), True), F.col("p_partkey").asc()])
 
 
 @query("top_n", "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 10")
@@ -659,12 +767,12 @@ def _(s, d):
 # --- streams ----------------------------------------------------------------------------------------------------
 @query("stream_event_counts", "select date_trunc('hour', ts) as start, event_type, count(*) as n from events group by 1, 2")
 def _(s, d):
-    """The events as a stream that ends when all files are read, counted by hour behind a watermark."""
+    """The events as a stream that ends when all files are read, counted by hour behind a watermark; what changes goes to a table."""
     import uuid
 
     kind = s.read.parquet(f"{d}/events.parquet").schema
     stream = s.readStream.schema(kind).parquet(f"{d}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
-    name = f"counted_{uuid.uuid4().hex}"
-    counts = ingest.event_counts(stream, "ts", "event_type")
-    counts.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", f"{shared_dir(s)}/leadmill/{name}").trigger(availableNow=True).start().awaitTermination()
-    return s.table(name).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+    place = f"{shared_dir(s)}/leadmill/counted-{uuid.uuid4().hex}"
+    ingest.into_table(ingest.event_counts(stream, "ts", "event_type"), f"{place}/table", f"{place}/checkpoint", "update").awaitTermination()
+    found = ingest.newest(s.read.parquet(f"{place}/table"), ["start", "event_type"], "n")
+    return found.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")

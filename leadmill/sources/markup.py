@@ -141,6 +141,8 @@ def state(pages: DataFrame, html: str, name: str, schema: str) -> DataFrame:
     return pages.withColumn("state", F.from_json(assigned_json(F.col(html), name), schema))
 
 
+#: Fixed value: the host whose platform has another name than its first label.
+PLATFORMS = {"x.com": "twitter"}
 _WORDS = T.ArrayType(T.StringType())
 PROFILE = T.StructType([T.StructField(k, t) for k, t in {
     "name": T.StringType(), "description": T.StringType(), "followers": T.LongType(), "talking_about": T.LongType(), "checkins": T.LongType(),
@@ -160,6 +162,18 @@ def walk(node) -> Iterator[dict]:
             open_.extend(reversed(x))
 
 
+def _rated(t: str) -> tuple[int | None, int] | None:
+    """(share, reviews) of "98% recommend (12 reviews)", or of "Not yet rated (0 reviews)" without a share."""
+    head, _, tail = t.strip().lower().removesuffix(")").rpartition("(")
+    count, _, unit = tail.partition(" ")
+    if not count.isdigit() or unit.strip() not in ("review", "reviews"):
+        return None
+    share, percent, word = head.strip().partition("%")
+    if percent and share.isdigit() and word.strip() == "recommend":
+        return int(share), int(count)
+    return (None, int(count)) if head.strip() == "not yet rated" else None
+
+
 def profile(html: str) -> dict | None:
     """A social profile of its meta tags and of the typed items anywhere in its JSON."""
     from html import unescape
@@ -173,10 +187,10 @@ def profile(html: str) -> dict | None:
     of = lambda word: [t for k, t in zip(kinds, texts, strict=True) if word in k and t]
     about = metas.get("og:description", "")
     number = lambda what: next((int(m[1].replace(",", "")) for m in [re.search(rf"([\d,]+)\s+{what}", about)] if m), None)
-    rated = next((m for t in texts if (m := re.search(r"(?:(\d+)%\s*recommend|not yet rated)\s*\((\d+)\s*reviews?\)", t, re.I))), None)
+    rated = next((x for t in texts if (x := _rated(t))), None)
     return {
         "name": metas.get("og:title"), "description": about or None, "followers": number("followers?"), "talking_about": number("talking about this"), "checkins": number("were here"),
-        "recommend_percentage": int(rated[1]) if rated and rated[1] else None, "review_count": int(rated[2]) if rated else None,
+        "recommend_percentage": rated[0] if rated else None, "review_count": rated[1] if rated else None,
         "websites": of("website"), "emails": of("email"), "phones": of("phone"), "links": [t for t in texts if t.startswith("http")],
     }
 
@@ -187,16 +201,46 @@ def profile_udf(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([profile(x) or dict.fromkeys(names) for x in html], columns=names, dtype="object")
 
 
-def props(blob: Column, anchor: str, marker: str = ",null,") -> Column:
-    """The object in which an anchor text lies: it begins behind the last marker before the anchor."""
+def _around(x: str, anchor: str, marker: str, most: int) -> list[str]:
+    """The objects around the first places of an anchor text: each begins behind the last marker before its place."""
+    out, at = [], x.find(anchor)
+    while at >= 0 and len(out) < most:
+        start = x.rfind(marker + "{", 0, at)
+        found = object_at(x, start + len(marker)) if start >= 0 else None
+        if found is None:
+            break
+        out.append(found)
+        at = x.find(anchor, at + len(anchor))
+    return out
 
-    @F.pandas_udf(T.StringType())
-    def found(s: pd.Series) -> pd.Series:
-        def one(x: str) -> str | None:
-            at = x.find(anchor)
-            start = x.rfind(marker + "{", 0, at) if at >= 0 else -1
-            return object_at(x, start + len(marker)) if start >= 0 else None
 
-        return _series(one)(s)
+def all_props(blob: Column, anchor: str, most: int, marker: str = ",null,") -> Column:
+    """The objects in which an anchor text lies, of its first `most` places in order."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def found(s: pd.Series) -> pd.Series:
+        return _series(lambda x: _around(x, anchor, marker, most))(s)
 
     return found(blob)
+
+
+def props(blob: Column, anchor: str, marker: str = ",null,") -> Column:
+    """The object in which an anchor text first lies."""
+    return F.get(all_props(blob, anchor, 1, marker), 0)
+
+
+def dot_list(c: Column) -> Column:
+    """The parts of a text joined by middle dots, without blanks and without the label "Page"."""
+    return F.filter(F.transform(F.split(c, "·"), lambda x: F.trim(x)), lambda x: (x != "") & (F.lower(x) != "page"))
+
+
+def bare_website(c: Column) -> Column:
+    """A URL without query and fragment."""
+    return F.regexp_replace(F.trim(c), r"[?#].*$", "")
+
+
+def platform(url: Column, known: dict[str, str] | None = None) -> Column:
+    """The social platform of a URL by its host: a known one, else the host's first label, else "other"."""
+    host = F.regexp_replace(F.lower(F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.lit(""))), r"^www\.", "")
+    named = F.coalesce(*[F.when(host == h, F.lit(p)) for h, p in (known or PLATFORMS).items()])
+    return F.when(host == "", F.lit("other")).otherwise(F.coalesce(named, F.substring_index(host, ".", 1)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,16 +46,23 @@ def gazetteer(spark: SparkSession, path: str) -> DataFrame:
 def listing_csv(spark: SparkSession, *paths: str) -> DataFrame:
     """Listings or masters as written by any run: all texts, blanks as nulls, columns by name across files.
 
-    row_idx keeps file and line order for everything that lets the first row win: files by path, rows as they are
-    in the file.
+    row_idx is a struct (file, line) that keeps file and row order for everything that lets the first row win: files
+    by path, rows as they are in the file.  Files with the same header are read together, so the plan grows with the
+    headers there are, not with the files; only one header a file reaches the driver.
     """
-    from functools import reduce
-
-    def one(path: str, n: int) -> DataFrame:
-        df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("quote", '"').csv(path)
-        return df.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns], (F.lit(n) * F.lit(1 << 40) + F.monotonically_increasing_id()).alias("row_idx"))
-
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [one(p, n) for n, p in enumerate(sorted(paths))])
+    first = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
+    headers: dict[str, list[str]] = {}
+    for r in first.where("block = 0").groupBy("file").agg(F.min_by("value", "n").alias("header")).toLocalIterator():
+        headers.setdefault(r.header, []).append(r.file)
+
+    def one(files: list[str]) -> DataFrame:
+        df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("quote", '"').csv(sorted(files))
+        row = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
+        return df.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns], row.alias("row_idx"))
+
+    if not headers:
+        raise ValueError("no listing file has a header")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [one(headers[h]) for h in sorted(headers)])
 
 
 def checkpoints(spark: SparkSession, folder: str, industry: str) -> DataFrame:

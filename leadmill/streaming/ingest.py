@@ -15,25 +15,26 @@ def landing(spark: SparkSession, path: str, schema: T.StructType, files_per_trig
 
 
 def first_seen(stream: DataFrame, phone: str, stamp: str, delay: str = "7 days") -> DataFrame:
-    """One row a phone within the watermark: the state holds the keys of that time only.  Rows without a phone pass."""
-    keyed = stream.withWatermark(stamp, delay).withColumn("phone_key", F.coalesce(text.phone_key(F.col(phone)), F.concat(F.lit("row-"), F.uuid())))
-    return keyed.dropDuplicatesWithinWatermark(["phone_key"])
+    """One row a phone within the watermark: the state holds the phones of that time only.  Rows without a phone pass by the state."""
+    keyed = stream.withColumn("phone_key", text.phone_key(F.col(phone))).withWatermark(stamp, delay)
+    once = keyed.where("phone_key is not null").dropDuplicatesWithinWatermark(["phone_key"])
+    return once.unionByName(keyed.where("phone_key is null"))
 
 
 def event_counts(stream: DataFrame, stamp: str, kind: str, window: str = "1 hour", delay: str = "2 hours") -> DataFrame:
     return stream.withWatermark(stamp, delay).groupBy(F.window(stamp, window), kind).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), kind, "n")
 
 
-def into_table(stream: DataFrame, path: str, checkpoint: str, key: str) -> StreamingQuery:
-    """Append new keys to a Parquet table.  A batch that runs again after a failure finds its keys there and adds nothing."""
+def into_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
+    """Every micro-batch as a part of a Parquet table, batch=N.  A batch that runs again after a failure replaces its
+    own part and reads nothing of the others, so rows are neither lost nor repeated, whatever their keys."""
 
-    def batch(df: DataFrame, _: int) -> None:
-        spark = df.sparkSession
-        Path = spark._jvm.org.apache.hadoop.fs.Path
-        there = Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(Path(path))
-        new = df.dropDuplicates([key])
-        if there:
-            new = new.join(spark.read.schema(df.schema).parquet(path).select(key), key, "left_anti").select(*df.columns)
-        new.write.mode("append").parquet(path)
+    def batch(df: DataFrame, n: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={n}")
 
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(batch).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def newest(table: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The last value of each key in a table of updates that `into_table` wrote."""
+    return table.groupBy(*keys).agg(F.max_by(value, "batch").alias(value))

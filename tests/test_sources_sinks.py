@@ -83,16 +83,57 @@ def test_sinks(spark, tmp_path):
 
 def test_streaming(spark, tmp_path, data):
     out, land = str(tmp_path / "out"), str(tmp_path / "in")
-    rows = spark.createDataFrame([(1, "3056424409"), (2, "(305) 642-4409"), (3, "3050000000")], "id int, phone string").withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    rows = spark.createDataFrame([(1, "3056424409"), (2, "(305) 642-4409"), (3, "3050000000"), (4, None), (5, None)], "id int, phone string").withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp"))
     rows.coalesce(1).write.parquet(land)
     for _ in range(2):  # the second run finds all done
         stream = ingest.first_seen(ingest.landing(spark, land, rows.schema), "phone", "ts")
-        ingest.into_table(stream, out, str(tmp_path / "ck"), "phone_key").awaitTermination()
-    assert spark.read.parquet(out).count() == 2
-    events = spark.readStream.schema(spark.read.parquet(f"{data}/events.parquet").schema).parquet(f"{data}/events.parquet*")
-    counts = ingest.event_counts(events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type")
-    counts.writeStream.outputMode("complete").format("memory").queryName("counted").trigger(availableNow=True).start().awaitTermination()
-    assert spark.table("counted").agg(F.sum("n")).first()[0] == spark.read.parquet(f"{data}/events.parquet").count()
+        ingest.into_table(stream, out, str(tmp_path / "ck")).awaitTermination()
+    assert spark.read.parquet(out).count() == 4 and spark.read.parquet(out).where("phone is null").count() == 2
+
+
+def test_a_batch_that_runs_again_adds_nothing(spark, tmp_path):
+    land, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    rows = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "id int, key string")
+    rows.coalesce(1).write.parquet(land)
+    ingest.into_table(ingest.landing(spark, land, rows.schema), out, ck).awaitTermination()
+    for name in ("0", ".0.crc"):  # as if the run had ended before the batch was noted as done
+        (tmp_path / "ck" / "commits" / name).unlink(missing_ok=True)
+    ingest.into_table(ingest.landing(spark, land, rows.schema), out, ck).awaitTermination()
+    assert sorted(map(str, spark.read.parquet(out).select("id", "key").collect())) == sorted(map(str, rows.collect()))
+
+
+def test_rows_survive_a_failed_replacement(spark, tmp_path):
+    path = tmp_path / "csv"
+    writers.csv(spark.createDataFrame([(1, "a")], "id int, name string"), str(path))
+    path.rename(tmp_path / "csv.old")  # a run that failed between its two renames
+    writers.csv(spark.createDataFrame([(2, "x")], "id int, extra string"), str(path))
+    writers.csv(spark.createDataFrame([(3, "y")], "id int, more string"), str(path))
+    assert sorted(r.id for r in spark.read.option("header", True).csv(str(path)).collect()) == ["1", "2", "3"]
+    assert not (tmp_path / "csv.old").exists()
+
+
+def test_row_order_of_many_files(spark, tmp_path):
+    for i in range(40):
+        header = "name,x" if i % 3 else "x,name"
+        (tmp_path / f"f{i:02d}.csv").write_text("\n".join([header, *(f"{i},{k}" for k in range(5))]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = tables.listing_csv(spark, *[str(p) for p in tmp_path.glob("*.csv")]).orderBy("row_idx").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len({r.row_idx for r in got}) == 200
+    assert [(r.name, r.x) if i // 5 % 3 else (r.x, r.name) for i, r in enumerate(got)] == [(str(i), str(k)) for i in range(40) for k in range(5)]
+
+
+def test_rows_without_a_status_are_published_and_counted(spark):
+    from leadmill.plans.bindings import MASTER, bound
+
+    rows = bound(spark, "/root/testdata/sf0.001", MASTER).limit(2).withColumn("match_status", F.when(F.monotonically_increasing_id() > 0, "a_only"))
+    _, counts = publish.published(rows, "2024-06-01", ["list_id"])
+    got = counts.agg(*[F.sum(c).alias(c) for c in counts.columns if c != "list_id"]).first()
+    assert sum(got) == 2
 
 
 def test_profiles(spark):
@@ -106,6 +147,11 @@ def test_profiles(spark):
     pro = spark.createDataFrame([(f"<script>self.__next_f.push([1,{json.dumps(blob)}])</script>",), ("<p>",)], "html string").coalesce(1)
     rows = profiles.pros_details(pro.withColumn("u", F.lit(1))).collect()
     assert (rows[0].name, rows[0].phone, rows[0].overall_rating, rows[0].review_count, rows[0].is_paid_pro, rows[0].categories) == ("N", None, 4.5, None, True, ["c"]) and rows[1].name is None
+    more = blob + ',null,{"subHeaderDescriptions":[{"subHeader":"Warranties","description":"Yes"}]},null,{"subHeaderDescriptions":[{"subHeader":"1 Main St, Elgin, IL 60120","description":"a.com","link":"x"}]},null,{"subHeaderDescriptions":[{"description":"About"}],"highlights":[{"typeId":3,"value":"v"},{"typeId":4},{}]},null,{"bonded":"Yes","insured":"$undefined","licenses":["L1",{"n":1}]},null,{"averageRating":4.1,"reviewCount":7,"distribution":[{"star":5,"count":2,"percentage":50.0},{"star":1}]},null,{"isShowVerifiedReview":true,"isShowRatings":true,"reviews":[{"text":" it&#39;s ","rating":5,"isVerified":true,"reviewerName":"$undefined"}]}'
+    full = profiles.pros_details(spark.createDataFrame([(f"<script>self.__next_f.push([1,{json.dumps(more)}])</script>",)], "html string")).first()
+    assert (full.review_count, full.website, full.street, full.city, full.zip_code, full.about_us, full.highlights) == (7, "a.com", "1 Main St", "Elgin", "60120", "About", ["typeId:3=v", "typeId:4"])
+    assert (full.bonded, full.insured, full.licenses, [x.star for x in full.rating_breakdown]) == ("Yes", None, ["L1", '{"n":1}'], [5])
+    assert [(x.text, x.rating, x.is_verified, x.reviewer_name) for x in full.reviews] == [("it's", 5.0, True, None)]
     first = profiles.pros_listing(pro).first()
     assert (first.profile_urls, first.result_count, first.page) == (["/companylist/a", "/companylist/b"], 19, 1)
     assert spark.range(1).select(profiles.facebook_url(profiles.socials_of(F.lit('[{"platform": "x", "url": "n"}, {"platform": "facebook", "url": "f"}]')))).first()[0] == "f"
