@@ -11,14 +11,17 @@ The templates are the only table that goes to every task; they are bounded by MO
 scanned whole where they lie, several short ones at a time and long ones in overlapping pieces; nothing is shuffled.
 
 Defined results: null and empty texts hold no license; null doc_ids are scanned like others; repeated rows give equal
-rows; an empty template never matches; overlapping places of one template are reported as one; an empty table gives
-no rows.
+rows; an empty template never matches; overlapping places of one license are reported as one, and so are those of
+licenses that differ in a clause (`settled`); texts of any length are scanned whole; other columns are not read; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +39,15 @@ PIECE = 1 << 17
 TEXT_PIECE = 1 << 20
 WORD, BLANK = re.compile(r"[^\W_]+"), re.compile(r"\s")
 
-#: License notices and the openings of license texts: fixed public wording.
-TEMPLATES = {
+#: License notices: fixed public wording.  Full texts are in the folder `templates`, a file for each license.
+NOTICES = {
     "Apache-2.0": ("Licensed under the Apache License, Version 2.0.", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'),
     "MIT": ("Released under the MIT License.", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.'),
-    "BSD-3-Clause": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",),
+    "GPL-2.0": ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",),
+    "LGPL-2.1": ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",),
+    "LGPL-3.0": ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",),
+    "AGPL-3.0": ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",),
+    "BSD": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",),
     "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
@@ -50,6 +57,12 @@ TEMPLATES = {
 }
 
 
+def library() -> list[tuple[str, str]]:
+    """(license, text) of all notices and full texts."""
+    texts = [(f.stem, f.read_text("utf-8")) for f in sorted((Path(__file__).parent / "templates").glob("*.txt"))]
+    return [(name, x) for name, notices in NOTICES.items() for x in notices] + texts
+
+
 class _Hashes(dict):
     def __missing__(self, word: str) -> int:
         if len(self) > 1_000_000:
@@ -164,21 +177,42 @@ FOUND_DDL = "array<struct<license: string, first_word: long, words: long, contai
 
 
 def merged(places: list[tuple[str, int, int, float]]) -> list[dict]:
-    """Places of one license that overlap become the best of them; in text order."""
+    """Places of one license that overlap become one: the longer if it is more than twice as long (a text before the notice in it), else the better; then `settled`; in text order."""
     out: list[dict] = []
     for name, at, n, c in sorted(set(places), key=lambda p: (p[0], p[1], -p[3])):
         last = out[-1] if out else None
         if last and last["license"] == name and at < last["first_word"] + last["words"]:
-            if (c, n) > (last["containment"], last["words"]):
+            m = last["words"]
+            if n > 2 * m or (m <= 2 * n and (c, n) > (last["containment"], m)):
                 last |= {"first_word": at, "words": n, "containment": c}
         else:
             out.append({"license": name, "first_word": at, "words": n, "containment": c})
-    return sorted(out, key=lambda p: (p["first_word"], p["license"]))
+    return sorted(settled(out), key=lambda p: (p["first_word"], p["license"]))
+
+
+def settled(places: list[dict]) -> list[dict]:
+    """Licenses that differ in a clause hold most of each other: of overlapping places, neither twice as long as the other, the one
+    with the greater containment stays (then the longer one, then the earlier one)."""
+    kept: dict[int, list[tuple[int, int]]] = {}  # by binary length: places of about one length that stay don't overlap
+    out = []
+    for p in sorted(places, key=lambda p: (-p["containment"], -p["words"], p["first_word"], p["license"])):
+        first, n = p["first_word"], p["words"]
+        near = (q for b in (n.bit_length() - 1, n.bit_length(), n.bit_length() + 1) for q in _around(kept.get(b, []), first, first + n))
+        if not any(max(n, m) <= 2 * min(n, m) for _, m in near):
+            insort(kept.setdefault(n.bit_length(), []), (first, n))
+            out.append(p)
+    return out
+
+
+def _around(held: list[tuple[int, int]], start: int, end: int) -> list[tuple[int, int]]:
+    """Of sorted places that don't overlap: those that overlap [start, end)."""
+    at = bisect_left(held, (start,))
+    return [q for q in held[max(0, at - 1) : bisect_left(held, (end,))] if q[0] + q[1] > start]
 
 
 def found(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """(doc_id, licenses): the verified places of every document."""
-    templates = templates if templates is not None else [(k, x) for k, texts in TEMPLATES.items() for x in texts]
+    templates = templates if templates is not None else library()
     if sum(len(x or "") for _, x in templates) > 8 * MOST_TEMPLATES:
         raise ValueError("too many templates to send to every task")
 

@@ -4,27 +4,39 @@ from leadmill.llm import licenses
 
 
 def brute(text, templates):
-    words, out = licenses.WORD.findall((text or "").lower()), set()
+    """Names of the places that stand: best stretches of every template, then the best of overlapping ones, all pairs compared."""
+    words, places = licenses.WORD.findall((text or "").lower()), []
     for name, t in templates:
         own = licenses.WORD.findall(t.lower())
         size = min(licenses.WORDS, len(own))
         shingles = {tuple(own[i : i + size]) for i in range(len(own) - size + 1)}
         there = [(i, s) for i in range(len(words) - size + 1) if (s := tuple(words[i : i + size])) in shingles]
         span = len(own) - size + 1
-        if any(len({s for j, s in there if p <= j < p + span}) >= licenses.CONTAINED * len(shingles) for p, _ in there):
-            out.add(name)
-    return out
+        while there:
+            got, first = max((len({s for j, s in there if p <= j < p + span}), -p) for p, _ in there)
+            if got < licenses.CONTAINED * len(shingles):
+                break
+            end = max(j for j, _ in there if -first <= j < -first + span) + size
+            places.append((name, -first, end, got / len(shingles)))
+            there = [(j, s) for j, s in there if j + size <= -first or j >= end]
+    meets = lambda p, q: p[1] < q[2] and q[1] < p[2]
+    alike = lambda p, q: max(p[2] - p[1], q[2] - q[1]) <= 2 * min(p[2] - p[1], q[2] - q[1])
+    kept, places = [], [p for p in places if not any(p[0] == q[0] and meets(p, q) and q[2] - q[1] > 2 * (p[2] - p[1]) for q in places)]
+    for p in sorted(places, key=lambda p: (-p[3], p[1] - p[2], p[1], p[0])):
+        if not any(meets(p, q) and (p[0] == q[0] or alike(p, q)) for q in kept):
+            kept.append(p)
+    return {p[0] for p in kept}
 
 
 def test_brute_force(spark, data):
-    templates = [(k, x) for k, texts in licenses.TEMPLATES.items() for x in texts]
+    templates = [(k, x) for k, x in licenses.library() if len(x) < 2000]
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
     r = random.Random(3)
     for _, x in templates:
         for rate in (0, 0.01, 0.03):
             words = [w if r.random() >= rate else "zzz" for w in x.split()]
             docs.append((len(docs) + 10_000, " ".join([*r.choice(docs)[1].split()[: r.randrange(300)], *words, "tail", "text"])))
-    got = {x.doc_id: {p.license for p in x.licenses} for x in licenses.found(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    got = {x.doc_id: {p.license for p in x.licenses} for x in licenses.found(spark.createDataFrame(docs, "doc_id long, text string"), templates).collect()}
     want = {d: brute(t, templates) for d, t in docs}
     missed = sum(len(want[d] - got[d]) for d in want)
     assert sum(map(len, want.values())) > 50 and missed <= 1 and all(got[d] <= want[d] for d in want)
@@ -52,7 +64,7 @@ def test_long_texts_in_pieces(monkeypatch):
 
 
 def test_every_copy_is_a_place(spark):
-    notice = licenses.TEMPLATES["MIT"][1]
+    notice = licenses.NOTICES["MIT"][1]
     size = len(licenses.WORD.findall(notice))
     docs = []
     for gaps in ([300, 20], [300, 0], [0, 5, 90, 200], [500, 1, 1, 1]):
@@ -77,3 +89,25 @@ def test_bands_of_partial_copies_and_long_templates():
         words = licenses.word_hashes(f"a b c {text} d", licenses._Hashes())
         found = licenses.Templates([("long", text)]).scan(words, words * 0)
         assert licenses.merged([("long", *p[1:]) for p in found]) == [{"license": "long", "first_word": 3, "words": count, "containment": 1.0}]
+
+
+def test_full_texts(spark):
+    """Every full text is found as itself alone, from its first word, also with words changed; clauses tell BSD texts apart."""
+    full = [(k, x) for k, x in licenses.library() if len(x) > 600 and x not in sum(licenses.NOTICES.values(), ())]
+    r, docs = random.Random(8), []
+    for k, x in full:
+        words = x.split()
+        docs.append((k, "some words before " + x))
+        docs.append((k, " ".join(["before it"] + [w if r.random() > 0.01 else "zzz" for w in words] + ["and after"])))
+    got = licenses.found(spark.createDataFrame([(i, x) for i, (_, x) in enumerate(docs)], "doc_id long, text string")).collect()
+    assert {k for k, _ in full} >= {"MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0"}
+    for row in got:
+        best = max(row.licenses, key=lambda p: p.words)
+        assert best.license == docs[row.doc_id][0] and best.containment > 0.85 and best.first_word <= 3 + 12, (docs[row.doc_id][0], row.licenses)
+        assert not {p.license for p in row.licenses if p.words > 100} - {best.license}
+
+
+def test_settled():
+    place = lambda name, at, n, c: {"license": name, "first_word": at, "words": n, "containment": c}
+    a, b, c, d = place("A", 0, 100, 0.9), place("B", 10, 80, 1.0), place("C", 20, 5, 1.0), place("D", 95, 90, 0.95)
+    assert licenses.settled([a, b, c, d]) == [b, c, d] and licenses.settled([]) == []
