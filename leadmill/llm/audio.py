@@ -4,9 +4,14 @@ The stored form is a mono 8 kHz WAV file.  mu-law and A-law carry one sample a b
 lookup tables.  IMA ADPCM carries two samples a byte in blocks of 196 bytes (4 of header, 192 of nibbles); the
 blocks are independent, so decoding walks the 384 nibbles of a block once for all blocks of a file or batch.
 
+Files and PCM are columns: `stored` makes the files, `decoded` reads them back and adds the PCM.  A task holds PORTION
+bytes of texts or files at a time, or one longer text, with what is made of them.
+
 Defined results: null text is empty text; an empty text is one unit of blanks; null media gives null results;
 media that is not such a WAV raises ValueError in `read_wav` and gives null results in `decoded`.
-Texts of any length are cut into pieces for decoding, never shortened.  Equal bytes give equal results.
+Texts of any length are cut into pieces for decoding, never shortened; PCM of more than MOST_PCM bytes is null, as one value
+can't hold it, with all its features.  Equal bytes give equal results; repeated rows stay; an empty table gives no rows.
+`decoded` keeps other columns and replaces those it adds; `stored` reads its two columns only.
 """
 
 from __future__ import annotations
@@ -18,10 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import need
+from .common import written
 
 UNIT, HEADER, RATE, OUT_RATE = 192, 4, 8000, 16000
 ULAW, ALAW, IMA = "ulaw", "alaw", "ima"
@@ -37,6 +43,10 @@ STEPS = np.array([
     7845, 8630, 9493, 10442, 11487, 12635, 13899, 15289, 16818, 18500, 20350, 22385, 24623, 27086, 29794, 32767], np.int32)
 #: Samples that are expanded at a time.
 PIECE = 1 << 20
+#: Bytes of texts or files that a task turns into rows at a time.
+PORTION = 1 << 20
+#: PCM of more bytes is not kept as one value; its features are complete all the same.
+MOST_PCM = 1 << 30
 
 
 def ulaw_table() -> np.ndarray:
@@ -210,54 +220,60 @@ def features(codec: str, pieces: Iterator[np.ndarray], keep: bool = False) -> tu
     return text, b"".join(kept) if keep else None
 
 
+def portions(b: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts whose texts or files hold about PORTION bytes, a longer one by itself."""
+    upto = np.cumsum(np.nan_to_num(pc.binary_length(b.column(column)).to_numpy(zero_copy_only=False)))
+    start = 0
+    while start < b.num_rows:
+        end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + PORTION, side="right")))
+        yield b.slice(start, end - start)
+        start = end
+
+
 def stored(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_bytes, media): every text as a telephony file."""
 
     def each(batches):
         for b in batches:
-            for k, x in zip(b.column(0), b.column(1), strict=True):
-                n, payload = payload_of(x.as_py())
-                yield pa.RecordBatch.from_arrays([pa.array([k.as_py()], b.schema[0].type), pa.array([n], pa.int64()), pa.array([wav(payload, codec_for(payload))], pa.binary())], ["key", "n_bytes", "media"])
+            for part in portions(b, 1):
+                made = [payload_of(x) for x in part.column(1).to_pylist()]
+                files = [wav(payload, codec_for(payload)) for _, payload in made]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([n for n, _ in made], pa.int64()), pa.array(files, pa.binary())], ["key", "n_bytes", "media"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return need(docs, key, text).mapInArrow(each, f"key {kind}, n_bytes long, media binary").withColumnRenamed("key", key)
-
-
-def decoded(files: DataFrame, key: str = "doc_id", media: str = "media") -> DataFrame:
-    """(key, pcm, feature): 16-bit little-endian mono PCM at OUT_RATE of every file; nulls where it can't be read."""
+    return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).mapInArrow(each, f"key {kind}, n_bytes long, media binary").withColumnRenamed("key", key)
 
-    def each(batches):
-        for b in batches:
-            files = b.column(1).to_pylist()
-            for k, raw, pieces in zip(b.column(0), files, expanded(files), strict=True):
-                row = (None, None) if pieces is None else features(read_wav(raw)[0], pieces, keep=True)
-                yield pa.RecordBatch.from_arrays([pa.array([k.as_py()], b.schema[0].type), pa.array([row[1]], pa.binary()), pa.array([row[0]], pa.string())], ["key", "pcm", "feature"])
 
-    kind = files.schema[key].dataType.simpleString()
-    return need(files, key, media).mapInArrow(each, f"key {kind}, pcm binary, feature string").withColumnRenamed("key", key)
+#: What is known of a file once it is read: its payload, the file itself, its samples.
+READ = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string(), "pcm": pa.binary()}
+READ_DDL = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, pcm binary"
 
 
-DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+def _read(raw: bytes | None, pieces: Iterator[np.ndarray] | None) -> tuple:
+    if pieces is None:
+        return (None,) * len(READ)
+    back = payload_back(raw)
+    feature, pcm = features(read_wav(raw)[0], pieces, keep=8 * len(back) <= MOST_PCM)
+    return len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(raw), hashlib.sha256(raw).hexdigest(), feature, pcm
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """One pass over the texts: store, read the stored bytes back, decode, resample and digest.
-
-    The files themselves are of `stored` and `decoded`; here they stay in the task that made them, one at a time.
-    """
+def decoded(files: DataFrame, media: str = "media") -> DataFrame:
+    """files with the columns of READ: pcm is 16-bit little-endian mono at OUT_RATE; all null where a file can't be read."""
+    kept = [c for c in files.columns if c not in READ and c != media]
 
     def each(batches):
         for b in batches:
-            for part in (b.slice(at, 512) for at in range(0, b.num_rows, 512)):
-                made = [payload_of(x) for x in part.column(1).to_pylist()]
-                files = [wav(payload, codec_for(payload)) for _, payload in made]
-                rows = []
-                for k, (n, _), media, pieces in zip(part.column(0).to_pylist(), made, files, expanded(files), strict=True):
-                    back = payload_back(media)
-                    rows.append((k, n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), features(read_wav(media)[0], pieces)[0]))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), SCHEMA.types, strict=True)], schema=SCHEMA)
+            for part in portions(b, 0):
+                raw = part.column(0).to_pylist()
+                rows = [_read(x, pieces) for x, pieces in zip(raw, expanded(raw), strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array([r[k] for r in rows], t) for k, t in enumerate(READ.values()))], [*part.schema.names, *READ])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(each, DIGEST)
+    rows = files.select(F.col(f"`{media}`").alias("__media"), *[F.col(f"`{c}`").alias(f"__{k}") for k, c in enumerate(kept)])
+    out = rows.mapInArrow(each, ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in rows.schema] + [READ_DDL]))
+    return out.select(*[F.col(f"__{k}").alias(c) for k, c in enumerate(kept)], F.col("__media").alias(media), *READ)
 
 
-SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
+def digests(docs: DataFrame) -> DataFrame:
+    """Every text stored as a file, read back from the table that holds it, expanded and resampled: its digests, the file and its PCM."""
+    files = written(stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")), "media")
+    return decoded(files).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "media", "pcm")

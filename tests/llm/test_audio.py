@@ -1,8 +1,11 @@
 import hashlib
+import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from leadmill.llm import audio
 
@@ -57,11 +60,43 @@ def test_operator(spark):
         padded = raw.ljust(max(1, -(-len(raw) // 192)) * 192, b" ")
         r = got[i]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-16:]))
-    assert got[2].asDict() | {"doc_id": 0} == got[5].asDict() | {"doc_id": 0}
+    assert got[2].asDict() | {"doc_id": 0} == got[5].asDict() | {"doc_id": 0} and got[2].pcm
     files = audio.stored(docs)
-    assert {r.doc_id: (len(r.media), hashlib.sha256(r.media).hexdigest()) for r in files.collect()} == {k: (r.media_bytes, r.media_sha256) for k, r in got.items()}
-    pcm = {r.doc_id: r for r in audio.decoded(files).collect()}
-    assert all(pcm[k].feature == r.feature and f"pcm_crc32={zlib.crc32(pcm[k].pcm)}" in r.feature for k, r in got.items())
-    odd = spark.createDataFrame([(1, None), (2, bytearray(b"no wav")), (3, bytearray(b""))], "doc_id long, media binary")
-    assert all(r.pcm is None for r in audio.decoded(odd).collect())
+    assert {r.doc_id: (r.media, len(r.media), hashlib.sha256(r.media).hexdigest()) for r in files.collect()} == {k: (r.media, r.media_bytes, r.media_sha256) for k, r in got.items()}
+    assert all(f"pcm_crc32={zlib.crc32(r.pcm)}" in r.feature for r in got.values())
+    odd = spark.createDataFrame([(1, None, "a"), (2, bytearray(b"no wav"), "b"), (3, bytearray(b""), None)], "doc_id long, media binary, feature string").withColumn("and `more`", F.lit(1))
+    back = audio.decoded(odd.withColumnRenamed("and `more`", "more"))
+    assert back.columns == ["doc_id", "more", "media", *audio.READ] and all(r.pcm is None and r.feature is None for r in back.collect()) and back.count() == 3
     assert audio.digests(docs.limit(0)).count() == 0
+
+
+def plain_features(payload: bytes, codec: str) -> str:
+    """Expansion, interpolation and features sample by sample."""
+    if codec == audio.IMA:
+        x = [v for at in range(0, len(payload), audio.UNIT) for v in slow_ima(bytes(audio.HEADER) + payload[at : at + audio.UNIT])]
+    else:
+        x = [int(audio.TABLES[codec][b]) for b in payload]
+    taps = [int(t) for t in audio.TAPS]
+    y, at = [], lambda k: x[k] if 0 <= k < len(x) else 0
+    for k, v in enumerate(x):
+        y += [v, max(-32768, min(32767, (sum(t * at(k + j - 3) for j, t in enumerate(taps)) + 16384) >> 15))]
+    crossings = sum((a < 0) != (b < 0) for a, b in zip(y, y[1:], strict=False))
+    crc = zlib.crc32(struct.pack(f"<{len(y)}h", *y))
+    return f"codec={codec};rate={audio.OUT_RATE};samples={len(y)};rms={(sum(v * v for v in y) / len(y)) ** 0.5:.4f};peak={max(map(abs, y))};crossings={crossings};pcm_crc32={crc}"
+
+
+@pytest.mark.parametrize("codec", [audio.ULAW, audio.ALAW, audio.IMA])
+def test_features_beside_plain_python(codec):
+    payload = np.random.default_rng(4).integers(0, 256, 192 * 6, dtype=np.uint8).tobytes()
+    feature, pcm = audio.features(codec, audio.expand(audio.wav(payload, codec)), keep=True)
+    assert feature == plain_features(payload, codec) and len(pcm) % 4 == 0
+
+
+def test_portions_bound_what_a_task_holds(spark, monkeypatch):
+    b = pa.record_batch([pa.array(["a" * 400, None, "b" * 700, "c" * 5000, "", "d"])], ["t"])
+    monkeypatch.setattr(audio, "PORTION", 1000)
+    parts = [p.column(0).to_pylist() for p in audio.portions(b, 0)]
+    assert [x for p in parts for x in p] == b.column(0).to_pylist() and all(len(p) == 1 or sum(len(x or "") for x in p) <= 1000 for p in parts)
+    monkeypatch.setattr(audio, "MOST_PCM", 1000)
+    got = audio.digests(spark.createDataFrame([(1, "a"), (2, "long " * 500)], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.pcm is None for r in got} == {1: True, 2: True} and all("pcm_crc32" in r.feature for r in got)
