@@ -64,11 +64,6 @@ def local_table(spark: SparkSession, columns: dict[str, pa.Array]) -> DataFrame:
     return spark.createDataFrame(pa.table(columns))
 
 
-def need(df: DataFrame, *names: str) -> DataFrame:
-    """Only the columns an operator reads; whatever else a table has, clashing names included, stays out of its way."""
-    return df.select(*[F.col(f"`{n}`") for n in names])
-
-
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -78,8 +73,8 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
 
     Alternating large-star and small-star rounds: each is a grouped minimum (combined map-side, so a hub costs
     one row a task) and a join back.  The minima of the large star are written first, so that join has no grouping
-    right below it and a hub can be split.  The edges are written after each round;
-    only their count and a checksum reach the driver.  Rounds grow with the logarithm of the component size.
+    right below it and a hub can be split.  The edges are written after each round; only their count and a checksum
+    reach the driver.  Rounds grow with the logarithm of the component size.
     No edges: no rows.  Self-loops and repeated edges change nothing.
     """
     e = edges.select(F.greatest(u, v).alias("a"), F.least(u, v).alias("b")).where("a <> b").distinct()

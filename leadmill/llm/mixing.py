@@ -11,7 +11,8 @@ source may hold any part of the rows.
 
 Defined results: a null text has size 0; null sources are a source of their own, last in order; rows of size 0 are
 taken by whole passes only and add nothing; an empty table gives no rows; rows equal in doc_id, source and size
-are interchangeable.  The same input and seed give the same mix.
+are interchangeable; texts of any length are counted whole (a length is one row of a histogram, whatever it is);
+other columns stay, and those that the mix adds to its own tables can't meet them.  The same input and seed give the same mix.
 """
 
 from __future__ import annotations

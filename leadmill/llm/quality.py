@@ -10,7 +10,8 @@ on every run; corpus size does not change it otherwise.
 
 Defined results: null texts count as empty; an empty text has all statistics zero and is scored like any other; a
 null doc_id is scored, is not held out and is never learned from; repeated rows get equal scores; without labels
-of both kinds every score is the smoothed share of label 1; an empty table gives no rows.
+of both kinds every score is the smoothed share of label 1; texts of any length are measured whole; other columns stay and
+can't meet the statistics, whose names are prefixed; an empty table gives no rows.
 """
 
 from __future__ import annotations

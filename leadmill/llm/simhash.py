@@ -17,7 +17,8 @@ keeps every component whole without emitting all its pairs.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; fewer words than a
 shingle count as one shingle; a null doc_id is kept and never chosen as a component's id unless all are null;
-repeated rows stay repeated.  Texts are read whole, in pieces of bounded memory.
+repeated rows stay repeated; an empty table gives no rows; other columns are not read.  Texts are read whole, in pieces of
+bounded memory.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ place within a range into the position in the whole history.
 
 Defined results: null html is an empty payload; null urls have an empty key; a null page_id is written as an empty
 number, never the response of others if any has a number, and read back as null; repeated rows are separate
-records, and of rows equal in page_id and payload all are responses or all revisits; an empty table gives no rows.
+records, and of rows equal in page_id and payload all are responses or all revisits; payloads of any length are written
+whole, and an archive is read in one task, so its size is ARCHIVE_RECORDS pages; other columns are not read; an empty
+table gives no rows.  A revisit names its response by WARC-Refers-To, its URL and date, and by page number in X-Refers-To-Page.
 """
 
 from __future__ import annotations

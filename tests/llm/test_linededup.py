@@ -98,3 +98,11 @@ def test_passage(spark):
     assert linededup.deduplicated(docs.limit(0)).count() == 0
     copies = spark.createDataFrame([(i, passage) for i in (4, 4, 5)], "doc_id long, text string")
     assert sorted((r.doc_id, r.text) for r in linededup.deduplicated(copies).collect()) == [(4, passage), (4, passage), (5, "")]
+
+
+def test_long_text_and_clashing_columns(spark):
+    r = random.Random(9)
+    base = [f"w{r.randrange(10**6)}" for _ in range(400_000)]
+    docs = spark.createDataFrame([(2, " ".join(base), 1, 1), (1, " ".join(base[200_000:200_060]), 1, 1)], "doc_id long, text string, g int, removed int")
+    got = {x.doc_id: x for x in linededup.deduplicated(docs).collect()}
+    assert [tuple(s) for s in got[2].removed] == [(200_000, 200_060)] and not got[1].removed and got[2].g == 1 and got[2].n_words == 400_000

@@ -232,3 +232,17 @@ def test_decontamination_of_a_large_benchmark(spark, data, monkeypatch):
         assert sorted(map(tuple, decontam.contaminated(docs, bench).collect())) == want
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_long_texts_and_clashing_columns(spark):
+    """A text of a million words with an item in its midst, and a turn of a million words; columns named like the operators' own."""
+    item = "the quick brown fox jumps over one lazy dog by the old river bank"
+    docs = spark.createDataFrame([(1, "word " * 700_000 + item + " word" * 300_000, 1, 2, 3), (2, "word " * 50, 1, 2, 3)], "doc_id long, text string, h int, place int, item_id int")
+    items = spark.createDataFrame([(5, item, 9)], "item_id long, text string, seed int")
+    assert [(r.doc_id, r.item_id, r.place) for r in decontam.contaminated(docs, items).collect()] == [(1, 5, 700_000)]
+    left = decontam.clean(docs, items)
+    assert [r.doc_id for r in left.collect()] == [2] and left.columns == docs.columns
+    turns = spark.createDataFrame([(1, 0, "system", "be kind", 1, 2), (1, 1, "user", "w " * 1_000_000, 1, 2), (1, 2, "assistant", "ok", 1, 2)], "conv_id long, turn long, role string, text string, window int, block int")
+    got = chat.windows(turns).orderBy("window").collect()
+    assert [(w.window, w.tokens) for w in got] == [(0, 2), (1, 1_000_000), (2, 3)] and got[1].formatted.startswith("<turn role=user>w w ")
+    assert chat.read_back(chat.windows(turns)).first().n_turns == 3

@@ -1,5 +1,10 @@
+import math
+import re
+import zlib
+
 import numpy as np
 import pytest
+import regex
 
 from leadmill.llm import quality
 
@@ -42,3 +47,28 @@ def test_edges(spark):
     assert len(got) == 5 and {r.score for r in got} == {0.5} and not [r for r in got if r.doc_id is None][0].held_out
     assert quality.accepted(docs, none).columns == docs.columns and quality.accepted(docs, none).count() == 5
     assert quality.digests(docs.limit(0), none).count() == 0
+
+
+def plain_statistics(text):
+    words, lines, n = re.findall(r"[^\x20\x09-\x0D]+", text), text.split("\n"), len(text)
+    if not text:
+        return [0.0] * len(quality.FEATURES)
+    k, share = max(1, len(words)), lambda pattern: len("".join(regex.findall(pattern, text))) / max(1, n)
+    return [n, len(words), n / k, len(set(words)) / k, sum(a == b for a, b in zip(words, words[1:], strict=False)) / k, share(r"\p{Lu}"), share(r"[^\p{L}\p{N}\t-\r .,]"), share("[0-9]"),
+            text.count("|") / n, text.count("!") / n, (text.count(".") + text.count(",")) / k, k / len(lines), len(set(lines)) / len(lines)]
+
+
+def test_scores_beside_plain_python(spark):
+    """Statistics counted by plain Python, rules evaluated one by one: the same score for every document."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.unionByName(spark.createDataFrame([(9001, "", "x", "x", 0), (9002, " \n\t", "x", "x", 3), (9003, "é É! | 12 a a\n" * 40_000, "x", "x", 0)], docs.schema))
+    model = quality.trained(docs, labels)
+    want = {}
+    for r in docs.collect():
+        x = dict(enumerate(plain_statistics(r.text or "")))
+        z = model.bias + sum(w for rule, w in zip(model.rules, model.weights, strict=True) if all((x[f] > t) == above for f, above, t in rule))
+        want[r.doc_id] = 1 / (1 + math.exp(-z))
+    got = {r.doc_id: r for r in quality.digests(docs, labels).collect()}
+    assert set(got) == set(want) and len(set(want.values())) > 2
+    for k, r in got.items():
+        assert abs(r.score - want[k]) < 1e-9 and r.predicted == (want[k] >= 0.5) and r.held_out == (zlib.crc32(str(k).encode()) % 3 == 1)

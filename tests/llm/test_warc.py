@@ -68,3 +68,9 @@ def test_edges(spark):
     got = sorted(((str(r.page_id), r.payload_bytes, r.record_type, r.refers_to) for r in warc.digests(rows).collect()))
     assert got == [("1", 200, "response", None), ("1", 200, "response", None), ("2", 200, "revisit", 1), ("None", 0, "response", None), ("None", 200, "revisit", 1)]
     assert warc.digests(rows.limit(0)).count() == 0
+
+
+def test_long_payload(spark):
+    rows = spark.createDataFrame([(1, "u", "x" * 5_000_000, "a"), (2, "v", "x" * 5_000_000, "b")], "page_id long, url string, html string, payload string")
+    got = sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.digests(rows).collect())
+    assert got == [(1, 5_000_000, "response", None), (2, 5_000_000, "revisit", 1)]
