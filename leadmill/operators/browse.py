@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import text, urls
 from ..session import kept
 
 
@@ -81,6 +81,13 @@ def histogram(rows: DataFrame, column: str) -> DataFrame:
     return rows.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column)
 
 
+def status_counts(rows: DataFrame, column: str = "status") -> DataFrame:
+    """Counts of website statuses, most common first, each beside the number of dead sites."""
+    counts = rows.groupBy(column).agg(F.count("*").alias("n"))  # a row for each of the statuses there are
+    dead = F.coalesce(F.sum(F.when(urls.is_dead(F.col(column)), F.col("n"))).over(W.partitionBy()), F.lit(0))
+    return counts.withColumn("dead", dead).orderBy(F.desc("n"), column)
+
+
 def tally(rows: DataFrame, by: list[str], **conditions: Column) -> DataFrame:
     """Rows, and rows for which each named condition holds, for every list: the progress figures of a run."""
     return rows.groupBy(*by).agg(F.count("*").alias("rows"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in conditions.items()])

@@ -579,6 +579,11 @@ def _(s, d):
     return _scored(s, d).select("idx", "reputation_divergence_flag", "accredited_but_low_rated", "review_gap_flag", "present_registry", "present_yelp", "on_angi", "low_review_volume_flag", "website_dead_flag", "rating_gap", "registry_review_avg")
 
 
+@query("intel_numbers", _S + " select idx, cast(match_status = 'matched' as int) as present_both, cast(angi_is_corporate_account = 'Y' as int) as angi_corporate_account, g as registry_grade_num, reviews_total as registry_reviews_total, complaints_total as registry_complaints_total, cast(hp as int) as has_phone, cast(hc as int) as has_named_contact, cast(registry_email <> '' as int) as has_email from sc")
+def _(s, d):
+    return _scored(s, d).select("idx", "present_both", "angi_corporate_account", "registry_grade_num", "registry_reviews_total", "registry_complaints_total", "has_phone", "has_named_contact", "has_email")
+
+
 @query("lead_score", _S + " select idx, sent as review_sentiment_signal, score as lead_priority_score from sc")
 def _(s, d):
     return _scored(s, d).select("idx", "review_sentiment_signal", "lead_priority_score")
@@ -776,3 +781,6 @@ def _(s, d):
     ingest.into_table(ingest.event_counts(stream, "ts", "event_type"), f"{place}/table", f"{place}/checkpoint", "update").awaitTermination()
     found = ingest.newest(s.read.parquet(f"{place}/table"), ["start", "event_type"], "n")
     return found.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
+from . import captured  # noqa: E402, F401 - its queries join these
