@@ -33,34 +33,46 @@ def prepared(df: DataFrame) -> DataFrame:
 
 
 def candidates(a: DataFrame, b: DataFrame, miles: float = BLOCK_MILES) -> DataFrame:
-    """Distinct (list_id, a_idx, b_idx) with equal phone, equal zip, or at most `miles` apart.
+    """(list_id, a_idx, b_idx, a, b) with equal phone, equal zip, or at most `miles` apart; a and b are the records as structs.
 
     A union of equi-joins: a single condition with OR would compare all pairs.  The geographic block joins grid
-    cells with their neighbours and then measures.
+    cells with their neighbours and then measures.  A join leaves out what those before it find, so each pair comes once
+    and brings its records along: nothing is made distinct or joined back.
     """
     left, right = a.alias("a"), b.alias("b")
-    same = lambda key: left.where(F.col(f"a.{key}").isNotNull()).join(right, (F.col("a.list_id") == F.col("b.list_id")) & (F.col(f"a.{key}") == F.col(f"b.{key}"))).select("a.list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"))
-    return reduce(DataFrame.union, [same("phone"), same("zip"), near(a, b, miles)]).distinct()
+    equal = lambda key: F.coalesce(F.col(f"a.{key}") == F.col(f"b.{key}"), F.lit(False))
+    met = lambda key: left.where(F.col(f"a.{key}").isNotNull()).join(right, (F.col("a.list_id") == F.col("b.list_id")) & (F.col(f"a.{key}") == F.col(f"b.{key}")))
+    record = lambda side, df: F.struct(*[F.col(f"{side}.`{c}`") for c in df.columns]).alias(side)
+    found = [met("phone"), met("zip").where(~equal("phone")), _near(a, b, miles).where(~equal("phone") & ~equal("zip"))]
+    return reduce(DataFrame.union, [f.select("a.list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"), record("a", a), record("b", b)) for f in found])
 
 
 def near(a: DataFrame, b: DataFrame, miles: float) -> DataFrame:
+    """(list_id, a_idx, b_idx) of records at most `miles` apart, each pair once."""
+    return _near(a, b, miles).select("a.list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"))
+
+
+def _near(a: DataFrame, b: DataFrame, miles: float) -> DataFrame:
     there = lambda df: df.where("lat is not null and lon is not null")
     lat, lon = F.col("lat"), F.col("lon")
-    spread = there(a).withColumn("cell", F.explode(geo.cells_around(lat, lon, miles))).alias("a")
-    placed = there(b).withColumn("cell", geo.cell(lat, lon, miles)).alias("b")
-    met = spread.join(placed, (F.col("a.list_id") == F.col("b.list_id")) & (F.col("a.cell.cy") == F.col("b.cell.cy")) & (F.col("a.cell.cx") == F.col("b.cell.cx")))
-    far = geo.distance_miles(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon"))
-    return met.where(far <= miles).select("a.list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"))
+    spread = there(a).withColumn("__cell", F.explode(geo.cells_around(lat, lon, miles))).alias("a")
+    placed = there(b).withColumn("__cell", geo.cell(lat, lon, miles)).alias("b")
+    met = spread.join(placed, (F.col("a.list_id") == F.col("b.list_id")) & (F.col("a.__cell.cy") == F.col("b.__cell.cy")) & (F.col("a.__cell.cx") == F.col("b.__cell.cx")))
+    return met.where(geo.distance_miles(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")) <= miles)
 
 
 def signals(pairs: DataFrame, a: DataFrame, b: DataFrame, similarity=text.name_similarity, worth: bool = False) -> DataFrame:
     """pairs with sig_phone, sig_name, sig_geo, sig_zip, sig_city: null where a side lacks what the signal needs.
 
+    Pairs of `candidates` have their records with them; bare (list_id, a_idx, b_idx) are joined to a and b.
+
     worth: leave out pairs that no name score can save, before names are compared: other phones, and no distinctive
     word in common though both have some.
     """
     on = lambda side, k: (F.col("p.list_id") == F.col(f"{side}.list_id")) & (F.col(f"p.{side}_idx") == F.col(f"{side}.idx"))  # noqa: E731, ARG005
-    j = pairs.alias("p").join(a.alias("a"), on("a", 0)).join(b.alias("b"), on("b", 0))
+    j = pairs.alias("p")
+    if not {"a", "b"} <= set(pairs.columns):
+        j = j.join(a.alias("a"), on("a", 0)).join(b.alias("b"), on("b", 0))
     one = lambda c: c.cast("double")
     c = F.col
     if worth:
