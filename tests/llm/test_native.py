@@ -48,6 +48,26 @@ def test_decontamination_bears_substitutions(spark, data):
     assert [sum(k == rate for k, _ in got) / n for rate in (0, 10)] == [1.0, 1.0] and sum(k == 20 for k, _ in got) >= 0.8 * n
 
 
+def test_recall_among_items_that_verify(spark, data):
+    """Of items with many tokens replaced, those that still meet the threshold (share or stretch, place by place) are found, but for a few."""
+    bench = spark.read.parquet(f"{data}/benchmark.parquet")
+    r, rows, verifies = random.Random(11), [], set()
+    for x in bench.collect():
+        item = words(x.text)
+        for k in range(6):
+            w = [f"zz{r.randrange(9999)}" if r.random() < 0.28 else t for t in item]
+            same, run, best = [a == b for a, b in zip(w, item, strict=True)], 0, 0
+            for hit in same:
+                run = max(0, run + (1 if hit else -2))
+                best = max(best, run)
+            rows.append((k * 10_000 + x.item_id, " ".join(w)))
+            if sum(same) >= (0.7 if len(item) >= 8 else 1) * len(item) or best >= 13:
+                verifies.add((k * 10_000 + x.item_id, x.item_id))
+    got = {(a.doc_id, a.item_id) for a in decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect() if a.doc_id % 10_000 == a.item_id}
+    assert got <= verifies and len(verifies) > 20
+    assert len(got) >= 0.93 * len(verifies), (len(got), len(verifies))
+
+
 def test_decontamination_edges(spark):
     docs = spark.createDataFrame([(None, None), (1, ""), (2, "a b c"), (2, "a b c"), (3, "what is This, thing?"), (4, "a x b c")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "is this thing"), (2, None), (3, ""), (None, "a b c")], "item_id long, text string")
