@@ -92,7 +92,7 @@ def planned(keyed: DataFrame, shards: int) -> Plan:
     for level in range(1, LEVELS + 1):
         rows = keyed if level == 1 else keyed.where(_prefix(F.col("key"), level - 1).isin(cut[level - 1]))
         found = rows.groupBy(_prefix(F.col("key"), level).alias("p")).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
-        for r in found.select(_start(F.col("p"), level).alias("start"), "bytes", "rows").toLocalIterator():
+        for r in found.select(_start(F.col("p"), level).alias("start"), "bytes", "rows").collect():  # 2**STEP rows for each cell that is probed: fewer than `shards` cells
             cells[r.start] = (level, r.bytes, r.rows)
             counted += 1
         total, starts = sum(c[1] for c in cells.values()), sorted(cells)
