@@ -121,7 +121,7 @@ def prints(words: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray,
 
 
 PRINT = pa.struct([("g", pa.int64()), ("c", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
-PRINTS = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("prints", pa.list_(PRINT))])
+PRINTS = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("upto", pa.int64()), ("prints", pa.list_(PRINT))])
 WINDOWS = pa.schema([("g", pa.int64()), ("w", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32())])
 
 
@@ -132,7 +132,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def print_table(docs: DataFrame, least: int) -> DataFrame:
-    """(doc_id, h, prints): of every piece of a text, its fingerprints with place and context."""
+    """(doc_id, h, upto, prints): of every piece of a text, the words up to its end, and its fingerprints with place and context."""
 
     def flush(held):
         words = np.concatenate([x[3] for x in held])
@@ -142,7 +142,8 @@ def print_table(docs: DataFrame, least: int) -> DataFrame:
         offset = np.repeat(np.array([x[2] for x in held], np.int64) - edges[:-1], np.diff(cuts))
         rows = pa.StructArray.from_arrays([pa.array(g), pa.array(c), pa.array((start + offset).astype(np.int32)), pa.array(n.astype(np.int32))], fields=list(PRINT))
         lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), rows)
-        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in held], pa.int64()), pa.array([x[1] for x in held], pa.int64()), lists], schema=PRINTS)
+        columns = [[x[0] for x in held], [x[1] for x in held], [x[2] + len(x[3]) for x in held]]
+        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), lists], schema=PRINTS)
 
     def each(batches):
         known = _Hashes()
@@ -150,16 +151,15 @@ def print_table(docs: DataFrame, least: int) -> DataFrame:
             held, size = [], 0
             for d, h, x in zip(*b.columns, strict=True):
                 for offset, words in pieces(x.as_py(), known, least):
-                    if len(words) >= least:
-                        held.append((d.as_py(), h.as_py(), offset, words))
-                        size += len(words)
+                    held.append((d.as_py(), h.as_py(), offset, words))
+                    size += len(words)
                     if size >= TOGETHER:
                         yield flush(held)
                         held, size = [], 0
             if held:
                 yield flush(held)
 
-    return _keyed(docs).mapInArrow(each, f"{KEY}, prints array<struct<g: long, c: long, start: int, n: int>>")
+    return _keyed(docs).mapInArrow(each, f"{KEY}, upto long, prints array<struct<g: long, c: long, start: int, n: int>>")
 
 
 def single_windows(rows: DataFrame, least: int) -> DataFrame:
@@ -198,9 +198,9 @@ def single_windows(rows: DataFrame, least: int) -> DataFrame:
     return rows.select("doc_id", "h", "text", "at").mapInArrow(each, f"g long, w long, {KEY}, start int")
 
 
-def repeated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, h, removed) of documents that lose words: removed has the maximal runs, words from 0, ends exclusive."""
-    rows = written(print_table(docs, least), "prints").select("doc_id", "h", F.inline("prints"))
+def repeated(docs: DataFrame, table: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, h, removed) of documents that lose words: removed has the maximal runs, words from 0, ends exclusive; table is their `print_table`."""
+    rows = table.select("doc_id", "h", F.inline("prints"))
     # Grouped sides are written before they are joined, so a hot key of the join can be split.
     again = rows.groupBy("g").agg(F.count("*").alias("k"), F.min("c").alias("low"), F.max("c").alias("high")).where("k > 1")
     again = written(again.select("g", (F.col("low") != F.col("high")).alias("several")), "again")
@@ -222,7 +222,7 @@ def repeated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     runs = whole.unionByName(later).where("start < end").withColumn("upto", F.max("end").over(by.rowsBetween(W.unboundedPreceding, -1)))
     runs = runs.withColumn("run", F.count_if(F.col("upto").isNull() | (F.col("start") > F.col("upto"))).over(by.rowsBetween(W.unboundedPreceding, 0)))
     runs = runs.groupBy("doc_id", "h", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    return written(runs.groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed")), "removed")
+    return runs.groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed"))
 
 
 def deduplicated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
@@ -230,11 +230,15 @@ def deduplicated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     kept = [c for c in docs.columns if c not in ("n_words", "removed_words", "removed")]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumns({"__d": F.col("doc_id").cast("long"), "__h": F.xxhash64(text)})
-    gone = repeated(docs, least).select(F.col("doc_id").alias("__gd"), F.col("h").alias("__gh"), F.col("removed").alias("__s"))
+    table = written(print_table(docs, least), "prints")
+    known = table.groupBy("doc_id", "h").agg(F.max("upto").alias("n")).alias("k")
+    gone = repeated(docs, table, least).alias("g")
+    gone = known.join(gone, F.col("k.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("k.h") == F.col("g.h")), "left").select(F.col("k.doc_id").alias("__gd"), F.col("k.h").alias("__gh"), F.col("k.n").alias("__n"), F.col("g.removed").alias("__s"))
+    gone = written(gone, "removed")  # so that a document in many rows can be split in the join
     rows = rows.join(gone, F.col("__d").eqNullSafe(F.col("__gd")) & (F.col("__h") == F.col("__gh")), "left")
     # Words with the white space behind them; what lies between the removed runs stays.
     rows = rows.withColumn("__w", F.when(F.col("__s").isNotNull(), F.regexp_extract_all(text, F.lit(WORD + SPACE[:-1] + "*"), F.lit(0))))
-    none, n = F.array().cast(SPAN), F.when(F.col("__w").isNotNull(), F.size("__w")).otherwise(F.regexp_count(text, F.lit(WORD)))
+    none, n = F.array().cast(SPAN), F.coalesce("__n", F.lit(0)).cast("int")
     runs = F.coalesce("__s", none)
     left = F.zip_with(F.concat(F.array(F.lit(0)), F.transform(runs, lambda r: r["end"])), F.concat(F.transform(runs, lambda r: r["start"]), F.array(n)), lambda a, b: F.slice("__w", a + 1, b - a))
     count = F.aggregate(runs, F.lit(0).cast("long"), lambda k, r: k + r["end"] - r["start"])
