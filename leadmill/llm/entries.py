@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audio, chat, decontam, licenses, linededup, mixing, quality, sharding, simhash, warc
+from . import audio, chat, decontam, licenses, linededup, mixing, quality, ranked, sharding, simhash, tokens, trie, warc
 from .common import table
 from .oracle import ORACLE_SQL
 
@@ -49,6 +49,18 @@ def op10_warc(spark, sf_dir):
     return warc.digests(table(spark, sf_dir, "pages"))
 
 
+def op11_ranked_search(spark, sf_dir):
+    return ranked.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_counts(spark, sf_dir):
+    return tokens.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark, sf_dir):
+    return trie.digests(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_mixing_sources": op1_mixing_sources,
     "op2_media_columns": op2_media_columns,
@@ -60,5 +72,8 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_warc": op10_warc,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_token_counts": op12_token_counts,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 

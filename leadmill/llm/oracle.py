@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, linededup, warc
+from . import chat, decontam, linededup, ranked, trie, warc
 
 _WORD = "[^\\x20\\x09-\\x0D]+"
 _ESC = "replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
@@ -54,4 +54,28 @@ OP10 = f"""with p as (select page_id, url, coalesce(html, '') as h, sha256(coale
  g as (select *, array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || case when rest = '' then '/' else rest end as url_key, strftime(to_timestamp(1704067200 + page_id) at time zone 'UTC', '%Y-%m-%dT%H:%M:%SZ') as captured_at, payload_bytes >= {warc.REVISIT_BYTES} and first <> page_id as again from f)
  select page_id, payload_bytes, payload_digest, case when again then 'revisit' else 'response' end as record_type, case when again then first end as refers_to, url_key, captured_at, row_number() over (order by url_key, captured_at, page_id) - 1 as position from g"""
 
-ORACLE_SQL = {"op3_line_dedup": OP3, "op5_benchmark_decontamination": OP5, "op8_chat_formatting": OP8, "op10_warc": OP10}
+# Every document's own count of every term an item asks for, and all pairs that share one scored by themselves.
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+OP11 = f"""with d as (select row_number() over () as r, doc_id, {_TERMS} as t from documents), s as (select count(*) filter (len(t) > 0) as docs, sum(len(t))::bigint as terms from d),
+ q as (select distinct item_id, unnest({_TERMS}) as term from benchmark),
+ p as (select r, term, count(*) as tf from (select r, unnest(t) as term from d) where term in (select term from q) group by 1, 2),
+ w as (select term, cast(floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double)) as bigint) as w from (select term, count(*) as df from p group by 1), s),
+ m as (select r, doc_id, 50 + ((50 * len(t) * docs) // terms) as m from d, s where len(t) > 0),
+ c as (select item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score from q join p using (term) join w using (term) join m using (r) group by 1, 2, 3),
+ k as (select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id nulls last) as integer) as rank, doc_id, score from c where score > 0)
+ select item_id, rank, doc_id, score from k where rank <= {ranked.TOP}"""
+
+# Prefixes as lists of turns; every node meets the prefixes of its smallest member for the sums over subtrees.  CRC32 bit by bit.
+_CRC = "xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(c::varchar, ''), lambda ch: [ascii(ch)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: case when x >= 0 then xor(a, x) when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end), 4294967295)"
+OP13 = f"""with t as (select conv_id as c, struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) as said, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos from conversations where conv_id is not null),
+ o as (select c, list(said order by pos) as own from t group by c), h as (select c, own, {_CRC} % {trie.HEADS} as h from o),
+ b as (select h.c, list_concat(coalesce(f.own[1:h.h], []), h.own[h.h + 1:]) as turns from h left join o f on f.c = h.c - h.c % {trie.FAMILY}),
+ m as (select c, len(turns) as n, unnest(range(len(turns) + 1)) as depth, turns from b), p as (select c, n, depth, turns[1:depth] as pre from m),
+ g as (select pre, depth, min(c) as conv_id, count(*) as n_convs, sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (n = depth), '')) as ends_sha256, (count(*) - 1) * case when depth = 0 then 0 else octet_length(encode(pre[depth].x)) end as own from p group by 1, 2),
+ e as (select g.*, u.conv_id as parent_conv_id from g left join g u on u.depth = g.depth - 1 and u.pre = g.pre[1:g.depth - 1] and g.depth > 0),
+ k as (select parent_conv_id, depth - 1 as depth, count(*) as n_children from e where depth > 0 group by 1, 2),
+ f as (select e.*, coalesce(n_children, 0) as n_children from e left join k on k.parent_conv_id = e.conv_id and k.depth = e.depth),
+ s as (select a.conv_id, a.depth, count(*) filter (x.n_children = 0) as n_leaves, sum(x.own)::bigint as saved_tokens from f x join p on p.c = x.conv_id and p.depth <= x.depth join f a on a.depth = p.depth and a.pre = p.pre group by 1, 2)
+ select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 from f join s using (conv_id, depth)"""
+
+ORACLE_SQL = {"op3_line_dedup": OP3, "op5_benchmark_decontamination": OP5, "op8_chat_formatting": OP8, "op10_warc": OP10, "op11_ranked_search": OP11, "op13_conversation_trie": OP13}
