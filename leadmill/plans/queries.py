@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, geo, grades, text, urls
 from ..operators import browse, curation, dedupe, enrich, linkage, lookup, publish, reviews, scoring
 from ..session import shared_dir
-from ..sources import markup, payloads, profiles
+from ..sources import markup, payloads, profiles, social
 from ..streaming import ingest
 from .bindings import CITIES, MASTER, REVIEWS, A, B, bound, plain
 
@@ -252,12 +252,34 @@ def _(s, d):
     return _embedded(s, d).select("page_id", markup.flight_udf("html").alias("blob"))
 
 
-@query("social_profile_parse", "select page_id, 'P ' || page_id as name, page_id + 1000 as followers, cast(page_id % 100 as int) as recommend_percentage, cast(7 as int) as review_count from pages")
-def _(s, d):
-    p = s.read.parquet(f"{d}/pages.parquet")
-    n = F.col("page_id").cast("string")
-    html = F.concat(F.lit('<meta property="og:title" content="P '), n, F.lit('"><meta property="og:description" content="P. '), (F.col("page_id") + 1000).cast("string"), F.lit(' followers"><script type="application/json">[{"a": {"timeline_context_list_item_type": "INTRO_CARD_RATING", "renderer": {"context_item": {"title": {"text": "'), (F.col("page_id") % 100).cast("string"), F.lit('% recommend (7 reviews)"}}}}}]</script>'))
-    return p.select("page_id", markup.profile_udf(html).alias("p")).select("page_id", "p.name", "p.followers", "p.recommend_percentage", "p.review_count")
+_PROFILE_FIELDS = "status, name, categories, address, phone, email, website, hours_status, recommend_percentage, review_count, reviews_url, followers_count, talking_about_count, checkins_count, bio, confirmed_owner, price_range, service_areas, social_links"
+_K = "(page_id % 7 > 0)"  # pages without a title hold a log-in form
+
+
+@query("social_profile_parse", f"""select page_id, case when {_K} then 'ok' else 'unavailable' end as status, case when {_K} then 'P & ' || page_id end as name, case when {_K} then 'Roofer;Gutters ' || page_id else '' end as categories,
+ case when {_K} and page_id % 2 = 0 then page_id || ' Main St' end as address, case when {_K} then '555-' || page_id end as phone, case when {_K} and page_id % 3 = 0 then 'm' || page_id || '@x.com' end as email, case when {_K} then 'one.com/' || page_id end as website,
+ case when {_K} then 'Open now' end as hours_status, case when {_K} and page_id % 5 > 0 then cast(page_id % 100 as int) end as recommend_percentage, case when {_K} then cast(7 as int) end as review_count, case when {_K} then 'https://f/' || page_id || '/reviews' end as reviews_url,
+ case when {_K} then cast(page_id % 5000 + 1000 as int) end as followers_count, case when {_K} and page_id % 2 = 1 then cast(13 as int) end as talking_about_count, case when {_K} then cast(42 as int) end as checkins_count, case when {_K} then 'We fix "it" since ' || page_id end as bio,
+ case when {_K} then 'Owner ' || page_id || ' Inc' end as confirmed_owner, case when {_K} then '$$' end as price_range, case when {_K} then 'Elgin;Aurora' else '' end as service_areas, case when {_K} then 'twitter https://x.com/' || page_id || ';foo http://www.foo.org/a' else '' end as social_links from pages""")
+def _(s, d):
+    k, n = F.col("page_id"), F.col("page_id").cast("string")
+    card = lambda kind, said, **more: F.struct(F.lit(kind).alias("timeline_context_list_item_type"), F.struct(F.struct(F.struct(said.alias("text"), *[v.alias(c) for c, v in more.items() if c == "ranges"]).alias("title"), *[v.alias(c) for c, v in more.items() if c != "ranges"]).alias("context_item")).alias("renderer"))
+    kind, at = social.CARDS, lambda url: F.array(F.struct(F.struct(url.alias("external_url")).alias("entity")))
+    plain_ = F.to_json(F.array(
+        card(kind["categories"], F.concat(F.lit("Page · Roofer · Gutters "), n)), card(kind["address"], F.when(k % 2 == 0, F.concat(n, F.lit(" Main St"))).otherwise(" ")), card(kind["phone"], F.lit("old")), card(kind["phone"], F.concat(F.lit(" 555-"), n)),
+        card(kind["email"], F.when(k % 3 == 0, F.concat(F.lit("m"), n, F.lit("@x.com")))), card(kind["website"], F.concat(F.lit("one.com/"), n, F.lit("?utm=1#x"))), card(kind["website"], F.lit("two.com")), card(kind["hours_status"], F.lit("Open now")),
+        card(kind["confirmed_owner"], F.concat(F.lit("Owner "), n, F.lit(" Inc"))), card(kind["price_range"], F.lit("Price Range · $$")), card(kind["service_areas"], F.lit("Elgin · Aurora")),
+    ))
+    linked = [F.to_json(card(kind["account"], F.lit("see"), ranges=at(u))) for u in (F.concat(F.lit("https://x.com/"), n), F.lit("http://www.foo.org/a"))]
+    rating = F.to_json(card(kind["rating"], F.when(k % 5 > 0, F.concat((k % 100).cast("string"), F.lit("% recommend (7 reviews)"))).otherwise("Not yet rated (7 Reviews)"), url=F.concat(F.lit("https://f/"), n, F.lit("/reviews"))))
+    # The cards lie deeper on some pages than on others.
+    deep = F.concat(F.repeat(F.lit('{"b": [0, '), (k % 6).cast("int")), F.lit('{"list": '), plain_, F.lit(', "more": ['), rating, F.lit(","), F.concat_ws(",", *linked), F.lit("]}"), F.repeat(F.lit("]}"), (k % 6).cast("int")))
+    about = F.concat(F.lit("P. "), F.format_number((k % 5000 + 1000).cast("long"), 0), F.lit(" followers · "), F.when(k % 2 == 1, "13 talking about this · ").otherwise(""), F.lit("42 were here. We fix &quot;it&quot; since "), n)
+    metas = F.when(k % 7 > 0, F.concat(F.lit('<meta property="og:title" content="P &amp; '), n, F.lit(' | Elgin"><meta name="og:description" content="'), about, F.lit('">'))).otherwise("")
+    page = F.concat(metas, F.lit("<script>var x = '"), F.lit(social.KIND), F.lit("'</script><script type=\"application/json\">{\"z\": 1}</script><script type=\"application/json\">"), deep, F.lit("</script>"))
+    got = social.profiles(s.read.parquet(f"{d}/pages.parquet").select("page_id", page.alias("html")), "page_id")
+    links = F.array_join(F.transform("social_links", lambda x: F.concat_ws(" ", x["platform"], x["url"])), ";")
+    return got.withColumns({"social_links": links, **{c: F.array_join(c, ";") for c in ("categories", "service_areas")}}).select("page_id", *_PROFILE_FIELDS.split(", "))
 
 
 @query("search_pages", f"select list_id, cast(pos as int) as pos, 'L' || idx as listing_id, name, {q_phone('phone')} is not null as has_phone, round(lat, 6) as lat, round(lon, 6) as lon from (select *, row_number() over (partition by list_id order by idx) - 1 as pos from ({a}))")
@@ -783,4 +805,20 @@ def _(s, d):
     return found.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
 
 
+@query("stream_checks_due", "with recursive d as (select user_id, min(ts) as ts from events group by 1 union all select e.user_id, min(e.ts) from d join events e on e.user_id = d.user_id and e.ts >= d.ts + interval 60 hour group by e.user_id) select user_id, ts from d")
+def _(s, d):
+    """When users are due for a look-up that stays fresh for 60 hours: the events come in two runs of one stream, the second goes on from the first one's state."""
+    import uuid
+
+    events = s.read.parquet(f"{d}/events.parquet").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    place = f"{shared_dir(s)}/leadmill/due-{uuid.uuid4().hex}"
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    middle = F.lit(low + (high - low) / 2)
+    for part in (events.where(F.col("ts") < middle), events.where(F.col("ts") >= middle)):
+        part.write.mode("append").parquet(f"{place}/in")
+        stream = ingest.landing(s, f"{place}/in", events.schema, 1_000_000)  # a run is a batch, so batches follow each other in time
+        ingest.into_table(ingest.due(stream, "user_id", "ts", 60 * 3600), f"{place}/table", f"{place}/checkpoint").awaitTermination()
+    return s.read.parquet(f"{place}/table").select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
 from . import captured  # noqa: E402, F401 - its queries join these

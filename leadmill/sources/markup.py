@@ -1,4 +1,4 @@
-"""State that pages embed: JSON in scripts, assigned objects, streamed chunks, social profiles, links."""
+"""State that pages embed: JSON in scripts, assigned objects, streamed chunks, links."""
 
 from __future__ import annotations
 
@@ -143,62 +143,6 @@ def state(pages: DataFrame, html: str, name: str, schema: str) -> DataFrame:
 
 #: Fixed value: the host whose platform has another name than its first label.
 PLATFORMS = {"x.com": "twitter"}
-_WORDS = T.ArrayType(T.StringType())
-PROFILE = T.StructType([T.StructField(k, t) for k, t in {
-    "name": T.StringType(), "description": T.StringType(), "followers": T.LongType(), "talking_about": T.LongType(), "checkins": T.LongType(),
-    "recommend_percentage": T.IntegerType(), "review_count": T.IntegerType(), "websites": _WORDS, "emails": _WORDS, "phones": _WORDS, "links": _WORDS,
-}.items()])
-
-
-def walk(node) -> Iterator[dict]:
-    """Every object of a JSON tree, without recursion."""
-    open_ = [node]
-    while open_:
-        x = open_.pop()
-        if isinstance(x, dict):
-            yield x
-            open_.extend(reversed(x.values()))
-        elif isinstance(x, list):
-            open_.extend(reversed(x))
-
-
-def _rated(t: str) -> tuple[int | None, int] | None:
-    """(share, reviews) of "98% recommend (12 reviews)", or of "Not yet rated (0 reviews)" without a share."""
-    head, _, tail = t.strip().lower().removesuffix(")").rpartition("(")
-    count, _, unit = tail.partition(" ")
-    if not count.isdigit() or unit.strip() not in ("review", "reviews"):
-        return None
-    share, percent, word = head.strip().partition("%")
-    if percent and share.isdigit() and word.strip() == "recommend":
-        return int(share), int(count)
-    return (None, int(count)) if head.strip() == "not yet rated" else None
-
-
-def profile(html: str) -> dict | None:
-    """A social profile of its meta tags and of the typed items anywhere in its JSON."""
-    from html import unescape
-
-    metas = {m[1]: unescape(m[2]) for m in re.finditer(r'<meta\s[^>]*?property="(og:[a-z]+)"[^>]*?content="([^"]*)"', html or "")}
-    items = [x for _, body in json_texts(html) for x in walk(json.loads(body)) if "timeline_context_list_item_type" in x]
-    if not metas and not items:
-        return None
-    texts = [str((((x.get("renderer") or {}).get("context_item") or {}).get("title") or {}).get("text") or "") for x in items]
-    kinds = [str(x["timeline_context_list_item_type"]).lower() for x in items]
-    of = lambda word: [t for k, t in zip(kinds, texts, strict=True) if word in k and t]
-    about = metas.get("og:description", "")
-    number = lambda what: next((int(m[1].replace(",", "")) for m in [re.search(rf"([\d,]+)\s+{what}", about)] if m), None)
-    rated = next((x for t in texts if (x := _rated(t))), None)
-    return {
-        "name": metas.get("og:title"), "description": about or None, "followers": number("followers?"), "talking_about": number("talking about this"), "checkins": number("were here"),
-        "recommend_percentage": rated[0] if rated else None, "review_count": rated[1] if rated else None,
-        "websites": of("website"), "emails": of("email"), "phones": of("phone"), "links": [t for t in texts if t.startswith("http")],
-    }
-
-
-@F.pandas_udf(PROFILE)
-def profile_udf(html: pd.Series) -> pd.DataFrame:
-    names = PROFILE.names
-    return pd.DataFrame([profile(x) or dict.fromkeys(names) for x in html], columns=names, dtype="object")
 
 
 def _around(x: str, anchor: str, marker: str, most: int) -> list[str]:

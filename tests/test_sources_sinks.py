@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from leadmill.operators import browse, publish
 from leadmill.sinks import writers
-from leadmill.sources import capture, markup, payloads, profiles, tables
+from leadmill.sources import capture, markup, payloads, profiles, social, tables
 from leadmill.streaming import ingest
 
 
@@ -53,10 +53,35 @@ def test_markup(spark):
     assert json.loads(blob[0].j) == {"p": {"q": "}"}} and blob[1].j is None
     scripts = df.select(markup.json_scripts_udf("html").alias("s")).collect()
     assert [x.json for x in scripts[0].s] == ['{"k": 1}']
-    page = '<meta property="og:title" content="Joe &amp; Co"><meta property="og:description" content="Joe. 1,234 followers · 7 talking about this"><script type="application/json">{"z": [{"timeline_context_list_item_type": "INTRO_CARD_WEBSITE", "renderer": {"context_item": {"title": {"text": "joe.com"}}}}, {"timeline_context_list_item_type": "R", "renderer": {"context_item": {"title": {"text": "98% recommend (12 Reviews)"}}}}]}</script>'
-    p = markup.profile(page)
-    assert (p["name"], p["followers"], p["talking_about"], p["recommend_percentage"], p["review_count"], p["websites"]) == ("Joe & Co", 1234, 7, 98, 12, ["joe.com"])
-    assert markup.profile("<html></html>") is None
+
+
+def card(kind, said, **more):
+    return {"timeline_context_list_item_type": social.CARDS[kind], "renderer": {"context_item": {"title": {"text": said}, **more}}}
+
+
+def social_page(tree, title="Joe &amp; Co | Elgin", about="Joe. 1,234 followers · 7 talking about this. Since 1990."):
+    return f'<meta property="og:title" content="{title}"><meta property="og:description" content="{about}"><script>x("timeline_context_list_item_type"</script><script type="application/json">{json.dumps(tree)}</script>'
+
+
+def test_social_profiles(spark):
+    deep = [card("website", "joe.com?utm=1"), card("website", "gmail.com"), card("phone", "1"), card("phone", "2"), {**card("email", "no renderer"), "renderer": None}]
+    for _ in range(40):  # deeper than any fixed number of levels would reach
+        deep = {"k": [0, deep, {"timeline": 1}]}
+    rated = card("rating", "98% recommend (12 reviews)", url="r")
+    plain = {"timeline_context_list_item_type": social.CARDS["hours_status"], "renderer": {"context_item": {"title": {}, "plaintext_title": {"text": "Open now"}}}}
+    account = card("account", "see")
+    account["renderer"]["context_item"]["title"]["ranges"] = [None, {"entity": {}}, {"entity": {"external_url": "https://www.youtube.com/joe"}}]
+    nested = {**card("address", "1 Main St"), "inner": [card("price_range", "Price Range · $$"), card("categories", "Page · Roofer"), card("service_areas", "A · B"), card("confirmed_owner", " ")]}
+    rows = [(1, social_page([deep, rated, plain, account, nested])), (2, social_page([card("phone", "3")], title="")), (3, social_page([card("rating", "Not yet rated (4 reviews)")], about="Quiet")), (4, None), (5, "<p>")]
+    got = {r.k: r for r in social.profiles(spark.createDataFrame(rows, "k int, html string"), "k").collect()}
+    p = got[1]
+    assert (p.status, p.name, p.website, p.phone, p.email, p.hours_status, p.address, p.price_range, p.confirmed_owner) == ("ok", "Joe & Co", "joe.com", "2", None, "Open now", "1 Main St", "$$", None)
+    assert (p.categories, p.service_areas, [tuple(x) for x in p.social_links]) == (["Roofer"], ["A", "B"], [("youtube", "https://www.youtube.com/joe")])
+    assert (p.recommend_percentage, p.review_count, p.reviews_url, p.followers_count, p.talking_about_count, p.checkins_count, p.bio) == (98, 12, "r", 1234, 7, None, "Since 1990.")
+    assert [(got[k].status, got[k].phone, got[k].social_links) for k in (2, 4, 5)] == [("unavailable", None, [])] * 3
+    assert (got[3].recommend_percentage, got[3].review_count, got[3].bio, got[3].categories) == (None, 4, None, [])
+    flat = social.prefixed(social.profiles(spark.createDataFrame(rows[:1], "k int, html string"), "k"), "k").first()
+    assert flat.facebook_service_areas == '["A","B"]' and flat.facebook_price_range == "$$"
 
 
 def test_sinks(spark, tmp_path):
@@ -102,6 +127,47 @@ def test_a_batch_that_runs_again_adds_nothing(spark, tmp_path):
     assert sorted(map(str, spark.read.parquet(out).select("id", "key").collect())) == sorted(map(str, rows.collect()))
 
 
+def test_a_new_checkpoint_adds_to_the_table(spark, tmp_path):
+    land, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(10).coalesce(1).write.parquet(land)
+    kind = spark.read.parquet(land).schema
+    ingest.into_table(ingest.landing(spark, land, kind), out, str(tmp_path / "one")).awaitTermination()
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "in2"))
+    ingest.into_table(ingest.landing(spark, str(tmp_path / "in2"), kind), out, str(tmp_path / "two")).awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == 13 and got.select("run").distinct().count() == 2
+    last = ingest.newest(got.withColumn("n", F.col("run")), ["id"], "n").where("id = 0").first().n
+    assert last == got.agg(F.max("run")).first()[0]
+
+
+def test_checks_are_due_again_after_their_time(spark, tmp_path):
+    """Three runs of one stream: fresh rows drop out, state expires, late and null rows; beside a plain pass over all rows."""
+    hour = 3_600_000_000
+    day0 = 1_700_000_000_000_000
+    runs = [
+        [("a", 0), ("a", 5), ("a", 10), ("b", 3), ("c", 1), (None, 2), ("d", None)],
+        [("a", 11), ("a", 19), ("a", 20), ("b", 9), ("c", 200), ("c", 201)],
+        [("b", 400), ("a", 399), ("a", 405), ("c", 409)],
+    ]
+    kind = "key string, us long"
+    land = str(tmp_path / "in")
+    for rows in runs:
+        df = spark.createDataFrame([(k, None if h is None else day0 + h * hour) for k, h in rows], kind).select("key", F.timestamp_micros("us").alias("ts"))
+        df.coalesce(1).write.mode("append").parquet(land)
+        stream = ingest.landing(spark, land, df.schema)
+        ingest.into_table(ingest.due(stream, "key", "ts", 10 * 3600, "10 days"), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    last, want = {}, []
+    for k, h in sorted((k, h) for rows in runs for k, h in rows if k is not None and h is not None):
+        if k not in last or h - last[k] >= 10:
+            last[k] = h
+            want.append((k, h))
+    got = [(r.key, (r.us - day0) // hour) for r in spark.read.parquet(str(tmp_path / "out")).select("key", F.unix_micros("ts").alias("us")).collect()]
+    assert sorted(got) == want
+    import numpy as np
+
+    assert ingest.due_at(np.array([1, 2, 9, 11, 30]), None, 10) == [1, 11, 30] and ingest.due_at(np.array([1, 2, 9, 11, 30]), 5, 10) == [30] and ingest.due_at(np.array([3]), 5, 10) == []
+
+
 def test_rows_survive_a_failed_replacement(spark, tmp_path):
     path = tmp_path / "csv"
     writers.csv(spark.createDataFrame([(1, "a")], "id int, name string"), str(path))
