@@ -253,8 +253,9 @@ def trie(convs: DataFrame, rows: DataFrame) -> DataFrame:
     # The root is a bucket of its own, whatever its size: its turns deal it out.
     big = dealt(seqs.withColumns({"p_low": F.lit(None).cast("long"), "p_depth": F.lit(-1).cast("long"), "next": F.lit(0).cast("long")}), ["p_low", "p_depth", "next"])
     big = written(big.drop("next"), "root")
+    root = big.select("low", "upto").first()  # one row, none of an empty table
     levels, locals_ = [], []
-    rows = seqs.crossJoin(F.broadcast(big.select(F.col("low").alias("p_low"), F.col("upto").alias("p_depth"))))  # one row
+    rows = seqs.withColumns({"p_low": F.lit(root and root.low).cast("long"), "p_depth": F.lit(root.upto if root else 0).cast("long")})
     while True:
         rows = rows.withColumn("next", F.get("ids", F.col("p_depth").cast("int")))
         by = ["p_low", "p_depth", "next"]
