@@ -37,7 +37,7 @@ def phone_first(rows: DataFrame, other: DataFrame, keep=kept, similarity=text.na
     pairs = met[0].union(met[1]).dropDuplicates(["list_id", "row_idx", "idx"])
     pairs = pairs.join(claimed, ["list_id", "idx"], "left").where("claimed_at is null or claimed_at > row_idx")
     edges = pairs.where(similarity(F.col("rw"), F.col("ow")) >= SAME_PLACE).select("list_id", "row_idx", "idx")
-    place = linkage.assigned(edges, keep, "row_idx", "idx", [F.col("row_idx"), F.col("idx")])
+    place = linkage.assigned(edges, "row_idx", "idx", [("row_idx", "ascending"), ("idx", "ascending")])
     found = by_phone.withColumn("how", F.lit("phone")).unionByName(place.withColumn("how", F.lit("place")))
     none = r.select("list_id", "row_idx").join(found, ["list_id", "row_idx"], "left_anti").select("list_id", "row_idx", F.lit(None).cast("long").alias("idx"), F.lit("none").alias("how"))
     new = usable.select("list_id", "idx").join(found, ["list_id", "idx"], "left_anti").select("list_id", F.lit(None).cast("long").alias("row_idx"), "idx", F.lit("new").alias("how"))

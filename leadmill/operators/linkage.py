@@ -9,11 +9,10 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
-from ..session import kept
+from . import graph
 
 RECORD = ("list_id", "idx", "name", "phone", "postal", "city", "state", "lat", "lon")
 # Weights of the signals, and the limits of the score.
@@ -106,24 +105,9 @@ def scored(pairs: DataFrame, a: DataFrame, b: DataFrame, least: float = REVIEW,
     return s.where(F.col("confidence") >= least).withColumn("band", F.when(F.col("confidence") >= CONFIDENT, "confident").otherwise("review"))
 
 
-def assigned(edges: DataFrame, keep=kept, left: str = "a_idx", right: str = "b_idx", order: list[Column] | None = None) -> DataFrame:
-    """One-to-one by best score first, ties by a_idx, b_idx: what a sequential greedy pass over the sorted edges takes.
-
-    Each round takes the edges that come first for both of their ends and drops the edges of those ends; edges left
-    over are exactly those that the sequential pass would still have open.  A round is one pass over the open edges,
-    kept once with what it takes marked; `keep` cuts its lineage.
-    """
-    order = order or [F.col("confidence").desc(), F.col(left), F.col(right)]
-    by_a, by_b = W.partitionBy("list_id", left), W.partitionBy("list_id", right)
-    taken, open_ = None, edges
-    while True:
-        seen = open_.withColumn("__a", F.row_number().over(by_a.orderBy(*order))).withColumn("__b", F.row_number().over(by_b.orderBy(*order)))
-        seen = seen.withColumn("__best", (F.col("__a") == 1) & (F.col("__b") == 1)).withColumn("__hit", F.max("__best").over(by_b)).withColumn("__hit", F.col("__hit") | F.max("__best").over(by_a))
-        seen = keep(seen.where("__best or not __hit"))
-        best, open_ = (seen.where(c).drop("__a", "__b", "__best", "__hit") for c in ("__best", "not __best"))
-        taken = best if taken is None else taken.unionByName(best)
-        if open_.isEmpty():
-            return taken
+def assigned(edges: DataFrame, left: str = "a_idx", right: str = "b_idx", order: list[tuple[str, str]] | None = None, together: int | None = None) -> DataFrame:
+    """One-to-one by best score first, ties by a_idx, b_idx: what a sequential greedy pass over the sorted edges takes."""
+    return graph.assigned(edges, "list_id", left, right, order or [("confidence", "descending"), (left, "ascending"), (right, "ascending")], together)
 
 
 def outcome(a: DataFrame, b: DataFrame, matches: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Spark sessions for jobs of this library."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +34,17 @@ def kept(df: DataFrame) -> DataFrame:
     """df computed once and written to the shared folder: loops start anew from it, and lost executors cost nothing."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """df written to the shared folder and read again, and its path."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/leadmill/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def dropped(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

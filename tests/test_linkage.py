@@ -16,17 +16,58 @@ from leadmill.plans.bindings import A, B, bound
 SIDE = "list_id long, idx long, name string, phone string, postal string, city string, state string, lat double, lon double"
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_assignment_is_the_sequential_greedy(spark, seed):
-    r = random.Random(seed)
-    edges = {(r.randrange(2), r.randrange(9), r.randrange(9)): r.choice([0.6, 0.7, 0.8, 0.9]) for _ in range(60)}
-    df = spark.createDataFrame([(*k, v) for k, v in edges.items()], "list_id long, a_idx long, b_idx long, confidence double")
-    got = {tuple(x) for x in linkage.assigned(df).select("list_id", "a_idx", "b_idx").collect()}
+@pytest.mark.parametrize("together", [None, 40, 7])
+def test_assignment_is_the_sequential_greedy(spark, together):
+    """Lists dealt whole, cut into components, and cut into bands; with a chain of improving edges, where rounds of mutual best take one edge each."""
+    r = random.Random(1)
+    edges = {(r.randrange(4), r.randrange(9), r.randrange(9)): r.choice([0.6, 0.7, 0.8, 0.9]) for _ in range(60)}
+    edges |= {(9, 100 + k, 100 + (k + j)): round(0.6 + (2 * k + j) / 1000, 4) for k in range(40) for j in (0, 1)}
+    edges |= {(9, 200 + k, 200 + k): 0.7 for k in range(5)}
+    df = spark.createDataFrame([(*k, v, "x") for k, v in edges.items()], "list_id long, a_idx long, b_idx long, confidence double, more string")
+    found = linkage.assigned(df, together=together)
+    assert found.columns == df.columns
+    got = {tuple(x) for x in found.select("list_id", "a_idx", "b_idx").collect()}
     want, a, b = set(), set(), set()
     for (g, x, y), _ in sorted(edges.items(), key=lambda e: (-e[1], e[0])):
         if (g, x) not in a and (g, y) not in b:
             want.add((g, x, y)), a.add((g, x)), b.add((g, y))
     assert got == want
+    assert linkage.assigned(df.where("confidence > 2"), together=together).collect() == []
+
+
+def test_rounds_do_not_grow_with_chains(spark):
+    """A chain of improving edges is one task's pass: the jobs of ten edges and of a thousand are as many."""
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(n):
+        spark.sparkContext.setJobGroup(f"chain{n}", "")
+        df = spark.createDataFrame([(0, k, k + j, 0.5 + (2 * k + j) / 1e5) for k in range(n) for j in (0, 1)], "list_id long, a_idx long, b_idx long, confidence double")
+        assert linkage.assigned(df).count() == n
+        return len(tracker.getJobIdsForGroup(f"chain{n}"))
+
+    assert jobs(10) == jobs(1000)
+    spark.sparkContext.setJobGroup("rest", "")
+
+
+def test_components(spark):
+    from leadmill.operators import graph
+
+    r = random.Random(3)
+    pairs = [(r.randrange(200), r.randrange(200)) for _ in range(90)] + [(1000 + k, 1001 + k) for k in range(100)] + [(5000, 5001 + k) for k in range(50)] + [(7, 7), (1, 2), (2, 1)]
+    least = {}
+
+    def find(x):
+        while least.setdefault(x, x) != x:
+            x = least[x]
+        return x
+
+    for x, y in pairs:
+        x, y = find(x), find(y)
+        least[max(x, y)] = min(x, y)
+    want = {x: find(x) for x in least}
+    got = {t.node: t.root for t in graph.components(spark.createDataFrame(pairs, "u long, v long")).collect()}
+    alone = {x for x, _ in pairs} - set(got)
+    assert got == {x: y for x, y in want.items() if x not in alone} and alone <= {x for x, y in pairs if x == y}
 
 
 def test_linkage_rules(spark):
