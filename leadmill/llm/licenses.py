@@ -19,8 +19,9 @@ empty table gives no rows.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from heapq import heappop, heappush
 from pathlib import Path
 
 import numpy as np
@@ -152,24 +153,64 @@ class Templates:
                         window = np.minimum(low, np.append(low[1:], low[-1:]))  # two blocks are a window
                         for w in np.flatnonzero(gate[(window >> np.uint64(48)).astype(np.int64)]):
                             places.update((self.classes[size, n][t], n, int(w)) for t in np.flatnonzero(least == window[w]))
-            for t, n, w in places:
-                yield from self.verified(t, x, owner, w * n, min(len(x), (w + 2) * n))
+            # Windows of one template whose surroundings meet are verified together, so no word is looked at twice for a template.
+            spans: list[list[int]] = []
+            for t, start, end in sorted((t, w * n - self.spans[t], (w + 2) * n + self.spans[t]) for t, n, w in places):
+                if spans and spans[-1][0] == t and start <= spans[-1][2]:
+                    spans[-1][2] = max(spans[-1][2], end)
+                else:
+                    spans.append([t, start, end])
+            for t, start, end in spans:
+                yield from self.verified(t, x, owner, max(0, start), min(len(x) - size + 1, end))
 
     def verified(self, t: int, x: np.ndarray, owner: np.ndarray, start: int, end: int) -> Iterator[tuple[int, int, int, float]]:
         own, span, size = self.sets[t], self.spans[t], self.sizes[t]
-        start, end = max(0, start - span), min(len(x) - size + 1, end + span)
         at = start + np.flatnonzero(np.isin(x[start : max(start, end)], own))
         at = at[owner[at] == owner[at + size - 1]]
-        for d in np.unique(owner[at]):
-            mine = at[owner[at] == d]
-            # The best stretch of the template's length, by distinct shingles of it; then the best of what lies beside it.
-            while len(mine):
-                got, place = max((len(np.unique(x[mine[(mine >= p) & (mine < p + span)]])), -int(p)) for p in mine)
-                if got < CONTAINED * len(own):
-                    break
-                first, last = -place, int(mine[(mine >= -place) & (mine < -place + span)][-1])
-                yield t, first, last + size - first, got / len(own)
-                mine = mine[(mine + size <= first) | (mine >= last + size)]
+        need = CONTAINED * len(own)
+        for mine in np.split(at, np.flatnonzero(np.diff(owner[at])) + 1):
+            ids = np.unique(x[mine], return_inverse=True)[1]
+            if len(mine) and ids.max() + 1 >= need:
+                for first, last, got in stretches(mine.tolist(), ids.tolist(), span, size, need):
+                    yield t, first, last + size - first, got / len(own)
+
+
+def stretches(at: list[int], ids: list[int], span: int, size: int, need: float) -> Iterator[tuple[int, int, int]]:
+    """(first, last, distinct ids) of the places of a template among its hits, which are sorted: the stretch of `span` words with the most distinct
+    ids (ties: the first), then the best of what lies beside it, and so on, down to `need`.
+
+    One pass of two pointers counts all stretches; a place that is taken changes only those that reach into it, and a heap knows the best.
+    """
+    alive, counts = [True] * len(at), [0] * len(at)
+    heap: list[tuple[int, int]] = []
+
+    def count(low: int, high: int) -> None:
+        """The stretches that start at hits low..high - 1."""
+        held: dict[int, int] = {}
+        end = low
+        for i in range(low, high):
+            while end < len(at) and at[end] < at[i] + span:
+                if alive[end]:
+                    held[ids[end]] = held.get(ids[end], 0) + 1
+                end += 1
+            if alive[i]:
+                if len(held) >= need and len(held) != counts[i]:
+                    heappush(heap, (-len(held), i))
+                counts[i] = len(held)
+                held[ids[i]] -= 1
+                if not held[ids[i]]:
+                    del held[ids[i]]
+
+    count(0, len(at))
+    while heap:
+        got, i = heappop(heap)
+        if not alive[i] or counts[i] != -got:
+            continue
+        last = next(j for j in range(bisect_left(at, at[i] + span) - 1, -1, -1) if alive[j])
+        yield at[i], at[last], -got
+        low, high = bisect_right(at, at[i] - size), bisect_left(at, at[last] + size)
+        alive[low:high] = [False] * (high - low)
+        count(bisect_right(at, at[low] - span), low)
 
 
 FOUND = pa.list_(pa.struct([("license", pa.string()), ("first_word", pa.int64()), ("words", pa.int64()), ("containment", pa.float64())]))

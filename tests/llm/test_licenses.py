@@ -111,3 +111,35 @@ def test_settled():
     place = lambda name, at, n, c: {"license": name, "first_word": at, "words": n, "containment": c}
     a, b, c, d = place("A", 0, 100, 0.9), place("B", 10, 80, 1.0), place("C", 20, 5, 1.0), place("D", 95, 90, 0.95)
     assert licenses.settled([a, b, c, d]) == [b, c, d] and licenses.settled([]) == []
+
+
+def test_stretches_beside_all_stretches():
+    r = random.Random(12)
+    for _ in range(300):
+        n, span, size = r.randrange(1, 40), r.choice([3, 8, 20]), r.choice([1, 3])
+        at = sorted(r.sample(range(80), n))
+        ids = [r.randrange(6) for _ in at]
+        need, left, want = r.choice([1, 2, 4]), list(zip(at, ids, strict=True)), []
+        while left:
+            got, first = max((len({s for j, s in left if p <= j < p + span}), -p) for p, _ in left)
+            if got < need:
+                break
+            last = max(j for j, _ in left if -first <= j < -first + span)
+            want.append((-first, last, got))
+            left = [(j, s) for j, s in left if j + size <= -first or j >= last + size]
+        assert list(licenses.stretches(at, ids, span, size, need)) == want
+
+
+def test_many_copies_of_a_long_license_take_linear_time():
+    """50 copies of GPL-3.0 in one document: seconds, and every place."""
+    import time
+
+    text = dict(licenses.library())["GPL-3.0"]
+    one = len(licenses.WORD.findall(text))
+    index, known = licenses.Templates(licenses.library()), licenses._Hashes()
+    words = licenses.word_hashes(" filler between ".join([text] * 50), known)
+    began = time.perf_counter()
+    got = licenses.merged([(index.names[t], a, n, c) for t, a, n, c in index.scan(words, words * 0)])
+    assert time.perf_counter() - began < 30
+    places = [p for p in got if p["license"] == "GPL-3.0" and p["words"] > one // 2]
+    assert [(p["first_word"], p["containment"]) for p in places] == [(k * (one + 2), 1.0) for k in range(50)]
