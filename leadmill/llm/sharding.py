@@ -6,7 +6,8 @@ equal texts or of repeated rows.  A pass counts bytes and rows between candidate
 even ones.  Only cells that hold a splitter's target are probed again, 2**STEP times finer, until every cell is within
 the tolerance: at most LEVELS * shards * 2**STEP counts reach the driver, whatever the bytes.  Then every row goes to
 its cell in one exchange, where it gets its place.  A cell of more than CELL_BYTES is sorted in parts, by more bits of
-the key; their counts are summed on Spark and stay there.
+the key; parts that are still larger, as equal texts share their first bits, get FINER more in passes over their rows alone, until
+no part but a single row, or rows of one whole key, is larger.  The counts of parts are summed on Spark and stay there.
 
 Defined results: null texts and null doc_ids are values like any other (size 8 bytes for a null or empty text); rows
 equal in doc_id and text may lie in different shards; texts of any length count their bytes and move as they are; ties
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import local_table, written
+from .common import local_table, union_all, written
 
 #: Bits of the key that a pass adds.
 STEP = 10
@@ -34,6 +35,8 @@ TOLERANCE = 1 / 512
 LEVELS = -(-64 // STEP)
 #: Bytes that are sorted in one task: larger cells are placed in parts.
 CELL_BYTES = 64 << 20
+#: Bits by which a part that is too large is cut further.
+FINER = 8
 
 
 def text_bytes(text: Column) -> Column:
@@ -72,16 +75,25 @@ def cell_of(key: Column, cut: dict[int, list[int]]) -> Column:
 
 @dataclass
 class Plan:
-    """cut: the prefixes probed further, by level.  cells: (cell, bits, shard, first_slot); bits name a row's part of its cell.  parts: (cell, part, before) or None."""
+    """cut: the prefixes probed further, by level.  cells: (cell, bits, shard, first_slot); the first bits of a row's key are its part of its cell.
+    splits: (part, more) of parts that are cut by more bits, pass by pass.  parts: (cell, part, before) or None."""
 
     cut: dict[int, list[int]]
     cells: DataFrame
+    splits: list[DataFrame]
     parts: DataFrame | None
     counted: int
 
     def located(self, keyed: DataFrame) -> DataFrame:
-        rows = keyed.withColumn("cell", cell_of(F.col("key"), self.cut)).join(F.broadcast(self.cells), "cell")
-        return rows.withColumn("part", F.expr("shiftrightunsigned(key, 64 - bits)")).drop("bits")
+        """keyed with cell, part, bits, shard and first_slot; a part is known by where it starts."""
+        rows = keyed.withColumn("cell", cell_of(F.col("key"), self.cut)).join(F.broadcast(self.cells), "cell").withColumn("part", _part())
+        for split in self.splits:
+            rows = rows.join(split, "part", "left").withColumn("bits", F.coalesce("more", "bits")).drop("more").withColumn("part", _part())
+        return rows
+
+
+def _part() -> Column:
+    return F.expr("shiftleft(shiftrightunsigned(key, 64 - bits), 64 - bits)").bitwiseXOR(F.lit(-(1 << 63)))
 
 
 def planned(keyed: DataFrame, shards: int) -> Plan:
@@ -117,20 +129,34 @@ def planned(keyed: DataFrame, shards: int) -> Plan:
         slot += cells[s][2]
     bits = [min(64, _bits(cells[s][0]) + (2 * cells[s][1] // CELL_BYTES).bit_length() * (cells[s][1] > CELL_BYTES)) for s in starts]
     table = local_table(keyed.sparkSession, {"cell": pa.array(starts, pa.int64()), "bits": pa.array(bits, pa.int32()), "shard": pa.array(of, pa.int32()), "first_slot": pa.array(first, pa.int64())})
-    plan = Plan(cut, table, None, counted)
+    plan = Plan(cut, table, [], None, counted)
     if any(b > _bits(cells[s][0]) for s, b in zip(starts, bits, strict=True)):
-        rows = plan.located(keyed).groupBy("cell", "part").agg(F.count("*").alias("rows"))
         before = F.coalesce(F.sum("rows").over(Window.partitionBy("cell").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        plan.parts = written(rows.select("cell", "part", before.alias("before")), "parts")
+        plan.parts = written(parted(keyed, plan).select("cell", "part", before.alias("before")), "places")
     return plan
 
 
+def parted(keyed: DataFrame, plan: Plan) -> DataFrame:
+    """(cell, part, bits, rows, bytes) of all parts, none of them above CELL_BYTES that can be cut; adds to plan.splits what is cut."""
+    by = lambda rows: rows.groupBy("cell", "part").agg(F.max("bits").alias("bits"), F.count("*").alias("rows"), F.sum("size").alias("bytes"))
+    found, done = written(by(plan.located(keyed)), "parts"), []
+    while True:
+        big = (F.col("bytes") > CELL_BYTES) & (F.col("rows") > 1) & (F.col("bits") < 64)
+        if not found.where(big).limit(1).count():
+            return union_all([*done, found])
+        done.append(found.where(~big))
+        split = written(found.where(big).select("part", F.least(F.col("bits") + FINER, F.lit(64)).alias("more")), "splits")
+        rows = plan.located(keyed).join(split, "part").withColumn("bits", F.col("more")).withColumn("part", _part())
+        found = written(by(rows), "parts")
+        plan.splits.append(split)
+
+
 def placed(keyed: DataFrame, plan: Plan, order: list[str]) -> DataFrame:
     """keyed with shard and slot, slots counted from 0 in each shard.  The one exchange deals rows to cells and their parts."""
     rows = plan.located(keyed)
     rows = rows.withColumn("before", F.lit(0)) if plan.parts is None else rows.join(plan.parts, ["cell", "part"])
     within = Window.partitionBy("cell", "part").orderBy("key", *order)
-    return rows.withColumn("slot", F.col("first_slot") + F.col("before") + F.row_number().over(within) - 1).drop("cell", "part", "before", "first_slot", "key")
+    return rows.withColumn("slot", F.col("first_slot") + F.col("before") + F.row_number().over(within) - 1).drop("cell", "part", "bits", "before", "first_slot", "key")
 
 
 def digests(docs: DataFrame, shards: int = 24) -> DataFrame:

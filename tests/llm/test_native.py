@@ -128,6 +128,21 @@ def test_parts_of_cells(spark, data, monkeypatch):
     assert got.sort_values(order)[order].to_numpy().tolist() == want.sort_values(order)[order].to_numpy().tolist() and no_python(rows)
 
 
+def test_no_part_is_above_its_bound(spark, monkeypatch):
+    """Six hot texts, one of them in equal rows too: parts stay within CELL_BYTES, and places are those of one sort."""
+    hot = [(f"hot text {k} " * 6) for k in range(6)]
+    rows = [(k * 1000 + i, x) for k, x in enumerate(hot) for i in range(400)] + [(-1, hot[0])] * 300 + [(9000 + k, f"plain {k}") for k in range(2000)] + [(8999, "long " * 500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    keyed = sharding.written(sizes(docs), "keyed")
+    want = sharding.placed(keyed.withColumn("k", F.col("key")), sharding.planned(keyed, 4), []).select("k", "shard", "slot").collect()
+    monkeypatch.setattr(sharding, "CELL_BYTES", 600)
+    plan = sharding.planned(keyed, 4)
+    parts = plan.located(keyed).groupBy("cell", "part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+    assert plan.splits and parts.where("bytes > 600 and rows > 1").count() == 0 and parts.join(plan.parts, ["cell", "part"], "left_anti").count() == 0
+    got = sharding.placed(keyed.withColumn("k", F.col("key")), plan, []).select("k", "shard", "slot").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and no_python(parts)
+
+
 def sizes(docs):
     return docs.select(sharding.text_bytes(F.col("text")).alias("size"), sharding.sort_key(F.col("doc_id"), F.col("text")).alias("key"))
 
