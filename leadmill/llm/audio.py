@@ -9,8 +9,8 @@ bytes of texts or files at a time, or one longer text, with what is made of them
 
 Defined results: null text is empty text; an empty text is one unit of blanks; null media gives null results;
 media that is not such a WAV raises ValueError in `read_wav` and gives null results in `decoded`.
-Texts of any length are cut into pieces for decoding, never shortened; PCM of more than MOST_PCM bytes is null, as one value
-can't hold it, with all its features.  Equal bytes give equal results; repeated rows stay; an empty table gives no rows.
+Texts of any length are cut into pieces for decoding, never shortened; PCM of more than MOST_PCM bytes is no single value but a
+table of SEGMENT bytes a row (`segments`), which `digests` writes to the shared folder and names in pcm_table; its features are complete all the same.  Equal bytes give equal results; repeated rows stay; an empty table gives no rows.
 `decoded` keeps other columns and replaces those it adds; `stored` reads its two columns only.
 """
 
@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import scratch, written
 
 UNIT, HEADER, RATE, OUT_RATE = 192, 4, 8000, 16000
 ULAW, ALAW, IMA = "ulaw", "alaw", "ima"
@@ -45,8 +45,10 @@ STEPS = np.array([
 PIECE = 1 << 20
 #: Bytes of texts or files that a task turns into rows at a time.
 PORTION = 1 << 20
-#: PCM of more bytes is not kept as one value; its features are complete all the same.
-MOST_PCM = 1 << 30
+#: PCM of more bytes is kept in segments.
+MOST_PCM, SEGMENT = 1 << 26, 1 << 23
+#: Bytes of PCM that a byte of payload becomes.
+EXPANDS = {ULAW: 4, ALAW: 4, IMA: 8}
 
 
 def ulaw_table() -> np.ndarray:
@@ -252,8 +254,8 @@ READ_DDL = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_by
 def _read(raw: bytes | None, pieces: Iterator[np.ndarray] | None) -> tuple:
     if pieces is None:
         return (None,) * len(READ)
-    back = payload_back(raw)
-    feature, pcm = features(read_wav(raw)[0], pieces, keep=8 * len(back) <= MOST_PCM)
+    back, codec = payload_back(raw), read_wav(raw)[0]
+    feature, pcm = features(codec, pieces, keep=EXPANDS[codec] * len(back) <= MOST_PCM)
     return len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(raw), hashlib.sha256(raw).hexdigest(), feature, pcm
 
 
@@ -273,7 +275,42 @@ def decoded(files: DataFrame, media: str = "media") -> DataFrame:
     return out.select(*[F.col(f"__{k}").alias(c) for k, c in enumerate(kept)], F.col("__media").alias(media), *READ)
 
 
+def segments(files: DataFrame, media: str = "media", key: str = "doc_id") -> DataFrame:
+    """(key, media_sha256, part, pcm): the PCM of every file in parts of SEGMENT bytes, whatever its length; none of a file that can't be read."""
+
+    def each(batches):
+        for b in batches:
+            for k in range(b.num_rows):
+                raw = b.column(1)[k].as_py()
+                (pieces,) = expanded([raw])
+                if pieces is None:
+                    continue
+                sha, part, held, size = hashlib.sha256(raw).hexdigest(), 0, [], 0
+                row = lambda pcm, part: pa.RecordBatch.from_arrays([b.column(0).slice(k, 1), pa.array([sha]), pa.array([part], pa.int64()), pa.array([pcm], pa.binary())], ["key", "media_sha256", "part", "pcm"])  # noqa: E731, B023
+                for y in resampled(pieces):
+                    held.append(y.astype("<i2").tobytes())
+                    size += len(held[-1])
+                    if size >= SEGMENT:
+                        whole = b"".join(held)
+                        for at in range(0, size - SEGMENT + 1, SEGMENT):
+                            yield row(whole[at : at + SEGMENT], part)
+                            part += 1
+                        held, size = [whole[size - size % SEGMENT :]], size % SEGMENT
+                if size:
+                    yield row(b"".join(held), part)
+
+    kind = files.schema[key].dataType.simpleString()
+    return files.select(F.col(f"`{key}`"), F.col(f"`{media}`")).mapInArrow(each, f"key {kind}, media_sha256 string, part long, pcm binary").withColumnRenamed("key", key)
+
+
 def digests(docs: DataFrame) -> DataFrame:
-    """Every text stored as a file, read back from the table that holds it, expanded and resampled: its digests, the file and its PCM."""
+    """Every text stored as a file, read back from the table that holds it, expanded and resampled: its digests, the file and its PCM,
+    or the table that holds this in segments."""
     files = written(stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")), "media")
-    return decoded(files).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "media", "pcm")
+    long, place = files.where(F.col("n_bytes") > MOST_PCM // max(EXPANDS.values()) - UNIT), F.lit(None).cast("string")
+    if long.limit(1).count():
+        path = scratch(docs.sparkSession, "pcm")
+        segments(long).write.parquet(path)
+        place = F.when(F.col("pcm").isNull(), path)
+    rows = decoded(files).withColumn("pcm_table", place)
+    return rows.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "media", "pcm", "pcm_table")

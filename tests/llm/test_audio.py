@@ -97,6 +97,21 @@ def test_portions_bound_what_a_task_holds(spark, monkeypatch):
     monkeypatch.setattr(audio, "PORTION", 1000)
     parts = [p.column(0).to_pylist() for p in audio.portions(b, 0)]
     assert [x for p in parts for x in p] == b.column(0).to_pylist() and all(len(p) == 1 or sum(len(x or "") for x in p) <= 1000 for p in parts)
-    monkeypatch.setattr(audio, "MOST_PCM", 1000)
-    got = audio.digests(spark.createDataFrame([(1, "a"), (2, "long " * 500)], "doc_id long, text string")).collect()
-    assert {r.doc_id: r.pcm is None for r in got} == {1: True, 2: True} and all("pcm_crc32" in r.feature for r in got)
+
+
+def test_long_pcm_is_kept_in_segments(spark, monkeypatch):
+    texts = {1: "a" * 192, 2: "long " * 500, 3: "other " * 300, 4: ""}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = {r.doc_id: r for r in audio.digests(docs).collect()}
+    assert all(r.pcm and r.pcm_table is None for r in want.values())
+    monkeypatch.setattr(audio, "MOST_PCM", 1600)
+    monkeypatch.setattr(audio, "SEGMENT", 700)
+    got = {r.doc_id: r for r in audio.digests(docs).collect()}
+    assert all(got[k].feature == r.feature and got[k].media_sha256 == r.media_sha256 for k, r in want.items())
+    assert {2, 3} <= {k for k, r in got.items() if r.pcm is None} and got[4].pcm is None or got[4].pcm == want[4].pcm
+    kept = {}
+    for r in spark.read.parquet(got[2].pcm_table).orderBy("doc_id", "part").collect():
+        kept.setdefault(r.doc_id, []).append(r.pcm)
+    for k, r in got.items():
+        assert r.pcm == want[k].pcm if r.pcm is not None else b"".join(kept[k]) == want[k].pcm
+    assert all(len(p) == 700 for parts in kept.values() for p in parts[:-1])
