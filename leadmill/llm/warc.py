@@ -2,27 +2,27 @@
 
 Writing: one record a page.  Of pages with equal payloads of at least REVISIT_BYTES, the one with the smallest page_id
 is a response and the others are revisits that refer to it.  Records are strings that Spark's text writer puts
-into gzip-compressed archives of at most ARCHIVE_RECORDS records each, through whatever file system the shared
-folder is on.
+into gzip-compressed archives, through whatever file system the shared folder is on.  An archive holds at most ARCHIVE_RECORDS
+records and about ARCHIVE_BYTES: pages of other sizes go to archives of their own, with fewer records each.
 
-Reading: archives are read whole, each a bounded file, walked by Content-Length, and give one capture a record.
-The captures of an archive leave it sorted by URL key, timestamp and page: a run.
+Reading: an archive is inflated as it is walked, by Content-Length, record by record, and gives one capture a record; a task holds one
+compressed archive and one record.  The captures of an archive leave it sorted by URL key, timestamp and page: a run.
 
-Index: runs are dealt to key ranges, and within a range a loser tree merges its k runs.  The composite key
-(url key, timestamp, page) splits the captures of one hot URL over several ranges.  Counts of the ranges turn the
-place within a range into the position in the whole history.
+Index: runs are dealt to key ranges, at most RANGES, and within a range a loser tree merges its k runs, which arrive sorted.  The
+composite key (url key, timestamp, page) splits the captures of one hot URL over several ranges.  Counts of the ranges
+turn the place within a range into the position in the whole history.
 
 Defined results: null html is an empty payload; null urls have an empty key; a null page_id is written as an empty
 number, never the response of others if any has a number, and read back as null; repeated rows are separate
 records, and of rows equal in page_id and payload all are responses or all revisits; payloads of any length are written
-whole, and an archive is read in one task, so its size is ARCHIVE_RECORDS pages; other columns are not read; an empty
+whole; other columns are not read; an empty
 table gives no rows.  A revisit names its response by WARC-Refers-To, its URL and date, and by page number in X-Refers-To-Page.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 
 from .common import scratch, written
 
-REVISIT_BYTES, ARCHIVE_RECORDS = 100, 2000
+REVISIT_BYTES, ARCHIVE_RECORDS, ARCHIVE_BYTES = 100, 2000, 1 << 28
+#: Sizes of pages whose archives hold ever fewer records: each is this much larger than the one before.
+LARGER = 16
 CRLF = "\r\n"
 RESPONSE, REVISIT = "response", "revisit"
 
@@ -96,23 +98,65 @@ def records(rows: DataFrame) -> DataFrame:
 
 
 def write(rows: DataFrame, path: str) -> str:
-    """Archives of the typed pages under path."""
-    records(rows).write.option("lineSep", CRLF).option("compression", "gzip").option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
+    """Archives of the typed pages under path.  The largest payload says how many sizes of archives there are: one, where pages are small."""
+    bytes_ = F.octet_length("payload")
+    low, high = -1, max(1, ARCHIVE_BYTES // ARCHIVE_RECORDS)
+    largest = rows.agg(F.max(bytes_)).first()[0] or 0
+    while low < largest or low < 0:
+        some = rows if low < 0 and largest <= high else rows.where((bytes_ > low) & (bytes_ <= high))
+        records(some).write.mode("append").option("lineSep", CRLF).option("compression", "gzip").option("maxRecordsPerFile", max(1, ARCHIVE_BYTES // high)).text(path)
+        low, high = high, high * LARGER
     return path
 
 
-def parsed(archive: bytes) -> Iterator[tuple[dict[str, str], bytes, int]]:
-    """(headers, block, offset) of the records of an uncompressed archive."""
-    at = 0
-    while at < len(archive):
-        end = archive.index(b"\r\n\r\n", at)
-        lines = archive[at:end].decode("utf-8", "surrogatepass").split(CRLF)
+def inflated(packed: bytes, piece: int = 1 << 20) -> Iterator[bytes]:
+    """A gzip file in pieces, one member after the other."""
+    view, at = memoryview(packed), 0
+    member = zlib.decompressobj(31)
+    while at < len(view) or member.unconsumed_tail:
+        source = member.unconsumed_tail or view[at : at + piece]
+        at += 0 if member.unconsumed_tail else len(source)
+        yield member.decompress(source, piece)
+        if member.eof:
+            at -= len(member.unused_data)
+            member = zlib.decompressobj(31)
+
+
+def parsed(archive: bytes | Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes, int]]:
+    """(headers, block, offset) of the records of an uncompressed archive, or of its pieces: no more than a record and a piece is held."""
+    pieces = iter([archive] if isinstance(archive, bytes) else archive)
+    held, start, at = bytearray(), 0, 0  # held[start:] is what is not read yet, at is its offset in the archive
+
+    def more() -> bool:
+        nonlocal start
+        piece = next(pieces, None)
+        if piece is None:
+            return False
+        if start:
+            del held[:start]
+            start = 0
+        held.extend(piece)
+        return True
+
+    while True:
+        while (end := held.find(b"\r\n\r\n", start)) < 0:
+            if not more():
+                if len(held) > start:
+                    raise ValueError(f"no record at {at}")
+                return
+        lines = held[start:end].decode("utf-8", "surrogatepass").split(CRLF)
         if not lines[0].startswith("WARC/1."):
             raise ValueError(f"no record at {at}")
         head = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines[1:])
-        size = int(head["Content-Length"])
-        yield head, archive[end + 4 : end + 4 + size], at
-        at = end + 4 + size + 4
+        block, size = end + 4 - start, int(head["Content-Length"])
+        while len(held) < start + block + size:
+            if not more():
+                raise ValueError(f"half a record at {at}")
+        yield head, bytes(held[start + block : start + block + size]), at
+        step = block + size + 4
+        while len(held) < start + step and more():
+            pass
+        start, at = start + step, at + step
 
 
 CAPTURES = pa.schema([("run", pa.string()), ("url_key", pa.string()), ("captured_at", pa.string()), ("page_id", pa.int64()), ("offset", pa.int64()), ("record_type", pa.string()), ("digest", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64())])
@@ -132,7 +176,7 @@ def read(spark, path: str) -> DataFrame:
         for b in batches:
             for name, content in zip(b.column(0), b.column(1), strict=True):
                 run, rows = name.as_py().rsplit("/", 1)[-1], []
-                for head, block, at in parsed(gzip.decompress(content.as_py())):
+                for head, block, at in parsed(inflated(content.as_py())):
                     payload = block.split(b"\r\n\r\n", 1)[1] if head["WARC-Type"] == RESPONSE else None
                     number = lambda key: int(head[key]) if head.get(key) else None  # noqa: E731, B023
                     rows.append((run, head["X-URL-Key"], head["WARC-Date"], number("X-Page"), at, head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha256:"), None if payload is None else len(payload), None if payload is None else hashlib.sha256(payload).hexdigest(), number("X-Refers-To-Page")))
@@ -177,31 +221,30 @@ def merged(runs: list[list]) -> Iterator:
         tree[0] = winner
 
 
-#: Captures of one merge task, about.
-RANGE_ROWS = 10_000
+#: Captures of one merge task, about, and most such tasks.
+RANGE_ROWS, RANGES = 50_000, 20_000
 
 
 def index(captures: DataFrame, rows: int) -> DataFrame:
     """The captures with position: counted from 0 in the order of URL key, time and page."""
-    ranges = captures.repartitionByRange(max(1, -(-rows // RANGE_ROWS)), "url_key", "captured_at", "page_id", "run", "offset")
-    columns = captures.columns
+    order = ["url_key", "captured_at", "page_id", "run", "offset"]
+    ranges = captures.repartitionByRange(min(RANGES, max(1, -(-rows // RANGE_ROWS))), *order).sortWithinPartitions("run", *order[:3], "offset")
 
     def each(batches):
+        table = pa.Table.from_batches(list(batches), CAPTURES)  # a range: its rows stay in columns, only their keys are objects
+        keys = [table[c].to_pylist() for c in ("run", "url_key", "captured_at", "page_id", "offset")]
         runs: dict[str, list] = {}
-        for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                runs.setdefault(row[0], []).append(row)
-        for run in runs.values():  # a run's rows may come in several fetched pieces
-            run.sort(key=order_of)
-        out = list(merged([runs[k] for k in sorted(runs)]))
-        for start in range(0, len(out), 10_000):
-            part = out[start : start + 10_000]
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*part, strict=True), CAPTURES.types, strict=True)), pa.array(range(start, start + len(part)), pa.int64())], [*columns, "place"])
+        for k, row in enumerate(zip(*keys, strict=True)):
+            runs.setdefault(row[0], []).append((*row, k))
+        took = pa.array([row[5] for row in merged([runs[k] for k in sorted(runs)])], pa.int64())
+        for start in range(0, len(took), 10_000):
+            part = table.take(took.slice(start, 10_000)).append_column("place", pa.array(range(start, min(start + 10_000, len(took))), pa.int64()))
+            yield from part.combine_chunks().to_batches()
 
     # Ranges are drawn from a sample, so the merged rows are written before anything is counted by range.
     placed = written(ranges.mapInArrow(each, f"{CAPTURES_DDL}, place long").withColumn("merge_range", F.spark_partition_id()), "index")
     before = F.coalesce(F.sum("n").over(W.orderBy("merge_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    starts = placed.groupBy("merge_range").agg(F.count("*").alias("n")).select("merge_range", before.alias("start"))  # a row for each RANGE_ROWS captures
+    starts = placed.groupBy("merge_range").agg(F.count("*").alias("n")).select("merge_range", before.alias("start"))  # a row a range, RANGES at most
     return placed.join(starts, "merge_range").withColumn("position", F.col("start") + F.col("place")).drop("merge_range", "place", "start")
 
 
@@ -212,5 +255,6 @@ def digests(pages: DataFrame) -> DataFrame:
     ordered = index(captures, captures.count())
     revisited = captures.where(f"record_type = '{REVISIT}'").select(F.col("refers_to").alias("id"), F.col("digest").alias("d")).distinct()
     kept = captures.where(f"record_type = '{RESPONSE}'").join(revisited, (F.col("page_id") == F.col("id")) & (F.col("digest") == F.col("d")), "left_semi").groupBy(F.col("page_id").alias("id"), F.col("digest").alias("d")).agg(F.first("payload_bytes").alias("b"), F.first("payload_digest").alias("p"))
+    kept = written(kept, "kept")  # no grouping right below the join: a response with many revisits can be split
     rows = ordered.join(kept, (F.col("refers_to") == F.col("id")) & (F.col("digest") == F.col("d")), "left")
     return rows.select("page_id", F.coalesce("payload_bytes", "b").alias("payload_bytes"), F.coalesce("payload_digest", "p").alias("payload_digest"), "record_type", "refers_to", "url_key", "captured_at", "position")

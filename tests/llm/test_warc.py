@@ -47,6 +47,28 @@ def test_several_ranges_and_archives(pages, monkeypatch):
     assert order == sorted(order) and len(got) == pages.count()
 
 
+def test_archives_are_bounded_by_bytes(spark, monkeypatch):
+    """Pages of several sizes: archives of their own, each within the bound or of one page; read in pieces, whole or inflated."""
+    monkeypatch.setattr(warc, "ARCHIVE_RECORDS", 20)
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 10_000)
+    rows = [(k, f"u{k}", f"page {k} " * (1 if k % 3 else 200 if k % 6 else 4000)) for k in range(120)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    path = scratch(spark, "warc-sizes")
+    warc.write(warc.typed(pages), path)
+    files = [f.content for f in spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).collect()]
+    held = [[len(block) for _, block, _ in warc.parsed(gzip.decompress(f))] for f in files]
+    assert sum(map(len, held)) == 120 and all(len(x) == 1 or (len(x) <= 20 and sum(x) <= 10_000 + 200 * len(x)) for x in held)
+    for f in files:
+        whole = list(warc.parsed(gzip.decompress(f)))
+        assert whole == list(warc.parsed(warc.inflated(f, 7))) == list(warc.parsed(warc.inflated(f)))
+    two = gzip.compress(gzip.decompress(files[0])) + gzip.compress(gzip.decompress(files[1]))
+    assert b"".join(warc.inflated(two, 100)) == gzip.decompress(files[0]) + gzip.decompress(files[1])
+    with pytest.raises(ValueError):
+        list(warc.parsed(gzip.decompress(files[0])[:-50]))
+    got = warc.digests(pages).collect()
+    assert {(r.page_id, r.payload_bytes) for r in got} == {(k, len(x)) for k, _, x in rows}
+
+
 def test_archives_are_warc(spark, pages):
     path = scratch(spark, "warc-test")
     warc.write(warc.typed(pages), path)
