@@ -7,13 +7,14 @@ Pigeonring: cut the 64 bits into a ring of 16 segments of 4.  If two fingerprint
 from some segment on, every chain of k consecutive segments differs in at most floor(k*t/16) bits.  For t = 3 a
 chain's first 5 segments agree (20 bits) and its first 10 differ in one bit at most, so one half of the next 20
 bits agrees as well: 30 bits, at one of 16 starts, in one of two halves.  These 32 masks are the join keys; they
-miss no pair, and unrelated fingerprints meet once in 2**30.  For a looser t, random masks are added: what the
-32 guarantee stays, and wider pairs are met with high probability (`loose_masks`).
+miss no pair, and unrelated fingerprints meet once in 2**30.
 
 A key's fingerprints are never paired in Spark rows.  Keys with two are a pair as they stand (their least and
-greatest).  Larger ones are dealt into blocks of bounded size, and every pair of blocks is one array: a task
-tests chains and Hamming distances in numpy and returns a spanning forest of the block pair's links, which
-keeps every component whole without emitting all its pairs.
+greatest).  Those with up to BLOCK are one array: a task tests chains and Hamming distances in numpy and returns a
+spanning forest of the links, which keeps every component whole without emitting all its pairs.  The fingerprints of a larger key
+get new keys: of the bits that the key leaves open, cut into t + 1 parts, a pair within t bits has one part equal, so it meets
+again under one of t + 1 longer masks.  A round multiplies the rows of crowded keys by t + 1, however many share a key, and after ROUNDS rounds so few bits are
+open that a key's fingerprints are bounded (`most_under`); those are dealt into blocks, and every pair of blocks is one array.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; fewer words than a
 shingle count as one shingle; a null doc_id is kept and never chosen as a component's id unless all are null;
@@ -23,21 +24,21 @@ bounded memory.
 
 from __future__ import annotations
 
-import random
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, written
+from .common import components, local_table, union_all, written
 
 BITS, SEGMENTS = 64, 16
 WIDTH = BITS // SEGMENTS
 FULL = (1 << BITS) - 1
-#: Fingerprints in a block.  A block pair holds about twice as many.
+#: Fingerprints of a key that are compared in one array; an array of two blocks holds about twice as many.
 BLOCK = 256
+#: Rounds of longer masks for crowded keys.
+ROUNDS = 4
 #: Shingles whose bits are counted at a time.
 PIECE = 1 << 16
 
@@ -79,10 +80,19 @@ def ring_masks() -> list[int]:
     return [_signed(arc(s, 20) | arc(s + 20 + half, 10)) for s in range(0, BITS, WIDTH) for half in (0, 10)]
 
 
-def loose_masks(count: int = 64, bits: int = 24, seed: int = 7) -> list[int]:
-    """Random masks: a pair that differs in d bits agrees under one of them with 1 - (1 - C(64-d, bits) / C(64, bits)) ** count: for 64 masks of 24 bits 0.965 at d = 6 and 0.858 at 7, for 128 masks 0.999 and 0.980."""
-    r = random.Random(seed)
-    return [_signed(sum(1 << b for b in r.sample(range(BITS), bits))) for _ in range(count)]
+def longer_masks(mask: int, most: int) -> list[int]:
+    """mask with each of most + 1 parts of the bits that it leaves open: a pair within `most` bits that agrees under mask agrees under one of these."""
+    open_ = [b for b in range(BITS) if not mask >> b & 1]
+    parts = [open_[k * len(open_) // (most + 1) : (k + 1) * len(open_) // (most + 1)] for k in range(most + 1)]
+    return [_signed((mask | sum(1 << b for b in part)) & FULL) for part in parts if part]
+
+
+def most_under(most: int) -> int:
+    """How many distinct fingerprints a key of the last round can have: those of its open bits."""
+    open_ = BITS - 30
+    for _ in range(ROUNDS):
+        open_ -= open_ // (most + 1)
+    return 1 << open_
 
 
 def chained(x: np.ndarray, most: int) -> np.ndarray:
@@ -115,22 +125,39 @@ def forest(fp: np.ndarray, root: np.ndarray, most: int) -> list[tuple[int, int]]
     return edges
 
 
-def links(rooted: DataFrame, most: int, masks: list[int]) -> DataFrame:
-    """(u, v): of distinct fingerprints (fp, root), links between different roots that keep every component whole.
+def met_under(rooted: DataFrame, most: int, masks: list[int]) -> tuple[DataFrame, DataFrame]:
+    """Of distinct fingerprints (fp, root): pairs (u, v), and arrays (fps, roots), that hold every pair of different roots within `most` bits.
 
     Keys whose fingerprints all have one root are left out by their least and greatest root.
     """
-    keys = rooted.select("fp", "root", F.posexplode(F.lit(masks)).alias("t", "mask")).select("fp", "root", F.xxhash64("t", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
-    met = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v"), F.min("root").alias("r"), F.max("root").alias("s")).where("r < s")
-    met = written(met.select("key", "n", "u", "v"), "met")
-    two = met.where("n = 2").select("u", "v").distinct()
-    many = keys.join(met.where("n > 2").select("key", "n"), "key")
-    blocks = F.ceil(F.col("n") / BLOCK)
-    many = many.withColumn("blocks", blocks).withColumn("b", F.pmod(F.xxhash64("fp", F.lit(1)), "blocks"))
-    others = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: j != F.col("b")))
-    many = many.select("key", "fp", "root", "b", F.explode(others).alias("j"))
-    pools = many.groupBy("key", F.least("b", "j").alias("i"), F.greatest("b", "j").alias("j")).agg(F.array_sort(F.collect_list(F.struct("fp", "root"))).alias("p"))
-    pools = pools.select(F.col("p.fp").alias("fps"), F.col("p.root").alias("roots"))
+    spark = rooted.sparkSession
+    keyed = lambda rows, under: rows.withColumn("key", F.xxhash64(under, F.col("fp").bitwiseAND(F.col("mask"))))
+    keys = keyed(rooted.select("fp", "root", F.explode(F.lit(masks)).alias("mask")), "mask")
+    twos, pools = [], []
+    for level in range(ROUNDS + 1):
+        met = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v"), F.min("root").alias("r"), F.max("root").alias("s")).where("r < s")
+        met = written(met.select("key", "n", "u", "v"), "met")
+        twos.append(met.where("n = 2").select("u", "v"))
+        few = keys.join(met.where(f"n > 2 and n <= {BLOCK}").select("key"), "key")
+        pools.append(few.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("fp", "root"))).alias("p")))
+        if not met.where(f"n > {BLOCK}").limit(1).count():
+            break
+        crowd = keys.join(met.where(f"n > {BLOCK}").select("key", "n"), "key")
+        if level == ROUNDS:
+            pools.append(_block_pairs(crowd))
+            break
+        table = [(m, longer_masks(m & FULL, most)) for m in masks]  # masks grow by most + 1 a round: a small table
+        masks = sorted({x for _, more in table for x in more})
+        longer = local_table(spark, {"mask": pa.array([m for m, _ in table], pa.int64()), "longer": pa.array([x for _, x in table], pa.list_(pa.int64()))})
+        crowd = crowd.join(F.broadcast(longer), "mask").select("fp", "root", F.col("key").alias("under"), F.explode("longer").alias("mask"))
+        # What agrees under a key and a longer mask of it is one group, whatever other masks lead to the same bits.
+        keys = written(keyed(crowd, F.xxhash64("under", "mask")).drop("under"), "longer")
+    return union_all(twos).distinct(), union_all([p.select(F.col("p.fp").alias("fps"), F.col("p.root").alias("roots")) for p in pools])
+
+
+def links(rooted: DataFrame, most: int, masks: list[int]) -> DataFrame:
+    """(u, v): of distinct fingerprints (fp, root), links between different roots that keep every component whole."""
+    two, pools = met_under(rooted, most, masks)
 
     def linked(batches):
         for batch in batches:
@@ -152,22 +179,23 @@ def links(rooted: DataFrame, most: int, masks: list[int]) -> DataFrame:
     return two.mapInArrow(paired, "u long, v long").unionByName(pools.mapInArrow(linked, "u long, v long")).distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, most: int = 3, extra_masks: list[int] | None = None) -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the smallest doc_id that links of at most `most` bits reach.
+def _block_pairs(crowd: DataFrame) -> DataFrame:
+    """Of (key, n, fp, root): an array for every pair of blocks of a key."""
+    crowd = crowd.withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn("b", F.pmod(F.xxhash64("fp", F.lit(1)), "blocks"))
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: j != F.col("b"))
+    crowd = crowd.select("key", "fp", "root", "b", F.explode(others).alias("j"))
+    return crowd.groupBy("key", F.least("b", "j").alias("i"), F.greatest("b", "j").alias("j")).agg(F.array_sort(F.collect_list(F.struct("fp", "root"))).alias("p"))
 
-    With most <= 3 the ring masks alone find every link.  A larger `most` needs extra_masks (`loose_masks`); they look for
-    links between what the ring masks have joined, so that a large group of copies meets once, not under every mask.
-    """
-    if most > 3 and not extra_masks:
-        raise ValueError("links wider than 3 bits need extra masks")
+
+def near_duplicates(docs: DataFrame, words: int = 3, most: int = 3) -> DataFrame:
+    """(doc_id, fp, component_id): component_id is the smallest doc_id that links of at most `most` bits reach; most <= 3, for which the ring masks
+    find every link."""
+    if most > 3:
+        raise ValueError("the ring masks find links of up to 3 bits")
     marked = written(fingerprints(docs, words), "fingerprints")
     # Tables that joins meet again are written: a join right above a grouping can't have its hot keys split.
     distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     found = links(distinct.select("fp", F.col("fp").alias("root")), most, ring_masks())
-    if extra_masks:
-        found = written(found, "links")
-        rooted = distinct.join(components(found).withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
-        found = found.unionByName(links(written(rooted, "rooted"), most, extra_masks))
     roots = components(found)
     linked = written(distinct.join(roots.withColumnRenamed("node", "fp"), "fp"), "linked")  # most fingerprints have no link
     ids = written(linked.groupBy("root").agg(F.min("least").alias("joint")), "joint")
@@ -178,13 +206,3 @@ def near_duplicates(docs: DataFrame, words: int = 3, most: int = 3, extra_masks:
 
 def digests(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """The documents, without those that are not their component's first.  Of rows with one doc_id, one stays.
-
-    Rows with a null doc_id are kept: nothing tells which of them the component's id names.
-    """
-    keep = near_duplicates(docs, **how).where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.select(*docs.columns).unionByName(docs.where("doc_id is null"))

@@ -101,11 +101,37 @@ def test_operator(spark, data):
     assert simhash.digests(both.limit(0)).count() == 0
 
 
-def test_one_of_each(spark):
-    base = " ".join(f"word{i}" for i in range(300))
-    docs = spark.createDataFrame([(3, base, 0), (1, base, 0), (2, base.replace("word7 ", "other "), 0), (4, "something else entirely here", 0), (None, base, 0), (1, base, 0)], "doc_id long, text string, component_id int")
-    kept = sorted(str(r.doc_id) for r in simhash.one_of_each(docs, most=7, extra_masks=simhash.loose_masks()).collect())
-    assert kept == ["1", "4", "None"]
+def test_longer_masks_miss_no_pair():
+    r = random.Random(2)
+    for _ in range(3000):
+        mask = r.choice(simhash.ring_masks()) & simhash.FULL
+        open_ = [b for b in range(64) if not mask >> b & 1]
+        x = sum(1 << b for b in r.sample(open_, r.randrange(4)))
+        for _ in range(simhash.ROUNDS):
+            mask = next(m for m in (m & simhash.FULL for m in simhash.longer_masks(mask, 3)) if not x & m)
+        assert 64 - mask.bit_count() <= 14 and simhash.most_under(3) == 4096
+
+
+def test_crowded_keys_are_dealt_in_proportion(spark, monkeypatch):
+    """Fingerprints that all agree under one mask: rows in arrays grow as the fingerprints do, and components equal brute force."""
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    r, rows = random.Random(7), []
+    mask, base = simhash.ring_masks()[0] & simhash.FULL, r.getrandbits(64)
+    for n in (3200, 800):
+        fps = set()
+        while len(fps) < n:
+            f = base & mask | r.getrandbits(64) & ~mask & simhash.FULL
+            fps |= {f, f ^ (1 << r.choice([b for b in range(64) if not mask >> b & 1]))} if r.random() < 0.1 else {f}
+        df = spark.createDataFrame([(simhash._signed(f),) * 2 for f in sorted(fps)[:n]], "fp long, root long")
+        _, pools = simhash.met_under(df, 3, simhash.ring_masks())
+        rows.append(pools.agg(F.sum(F.size("fps"))).first()[0] or 0)
+    assert rows[0] <= 24 * 3200 and rows[1] <= 24 * 800  # pairs of blocks would hold 200 and 50 rows a fingerprint
+    distinct = sorted(fps)[:n]
+    roots = {x.node & simhash.FULL: x.root for x in components(simhash.links(df, 3, simhash.ring_masks())).collect()}
+    groups = {}
+    for f, w in zip(distinct, brute_components(distinct, distinct, 3), strict=True):
+        groups.setdefault(w, set()).add(roots.get(f, simhash._signed(f)))
+    assert all(len(g) == 1 for g in groups.values()) and len(set().union(*groups.values())) == len(groups) < n
 
 
 def test_roots_leave_no_link_out(spark, monkeypatch):
