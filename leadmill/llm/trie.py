@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .chat import numbered
+from .chat import LONG, numbered
 from .common import union_all, written
 
 #: Sequences, and turns in them, of a bucket that a task finishes.
@@ -47,7 +47,11 @@ def turns(conversations: DataFrame) -> DataFrame:
     """(conv_id, at, turn, bytes), written: the place of a turn in its conversation from 1, its number in the dictionary, and its text's size."""
     rows = conversations.where("conv_id is not null").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")])
     said = F.unhex(F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text"), 256))
-    placed = written(union_all([x.select("conv_id", "at", said.alias("said"), F.octet_length("text").cast("long").alias("bytes")) for x in numbered(rows, ["conv_id"])]), "placed")
+    if rows.groupBy("conv_id").count().where(F.col("count") > LONG).limit(1).count():
+        parts = numbered(rows, ["conv_id"])
+    else:
+        parts = [rows.withColumn("at", F.row_number().over(W.partitionBy("conv_id").orderBy("turn", "role", "text")).cast("long"))]
+    placed = written(union_all([x.select("conv_id", "at", said.alias("said"), F.octet_length("text").cast("long").alias("bytes")) for x in parts]), "placed")
     # Written, so numbers are given once; the dictionary has no grouping above it, so a hot turn can be split in the join.
     words = written(placed.groupBy("said").agg(F.count("*").alias("k")).select("said", F.monotonically_increasing_id().alias("turn")), "dictionary")
     return written(placed.join(words, "said").select("conv_id", "at", "turn", "bytes"), "turns")
@@ -59,29 +63,30 @@ def rebuilt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     Conversation c opens with the first h turns of the first of its family, c - c % 5 (with SQL's remainder, of c's sign), and goes on with its own after the first h;
     h is crc32(c) modulo 9.
     """
-    own = rows.groupBy("conv_id").agg(F.max("at").alias("n"))
     h = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(HEADS))
-    own = written(own.select("conv_id", "n", h.alias("h"), (F.col("conv_id") - F.col("conv_id") % FAMILY).alias("base")), "conversations")
-    has = own.join(own.select(F.col("conv_id").alias("base"), F.col("n").alias("n_base")), "base", "left").select("conv_id", "h", "base", F.least("h", F.coalesce("n_base", F.lit(0))).alias("opening"))
-    has = written(has, "openings")
+    own = rows.groupBy("conv_id").agg(F.max("at").alias("n"))
+    has = own.select("conv_id", h.alias("h"), (F.col("conv_id") - F.col("conv_id") % FAMILY).alias("base")).join(own.select(F.col("conv_id").alias("base"), F.col("n").alias("n_base")), "base", "left")
+    has = written(has.select("conv_id", "h", "base", F.least("h", F.coalesce("n_base", F.lit(0))).alias("opening")), "openings")
     heads = rows.where(F.col("at") < HEADS).withColumnRenamed("conv_id", "base").join(has, "base").where("at <= opening").select("conv_id", "at", "turn", "bytes")
     rest = rows.join(has, "conv_id").where("at > h").select("conv_id", (F.col("at") - F.col("h") + F.col("opening")).alias("at"), "turn", "bytes")
-    return own.select("conv_id"), heads.unionByName(rest)
+    return has.select("conv_id"), heads.unionByName(rest)
 
 
 def _digest(c: Column) -> Column:
     return F.unhex(F.sha2(F.array_join(c, ","), 256))
 
 
-def ends(members: DataFrame) -> DataFrame:
-    """(key, ends): SHA-256 of each key's conv_ids in order, comma-joined.
+def ends(members: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
+    """(key, ends): SHA-256 of each key's conv_ids in order, comma-joined; sizes (key, w) are written, most is the largest w.
 
     Large groups are sorted in ranges and joined to strings of at most CHUNK numbers, which one task hashes as they come.
     """
-    sizes = written(members.groupBy("key").agg(F.count("*").alias("k")), "sizes")
-    rows = members.join(sizes, "key")
-    few = rows.where(F.col("k") <= CHUNK).groupBy("key").agg(F.array_join(F.array_sort(F.collect_list("conv_id")).cast("array<string>"), ",").alias("s")).select("key", F.sha2("s", 256).alias("ends"))
-    many = rows.where(F.col("k") > CHUNK).repartitionByRange("key", "conv_id").sortWithinPartitions("key", "conv_id").select("key", "conv_id")
+    rows = members if most <= CHUNK else members.join(sizes.select("key", "w"), "key")
+    few = rows if most <= CHUNK else rows.where(F.col("w") <= CHUNK)
+    few = few.groupBy("key").agg(F.array_join(F.array_sort(F.collect_list("conv_id")).cast("array<string>"), ",").alias("s")).select("key", F.sha2("s", 256).alias("ends"))
+    if most <= CHUNK:
+        return few
+    many = rows.where(F.col("w") > CHUNK).repartitionByRange("key", "conv_id").sortWithinPartitions("key", "conv_id").select("key", "conv_id")
 
     def joined(batches):
         key, first, held = None, None, []
@@ -113,8 +118,8 @@ def ends(members: DataFrame) -> DataFrame:
     return few.unionByName(parts.repartition("key").sortWithinPartitions("key", "first").select("key", "s").mapInArrow(hashed, "key binary, ends string"))
 
 
-def sequences(convs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct sequences: (ids, lens, w, low, ends, tail, tail_saved), written, and the nodes of their tails.
+def sequences(convs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Distinct sequences: (ids, lens, w, low, ends, tail, tail_saved), written, and the nodes of their tails, if there are any.
 
     ids are the turns up to the end of the first segment that no other sequence shares, lens their bytes, w the conversations that have the
     sequence, low the smallest of them; tail says that turns were cut off, and tail_saved what those save.
@@ -127,6 +132,13 @@ def sequences(convs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = members.select("conv_id", "chain", F.unhex(F.sha2(F.array_join(F.transform("chain", F.hex), ","), 256)).alias("key"))
     members = written(members, "members")
     found = written(members.groupBy("key").agg(F.count("*").alias("w"), F.min("conv_id").alias("low"), F.max("chain").alias("chain")), "sequences")
+    most, segments = found.agg(F.coalesce(F.max("w"), F.lit(0)), F.coalesce(F.max(F.size("chain")), F.lit(0))).first()
+    ended = ends(members.select("key", "conv_id"), found, most)
+    if segments <= 1:  # no tails
+        none = F.array().cast(LONGS)
+        arrays = found.join(ended, "key").join(parts.withColumnRenamed("conv_id", "low"), "low", "left")
+        out = arrays.select(F.coalesce("ids", none).alias("ids"), F.coalesce("lens", none).alias("lens"), "w", "low", "ends", F.lit(False).alias("tail"), F.lit(0).cast("long").alias("tail_saved"))
+        return written(out, "arrays"), None
     # Sequences of several segments keep those that start as another one does, and the next.
     live = found.where(F.size("chain") > 1).select("key", "chain", F.col("chain")[0].alias("prefix"))
     single = found.where(F.size("chain") == 1).select("key", "chain", F.col("chain")[0].alias("prefix"))
@@ -138,7 +150,7 @@ def sequences(convs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         cuts.append(on.where(F.col("more").isNull() | (F.size("chain") == s)).select("key", F.lit(s).alias("keep")))
         live = written(on.where(F.col("more") & (F.size("chain") > s)).select("key", "chain", F.unhex(F.sha2(F.concat("prefix", F.col("chain")[s]), 256)).alias("prefix")), "live")
         s += 1
-    found = written(found.join(union_all(cuts), "key").join(ends(members.select("key", "conv_id")), "key"), "ended")
+    found = written(found.join(union_all(cuts), "key").join(ended, "key"), "ended")
     mine = parts.join(found.select(F.col("low").alias("conv_id"), "w", "keep", "ends"), "conv_id")
     cut = written(mine.where("seg >= keep"), "tails")
     total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)
@@ -272,7 +284,6 @@ def trie(convs: DataFrame, rows: DataFrame) -> DataFrame:
         rows = here.where("big").select("ids", "lens", "w", "low", "ends", "tail", "tail_saved", F.col("k_low").alias("p_low"), F.col("upto").alias("p_depth"))
     local = written(finished(union_all([x.drop("big", "k_low", "upto") for x in locals_])), "nodes")
     tops = local.where("p_depth is not null").groupBy("p_low", "p_depth").agg(F.sum("n_leaves").alias("leaves"), F.sum("saved_tokens").alias("saved"), F.count("*").alias("children"))
-    tops = written(tops, "tops")
     inner = []
     for big, kids in reversed(levels):
         # A sequence that ends at the branching node: its conversations end there, or go on as its tail.
@@ -297,7 +308,7 @@ def trie(convs: DataFrame, rows: DataFrame) -> DataFrame:
         inner.append(chain.select(*NODES))
         top = chain.where("depth = p_depth + 1 and p_depth >= 0").select("p_low", "p_depth", F.col("n_leaves").alias("leaves"), F.col("saved_tokens").alias("saved"), F.lit(1).cast("long").alias("children"))
         tops = tops.unionByName(top)
-    return union_all([local.select(*NODES), nodes.select(*NODES), *inner])
+    return union_all([local.select(*NODES), *([nodes.select(*NODES)] if nodes else []), *inner])
 
 
 def conversation_trie(conversations: DataFrame) -> DataFrame:
