@@ -116,7 +116,7 @@ def gate(a: Column, b: Column) -> Column:
     return F.when((F.size(da) == 0) | (F.size(db) == 0), CAP_GENERIC).when(~F.arrays_overlap(da, db), CAP_DISTINCT).otherwise(F.lit(1.0))
 
 
-def token_similarity(a: Column, b: Column) -> Column:
+def token_similarity(a: Column, b: Column, least: float | Column = 0.0) -> Column:
     """The part of the name score that needs no sequence matching, gated; 4 decimals."""
     return F.round(F.least(token_score(a, b), gate(a, b)), 4)
 
@@ -136,10 +136,33 @@ def sequence_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-def name_similarity(a: Column, b: Column) -> Column:
-    """0..1 for two word arrays: the better of token score and sequence ratio, gated; 0 where either is empty."""
+def most_ratio(a: Column, b: Column) -> Column:
+    """An upper bound of the sequence ratio of two strings, on the JVM.
+
+    Matching blocks keep their order, so they are no longer than the longest common subsequence; and of the characters of both strings
+    at least as many lie outside that as their edit distance counts.
+    """
+    both = F.length(a) + F.length(b)
+    return F.when(both > 0, (both - F.levenshtein(a, b)) / both).otherwise(F.lit(1.0))
+
+
+def compared(a: Column, b: Column, least: float | Column = 0.0) -> Column:
+    """Whether the sequence ratio of two word arrays can change their name score: the token score is below the cap, the ratio may
+    exceed it, and may reach `least`, below which a score does not matter."""
+    tokens = token_score(a, b)
+    bound = most_ratio(F.array_join(a, " "), F.array_join(b, " "))
+    # Scores are rounded to 4 decimals, so a bound counts as reached by half of the last one.
+    return (tokens < gate(a, b)) & (bound > tokens) & (F.least(bound, gate(a, b)) >= least - 0.00005)
+
+
+def name_similarity(a: Column, b: Column, least: float | Column = 0.0) -> Column:
+    """0..1 for two word arrays: the better of token score and sequence ratio, gated; 0 where either is empty.
+
+    least: scores below it may come out lower, as nobody asks for them; the strings of such pairs, and of those whose ratio can't change the
+    score, are not compared.
+    """
     tokens, most = token_score(a, b), gate(a, b)
-    open_ = tokens < most  # elsewhere the ratio can't change the score, so the strings are not compared
+    open_ = compared(a, b, least)
     ratio = sequence_ratio_udf(F.when(open_, F.array_join(a, " ")), F.when(open_, F.array_join(b, " ")))
     score = F.round(F.least(F.greatest(F.coalesce(ratio, F.lit(0.0)), tokens), most), 4)
     return F.when(F.coalesce(F.size(a) > 0, F.lit(False)) & F.coalesce(F.size(b) > 0, F.lit(False)), score).otherwise(F.lit(0.0))
@@ -175,11 +198,40 @@ def email_plain(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+#: The named references of HTML that almost all pages use; the full list is the standard's, read from Python's html module.
+COMMON_REFERENCES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "amp": "&"}
+_REFERENCE = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|lt|gt|quot|apos|nbsp|amp);"
+
+
+@F.pandas_udf(T.StringType())
+def unescaped_udf(c: pd.Series) -> pd.Series:
+    from html import unescape
+
+    return pd.Series([None if x is None else unescape(x) for x in c], dtype="object")
+
+
 def entities_plain(c: Column) -> Column:
-    """The common character references of HTML."""
-    for old, new in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        c = F.replace(c, F.lit(old), F.lit(new))
-    return c
+    """The character references of HTML, named and numeric, replaced as the standard says, each once.
+
+    The common named ones and numbers of plain characters are replaced on the JVM.  Only texts that have another reference (a number that the
+    standard maps, a rarer name, a missing semicolon) go to Python, where the full list is.
+    """
+    digits_ = lambda r: F.when(F.lower(r).startswith("#x"), F.conv(F.substr(r, F.lit(3)), 16, 10)).otherwise(F.substr(r, F.lit(2)))
+    number_ = lambda r: F.when(F.length(r) <= 9, digits_(r).try_cast("int"))
+    # Characters that stand for themselves: not the controls, surrogates and non-characters that the standard maps or drops.
+    plain = lambda n: n.isin(9, 10) | n.between(32, 126) | n.between(160, 0xD7FF) | n.between(0xE000, 0xFDCF) | n.between(0xFDF0, 0xFFFD) | (n.between(0x10000, 0x10FFFD) & ((n % 0x10000) < 0xFFFE))
+    utf32 = lambda n: F.decode(F.unhex(F.lpad(F.hex(n.cast("long")), 8, "0")), "UTF-32")
+    parts = F.split(c, "&")  # every part but the first follows an ampersand
+    named = F.create_map(*[F.lit(x) for pair in COMMON_REFERENCES.items() for x in pair])
+    name = lambda p: F.regexp_extract(F.concat(F.lit("&"), p), "^" + _REFERENCE, 1)
+    simple = lambda p: (name(p) != "") & F.coalesce(F.when(name(p).startswith("#"), plain(number_(name(p)))).otherwise(F.lit(True)), F.lit(False))
+    replaced = lambda p: F.concat(F.when(name(p).startswith("#"), utf32(number_(name(p)))).otherwise(F.try_element_at(named, name(p))), F.substr(p, F.length(name(p)) + 2))
+    tail = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+    # What is neither simple nor surely no reference (an ampersand before two letters or a number sign) needs the list.
+    hard = F.exists(tail, lambda p: ~simple(p) & p.rlike("^(#[0-9xX]|[A-Za-z][A-Za-z0-9])"))
+    easy = F.concat(parts[0], F.array_join(F.transform(tail, lambda p: F.when(simple(p), replaced(p)).otherwise(F.concat(F.lit("&"), p))), ""))
+    listed = unescaped_udf(F.when(F.contains(c, F.lit("&")) & hard, c))
+    return F.when(~F.contains(c, F.lit("&")), c).when(hard, listed).otherwise(easy)
 
 
 def sentinel_to_null(c: Column) -> Column:

@@ -36,7 +36,7 @@ def phone_first(rows: DataFrame, other: DataFrame, keep=kept, similarity=text.na
     met = [left.where(f"r.{k} is not null and r.{k} <> ''").join(right, (F.col("r.list_id") == F.col("o.list_id")) & (F.col(f"r.{k}") == F.col(f"o.{k}")) & (F.col("r.word") == F.col("o.word"))).select("r.list_id", "r.row_idx", "o.idx", F.col("r.words").alias("rw"), F.col("o.words").alias("ow")) for k in ("city", "zip")]
     pairs = met[0].union(met[1]).dropDuplicates(["list_id", "row_idx", "idx"])
     pairs = pairs.join(claimed, ["list_id", "idx"], "left").where("claimed_at is null or claimed_at > row_idx")
-    edges = pairs.where(similarity(F.col("rw"), F.col("ow")) >= SAME_PLACE).select("list_id", "row_idx", "idx")
+    edges = pairs.where(similarity(F.col("rw"), F.col("ow"), least=SAME_PLACE) >= SAME_PLACE).select("list_id", "row_idx", "idx")
     place = linkage.assigned(edges, "row_idx", "idx", [("row_idx", "ascending"), ("idx", "ascending")])
     found = by_phone.withColumn("how", F.lit("phone")).unionByName(place.withColumn("how", F.lit("place")))
     none = r.select("list_id", "row_idx").join(found, ["list_id", "row_idx"], "left_anti").select("list_id", "row_idx", F.lit(None).cast("long").alias("idx"), F.lit("none").alias("how"))
@@ -59,7 +59,7 @@ def picked(queries: DataFrame, candidates: DataFrame, similarity=text.name_simil
     other = F.col("cand_idx") != F.col("hit")
     # Names decide only without a usable phone, and beside a hit without reviews; elsewhere they are not compared.
     decides = F.col("qp").isNull() | (other & (F.col("hit_n") <= 0) & (F.col("n") > 0))
-    j = j.withColumn("sim", similarity(F.when(decides, F.col("qw")), F.when(decides, F.col("cw"))))
+    j = j.withColumn("sim", similarity(F.when(decides, F.col("qw")), F.when(decides, F.col("cw")), least=PICK_BY_NAME))
     rank = lambda cond: F.max(F.when(cond & (F.col("sim") > 0), F.struct("sim", (-F.col("cand_idx")).alias("at")))).alias
     g = j.groupBy("query_id").agg(
         F.first("qp").alias("qp"), F.first("hit").alias("hit"), F.first("hit_n").alias("hit_n"),

@@ -76,12 +76,14 @@ def signals(pairs: DataFrame, a: DataFrame, b: DataFrame, similarity=text.name_s
     c = F.col
     if worth:
         j = j.where(F.coalesce(c("a.phone") == c("b.phone"), F.lit(False)) | (text.gate(c("a.words"), c("b.words")) >= WEAK_NAME))
+    # Without a common phone a pair needs WEAK_NAME to be worth anything; with one, every score counts.
+    asked = F.when(F.coalesce(c("a.phone") == c("b.phone"), F.lit(False)), 0.0).otherwise(WEAK_NAME) if worth else 0.0
     miles = geo.distance_miles(c("a.lat"), c("a.lon"), c("b.lat"), c("b.lon"))
     same_place = (c("a.city") == c("b.city")) & (c("a.city") != "") & (c("a.state") == c("b.state"))
     return j.select(
         "p.list_id", "p.a_idx", "p.b_idx",
         F.when(c("a.phone").isNotNull() & c("b.phone").isNotNull(), one(c("a.phone") == c("b.phone"))).alias("sig_phone"),
-        similarity(c("a.words"), c("b.words")).alias("sig_name"),
+        similarity(c("a.words"), c("b.words"), least=asked).alias("sig_name"),
         F.greatest(F.when(miles.isNotNull(), F.lit(0.0)), 1 - miles / NEAR_MILES).alias("sig_geo"),
         F.when(c("a.zip").isNotNull() & c("b.zip").isNotNull(), F.when(c("a.zip") == c("b.zip"), 1.0).when(same_place, 0.4).otherwise(0.0)).alias("sig_zip"),
         F.when((c("a.city") != "") & (c("b.city") != ""), one(c("a.city") == c("b.city"))).alias("sig_city"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -34,16 +34,41 @@ def sweep(seeds: DataFrame, cities: DataFrame, miles: float = 40.0, least_popula
     return seeds.select(F.col("geoid").alias("point_id"), "name", "state", "geoid", F.lit(0.0).alias("miles")).unionByName(found.select("point_id", "name", "state", "geoid", "miles"))
 
 
+#: Characters of the pieces by which texts are looked up that contain others.
+GRAM = 3
+
+
+def _pieces(c: Column, size: Column) -> Column:
+    """All stretches of `size` characters, as they come; none of a shorter text."""
+    return F.when(F.length(c) >= size, F.transform(F.sequence(F.lit(1), F.length(c) - size + 1), lambda i: F.substr(c, i, size)))
+
+
+def contained(patterns: DataFrame, texts: DataFrame) -> DataFrame:
+    """(p, t): which of the distinct, non-empty patterns (p) the distinct texts (t) contain.
+
+    A text that contains a pattern has all of its pieces of GRAM characters, or the whole of a shorter one.  Each pattern is looked up by the one of its
+    pieces that the fewest texts have, so this is an equi-join on rare pieces, whose pairs are then compared.
+    """
+    none = F.array().cast("array<string>")
+    of = texts.select("t", F.explode(F.array_distinct(F.concat(*[F.coalesce(_pieces(F.col("t"), F.lit(k)), none) for k in range(1, GRAM + 1)]))).alias("gram"))
+    often = of.groupBy("gram").agg(F.count("*").alias("n"))
+    own = patterns.where(F.length("p") > 0).select("p", F.explode(F.array_distinct(_pieces(F.col("p"), F.least(F.length("p"), F.lit(GRAM))))).alias("gram"))
+    # A piece that no text has means no match, and counts as the rarest; its pattern then meets nothing.
+    rarest = own.join(often, "gram", "left").groupBy("p").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("r")).where("r.n > 0").select("p", "r.gram")
+    return rarest.join(of, "gram").where(F.contains("t", "p")).select("p", "t")
+
+
 def categories(queries: DataFrame, known: DataFrame) -> DataFrame:
     """(query, n, category_id): the exact name, else names that contain the query or are contained in it; an id only if there is one.
 
-    A containment has no equi-join, so the taxonomy (hundreds of rows) is broadcast after it is counted.
+    Containment is looked up both ways by rare pieces (`contained`), so neither side is bounded.  Blank queries drop out, blank names name nothing.
     """
-    q = queries.select("query", F.lower(F.trim("query")).alias("q"))
-    if known.count() > 10_000:
-        raise ValueError("a taxonomy has up to 10,000 categories")
-    k = F.broadcast(known.select(F.col("id").alias("category_id"), F.lower(F.trim("name")).alias("k")))
-    j = q.join(k, F.contains("k", "q") | F.contains("q", "k"), "left").where("q <> ''")
+    q = queries.select("query", F.lower(F.trim("query")).alias("q")).where("q <> ''")
+    k = known.select(F.col("id").alias("category_id"), F.lower(F.trim("name")).alias("k")).where("k <> ''")
+    asked, names = q.select("q").distinct(), k.select("k").distinct()
+    inside = contained(asked.withColumnRenamed("q", "p"), names.withColumnRenamed("k", "t")).select(F.col("p").alias("q"), F.col("t").alias("k"))
+    around = contained(names.withColumnRenamed("k", "p"), asked.withColumnRenamed("q", "t")).select(F.col("t").alias("q"), F.col("p").alias("k")).where("q <> k")
+    j = q.join(inside.unionByName(around), "q", "left").join(k, "k", "left")
     g = j.groupBy("query").agg(F.max(F.when(F.col("k") == F.col("q"), F.col("category_id"))).alias("exact"), F.count("category_id").alias("n"), F.min("category_id").alias("some"))
     return g.select("query", F.when(F.col("exact").isNotNull(), F.lit(1).cast("long")).otherwise(F.col("n")).alias("n"), F.coalesce("exact", F.when(F.col("n") == 1, F.col("some"))).alias("category_id"))
 

@@ -66,3 +66,34 @@ def test_dates_grades_urls(spark):
     got = [r[0] for r in spark.createDataFrame(rows, "u string, c int, b string, e string").coalesce(1).select(urls.site_status(F.col("u"), F.col("c"), F.col("b"), F.col("e"))).collect()]
     assert got == ["no_website", "dead_404", "blocked", "server_error", "dead_404", "dead_parked", "ok", "dead_unreachable", "check_failed"]
     assert values(spark, urls.connection_error, ["Could not resolve host: x", "Operation timed out", "SSL certificate", "connection reset", "?"]) == ["DNS lookup failed", "connection timed out", "TLS/certificate error", "connection refused", "connection failed"]
+
+
+def test_references_are_the_standards(spark):
+    import html
+    import random
+
+    r = random.Random(4)
+    parts = ["&amp;", "&lt;", "&nbsp;", "&apos;", "&#39;", "&#x27;", "&#X2764;", "&#128512;", "&#0;", "&#x80;", "&#150;", "&#xD800;", "&#1114112;", "&#xFFFF;", "&#x1FFFE;", "&#11;", "&#00000039;", "&#999999999999;", "&eacute;", "&notin;", "&not", "&amp", "&ampx;", "&copy", "&CounterClockwiseContourIntegral;", "&unknown;", "&", "&&", "& ", "&;", "&#;", "&#x;", "AT&T", "B&B ", "amp;", "lt;", "#39;", "x", " ", "é", "😀", "\n"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(9))) for _ in range(2000)] + [None, "", *parts]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    got = {x.k: x.t for x in df.select("k", text.entities_plain(F.col("t")).alias("t")).collect()}
+    assert got == {k: None if t is None else html.unescape(t) for k, t in enumerate(texts)}
+
+
+def test_bound_of_the_ratio_and_scores_with_it(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    r = random.Random(8)
+    words = ["roof", "roofing", "walsh", "walshs", "auto", "sales", "palm", "plumber", "plumbers", "a1", "joe"]
+    pairs = [([r.choice(words) for _ in range(r.randrange(4))], [r.choice(words) for _ in range(r.randrange(4))]) for _ in range(1500)]
+    df = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "k int, a array<string>, b array<string>")
+    a, b = F.col("a"), F.col("b")
+    rows = df.select("k", text.most_ratio(F.array_join(a, " "), F.array_join(b, " ")).alias("most"), text.name_similarity(a, b).alias("score"), text.name_similarity(a, b, least=0.72).alias("high"), text.compared(a, b).alias("asked"), text.compared(a, b, 0.72).alias("asked_high"), text.token_score(a, b).alias("tokens"), text.gate(a, b).alias("gate")).collect()
+    for x in rows:
+        p, q = (" ".join(w) for w in pairs[x.k])
+        ratio = SequenceMatcher(None, p, q).ratio()
+        assert x.most >= ratio - 1e-12
+        want = round(min(max(ratio, x.tokens), x.gate), 4) if pairs[x.k][0] and pairs[x.k][1] else 0.0
+        assert abs(x.score - want) < 1e-9 and (x.high >= 0.72) == (want >= 0.72) and (x.high < 0.72 or x.high == x.score)
+    assert sum(x.asked for x in rows) < 0.6 * len(rows) and sum(x.asked_high for x in rows) < 0.2 * len(rows)

@@ -288,3 +288,19 @@ def test_geo_block_near_the_pole_and_across_the_date_line(spark):
     kind = namedtuple("kind", "lat lon")
     want = sorted((a[1], b[1]) for a in spots for b in spots if miles(kind(*a[2:]), kind(*b[2:])) <= 3)
     assert len(want) > 200 and want == sorted((x.a_idx, x.b_idx) for x in linkage.near(df, df, 3.0).collect())
+
+
+def test_containment_beside_all_pairs(spark):
+    from leadmill.operators import lookup
+
+    r = random.Random(10)
+    make = lambda n: sorted({"".join(r.choice("abc ") for _ in range(r.randrange(0, 7))) for _ in range(n)})
+    p, t = make(120), make(150)
+    found = lookup.contained(spark.createDataFrame([(x,) for x in p], "p string"), spark.createDataFrame([(x,) for x in t], "t string"))
+    assert sorted(map(tuple, found.collect())) == sorted((x, y) for x in p for y in t if x and x in y)
+    known = spark.createDataFrame([(str(k), x) for k, x in enumerate(["Roofing", "Plumber", "Auto Repair", "Auto", "plumber", None, " "])], "id string, name string")
+    asked = spark.createDataFrame([("Plumbers",), ("roofing",), (" AUTO ",), ("auto repair shop",), ("zzz",), ("",), (None,), ("o",)], "query string")
+    got = {x["query"]: (x.n, x.category_id) for x in lookup.categories(asked, known).collect()}
+    assert got == {"Plumbers": (2, None), "roofing": (1, "0"), " AUTO ": (1, "3"), "auto repair shop": (2, None), "zzz": (0, None), "o": (3, None)}
+    plan = lookup.categories(asked, known)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
