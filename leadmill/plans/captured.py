@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dates, text, urls
-from ..operators import browse, publish, reviews
+from ..functions import dates, geo, text, urls
+from ..operators import browse, coverage, publish, reviews
 from ..session import shared_dir
 from ..sinks import writers
 from ..sources import capture, markup, payloads, profiles, tables
@@ -110,6 +110,36 @@ def _(s, d):
     return payloads.page_centers(n.select("list_id", F.to_json(page).alias("body")))
 
 
+def _swept(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Every customer is a place; searches of it and of the points around its centre, some of them without a centre, some anchors without an answer.
+
+    Page 2 follows page 1 everywhere, but page 1 of every fifth anchor holds no usable listing."""
+    k = F.col("place")
+    places = s.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").cast("long").alias("place"), F.concat(F.lit("Place "), F.col("c_custkey").cast("string")).alias("query"))
+    lat, lon = 25 + (k % 20), -80 - (k / 1000)
+    at = F.when(k % 4 > 0, F.concat(lat.cast("string"), F.lit(","), F.round(lon, 3).cast("string")))
+    around = geo.coverage_points(places.where("place % 4 > 0").withColumns({"lat": lat.cast("double"), "lon": F.round(lon, 3)}), 25.0, 5).where("point > 0 and (place + point) % 3 > 0")
+    asked = places.select("place", F.lit(0).alias("point"), "query").unionByName(around.select("place", "point", coverage.anchor_text(F.col("point_lat"), F.col("point_lon")).alias("query")))
+    asked = asked.withColumn("asked_page", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))).withColumn("usable", ((k + F.col("point")) % 5 > 0) | (F.col("asked_page") > 1))
+    name = F.concat_ws("-", k.cast("string"), F.col("point").cast("string"), F.col("asked_page").cast("string"))
+    items = F.array(F.struct(F.when(F.col("usable"), name).alias("id"), F.lit("N").alias("businessName")), F.struct(F.lit(None).cast("string").alias("id"), F.lit("no id").alias("businessName")))
+    body = F.to_json(F.struct(F.col("asked_page").alias("page"), F.struct(F.when(F.col("point") == 0, at).alias("latLng")).alias("location"), items.alias("results")))
+    return places, asked.select("query", "asked_page", body.alias("body"))
+
+
+@query("ring_sweep", """with p as (select c_custkey as place, unnest(range(5)) as point from customer), a as (select place, cast(point as int) as point, unnest([1, 2]) as asked_page from p where point = 0 or (place % 4 > 0 and (place + point) % 3 > 0))
+ select place, point, asked_page, place || '-' || point || '-' || asked_page as listing_id from a where (place + point) % 5 > 0""")
+def _(s, d):
+    return coverage.ring_sweep(*_swept(s, d), 25.0, 5, 2).select("place", "point", "asked_page", "listing_id")
+
+
+@query("skipped_items", """with p as (select c_custkey as place, unnest(range(5)) as point from customer), a as (select place, cast(point as int) as point, unnest([1, 2, 3]) as asked_page from p where point = 0 or (place % 4 > 0 and (place + point) % 3 > 0))
+ select cast(asked_page as int) as asked_page, count(*) as pages, cast(2 * count(*) as bigint) as items, cast(sum(case when asked_page = 1 and (place + point) % 5 = 0 then 2 else 1 end) as bigint) as skipped from a group by 1""")
+def _(s, d):
+    counts = payloads.listing_counts(_swept(s, d)[1]).where("readable")
+    return counts.groupBy("asked_page").agg(F.count("*").alias("pages"), F.sum("items").alias("items"), F.sum("skipped").alias("skipped"))
+
+
 @query("local_search", f"select idx, name, phone, rating, page from (select *, cast(idx % 3 as bigint) as page, row_number() over (partition by idx order by idx) as k from ({b})) where k = 1")
 def _(s, d):
     """Every business stands on two pages; its place on the first one counts."""

@@ -11,7 +11,7 @@ from ..functions import dates, geo, grades, text, urls
 from ..operators import browse, curation, dedupe, enrich, linkage, lookup, publish, reviews, scoring
 from ..session import shared_dir
 from ..sources import markup, payloads, profiles, social
-from ..streaming import ingest
+from ..streaming import ingest, progress
 from .bindings import CITIES, MASTER, REVIEWS, A, B, bound, plain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -821,4 +821,37 @@ def _(s, d):
     return s.read.parquet(f"{place}/table").select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
+@query("stream_progress", "select 'events' as stage, counter, cast(sum(v) as bigint) as value from (select unnest(['rows', 'errors', 'dear']) as counter, unnest([1, cast(event_type = 'error' as int), cast(value > 50 as int)]) as v from events) group by 2")
+def _(s, d):
+    """The events as a stream in several batches, its counters observed while they are written and kept by a listener."""
+    import uuid
+
+    place = f"{shared_dir(s)}/leadmill/progress-{uuid.uuid4().hex}"
+    events = s.read.parquet(f"{d}/events.parquet").select("event_id", "event_type", "value")
+    events.repartition(6).write.parquet(f"{place}/in")
+    listener = progress.Progress(s, f"{place}/counters")
+    s.streams.addListener(listener)
+    try:
+        stream = progress.counted(ingest.landing(s, f"{place}/in", events.schema, 2), "events", errors=F.col("event_type") == "error", dear=F.col("value") > 50)
+        ingest.into_table(stream, f"{place}/table", f"{place}/checkpoint").awaitTermination()
+        if not listener.done.wait(120):
+            raise TimeoutError("the stream's end was not announced")
+    finally:
+        s.streams.removeListener(listener)
+    return progress.totals(s.read.parquet(f"{place}/counters")).select("stage", "counter", "value")
+
+
+@query("stage_progress", f"select 'deduplicated' as stage, counter, cast(sum(v) as bigint) as value from (select unnest(['rows', 'with_phone']) as counter, unnest([1, cast(k is not null as int)]) as v from (select k, row_number() over (partition by list_id, coalesce(k, '#' || idx) order by idx) as rn from (select *, {q_phone('phone')} as k from ({a}))) where rn = 1) group by 2")
+def _(s, d):
+    """A stage of the lifecycle, counted while its rows are written."""
+    import uuid
+
+    place = f"{shared_dir(s)}/leadmill/stages-{uuid.uuid4().hex}"
+    stages = progress.Stages(s, f"{place}/counters", uuid.uuid4().hex)
+    rows = dedupe.by_phone(bound(s, d, A), "phone", [F.col("idx")], ["list_id"])
+    stages.watched(rows, "deduplicated", with_phone=text.phone_key(F.col("phone")).isNotNull()).write.parquet(f"{place}/rows")
+    stages.written("deduplicated")
+    return progress.totals(s.read.parquet(f"{place}/counters")).select("stage", "counter", "value")
+
+
 from . import captured  # noqa: E402, F401 - its queries join these

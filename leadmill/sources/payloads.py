@@ -42,6 +42,15 @@ def listing_pages(pages: DataFrame) -> DataFrame:
     )
 
 
+def listing_counts(pages: DataFrame) -> DataFrame:
+    """Items of every registry search page: all, kept by `listing_pages`, and skipped; a page that isn't JSON has none, and says so."""
+    keys = [c for c in pages.columns if c != "body"]
+    p = pages.select(*keys, F.from_json("body", LISTING_PAGE).alias("p"), F.try_parse_json("body").isNotNull().alias("readable"))
+    items = F.coalesce("p.results", F.array().cast(p.schema["p"].dataType["results"].dataType))
+    kept = F.size(F.filter(items, lambda r: r["id"].isNotNull() & r["businessName"].isNotNull()))
+    return p.select(*keys, "readable", F.size(items).alias("items"), kept.alias("kept"), (F.size(items) - kept).alias("skipped"))
+
+
 def page_centers(pages: DataFrame) -> DataFrame:
     """The centre that a search page answered for, and how many results its paging can reach."""
     keys = [c for c in pages.columns if c != "body"]
