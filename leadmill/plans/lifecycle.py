@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import dedupe, enrich, linkage, publish, reviews, scoring
+from ..session import kept
+from . import steps
 
 #: Columns of the second directory that masters carry.
 ANGI = ("name", "phone", "website", "address", "city", "state", "zip_code", "overall_rating", "review_count", "is_corporate_account", "profile_url")
@@ -47,6 +49,12 @@ def with_reviews(master: DataFrame, analysed: DataFrame) -> DataFrame:
     return master.join(rolled, ["list_id", "a_idx"], "left")
 
 
+def enriched(master: DataFrame, todo: list[steps.Step], keep=kept) -> tuple[DataFrame, DataFrame]:
+    """master (with row_id) after all enrichment steps, and the work list of what is still open; a step's rows are kept before the next one."""
+    rows = steps.applied(master, todo, keep)
+    return rows, steps.work_list(rows, todo)
+
+
 def published(master: DataFrame, lists: DataFrame, as_of: str) -> Published:
     """Scores, curation, public rows and manifest; lists: list_id, industry, metro."""
     named = master.drop("industry", "metro").join(lists, "list_id")
