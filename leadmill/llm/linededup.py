@@ -8,7 +8,8 @@ places: none is missed.
 
 The windows in a row that select one line are kept together as one row: the fingerprint, its place, and a hash of all
 words these windows cover, the context.  Fingerprints that occur once are dropped by a grouped count.  The others are
-joined, and matches are extended both ways in two steps.
+joined, and matches are extended both ways in two steps.  From here on a place is one number: documents in their order take
+as many numbers as they have words, and one, so the least place is the first one.
 
 1. Places whose whole contexts agree: each is joined to the first of them, a grouped minimum, so a passage in a third
    of all documents costs a row a task and no pairs are made.  All windows of a context that is not first have
@@ -122,7 +123,8 @@ def prints(words: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray,
 
 PRINT = pa.struct([("g", pa.int64()), ("c", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
 PRINTS = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("upto", pa.int64()), ("prints", pa.list_(PRINT))])
-WINDOWS = pa.schema([("g", pa.int64()), ("w", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32())])
+WINDOWS = pa.schema([("g", pa.int64()), ("w", pa.int64()), ("doc", pa.int64()), ("start", pa.int32())])
+NUMBERS = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("range", pa.int32()), ("doc", pa.int64())])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -162,24 +164,43 @@ def print_table(docs: DataFrame, least: int) -> DataFrame:
     return _keyed(docs).mapInArrow(each, f"{KEY}, upto long, prints array<struct<g: long, c: long, start: int, n: int>>")
 
 
+def numbered(table: DataFrame) -> DataFrame:
+    """(doc_id, h, n, doc), written: every document of a `print_table` with its words, and the number of its first word in the order of all documents.
+
+    Ranges are sorted by themselves, and each starts behind the words of those before it; what one task sees of all ranges is a sum each.
+    """
+    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("h")]
+    docs = table.groupBy("doc_id", "h").agg(F.max("upto").alias("n")).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id())
+
+    def each(batches):
+        upto = 0
+        for b in batches:
+            ends = upto + np.cumsum(b.column(2).to_numpy() + 1)  # one more, so that documents without words differ as well
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.append(upto, ends)[:-1], pa.int64())], schema=NUMBERS)
+            upto = int(ends[-1]) if len(ends) else upto
+
+    found = written(docs.mapInArrow(each, f"{KEY}, n long, range int, doc long"), "numbers")
+    sums = found.groupBy("range").agg(F.sum(F.col("n") + 1).alias("all"))  # a row a range
+    starts = sums.select("range", F.coalesce(F.sum("all").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("first"))
+    return written(found.join(F.broadcast(starts), "range").select("doc_id", "h", "n", (F.col("first") + F.col("doc")).alias("doc")), "documents")
+
+
 def single_windows(rows: DataFrame, least: int) -> DataFrame:
-    """(g, w, doc_id, h, start) of (doc_id, h, text, at): a hash of every window of the runs in `at` (g, start, n)."""
+    """(g, w, doc, start) of (doc, text, at): a hash of every window of the runs in `at` (g, start, n)."""
 
     def flush(held):
-        count = np.array([len(x[2]) for x in held])
-        of = pa.array(np.repeat(np.arange(len(held)), count))
-        ids = [pa.array([x[k] for x in held], pa.int64()).take(of) for k in (0, 1)]
-        g, w, start = (np.concatenate([x[k] for x in held]) for k in (2, 3, 4))
-        return pa.RecordBatch.from_arrays([pa.array(g), pa.array(w), *ids, pa.array(start.astype(np.int32))], schema=WINDOWS)
+        count = np.array([len(x[1]) for x in held])
+        g, w, start = (np.concatenate([x[k] for x in held]) for k in (1, 2, 3))
+        return pa.RecordBatch.from_arrays([pa.array(g), pa.array(w), pa.array(np.repeat(np.array([x[0] for x in held], np.int64), count)), pa.array(start.astype(np.int32))], schema=WINDOWS)
 
     def each(batches):
         known = _Hashes()
         for b in batches:
             held, size = [], 0
-            lists = b.column(3)
+            lists = b.column(2)
             g, first, n = (lists.values.field(k).to_numpy(zero_copy_only=False) for k in ("g", "start", "n"))
             bounds = lists.offsets.to_numpy().tolist()
-            for d, h, x, a, z in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), bounds[:-1], bounds[1:], strict=True):
+            for doc, x, a, z in zip(b.column(0).to_pylist(), b.column(1), bounds[:-1], bounds[1:], strict=True):
                 many = n[a:z].astype(np.int64)
                 fingerprint = np.repeat(g[a:z], many)
                 start = np.repeat(first[a:z] - np.cumsum(many) + many, many) + np.arange(many.sum())
@@ -187,7 +208,7 @@ def single_windows(rows: DataFrame, least: int) -> DataFrame:
                     here = (start >= offset) & (start + least <= offset + len(words))
                     if here.any():
                         mine = start[here] - offset
-                        held.append((d, h, fingerprint[here], Sums(words)(mine, mine + least), start[here]))
+                        held.append((doc, fingerprint[here], Sums(words)(mine, mine + least), start[here]))
                         size += len(mine)
                     if size >= TOGETHER:
                         yield flush(held)
@@ -195,34 +216,36 @@ def single_windows(rows: DataFrame, least: int) -> DataFrame:
             if held:
                 yield flush(held)
 
-    return rows.select("doc_id", "h", "text", "at").mapInArrow(each, f"g long, w long, {KEY}, start int")
+    return rows.select("doc", "text", "at").mapInArrow(each, "g long, w long, doc long, start int")
 
 
-def repeated(docs: DataFrame, table: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, h, removed) of documents that lose words: removed has the maximal runs, words from 0, ends exclusive; table is their `print_table`."""
-    rows = table.select("doc_id", "h", F.inline("prints"))
+def repeated(docs: DataFrame, table: DataFrame, numbers: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """(doc, removed) of documents that lose words: removed has the maximal runs, words from 0, ends exclusive; table is their `print_table`, numbers are its documents."""
+    same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.h") == F.col(f"{b}.h"))
+    rows = table.alias("t").join(numbers.alias("d"), same("t", "d")).select("d.doc", F.inline("t.prints"))
     # Grouped sides are written before they are joined, so a hot key of the join can be split.
-    again = rows.groupBy("g").agg(F.count("*").alias("k"), F.min("c").alias("low"), F.max("c").alias("high")).where("k > 1")
+    again = table.select(F.inline("prints")).groupBy("g").agg(F.count("*").alias("k"), F.min("c").alias("low"), F.max("c").alias("high")).where("k > 1")
     again = written(again.select("g", (F.col("low") != F.col("high")).alias("several")), "again")
     rows = written(rows.join(again, "g"), "repeated")
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h", "start")
-    here = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("h") == F.col("first.h"))
-    begin = F.when(F.col("here"), F.greatest("start", F.col("first.start") + least)).otherwise(F.col("start")).alias("start")
+    place = F.col("doc") + F.col("start")
+    here = F.col("first") >= F.col("doc")  # the first place is never behind this one
+    begin = F.when(F.col("here"), F.greatest(F.col("start").cast("long"), F.col("first") - F.col("doc") + least)).otherwise(F.col("start")).cast("int").alias("start")
     firsts = written(rows.groupBy("g", "c").agg(F.min(place).alias("first")), "first")
     met = written(rows.join(firsts, ["g", "c"]).withColumn("here", here), "met")
-    whole = met.where("not here or not several and start <> first.start").select("doc_id", "h", begin, (F.col("start") + F.col("n") - 1 + least).alias("end"))
+    whole = met.where((~F.col("here")) | (~F.col("several") & (place != F.col("first")))).select("doc", begin, (F.col("start") + F.col("n") - 1 + least).alias("end"))
     # Matches that end within a context, window by window.
-    wanted = written(met.where("here and several").groupBy("doc_id", "h").agg(F.collect_set(F.struct("g", "start", "n")).alias("at")), "wanted").alias("a")
-    texts = _keyed(docs).alias("t").join(wanted, F.col("t.doc_id").eqNullSafe(F.col("a.doc_id")) & (F.col("t.h") == F.col("a.h"))).select("t.*", "a.at")
+    wanted = met.where("here and several").groupBy("doc").agg(F.collect_set(F.struct("g", "start", "n")).alias("at"))
+    wanted = written(wanted.join(numbers, "doc").select("doc_id", "h", "doc", "at"), "wanted").alias("a")
+    texts = _keyed(docs).alias("t").join(wanted, same("t", "a")).select("a.doc", "t.text", "a.at")
     found = written(single_windows(texts, least), "windows")
     firsts = written(found.groupBy("g", "w").agg(F.min(place).alias("first"), F.count("*").alias("k")).where("k > 1").drop("k"), "first")
-    later = found.join(firsts, ["g", "w"]).withColumn("here", here).where("not here or start <> first.start").select("doc_id", "h", begin, (F.col("start") + least).alias("end"))
+    later = found.join(firsts, ["g", "w"]).withColumn("here", here).where((~F.col("here")) | (place != F.col("first"))).select("doc", begin, (F.col("start") + least).alias("end"))
     # Windows that overlap or touch become runs.
-    by = W.partitionBy("doc_id", "h").orderBy("start", "end")
+    by = W.partitionBy("doc").orderBy("start", "end")
     runs = whole.unionByName(later).where("start < end").withColumn("upto", F.max("end").over(by.rowsBetween(W.unboundedPreceding, -1)))
     runs = runs.withColumn("run", F.count_if(F.col("upto").isNull() | (F.col("start") > F.col("upto"))).over(by.rowsBetween(W.unboundedPreceding, 0)))
-    runs = runs.groupBy("doc_id", "h", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    return runs.groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed"))
+    runs = runs.groupBy("doc", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return runs.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed"))
 
 
 def deduplicated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
@@ -231,9 +254,8 @@ def deduplicated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumns({"__d": F.col("doc_id").cast("long"), "__h": F.xxhash64(text)})
     table = written(print_table(docs, least), "prints")
-    known = table.groupBy("doc_id", "h").agg(F.max("upto").alias("n")).alias("k")
-    gone = repeated(docs, table, least).alias("g")
-    gone = known.join(gone, F.col("k.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("k.h") == F.col("g.h")), "left").select(F.col("k.doc_id").alias("__gd"), F.col("k.h").alias("__gh"), F.col("k.n").alias("__n"), F.col("g.removed").alias("__s"))
+    numbers = numbered(table)
+    gone = numbers.join(repeated(docs, table, numbers, least), "doc", "left").select(F.col("doc_id").alias("__gd"), F.col("h").alias("__gh"), F.col("n").alias("__n"), F.col("removed").alias("__s"))
     gone = written(gone, "removed")  # so that a document in many rows can be split in the join
     rows = rows.join(gone, F.col("__d").eqNullSafe(F.col("__gd")) & (F.col("__h") == F.col("__gh")), "left")
     # Words with the white space behind them; what lies between the removed runs stays.
