@@ -25,17 +25,14 @@ first place in the same document, the first place stays.  Words are compared exa
 and empty texts have no words; runs under MIN_WORDS words stay; rows equal in doc_id and text are one document and are
 treated alike; an empty table gives no rows.  A removed run takes the white space after it along; a document whose
 every word goes has the empty text, and one that loses nothing keeps its text as it is.  Long texts are read whole, in
-pieces of PIECE characters that overlap by a window, so memory is bounded by PIECE.  Other columns stay; columns named
+pieces of PIECE bytes that overlap by a window, so memory is bounded by PIECE.  Other columns stay; columns named
 n_words, removed_words or removed are replaced.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -44,42 +41,79 @@ from .common import SPACE, written
 from .licenses import shingles
 
 MIN_WORDS, LINE = 50, 16
-#: Characters whose words are held at a time.
-PIECE = 1 << 20
-#: Words that are hashed together.
+#: Bytes of text whose words are held at a time.
+PIECE = 1 << 19
+#: Windows that leave a task together.
 TOGETHER = 1 << 16
-BLANK = re.compile(rb"[\x20\x09-\x0D]")
 WORD = r"[^\x20\x09-\x0D]++"
 KEY = "doc_id long, h long"
 SPAN = "array<struct<start: int, end: int>>"
 #: An odd base of the polynomial hashes, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
+BLANKS = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: The first k bytes of eight.
+BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
+def word_hashes(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of the words of some texts that lie one behind the other in raw and begin at cuts.
 
-def pieces(text: str | None, known: _Hashes, least: int):
-    """(offset, word hashes) of the text in pieces that overlap by least - 1 words; every window lies in one piece."""
-    raw, at, offset, held = (text or "").encode("utf-8", "surrogatepass"), 0, 0, np.zeros(0, np.uint64)
-    while True:
-        end = len(raw)
-        if end - at > PIECE:
-            blank = BLANK.search(raw, at + PIECE)
-            end = blank.end() if blank else end
-        own = raw[at:end].split()
-        words = np.concatenate([held, np.fromiter(map(known.__getitem__, own), np.uint64, len(own))])
-        yield offset, words
-        if end == len(raw):
-            return
-        kept = min(len(words), least - 1)
-        at, offset, held = end, offset + len(words) - kept, words[len(words) - kept :]
+    A word is hashed eight bytes at a time, all words at once; every step is invertible, so words of up to eight bytes never
+    share a hash with others of their length.
+    """
+    n = len(raw)
+    word = ~BLANKS[raw]
+    edge = np.zeros(n + 1, bool)
+    edge[cuts] = True
+    apart = np.empty(n + 1, bool)  # whether a word can't go on from the byte before
+    apart[0] = apart[n] = True
+    apart[1:n] = ~(word[1:] & word[:-1])
+    apart |= edge
+    start, end = np.flatnonzero(word & apart[:n]), np.flatnonzero(word & apart[1:]) + 1
+    size = end - start
+    lanes = np.ndarray((n + 1,), "<u8", np.append(raw, np.zeros(8, np.uint8)), strides=(1,))
+    h = size.astype(np.uint64) * np.uint64(BASE)
+    more, k = np.arange(len(start)), 0
+    while len(more):
+        x = (h[more] ^ (lanes[start[more] + k] & BYTES[np.minimum(size[more] - k, 8)])) * MIX
+        h[more] = x ^ x >> np.uint64(32)
+        k += 8
+        more = more[size[more] > k]
+    return h, np.diff(np.append(np.searchsorted(start, cuts), len(start)))
+
+
+def word_groups(texts: pa.Array, least: int):
+    """(rows, offsets, counts, words) of a column of texts: the word hashes of some rows together, and where in its text each row's words begin.
+
+    Texts of more than PIECE bytes come by themselves, in pieces that overlap by least - 1 words, so every window lies in one piece.
+    """
+    column = texts.fill_null("").cast(pa.large_binary())
+    bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    size, row = np.diff(bounds), 0
+    while row < len(column):
+        if size[row] <= PIECE:
+            end = max(row + 1, int(np.searchsorted(bounds, bounds[row] + PIECE, "right")) - 1)
+            words, counts = word_hashes(data[bounds[row] : bounds[end]], bounds[row:end] - bounds[row])
+            yield np.arange(row, end), np.zeros(end - row, np.int64), counts, words
+            row = end
+            continue
+        at, offset, held = int(bounds[row]), 0, np.zeros(0, np.uint64)
+        while at < bounds[row + 1]:
+            end = int(bounds[row + 1])
+            if end - at > PIECE:
+                found = at + PIECE
+                while found < end and not (blanks := BLANKS[data[found : found + 4096]]).any():
+                    found += 4096
+                end = end if found >= end else min(end, found + int(blanks.argmax()) + 1)
+            own, _ = word_hashes(data[at:end], np.zeros(1, np.int64))
+            words = np.concatenate([held, own])
+            yield np.array([row]), np.array([offset]), np.array([len(words)]), words
+            kept = min(len(words), least - 1)
+            at, offset, held = end, offset + len(words) - kept, words[len(words) - kept :]
+        row += 1
 
 
 def least_lines(lines: np.ndarray, width: int) -> np.ndarray:
@@ -104,7 +138,7 @@ class Sums:
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         x = (self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(np.uint64)
-        x = (x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+        x = (x ^ x >> np.uint64(32)) * MIX
         return (x ^ x >> np.uint64(32)).view(np.int64)
 
 
@@ -136,30 +170,18 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def print_table(docs: DataFrame, least: int) -> DataFrame:
     """(doc_id, h, upto, prints): of every piece of a text, the words up to its end, and its fingerprints with place and context."""
 
-    def flush(held):
-        words = np.concatenate([x[3] for x in held])
-        edges = np.cumsum([0, *(len(x[3]) for x in held)])
-        start, n, g, c = prints(words, np.repeat(edges[1:], np.diff(edges)), least)
-        cuts = np.searchsorted(start, edges)
-        offset = np.repeat(np.array([x[2] for x in held], np.int64) - edges[:-1], np.diff(cuts))
-        rows = pa.StructArray.from_arrays([pa.array(g), pa.array(c), pa.array((start + offset).astype(np.int32)), pa.array(n.astype(np.int32))], fields=list(PRINT))
-        lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), rows)
-        columns = [[x[0] for x in held], [x[1] for x in held], [x[2] + len(x[3]) for x in held]]
-        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), lists], schema=PRINTS)
-
     def each(batches):
-        known = _Hashes()
         for b in batches:
-            held, size = [], 0
-            for d, h, x in zip(*b.columns, strict=True):
-                for offset, words in pieces(x.as_py(), known, least):
-                    held.append((d.as_py(), h.as_py(), offset, words))
-                    size += len(words)
-                    if size >= TOGETHER:
-                        yield flush(held)
-                        held, size = [], 0
-            if held:
-                yield flush(held)
+            ids = [c.to_numpy(zero_copy_only=False) if not c.null_count else None for c in b.columns[:2]]
+            for rows, offsets, counts, words in word_groups(b.column(2), least):
+                edges = np.append(0, np.cumsum(counts))
+                start, n, g, c = prints(words, np.repeat(edges[1:], counts), least)
+                cuts = np.searchsorted(start, edges)
+                at = (start + np.repeat(offsets - edges[:-1], np.diff(cuts))).astype(np.int32)
+                found = pa.StructArray.from_arrays([pa.array(g), pa.array(c), pa.array(at), pa.array(n.astype(np.int32))], fields=list(PRINT))
+                lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), found)
+                own = [pa.array(x[rows]) if x is not None else b.column(k).take(pa.array(rows)) for k, x in enumerate(ids)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(offsets + counts), lists], schema=PRINTS)
 
     return _keyed(docs).mapInArrow(each, f"{KEY}, upto long, prints array<struct<g: long, c: long, start: int, n: int>>")
 
@@ -188,33 +210,25 @@ def numbered(table: DataFrame) -> DataFrame:
 def single_windows(rows: DataFrame, least: int) -> DataFrame:
     """(g, w, doc, start) of (doc, text, at): a hash of every window of the runs in `at` (g, start, n)."""
 
-    def flush(held):
-        count = np.array([len(x[1]) for x in held])
-        g, w, start = (np.concatenate([x[k] for x in held]) for k in (1, 2, 3))
-        return pa.RecordBatch.from_arrays([pa.array(g), pa.array(w), pa.array(np.repeat(np.array([x[0] for x in held], np.int64), count)), pa.array(start.astype(np.int32))], schema=WINDOWS)
-
     def each(batches):
-        known = _Hashes()
         for b in batches:
-            held, size = [], 0
             lists = b.column(2)
             g, first, n = (lists.values.field(k).to_numpy(zero_copy_only=False) for k in ("g", "start", "n"))
-            bounds = lists.offsets.to_numpy().tolist()
-            for doc, x, a, z in zip(b.column(0).to_pylist(), b.column(1), bounds[:-1], bounds[1:], strict=True):
+            bounds, doc = lists.offsets.to_numpy(), b.column(0).to_numpy()
+            for rows_, offsets, counts, words in word_groups(b.column(1), least):
+                # All windows of these rows, one by one; those that this piece of a long text holds.
+                a, z = bounds[rows_[0]], bounds[rows_[-1] + 1]
                 many = n[a:z].astype(np.int64)
-                fingerprint = np.repeat(g[a:z], many)
                 start = np.repeat(first[a:z] - np.cumsum(many) + many, many) + np.arange(many.sum())
-                for offset, words in pieces(x.as_py(), known, least):
-                    here = (start >= offset) & (start + least <= offset + len(words))
-                    if here.any():
-                        mine = start[here] - offset
-                        held.append((doc, fingerprint[here], Sums(words)(mine, mine + least), start[here]))
-                        size += len(mine)
-                    if size >= TOGETHER:
-                        yield flush(held)
-                        held, size = [], 0
-            if held:
-                yield flush(held)
+                fingerprint = np.repeat(g[a:z], many)
+                of = np.repeat(np.repeat(np.arange(len(rows_)), np.diff(bounds[rows_[0] : rows_[-1] + 2])), many)
+                here = (start >= offsets[of]) & (start + least <= offsets[of] + counts[of])
+                start, fingerprint, of = start[here], fingerprint[here], of[here]
+                edges = np.append(0, np.cumsum(counts))
+                place, sums = start - offsets[of] + edges[of], Sums(words)
+                for low in range(0, len(start), TOGETHER):
+                    part = slice(low, low + TOGETHER)
+                    yield pa.RecordBatch.from_arrays([pa.array(fingerprint[part]), pa.array(sums(place[part], place[part] + least)), pa.array(doc[rows_[of[part]]]), pa.array(start[part].astype(np.int32))], schema=WINDOWS)
 
     return rows.select("doc", "text", "at").mapInArrow(each, "g long, w long, doc long, start int")
 
@@ -251,23 +265,24 @@ def repeated(docs: DataFrame, table: DataFrame, numbers: DataFrame, least: int =
 def deduplicated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """docs with the repeated runs gone from text, and n_words, removed_words and removed (array<struct<start, end>>)."""
     kept = [c for c in docs.columns if c not in ("n_words", "removed_words", "removed")]
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumns({"__d": F.col("doc_id").cast("long"), "__h": F.xxhash64(text)})
+    # The row is a struct on the way, so its columns may have any name.
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("h", F.xxhash64(text))
     table = written(print_table(docs, least), "prints")
     numbers = numbered(table)
-    gone = numbers.join(repeated(docs, table, numbers, least), "doc", "left").select(F.col("doc_id").alias("__gd"), F.col("h").alias("__gh"), F.col("n").alias("__n"), F.col("removed").alias("__s"))
+    gone = numbers.join(repeated(docs, table, numbers, least), "doc", "left").select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h"), "n", F.col("removed").alias("spans"))
     gone = written(gone, "removed")  # so that a document in many rows can be split in the join
-    rows = rows.join(gone, F.col("__d").eqNullSafe(F.col("__gd")) & (F.col("__h") == F.col("__gh")), "left")
+    rows = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("h") == F.col("gone_h")), "left")
     # Words with the white space behind them; what lies between the removed runs stays.
-    rows = rows.withColumn("__w", F.when(F.col("__s").isNotNull(), F.regexp_extract_all(text, F.lit(WORD + SPACE[:-1] + "*"), F.lit(0))))
-    none, n = F.array().cast(SPAN), F.coalesce("__n", F.lit(0)).cast("int")
-    runs = F.coalesce("__s", none)
-    left = F.zip_with(F.concat(F.array(F.lit(0)), F.transform(runs, lambda r: r["end"])), F.concat(F.transform(runs, lambda r: r["start"]), F.array(n)), lambda a, b: F.slice("__w", a + 1, b - a))
+    rows = rows.withColumn("words", F.when(F.col("spans").isNotNull(), F.regexp_extract_all(text, F.lit(WORD + SPACE[:-1] + "*"), F.lit(0))))
+    none, n = F.array().cast(SPAN), F.coalesce("n", F.lit(0)).cast("int")
+    runs = F.coalesce("spans", none)
+    left = F.zip_with(F.concat(F.array(F.lit(0)), F.transform(runs, lambda r: r["end"])), F.concat(F.transform(runs, lambda r: r["start"]), F.array(n)), lambda a, b: F.slice("words", a + 1, b - a))
     count = F.aggregate(runs, F.lit(0).cast("long"), lambda k, r: k + r["end"] - r["start"])
     rows = rows.withColumns({"n_words": n.cast("long"), "removed_words": count, "removed": runs})
     lead = F.regexp_extract(text, "^" + SPACE[:-1] + "*", 0)
     new = F.when(F.col("removed_words") == 0, F.col("text")).when(F.col("removed_words") == F.col("n_words"), "").otherwise(F.concat(lead, F.array_join(F.flatten(left), "")))
-    return rows.withColumn("text", new).select(*[F.col(f"`{c}`") for c in kept], "n_words", "removed_words", "removed")
+    return rows.select(*[(new if c == "text" else F.col("row")[c]).alias(c) for c in kept], "n_words", "removed_words", "removed")
 
 
 def digests(docs: DataFrame) -> DataFrame:

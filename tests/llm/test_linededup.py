@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -106,3 +107,38 @@ def test_long_text_and_clashing_columns(spark):
     docs = spark.createDataFrame([(2, " ".join(base), 1, 1), (1, " ".join(base[200_000:200_060]), 1, 1)], "doc_id long, text string, g int, removed int")
     got = {x.doc_id: x for x in linededup.deduplicated(docs).collect()}
     assert [tuple(s) for s in got[2].removed] == [(200_000, 200_060)] and not got[1].removed and got[2].g == 1 and got[2].n_words == 400_000
+
+
+def test_words_of_many_texts_are_hashed_as_they_stand():
+    """Words are equal where their hashes are, over texts side by side, long words and bytes of every kind; long texts come in pieces with a window between."""
+
+    r = random.Random(11)
+    letters = ["a", "b", "é", "漢", "\x00", " ", " ", "\n", "\t", "\xa0"]
+    texts = ["".join(r.choice(letters) for _ in range(r.randrange(60))) for _ in range(300)] + ["", " ", "a" * 1000, "a" * 999, "ab" * 9]
+    raw = [t.encode() for t in texts]
+    cuts = np.cumsum([0, *map(len, raw)])
+    h, counts = linededup.word_hashes(np.frombuffer(b"".join(raw), np.uint8), cuts[:-1])
+    words = [w for x in raw for w in x.split()]
+    assert counts.tolist() == [len(x.split()) for x in raw] and len({*zip(words, h.tolist(), strict=True)}) == len(set(words)) == len(set(h.tolist()))
+    assert linededup.word_hashes(np.zeros(0, np.uint8), np.zeros(2, np.int64))[1].tolist() == [0, 0]
+
+
+def test_pieces_of_long_texts(monkeypatch):
+
+    text = " ".join(f"w{i}" for i in range(3000))
+    whole = [g[3] for g in linededup.word_groups(pa.array(["x y", text, None, "z"]), 50)]
+    monkeypatch.setattr(linededup, "PIECE", 700)
+    got = list(linededup.word_groups(pa.array(["x y", text, None, "z"]), 50))
+    assert [g[0].tolist() for g in got][0] == [0] and got[-1][0].tolist() == [2, 3] and len(got) > 10
+    want = np.concatenate(whole)[2:-1]
+    for rows, offsets, counts, words in got[1:-1]:
+        assert rows.tolist() == [1] and words.tolist() == want[offsets[0] : offsets[0] + counts[0]].tolist()
+    ends = [(int(o[0]), int(o[0] + c[0])) for _, o, c, _ in got[1:-1]]
+    assert ends[0][0] == 0 and ends[-1][1] == 3000 and all(b[0] == a[1] - 49 for a, b in zip(ends, ends[1:], strict=False))
+
+
+def test_columns_of_any_name_stay(spark):
+    docs = spark.createDataFrame([(1, "a b", 1, "x", "y"), (2, " ".join(map(str, range(60))), 2, "x", "y"), (3, " ".join(map(str, range(60))), 3, "x", "y")], "doc_id int, text string, __d int, spans string, `row.h` string")
+    got = linededup.deduplicated(docs)
+    assert got.columns == [*docs.columns, "n_words", "removed_words", "removed"]
+    assert sorted((r.doc_id, r.text[:3], r["__d"], r.spans, r["row.h"], r.removed_words) for r in got.collect()) == [(1, "a b", 1, "x", "y", 0), (2, "0 1", 2, "x", "y", 0), (3, "", 3, "x", "y", 60)]
