@@ -172,6 +172,8 @@ def mixture(docs: DataFrame, **how) -> DataFrame:
     """The documents of the mix, each as often as it is taken.  Rows of one doc_id share their number of times."""
     sized = docs.select("doc_id", "source", words(F.col("text")).alias("size"), F.xxhash64("text").alias("h"))
     times = mixed(written(sized, "sized"), ["doc_id", "h"], **how).where("times > 0")
-    times = times.groupBy("doc_id", "h").agg(F.max("times").alias("times")).alias("t")
-    rows = docs.withColumn("__h", F.xxhash64("text")).alias("d").join(times, F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("d.__h") == F.col("t.h")))
-    return rows.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), "t.times")).alias("__n")).drop("__n")
+    # Written, so that the join has no grouping right below it and a document in many rows can be split.
+    times = written(times.groupBy("doc_id", "h").agg(F.max("times").alias("times")), "times").alias("t")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # columns of any name stay as they are
+    rows = docs.select(row, F.col("doc_id").alias("id"), F.xxhash64("text").alias("h")).alias("d").join(times, F.col("d.id").eqNullSafe(F.col("t.doc_id")) & (F.col("d.h") == F.col("t.h")))
+    return rows.select("d.row", F.explode(F.sequence(F.lit(1).cast("long"), "t.times"))).select("row.*")
