@@ -47,11 +47,15 @@ def scratch_removed(spark: SparkSession) -> Iterator[None]:
             removed(spark, path)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it again: computed once, and it outlives lost executors."""
+def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write df as Parquet in the shared folder and read it again: computed once, and it outlives lost executors.  Also its path, for those who remove it early."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    return written_at(df, name)[0]
 
 
 def removed(spark: SparkSession, path: str) -> None:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import SPACE, written
+from .common import SPACE, removed, written, written_at
 from .licenses import shingles
 
 MIN_WORDS, LINE = 50, 16
@@ -233,33 +233,36 @@ def single_windows(rows: DataFrame, least: int) -> DataFrame:
     return rows.select("doc", "text", "at").mapInArrow(each, "g long, w long, doc long, start int")
 
 
-def repeated(docs: DataFrame, table: DataFrame, numbers: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """(doc, removed) of documents that lose words: removed has the maximal runs, words from 0, ends exclusive; table is their `print_table`, numbers are its documents."""
+def repeated(docs: DataFrame, table: DataFrame, numbers: DataFrame, least: int = MIN_WORDS) -> tuple[DataFrame, list[str]]:
+    """(doc, removed) of documents that lose words: removed has the maximal runs, words from 0, ends exclusive; table is their `print_table`, numbers
+    are its documents.  Also the paths of what this frame reads, for removal once it is written."""
     same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.h") == F.col(f"{b}.h"))
     rows = table.alias("t").join(numbers.alias("d"), same("t", "d")).select("d.doc", F.inline("t.prints"))
     # Grouped sides are written before they are joined, so a hot key of the join can be split.
     again = table.select(F.inline("prints")).groupBy("g").agg(F.count("*").alias("k"), F.min("c").alias("low"), F.max("c").alias("high")).where("k > 1")
-    again = written(again.select("g", (F.col("low") != F.col("high")).alias("several")), "again")
-    rows = written(rows.join(again, "g"), "repeated")
+    again, again_path = written_at(again.select("g", (F.col("low") != F.col("high")).alias("several")), "again")
+    rows, rows_path = written_at(rows.join(again, "g"), "repeated")
     place = F.col("doc") + F.col("start")
     here = F.col("first") >= F.col("doc")  # the first place is never behind this one
     begin = F.when(F.col("here"), F.greatest(F.col("start").cast("long"), F.col("first") - F.col("doc") + least)).otherwise(F.col("start")).cast("int").alias("start")
-    firsts = written(rows.groupBy("g", "c").agg(F.min(place).alias("first")), "first")
-    met = written(rows.join(firsts, ["g", "c"]).withColumn("here", here), "met")
+    firsts, firsts_path = written_at(rows.groupBy("g", "c").agg(F.min(place).alias("first")), "first")
+    met, met_path = written_at(rows.join(firsts, ["g", "c"]).withColumn("here", here), "met")
+    for path in (again_path, rows_path, firsts_path):  # what follows reads met alone
+        removed(docs.sparkSession, path)
     whole = met.where((~F.col("here")) | (~F.col("several") & (place != F.col("first")))).select("doc", begin, (F.col("start") + F.col("n") - 1 + least).alias("end"))
     # Matches that end within a context, window by window.
     wanted = met.where("here and several").groupBy("doc").agg(F.collect_set(F.struct("g", "start", "n")).alias("at"))
     wanted = written(wanted.join(numbers, "doc").select("doc_id", "h", "doc", "at"), "wanted").alias("a")
     texts = _keyed(docs).alias("t").join(wanted, same("t", "a")).select("a.doc", "t.text", "a.at")
-    found = written(single_windows(texts, least), "windows")
-    firsts = written(found.groupBy("g", "w").agg(F.min(place).alias("first"), F.count("*").alias("k")).where("k > 1").drop("k"), "first")
+    found, found_path = written_at(single_windows(texts, least), "windows")
+    firsts, firsts_path = written_at(found.groupBy("g", "w").agg(F.min(place).alias("first"), F.count("*").alias("k")).where("k > 1").drop("k"), "first")
     later = found.join(firsts, ["g", "w"]).withColumn("here", here).where((~F.col("here")) | (place != F.col("first"))).select("doc", begin, (F.col("start") + least).alias("end"))
     # Windows that overlap or touch become runs.
     by = W.partitionBy("doc").orderBy("start", "end")
     runs = whole.unionByName(later).where("start < end").withColumn("upto", F.max("end").over(by.rowsBetween(W.unboundedPreceding, -1)))
     runs = runs.withColumn("run", F.count_if(F.col("upto").isNull() | (F.col("start") > F.col("upto"))).over(by.rowsBetween(W.unboundedPreceding, 0)))
     runs = runs.groupBy("doc", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    return runs.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed"))
+    return runs.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed")), [met_path, found_path, firsts_path]
 
 
 def deduplicated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
@@ -268,10 +271,14 @@ def deduplicated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     # The row is a struct on the way, so its columns may have any name.
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("h", F.xxhash64(text))
-    table = written(print_table(docs, least), "prints")
+    table, table_path = written_at(print_table(docs, least), "prints")
     numbers = numbered(table)
-    gone = numbers.join(repeated(docs, table, numbers, least), "doc", "left").select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h"), "n", F.col("removed").alias("spans"))
+    lost, paths = repeated(docs, table, numbers, least)
+    removed(docs.sparkSession, table_path)  # its rows that count are in other tables
+    gone = numbers.join(lost, "doc", "left").select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h"), "n", F.col("removed").alias("spans"))
     gone = written(gone, "removed")  # so that a document in many rows can be split in the join
+    for path in paths:
+        removed(docs.sparkSession, path)
     rows = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("h") == F.col("gone_h")), "left")
     # Words with the white space behind them; what lies between the removed runs stays.
     rows = rows.withColumn("words", F.when(F.col("spans").isNotNull(), F.regexp_extract_all(text, F.lit(WORD + SPACE[:-1] + "*"), F.lit(0))))
