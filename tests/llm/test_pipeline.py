@@ -106,3 +106,17 @@ def test_run(spark, data):
     rows = pipeline.run(spark, data)
     assert rows.columns[-2:] == ["shard", "slot"] and 0 < rows.count()
     assert quality.SAMPLE >= 1000
+
+
+@pytest.mark.parametrize("rows", [0, 1])
+def test_runs_over_empty_tables_and_nulls(spark, tmp_path, rows):
+    """The whole pipeline over a table without rows, and over one with nulls in every column, empty, long and repeated texts."""
+    text = " ".join(f"word{k % 50}" for k in range(3000))
+    odd = [(None, None, None, None, None), (None, "", "en", "a", 0), (1, None, "en", None, None), (2, "two words", None, "b", 9), (2, "two words", None, "b", 9), (3, text, "en", "b", len(text)), (4, text + " end", "en", "c", None)] * rows
+    spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    out = pipeline.run(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "shard", "slot"]
+    got = out.collect()
+    assert {(r.doc_id, r.text) for r in got} <= {x[:2] for x in odd} and all(0 <= r.shard < 24 for r in got)
