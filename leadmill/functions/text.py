@@ -210,12 +210,15 @@ def unescaped_udf(c: pd.Series) -> pd.Series:
     return pd.Series([None if x is None else unescape(x) for x in c], dtype="object")
 
 
-def entities_plain(c: Column) -> Column:
-    """The character references of HTML, named and numeric, replaced as the standard says, each once.
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def unescaped_each_udf(c: pd.Series) -> pd.Series:
+    from html import unescape
 
-    The common named ones and numbers of plain characters are replaced on the JVM.  Only texts that have another reference (a number that the
-    standard maps, a rarer name, a missing semicolon) go to Python, where the full list is.
-    """
+    return pd.Series([None if x is None else [None if y is None else unescape(y) for y in x] for x in c], dtype="object")
+
+
+def _references(c: Column) -> tuple[Column, Column]:
+    """(whether a text needs the full list, the text with its simple references replaced), on the JVM."""
     digits_ = lambda r: F.when(F.lower(r).startswith("#x"), F.conv(F.substr(r, F.lit(3)), 16, 10)).otherwise(F.substr(r, F.lit(2)))
     number_ = lambda r: F.when(F.length(r) <= 9, digits_(r).try_cast("int"))
     # Characters that stand for themselves: not the controls, surrogates and non-characters that the standard maps or drops.
@@ -228,10 +231,25 @@ def entities_plain(c: Column) -> Column:
     replaced = lambda p: F.concat(F.when(name(p).startswith("#"), utf32(number_(name(p)))).otherwise(F.try_element_at(named, name(p))), F.substr(p, F.length(name(p)) + 2))
     tail = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
     # What is neither simple nor surely no reference (an ampersand before two letters or a number sign) needs the list.
-    hard = F.exists(tail, lambda p: ~simple(p) & p.rlike("^(#[0-9xX]|[A-Za-z][A-Za-z0-9])"))
+    hard = F.contains(c, F.lit("&")) & F.exists(tail, lambda p: ~simple(p) & p.rlike("^(#[0-9xX]|[A-Za-z][A-Za-z0-9])"))
     easy = F.concat(parts[0], F.array_join(F.transform(tail, lambda p: F.when(simple(p), replaced(p)).otherwise(F.concat(F.lit("&"), p))), ""))
-    listed = unescaped_udf(F.when(F.contains(c, F.lit("&")) & hard, c))
-    return F.when(~F.contains(c, F.lit("&")), c).when(hard, listed).otherwise(easy)
+    return hard, F.when(F.contains(c, F.lit("&")), easy).otherwise(c)
+
+
+def entities_plain(c: Column) -> Column:
+    """The character references of HTML, named and numeric, replaced as the standard says, each once.
+
+    The common named ones and numbers of plain characters are replaced on the JVM.  Only texts that have another reference (a number that the
+    standard maps, a rarer name, a missing semicolon) go to Python, where the full list is.
+    """
+    hard, easy = _references(c)
+    return F.when(hard, unescaped_udf(F.when(hard, c))).otherwise(easy)
+
+
+def entities_plain_each(c: Column) -> Column:
+    """`entities_plain` of every text of an array."""
+    hard = F.exists(c, lambda x: F.coalesce(_references(x)[0], F.lit(False)))
+    return F.when(hard, unescaped_each_udf(F.when(hard, c))).otherwise(F.transform(c, lambda x: _references(x)[1]))
 
 
 def sentinel_to_null(c: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
+from ..sinks import versions
 from . import curation, scoring
 from .dedupe import upsert
 
@@ -116,6 +117,11 @@ def manifest_upsert(old: DataFrame, entries: DataFrame) -> DataFrame:
     return upsert(old, entries, ["id"]).orderBy("metro", "industry")
 
 
+def write_manifest(entries: DataFrame, path: str) -> None:
+    """Put the entries into the manifest at path; readers (`versions.read`) see the old manifest or the new one, whole."""
+    versions.replaced(path, entries.sparkSession, lambda old: manifest_upsert(old, entries) if old is not None else entries, "parquet")
+
+
 def stitched(manifest_rows: DataFrame, datasets: DataFrame) -> DataFrame:
     """Dataset rows with industry and metro of their manifest entry; entries without a dataset drop out."""
     return datasets.drop("industry", "metro").join(manifest_rows.select("id", "industry", "metro"), "id")

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, geo, text, urls
-from ..operators import browse, coverage, publish, reviews
+from ..operators import browse, coverage, lookup, publish, reviews
 from ..session import shared_dir
-from ..sinks import writers
+from ..sinks import versions, writers
 from ..sources import capture, markup, payloads, profiles, tables
+from . import lifecycle, steps
 from .bindings import A, B, CITIES, REVIEWS, bound, plain
 from .queries import query
 
@@ -70,6 +71,15 @@ def _(s, d):
     return tables.listing_csv(s, f"{path}/one", f"{path}/two").select("idx", "name", "phone", "city")
 
 
+@query("checkpoint_files", f"select cast(idx as varchar) as idx, name, phone, cast(list_id as varchar) as list_id from ({a}) where list_id < 3")
+def _(s, d):
+    """The finished list files of one industry, by their names; those of another industry stay out."""
+    rows, path = bound(s, d, A).select("idx", "name", "phone", "list_id"), _place(s, "checkpoints")
+    for k, name in ((0, "roofing--a"), (1, "roofing--b"), (2, "roofing--c"), (3, "hvac--a")):
+        rows.where(f"list_id = {k}").write.option("escape", '"').csv(f"{path}/{name}.csv", header=True)
+    return tables.checkpoints(s, path, "roofing").select("idx", "name", "phone", "list_id")
+
+
 @query("unfinished_lists", "select c_mktsegment, c_nationkey from (select distinct c_mktsegment, c_nationkey from customer) where c_nationkey % 3 > 0")
 def _(s, d):
     lists = s.read.parquet(f"{d}/customer.parquet").select("c_mktsegment", "c_nationkey").distinct()
@@ -78,11 +88,21 @@ def _(s, d):
 
 @query("csv_evolution", "select cast(p_partkey as varchar) as id, case when p_partkey % 2 = 0 then p_name end as name, case when p_partkey % 2 = 1 then p_brand end as extra from part")
 def _(s, d):
-    """Appended rows with a new column; the file table then has the columns of both."""
+    """Appended rows with a new column; readers then see the columns of both."""
     p, path = s.read.parquet(f"{d}/part.parquet"), _place(s, "evolved")
     writers.csv(p.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")), path)
     writers.csv(p.where("p_partkey % 2 = 1").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("extra")), path)
-    return s.read.option("header", True).option("escape", '"').csv(path).select("id", "name", "extra")
+    return versions.read(s, path).select("id", "name", "extra")
+
+
+@query("manifest_replaced", "select n_name as id, row_number() over (order by metro, industry) - 1 as position, cast(case when n_nationkey % 3 = 0 then n_nationkey + 1000 else n_nationkey end as bigint) as record_count from (select *, 'M' || n_regionkey as metro, 'I' || n_nationkey as industry from nation where n_nationkey % 3 = 0 or n_nationkey % 2 = 0)")
+def _(s, d):
+    """A manifest written twice: the second run's entries replace those of the same id; entries are ordered by metro and industry."""
+    n, path = s.read.parquet(f"{d}/nation.parquet"), _place(s, "manifest")
+    entry = lambda count: [F.col("n_name").alias("id"), F.concat(F.lit("M"), F.col("n_regionkey")).alias("metro"), F.concat(F.lit("I"), F.col("n_nationkey")).alias("industry"), count.cast("long").alias("record_count")]
+    publish.write_manifest(n.where("n_nationkey % 2 = 0").select(*entry(F.col("n_nationkey"))), path)
+    publish.write_manifest(n.where("n_nationkey % 3 = 0").select(*entry(F.col("n_nationkey") + 1000)), path)
+    return browse.ranked(versions.read(s, path), ["metro", "industry"]).select("id", "position", "record_count")
 
 
 @query("sinks_by_name", "select p_partkey as id, p_name as name, '[\"' || p_brand || '\"]' as tags from part union all select p_partkey, p_name, null from part")
@@ -140,20 +160,21 @@ def _(s, d):
     return counts.groupBy("asked_page").agg(F.count("*").alias("pages"), F.sum("items").alias("items"), F.sum("skipped").alias("skipped"))
 
 
-@query("local_search", f"select idx, name, phone, rating, page from (select *, cast(idx % 3 as bigint) as page, row_number() over (partition by idx order by idx) as k from ({b})) where k = 1")
+@query("local_search", f"select idx, name, phone, rating, page from (select *, cast(idx // 15 as bigint) as page, row_number() over (partition by idx order by idx) as k from ({b})) where k = 1")
 def _(s, d):
     """Every business stands on two pages; its place on the first one counts."""
-    r = bound(s, d, B).withColumn("page", F.explode(F.array(F.col("idx") % 3, F.col("idx") % 3 + 3)))
+    at = F.floor(F.col("idx") / 15)
+    r = bound(s, d, B).withColumn("page", F.explode(F.array(at, at + 1_000_000_000)))
     item = F.struct(F.col("idx").cast("string").alias("id"), "name", F.lit("").alias("phone"), F.col("phone").alias("display_phone"), "rating")
     pages = r.groupBy("page").agg(F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("idx", item.alias("i")))), lambda x: x["i"]).alias("businesses"))).alias("body"))
     return payloads.local_search(pages).select(F.col("id").cast("long").alias("idx"), "name", "phone", "rating", "page")
 
 
-@query("map_search", f"select list_id as query_id, idx as mapquest_id, name, review_count, rating / 2 as first_rating from ({b}) where idx % 4 > 0")
+@query("map_search", f"select list_id * 1000000 + idx // 15 as query_id, idx as mapquest_id, name, review_count, rating / 2 as first_rating from ({b}) where idx % 4 > 0")
 def _(s, d):
     review = F.struct(F.lit("t").alias("body"), "rating")
     node = F.struct(F.when(F.col("idx") % 4 > 0, F.col("idx").cast("string")).alias("id"), "name", F.struct(F.col("review_count").alias("totalCount"), F.array(review).alias("nodes")).alias("reviews"))
-    pages = bound(s, d, B).groupBy(F.col("list_id").alias("query_id")).agg(F.to_json(F.struct(F.struct(F.struct(F.collect_list(node).alias("nodes")).alias("search")).alias("data"))).alias("body"))
+    pages = bound(s, d, B).groupBy((F.col("list_id") * 1_000_000 + F.floor(F.col("idx") / 15)).alias("query_id")).agg(F.to_json(F.struct(F.struct(F.struct(F.collect_list(node).alias("nodes")).alias("search")).alias("data"))).alias("body"))
     return payloads.map_search(pages).select("query_id", F.col("mapquest_id").cast("long").alias("mapquest_id"), "name", F.col("review_count").cast("long").alias("review_count"), F.col("review_list")[0]["rating"].alias("first_rating"))
 
 
@@ -233,6 +254,50 @@ def _(s, d):
     return s.read.parquet(f"{d}/part.parquet").select("p_partkey", profiles.facebook_url(profiles.socials_of(cell)).alias("url"))
 
 
+# --- enrichment steps ---------------------------------------------------------------------------------------------
+def _to_enrich(s: SparkSession, d: str) -> tuple[DataFrame, list[steps.Step]]:
+    """Every customer as a master row, and answers to some of what the steps ask."""
+    rows = bound(s, d, """select c_custkey as row_id, concat('Shop', cast(c_custkey as string), ' Roofing') as registry_name, concat('305', lpad(cast(c_custkey as string), 7, '0')) as registry_phone,
+     case when c_custkey % 6 > 0 then concat('Town ', cast(c_nationkey as string)) end as registry_city, 'tx' as registry_state, case when c_custkey % 9 > 0 then concat('shop', cast(c_custkey as string), '.com') end as registry_website,
+     case when c_custkey % 4 > 0 then concat('[{{"platform": "facebook", "url": "https://f/', cast(c_custkey as string), '"}}]') end as registry_socials, concat('p', cast(c_custkey as string)) as registry_profile_url, cast(c_custkey % 3 as int) as reviews_total from {customer}""")
+    towns = bound(s, d, "select concat('Town ', cast(n_nationkey as string)) as name, 'TX' as state, 25.0d + n_nationkey as lat, -80.0d as lon, 1000 as population, cast(n_nationkey as string) as geoid from {nation}")
+    k, n = F.col("row_id"), F.col("row_id").cast("string")
+    sites = rows.where(k % 5 > 0).select(F.concat(F.lit("https://shop"), n, F.lit(".com")).alias("url"), F.when(k % 3 == 0, 404).otherwise(200).alias("code"), F.lit("x").alias("body"), F.lit(None).cast("string").alias("error"), F.lit("2024-05-30 00:00:00").alias("checked_at"))
+    review = F.struct(F.concat(F.lit("map "), n).alias("body"), F.lit(8.0).alias("rating"))
+    node = F.struct(n.alias("id"), F.col("registry_name").alias("name"), F.when(k % 2 == 0, F.col("registry_phone")).otherwise("9990000000").alias("phone"), F.struct(F.lit(1).alias("totalCount"), F.array(review).alias("nodes")).alias("reviews"))
+    placed = lookup.city(rows.where(k % 7 > 0), towns, "registry_city", "registry_state").where("lat is not null")
+    maps = placed.select(steps.map_request(F.col("registry_name"), F.col("lat"), F.col("lon")).alias("request"), F.to_json(F.struct(F.struct(F.struct(F.array(node).alias("nodes")).alias("search")).alias("data"))).alias("body"))
+    html = F.when(k % 8 == 2, "<html>log in</html>").when(k % 8 != 1, F.concat(F.lit('<meta property="og:title" content="S'), n, F.lit('">')))
+    pages = rows.where(k % 8 != 3).select(F.concat(F.lit("https://f/"), n).alias("url"), html.alias("html"))
+    item = lambda word, day: F.struct(F.concat(F.lit(word), n).alias("id"), F.concat(F.lit(f"{word} "), n).alias("text"), F.struct(F.lit("2024").alias("year"), F.lit("3").alias("month"), F.lit(day).alias("day")).alias("date"))
+    state = F.struct(F.struct(F.struct(F.lit(1).alias("page"), F.lit(1).alias("totalPages"), F.array(item("good", "1"), item("bad", "2")).alias("items")).alias("customerReviews")).alias("businessProfile"))
+    read = rows.where(k % 2 == 1).select(F.col("registry_profile_url").alias("profile_url"), F.concat(F.lit("<script>window.__PRELOADED_STATE__ = "), F.to_json(state), F.lit(";</script>")).alias("html"))
+    known = F.explode(F.array(*[F.struct(F.lit(a).alias("source"), F.concat(F.lit(f"{w} "), n).alias("text"), F.lit(c).alias("sentiment")) for a, w, c in (("registry", "good", "positive"), ("registry", "bad", "negative"), ("mapquest", "map", "neutral"))]))
+    cache = rows.where(k % 10 > 0).select(known.alias("c")).select("c.source", text.text_hash(F.col("c.text")).alias("text_hash"), "c.sentiment", F.lit(2).alias("severity"), F.lit("t").alias("theme"), F.lit("s").alias("summary"), F.lit(True).alias("actionable"))
+    return rows, [steps.sites(sites, "2024-06-01"), steps.map_search(maps, towns, text.token_similarity), steps.social_profiles(pages), steps.review_texts(read), steps.sentiment(cache)]
+
+
+_K = "(select c_custkey as k from customer)"
+
+
+@query("enriched_master", f"""select k as row_id, case when k % 9 = 0 then 'no_website' when k % 5 = 0 then null when k % 3 = 0 then 'dead_404' else 'ok' end as website_status,
+ case when k % 6 = 0 or k % 7 = 0 then 'open' when k % 2 = 0 then 'found' else 'none' end as map_state, case when k % 4 = 0 then 'no_facebook_link' when k % 8 = 1 then 'check_failed' when k % 8 = 2 then 'unavailable' when k % 8 = 3 then null else 'ok' end as facebook_status,
+ case when k % 3 = 2 and k % 2 = 1 then cast(2 as int) end as reviews_captured, case when k % 3 = 2 and k % 2 = 1 then cast(2 as bigint) when k % 2 = 0 and k % 6 > 0 and k % 7 > 0 and k % 10 > 0 then cast(1 as bigint) end as analyzed,
+ case when k % 3 = 2 and k % 2 = 1 then cast(1 as bigint) when k % 2 = 0 and k % 6 > 0 and k % 7 > 0 and k % 10 > 0 then cast(0 as bigint) end as negative from {_K}""")
+def _(s, d):
+    """All enrichment steps over a master; what has no answer stays open."""
+    rows, _ = lifecycle.enriched(*_to_enrich(s, d))
+    return rows.select("row_id", F.col("registry_website_status").alias("website_status"), steps.cell_state(F.col("mapquest_reviews")).alias("map_state"), "facebook_status", F.col("registry_num_reviews_captured").alias("reviews_captured"), F.col("review_sentiment_analyzed_count").alias("analyzed"), F.col("review_sentiment_negative_count").alias("negative"))
+
+
+@query("work_still_open", f"""select 'sites' as step, count(*) as keys from {_K} where k % 9 > 0 and k % 5 = 0 union all select 'map_search', count(*) from {_K} where k % 6 > 0 and k % 7 = 0
+ union all select 'social_profiles', count(*) from {_K} where k % 8 in (1, 3) union all select 'review_texts', count(*) from {_K} where k % 3 = 2 and k % 2 = 0
+ union all select 'sentiment', count(*) from {_K} where k % 2 = 0 and k % 6 > 0 and k % 7 > 0 and k % 10 = 0""")
+def _(s, d):
+    """What a second run would look up: only what the first one has left open."""
+    return lifecycle.enriched(*_to_enrich(s, d))[1].groupBy("step").agg(F.count("*").alias("keys"))
+
+
 # --- functions and lists ------------------------------------------------------------------------------------------
 @query("date_texts", "select event_id, case when event_id % 5 > 0 then '2024-' || lpad(cast(event_id % 20 as varchar), 2, '0') || '-' || lpad(cast(event_id % 40 as varchar), 2, '0') end as day, strftime(ts, '%Y-%m-%d') as day_only from events")
 def _(s, d):

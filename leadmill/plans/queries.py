@@ -282,13 +282,15 @@ def _(s, d):
     return got.withColumns({"social_links": links, **{c: F.array_join(c, ";") for c in ("categories", "service_areas")}}).select("page_id", *_PROFILE_FIELDS.split(", "))
 
 
-@query("search_pages", f"select list_id, cast(pos as int) as pos, 'L' || idx as listing_id, name, {q_phone('phone')} is not null as has_phone, round(lat, 6) as lat, round(lon, 6) as lon from (select *, row_number() over (partition by list_id order by idx) - 1 as pos from ({a}))")
+@query("search_pages", f"select list_id, cast(idx // 15 as int) as page, cast(row_number() over (partition by list_id, idx // 15 order by idx) - 1 as int) as pos, 'L' || idx as listing_id, name, {q_phone('phone')} is not null as has_phone, round(lat, 6) as lat, round(lon, 6) as lon from ({a})")
 def _(s, d):
-    r = bound(s, d, A)
+    """Pages of up to 15 listings, as the source pages them."""
+    r = bound(s, d, A).withColumn("page", F.floor(F.col("idx") / 15).cast("int"))
     item = F.struct(F.concat(F.lit("L"), F.col("idx").cast("string")).alias("id"), F.col("name").alias("businessName"), F.array_compact(F.array("phone")).alias("phone"), F.concat_ws(",", F.col("lat").cast("string"), F.col("lon").cast("string")).alias("location"))
-    pages = r.groupBy("list_id").agg(F.to_json(F.struct(F.lit(1).alias("page"), F.transform(F.array_sort(F.collect_list(F.struct("idx", item.alias("i")))), lambda x: x["i"]).alias("results"))).alias("body"))
+    pages = r.groupBy("list_id", "page").agg(F.array_sort(F.collect_list(F.struct("idx", item.alias("i")))).alias("found"))
+    pages = pages.select("list_id", F.to_json(F.struct("page", F.transform("found", lambda x: x["i"]).alias("results"))).alias("body"))
     got = payloads.listing_pages(pages)
-    return got.select("list_id", "pos", "listing_id", "name", F.col("phone").isNotNull().alias("has_phone"), F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
+    return got.select("list_id", "page", "pos", "listing_id", "name", F.col("phone").isNotNull().alias("has_phone"), F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
 
 
 # --- de-duplication and sets ------------------------------------------------------------------------------------
@@ -522,10 +524,19 @@ def _picked(s, d, similarity):
     return enrich.picked(q, pairs.join(c, "cand_idx"), similarity)
 
 
-@query("url_checks", "select o_orderkey, o_orderpriority, n as status from orders left join (select o_orderpriority as p, length(o_orderpriority) as n from (select distinct o_orderpriority from orders)) on p = o_orderpriority")
+@query("url_checks", "select o_orderkey, case when o_custkey % 29 = 0 then null when o_custkey % 31 = 0 then 'dead_unreachable' when c in (404, 410) then 'dead_404' when c in (401, 403, 429) then 'blocked' when c >= 500 then 'server_error' when c >= 400 then 'dead_404' when o_custkey % 7 = 0 then 'dead_parked' else 'ok' end as status from (select *, 200 + (o_custkey * 7) % 400 as c from orders)")
 def _(s, d):
-    o = s.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_orderpriority")
-    return enrich.by_url(o, "o_orderpriority", lambda asked: asked.withColumn("status", F.length("url").cast("long")), ["status"]).select("o_orderkey", "o_orderpriority", "status")
+    """The site of every order's customer is looked up once in the captured answers, whatever the number of orders."""
+    k = F.col("o_custkey")
+    o = s.read.parquet(f"{d}/orders.parquet").select("o_orderkey", F.when(k % 29 == 0, " ").otherwise(F.concat(F.lit("www.site"), k.cast("string"), F.lit(".com"))).alias("site"))
+    c = F.col("c_custkey")
+    captured_ = s.read.parquet(f"{d}/customer.parquet").select(F.concat(F.lit("https://www.site"), c.cast("string"), F.lit(".com")).alias("at"), (200 + (c * 7) % 400).alias("code"), F.when(c % 7 == 0, "This domain is for sale").otherwise("hello").alias("body"), F.when(c % 31 == 0, "connection").alias("error"))
+
+    def check(asked):
+        met = asked.join(captured_, urls.normalized(F.col("url")) == F.col("at"))
+        return met.select("url", urls.site_status(F.col("url"), F.col("code"), F.col("body"), F.col("error")).alias("status"))
+
+    return enrich.by_url(o, "site", check, ["status"]).select("o_orderkey", "status")
 
 
 @query("cache_freshness", "select event_id from events where epoch(timestamp '2024-01-20 00:00:00') - epoch(date_trunc('second', ts)) < 14 * 86400")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, urls
 from ..operators import enrich, lookup, publish, reviews
+from ..session import kept
 from ..sources import payloads, profiles, social
 
 #: The columns of each step: the first is the cell that says what is known.
@@ -207,8 +208,9 @@ def sentiment(cache: DataFrame, analyse: Callable[[pd.DataFrame], pd.DataFrame]
     return Step("sentiment", asked, run)
 
 
-def applied(rows: DataFrame, steps: list[Step], keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
-    """All steps, one after the other; `keep` may write what a step leaves, so that a failure later costs only the steps behind it."""
+def applied(rows: DataFrame, steps: list[Step], keep: Callable[[DataFrame], DataFrame] = kept) -> DataFrame:
+    """All steps, one after the other; `keep` writes what a step leaves: a step reads its rows several times, and a failure later costs only the
+    steps behind it."""
     for step in steps:
         rows = keep(step.run(rows))
     return rows

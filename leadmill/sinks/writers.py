@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+
+from . import versions
 
 
 def flattened(df: DataFrame) -> DataFrame:
@@ -27,58 +28,8 @@ def read_evolved(spark, path: str) -> DataFrame:
 
 
 def csv(df: DataFrame, path: str) -> None:
-    """Append flat rows under the sorted union of old and new columns.
-
-    While the columns stay, files are added.  When new ones come, the old rows are written again with them, to a new
-    place that then takes the path.  A run that fails on the way leaves the old rows at the path or beside it, where
-    the next one finds them (`recovered`).
-    """
-    spark, df = df.sparkSession, flattened(df)
-    recovered(spark, path)
-    try:
-        old = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        old = None
-    if old is None:
-        df.select(*sorted(df.columns)).write.option("header", True).option("escape", '"').mode("append").csv(path)
-        return
-    extra = [c for c in df.columns if c not in old.columns]
-    full = df.select(*[F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string").alias(c) for c in (old.columns if not extra else sorted({*old.columns, *extra}))])
-    if not extra:
-        full.write.option("header", True).option("escape", '"').mode("append").csv(path)
-        return
-    both = old.unionByName(full, allowMissingColumns=True)
-    replaced(both.select(*sorted(both.columns)), path)
-
-
-def _places(spark, path: str):
-    """The file system, and the path, its successor and its predecessor."""
-    at = spark._jvm.org.apache.hadoop.fs.Path
-    bare = path.rstrip("/")
-    return at(bare).getFileSystem(spark._jsc.hadoopConfiguration()), at(bare), at(bare + ".new"), at(bare + ".old")
-
-
-def recovered(spark, path: str) -> None:
-    """After a run that failed between the two renames of `replaced`, the old rows take their path again."""
-    fs, here, _, old = _places(spark, path)
-    if fs.exists(old) and not fs.exists(here):
-        fs.rename(old, here)
-
-
-def replaced(df: DataFrame, path: str) -> None:
-    """Write beside the path, then take its place.  The old rows go only when the new ones are there."""
-    spark = df.sparkSession
-    recovered(spark, path)
-    fs, here, new, old = _places(spark, path)
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path.rstrip("/") + ".new")
-    if fs.exists(here):
-        fs.delete(old, True)  # left by a run that failed after its renames
-        fs.rename(here, old)
-    if not fs.rename(new, here):
-        raise OSError(f"could not put {new} in the place of {here}")
-    fs.delete(old, True)
+    """Append flat rows; readers (`versions.read`) see them under the sorted union of old and new columns, all of a call's rows or none."""
+    versions.append(flattened(df), path)
 
 
 def json_lines(df: DataFrame, path: str) -> None:

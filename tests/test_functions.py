@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadmill.functions import dates, geo, grades, text, urls
+from leadmill.sources import markup
 
 
 def values(spark, f, inputs, kind="string"):
@@ -61,7 +62,7 @@ def test_dates_grades_urls(spark):
     assert values(spark, grades.points, ["A+", " b - ", "NR", None]) == [4.33, 2.67, None, None]
     assert values(spark, urls.normalized, [" a.com ", "ftp://x", "", None]) == ["https://a.com", "ftp://x", None, None]
     assert values(spark, urls.domain, ["http://www.A.com:80/x", "b.org?q"]) == ["a.com", "b.org"]
-    assert values(spark, urls.platform, ["https://m.youtube.com/x", "x.com/a", "box.com"]) == ["youtube", "twitter", None]
+    assert values(spark, markup.platform, ["https://www.youtube.com/x", "https://x.com/a", "https://box.com", "box.com"]) == ["youtube", "twitter", "box", "other"]
     rows = [("", None, None, None), ("a.com", 404, "", None), ("a.com", 403, "", None), ("a.com", 503, "", None), ("a.com", 418, "", None), ("a.com", 200, "Buy This Domain now", None), ("a.com", 200, "hi", None), ("a.com", None, None, "connection"), ("a.com", None, None, "odd")]
     got = [r[0] for r in spark.createDataFrame(rows, "u string, c int, b string, e string").coalesce(1).select(urls.site_status(F.col("u"), F.col("c"), F.col("b"), F.col("e"))).collect()]
     assert got == ["no_website", "dead_404", "blocked", "server_error", "dead_404", "dead_parked", "ok", "dead_unreachable", "check_failed"]
@@ -78,6 +79,8 @@ def test_references_are_the_standards(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
     got = {x.k: x.t for x in df.select("k", text.entities_plain(F.col("t")).alias("t")).collect()}
     assert got == {k: None if t is None else html.unescape(t) for k, t in enumerate(texts)}
+    lists = spark.createDataFrame([(texts[k : k + 3],) for k in range(0, 60, 3)] + [(None,), ([],), ([None, "&lt;"],)], "t array<string>")
+    assert [x.t for x in lists.select(text.entities_plain_each(F.col("t")).alias("t")).collect()] == [[None if t is None else html.unescape(t) for t in x.t] if x.t is not None else None for x in lists.collect()]
 
 
 def test_bound_of_the_ratio_and_scores_with_it(spark):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadmill.operators import browse, publish
-from leadmill.sinks import writers
+from leadmill.sinks import versions, writers
 from leadmill.sources import capture, markup, payloads, profiles, social, tables
 from leadmill.streaming import ingest
 
@@ -91,7 +91,7 @@ def test_sinks(spark, tmp_path):
     path = str(tmp_path / "csv")
     for df in (one, two, three):
         writers.csv(df, path)
-    back = spark.read.option("header", True).option("escape", '"').csv(path)
+    back = versions.read(spark, path)
     assert sorted(back.columns) == ["extra", "id", "name", "tags"]
     assert sorted((r.id, r.name, r.extra, r.tags) for r in back.collect()) == [("1", "a", None, '["x"]'), ("2", None, None, None), ("3", None, 'new, "q"', None)]
     for df in (one, three):
@@ -168,14 +168,47 @@ def test_checks_are_due_again_after_their_time(spark, tmp_path):
     assert ingest.due_at(np.array([1, 2, 9, 11, 30]), None, 10) == [1, 11, 30] and ingest.due_at(np.array([1, 2, 9, 11, 30]), 5, 10) == [30] and ingest.due_at(np.array([3]), 5, 10) == []
 
 
-def test_rows_survive_a_failed_replacement(spark, tmp_path):
-    path = tmp_path / "csv"
-    writers.csv(spark.createDataFrame([(1, "a")], "id int, name string"), str(path))
-    path.rename(tmp_path / "csv.old")  # a run that failed between its two renames
-    writers.csv(spark.createDataFrame([(2, "x")], "id int, extra string"), str(path))
-    writers.csv(spark.createDataFrame([(3, "y")], "id int, more string"), str(path))
-    assert sorted(r.id for r in spark.read.option("header", True).csv(str(path)).collect()) == ["1", "2", "3"]
-    assert not (tmp_path / "csv.old").exists()
+def test_readers_see_whole_versions(spark, tmp_path):
+    """A replacement that fails, a record that is half written, writers that meet, folders that go: readers see one version, and nothing is renamed."""
+    path = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        versions.read(spark, path)
+    one = spark.createDataFrame([(1, "a\nb"), (2, None)], "id int, name string")
+    versions.append(one, path)
+    opened = versions.read(spark, path)
+
+    def fails(old):
+        return old.select(F.raise_error(F.lit("on purpose")).cast("string").alias("id"))
+
+    with pytest.raises(Exception, match="on purpose"):
+        versions.replaced(path, spark, fails)
+    ids = lambda df: sorted(int(r.id) for r in df.collect())
+    assert ids(versions.read(spark, path)) == [1, 2] and versions.current(spark, path).number == 1
+    (tmp_path / "t" / "_versions" / "000000000002").write_text('{"format": "csv", "fol')  # a writer that died
+    assert ids(versions.read(spark, path)) == [1, 2]
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(versions, "PATIENCE", 0.0)
+        versions.append(spark.createDataFrame([(3, "x")], "id int, extra string"), path)
+    assert versions.current(spark, path).number == 3 and versions.read(spark, path).columns == ["extra", "id", "name"]
+    assert [r.name for r in versions.read(spark, path).where("id = 1").collect()] == ["a\nb"]
+
+    calls = []
+
+    def meets(old):  # another writer comes first, once
+        calls.append(ids(old))
+        if len(calls) == 1:
+            versions.append(spark.createDataFrame([(4,)], "id int"), path)
+        return old.where("id > 1")
+
+    versions.replaced(path, spark, meets)
+    assert calls == [[1, 2, 3], [1, 2, 3, 4]] and ids(versions.read(spark, path)) == [2, 3, 4]
+    assert ids(opened) == [1, 2]  # a reader stays with its version
+    versions.compacted(spark, path)
+    assert ids(versions.read(spark, path)) == [2, 3, 4] and len(versions.current(spark, path).folders) == 1
+    gone = versions.cleaned(spark, path, 1)
+    assert gone and ids(versions.read(spark, path)) == [2, 3, 4] and len(list((tmp_path / "t").glob("data-*"))) == 1
+    with pytest.raises(ValueError):
+        versions.append(one, path, "parquet")
 
 
 def test_row_order_of_many_files(spark, tmp_path):

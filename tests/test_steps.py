@@ -61,7 +61,7 @@ def asked(rows, found):
 
 def test_steps_fill_what_is_answered_and_leave_the_rest_open(spark):
     first = captures(spark)
-    rows = steps.applied(master(spark), first, lambda df: spark.createDataFrame(df.collect(), df.schema))
+    rows = steps.applied(master(spark), first)
     got = {r.row_id: r for r in rows.collect()}
     assert len(got) == 4 and set(master(spark).columns) <= set(rows.columns)
     assert [(got[k].registry_website_status, got[k].registry_website_dead) for k in (1, 2, 3, 4)] == [("dead_404", True), ("ok", False), ("no_website", False), (None, None)]
@@ -80,7 +80,7 @@ def test_steps_fill_what_is_answered_and_leave_the_rest_open(spark):
 
     # New answers fill the open rows; what was found stays.
     second = captures(spark, more=True)
-    later = {r.row_id: r for r in steps.applied(rows, second, lambda df: spark.createDataFrame(df.collect(), df.schema)).collect()}
+    later = {r.row_id: r for r in steps.applied(rows, second).collect()}
     assert later[1] == got[1] | later[1] if isinstance(later[1], dict) else all(later[1][c] == got[1][c] for c in rows.columns)
     assert (later[4].registry_website_status, later[4].mapquest_review_count, later[4].facebook_status, later[4].registry_reviews, later[4].review_sentiment_analyzed_count) == ("dead_unreachable", 1.0, "unavailable", "[]", 1)
     assert later[2].facebook_status == "ok" and later[2].registry_email == "own@x.com"
