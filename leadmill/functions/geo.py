@@ -17,6 +17,19 @@ def distance_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Co
     return 2 * EARTH_MILES * F.asin(F.sqrt(F.when(a > 1, 1.0).otherwise(a)))  # least() would take 1 for a null
 
 
+def unit(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
+    """The point on the unit sphere."""
+    p, t = F.radians(lat), F.radians(lon)
+    return F.cos(p) * F.cos(t), F.cos(p) * F.sin(t), F.sin(p)
+
+
+def chords(miles: float) -> tuple[float, float]:
+    """Squared chords of the unit sphere: points below the first are surely at most `miles` apart, beyond the second surely more; rounding stays below
+    1e-12 in either."""
+    chord = 2 * math.sin(min(miles / EARTH_MILES / 2, math.pi / 2))
+    return max(chord - 1e-12, 0.0) ** 2, (chord + 1e-12) ** 2
+
+
 def destination(lat: Column, lon: Column, bearing: Column, miles: Column) -> tuple[Column, Column]:
     """Where a bearing (degrees) and distance lead; longitude within -180 and 180."""
     p, way, b = F.radians(lat), miles / EARTH_MILES, F.radians(bearing)

@@ -73,7 +73,7 @@ def assigned(edges: DataFrame, within: str, left: str, right: str, order: list[t
     together = together or TOGETHER
     columns = edges.columns
     node = lambda side, c: F.xxhash64(within, F.lit(side), c)  # noqa: E731 - equal hashes only join what could be apart
-    e = kept(edges.withColumns({"__u": node(0, left), "__v": node(1, right)}))
+    e = stored(edges.withColumns({"__u": node(0, left), "__v": node(1, right)}), "open")[0]  # a checkpoint would compute the edges twice
     sizes = e.groupBy(within).agg(F.count("*").alias("__k"))
     most, total = sizes.agg(F.max("__k"), F.sum("__k")).first()
     if not total:

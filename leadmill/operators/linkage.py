@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
+from ..session import stored
 from . import graph
 
 RECORD = ("list_id", "idx", "name", "phone", "postal", "city", "state", "lat", "lon")
@@ -20,6 +21,10 @@ WEIGHTS = {"phone": 0.40, "name": 0.34, "geo": 0.16, "zip": 0.06, "city": 0.04}
 CONFIDENT, REVIEW = 0.80, 0.60
 NEAR_MILES, BLOCK_MILES = 2.0, 3.0
 WEAK_NAME, PHONE_NAME, PHONE_FLOOR = 0.50, 0.55, 0.90
+#: Parts of a grid cell's records that meet in tasks of their own.
+PARTS = 8
+#: Pairs of different names that are scored beforehand and sent to all tasks.
+NAME_PAIRS = 1 << 18
 
 
 def prepared(df: DataFrame) -> DataFrame:
@@ -31,6 +36,11 @@ def prepared(df: DataFrame) -> DataFrame:
     )
 
 
+def _dealt(df: DataFrame, *keys: str | Column) -> DataFrame:
+    """df dealt by keys over all shuffle partitions: a blocking join makes many rows of few bytes, so the bytes read say nothing about its tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def candidates(a: DataFrame, b: DataFrame, miles: float = BLOCK_MILES) -> DataFrame:
     """(list_id, a_idx, b_idx, a, b) with equal phone, equal zip, or at most `miles` apart; a and b are the records as structs.
 
@@ -38,12 +48,32 @@ def candidates(a: DataFrame, b: DataFrame, miles: float = BLOCK_MILES) -> DataFr
     cells with their neighbours and then measures.  A join leaves out what those before it find, so each pair comes once
     and brings its records along: nothing is made distinct or joined back.
     """
-    left, right = a.alias("a"), b.alias("b")
-    equal = lambda key: F.coalesce(F.col(f"a.{key}") == F.col(f"b.{key}"), F.lit(False))
-    met = lambda key: left.where(F.col(f"a.{key}").isNotNull()).join(right, (F.col("a.list_id") == F.col("b.list_id")) & (F.col(f"a.{key}") == F.col(f"b.{key}")))
+    return _union(_records(_met(a, b, "phone"), a, b), *(_records(f, a, b) for f in _elsewhere(a, b, miles)))
+
+
+def _union(*found: DataFrame) -> DataFrame:
+    return reduce(DataFrame.union, found)
+
+
+def _records(met: DataFrame, a: DataFrame, b: DataFrame, *more: Column) -> DataFrame:
     record = lambda side, df: F.struct(*[F.col(f"{side}.`{c}`") for c in df.columns]).alias(side)
-    found = [met("phone"), met("zip").where(~equal("phone")), _near(a, b, miles).where(~equal("phone") & ~equal("zip"))]
-    return reduce(DataFrame.union, [f.select("a.list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"), record("a", a), record("b", b)) for f in found])
+    return met.select("a.list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"), record("a", a), record("b", b), *more)
+
+
+def _same(key: str) -> Column:
+    return F.coalesce(F.col(f"a.{key}") == F.col(f"b.{key}"), F.lit(False))
+
+
+def _met(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
+    """Records of a list (aliases a and b) that are equal in all of keys."""
+    keys = ("list_id", *keys)
+    left = _dealt(a.where(" and ".join(f"{k} is not null" for k in keys)), *keys)
+    return left.alias("a").join(b.alias("b"), reduce(Column.__and__, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]))
+
+
+def _elsewhere(a: DataFrame, b: DataFrame, miles: float, *keys: str) -> list[DataFrame]:
+    """Records without a common phone: of equal zip, and of other zips at most `miles` apart; keys must be equal as well."""
+    return [_met(a, b, "zip", *keys).where(~_same("phone")), _near(a, b, miles, *keys).where(~_same("phone") & ~_same("zip"))]
 
 
 def near(a: DataFrame, b: DataFrame, miles: float) -> DataFrame:
@@ -51,13 +81,83 @@ def near(a: DataFrame, b: DataFrame, miles: float) -> DataFrame:
     return _near(a, b, miles).select("a.list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"))
 
 
-def _near(a: DataFrame, b: DataFrame, miles: float) -> DataFrame:
-    there = lambda df: df.where("lat is not null and lon is not null")
+def _there(df: DataFrame, side: str) -> DataFrame:
+    """Records with a place, and their points on the unit sphere."""
+    return df.where("lat is not null and lon is not null").withColumns(dict(zip((f"__{side}x", f"__{side}y", f"__{side}z"), geo.unit(F.col("lat"), F.col("lon")), strict=True)))
+
+
+def _close(miles: float) -> Column:
+    """Whether a and b of `_there` are at most `miles` apart: measured only where the chord is within rounding of the limit."""
+    chord = sum(((F.col(f"__a{k}") - F.col(f"__b{k}")) * (F.col(f"__a{k}") - F.col(f"__b{k}")) for k in "yz"), (F.col("__ax") - F.col("__bx")) * (F.col("__ax") - F.col("__bx")))
+    low, high = geo.chords(miles)
+    return (chord <= high) & ((chord < low) | (geo.distance_miles(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")) <= miles))
+
+
+def _near(a: DataFrame, b: DataFrame, miles: float, *keys: str) -> DataFrame:
     lat, lon = F.col("lat"), F.col("lon")
-    spread = there(a).withColumn("__cell", F.explode(geo.cells_around(lat, lon, miles))).alias("a")
-    placed = there(b).withColumn("__cell", geo.cell(lat, lon, miles)).alias("b")
-    met = spread.join(placed, (F.col("a.list_id") == F.col("b.list_id")) & (F.col("a.__cell.cy") == F.col("b.__cell.cy")) & (F.col("a.__cell.cx") == F.col("b.__cell.cx")))
-    return met.where(geo.distance_miles(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")) <= miles)
+    cell = lambda df: df.select("*", "__cell.cy", "__cell.cx").drop("__cell")
+    placed = cell(_there(a, "a").withColumn("__cell", geo.cell(lat, lon, miles))).withColumn("__part", F.pmod(F.xxhash64("idx"), F.lit(PARTS)).cast("int"))
+    around = cell(_there(b, "b").withColumn("__cell", F.explode(geo.cells_around(lat, lon, miles)))).withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    on = ("list_id", "cy", "cx", "__part", *keys)
+    met = _dealt(placed, *on).alias("a").join(around.alias("b"), reduce(Column.__and__, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in on]))
+    return met.where(_close(miles))
+
+
+def names(a: DataFrame, b: DataFrame, similarity=text.name_similarity, most: int | None = None) -> DataFrame | None:
+    """(name_a, name_b, sig_name): every pair of different names (words with blanks between) of the two sides with its score, each compared
+    once; None where there are more than `most` (NAME_PAIRS) pairs, or the hashes of two pairs (`pair_key`) are equal."""
+    own = lambda df: stored(df.select("words").distinct(), "names")[0]
+    x, y = own(a), own(b)
+    n = x.count() * y.count()
+    if n > (NAME_PAIRS if most is None else most):
+        return None
+    pairs = x.withColumnRenamed("words", "wa").repartition(1 + n // 4096).crossJoin(F.broadcast(y.withColumnRenamed("words", "wb")))
+    pairs = pairs.select(F.array_join("wa", " ").alias("name_a"), F.array_join("wb", " ").alias("name_b"), similarity(F.col("wa"), F.col("wb"), least=0.0).alias("sig_name"))
+    pairs = stored(pairs, "scores")[0]
+    different = pairs.agg(F.count_distinct(pair_key(F.xxhash64("name_a"), F.xxhash64("name_b")))).first()[0]
+    return pairs if n == different else None
+
+
+def pair_key(a: Column, b: Column) -> Column:
+    """Of the XXH64 of two names."""
+    return F.xxhash64(a, b)
+
+
+def similarities(a: DataFrame, b: DataFrame, similarity=text.name_similarity, miles: float = BLOCK_MILES) -> DataFrame:
+    """(list_id, a_idx, b_idx, sig_name) of all `candidates`: names that stand on many records are compared once."""
+    a, b = stored(a, "a")[0], stored(b, "b")[0]
+    scores = names(a, b, similarity)
+    if scores is None:
+        return signals(candidates(a, b, miles), a, b, similarity).select("list_id", "a_idx", "b_idx", "sig_name")
+    hashed = lambda df: df.withColumn("__name", F.xxhash64(F.array_join("words", " "))).drop("name", "words")
+    x, y = hashed(a), hashed(b)
+    pairs = _union(*(f.select("a.list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"), pair_key(F.col("a.__name"), F.col("b.__name")).alias("__pair")) for f in (_met(x, y, "phone"), *_elsewhere(x, y, miles))))
+    known = scores.select(pair_key(F.xxhash64("name_a"), F.xxhash64("name_b")).alias("__pair"), "sig_name")
+    return pairs.join(F.broadcast(known), "__pair").select("list_id", "a_idx", "b_idx", "sig_name")
+
+
+def named(a: DataFrame, b: DataFrame, scores: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """a with a row for every name (name_b, sig_name) of b that scores at least `least`, and b with its name as name_b.
+
+    What has to be alike in name and near is then met by an equi-join on both, not by all pairs of a place.
+    """
+    close = F.broadcast(scores.where(F.col("sig_name") >= least))
+    own = F.array_join("words", " ")
+    return a.withColumn("name_a", own).join(close, "name_a").drop("name_a"), b.withColumn("name_b", own)
+
+
+def linked(a: DataFrame, b: DataFrame, least: float = REVIEW, similarity=text.name_similarity, miles: float = BLOCK_MILES) -> DataFrame:
+    """What `scored` gives of all `candidates`.  Without a common phone a pair needs a name score of WEAK_NAME, so those blocks are joined on
+    the names that reach it as well; names that stand on many records are compared once."""
+    a, b = stored(a, "a")[0], stored(b, "b")[0]
+    scores = names(a, b, similarity)
+    if scores is None:
+        return scored(candidates(a, b, miles), a, b, least, similarity)
+    wide, other = named(a, b, scores, WEAK_NAME)
+    own = lambda side: F.array_join(f"{side}.words", " ")
+    phone = _records(_met(a, b, "phone"), a, b).join(F.broadcast(scores), (own("a") == F.col("name_a")) & (own("b") == F.col("name_b"))).drop("name_a", "name_b")
+    pairs = _union(phone, *(_records(f, a, b, F.col("a.sig_name")) for f in _elsewhere(wide, other, miles, "name_b")))
+    return _judged(signals(pairs, a, b, lambda x, y, least: F.col("p.sig_name")), least)
 
 
 def signals(pairs: DataFrame, a: DataFrame, b: DataFrame, similarity=text.name_similarity, worth: bool = False) -> DataFrame:
@@ -80,14 +180,14 @@ def signals(pairs: DataFrame, a: DataFrame, b: DataFrame, similarity=text.name_s
     asked = F.when(F.coalesce(c("a.phone") == c("b.phone"), F.lit(False)), 0.0).otherwise(WEAK_NAME) if worth else 0.0
     miles = geo.distance_miles(c("a.lat"), c("a.lon"), c("b.lat"), c("b.lon"))
     same_place = (c("a.city") == c("b.city")) & (c("a.city") != "") & (c("a.state") == c("b.state"))
-    return j.select(
-        "p.list_id", "p.a_idx", "p.b_idx",
+    # Rows of a generator: a filter on the signals is not pushed below them, so each is computed once.
+    return j.select("p.list_id", "p.a_idx", "p.b_idx", F.inline(F.array(F.struct(
         F.when(c("a.phone").isNotNull() & c("b.phone").isNotNull(), one(c("a.phone") == c("b.phone"))).alias("sig_phone"),
         similarity(c("a.words"), c("b.words"), least=asked).alias("sig_name"),
         F.greatest(F.when(miles.isNotNull(), F.lit(0.0)), 1 - miles / NEAR_MILES).alias("sig_geo"),
         F.when(c("a.zip").isNotNull() & c("b.zip").isNotNull(), F.when(c("a.zip") == c("b.zip"), 1.0).when(same_place, 0.4).otherwise(0.0)).alias("sig_zip"),
         F.when((c("a.city") != "") & (c("b.city") != ""), one(c("a.city") == c("b.city"))).alias("sig_city"),
-    )
+    ))))
 
 
 def confidence() -> Column:
@@ -102,7 +202,10 @@ def confidence() -> Column:
 
 def scored(pairs: DataFrame, a: DataFrame, b: DataFrame, least: float = REVIEW, similarity=text.name_similarity) -> DataFrame:
     """Pairs worth assigning, with signals, confidence and band."""
-    s = signals(pairs, a, b, similarity, worth=True)
+    return _judged(signals(pairs, a, b, similarity, worth=True), least)
+
+
+def _judged(s: DataFrame, least: float) -> DataFrame:
     s = s.where((F.coalesce(F.col("sig_phone"), F.lit(0.0)) == 1) | (F.col("sig_name") >= WEAK_NAME)).withColumn("confidence", confidence())
     return s.where(F.col("confidence") >= least).withColumn("band", F.when(F.col("confidence") >= CONFIDENT, "confident").otherwise("review"))
 

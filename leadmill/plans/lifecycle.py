@@ -27,8 +27,7 @@ def linked(registry: DataFrame, other: DataFrame, similarity=text.name_similarit
     """The master of two listings (linkage.RECORD and more): each de-duplicated by phone within its list, then linked one-to-one."""
     a, b = (dedupe.by_phone(df, "phone", [F.col("idx")], ["list_id"]) for df in (registry, other))
     x, y = linkage.prepared(a), linkage.prepared(b)
-    scored = linkage.scored(linkage.candidates(x, y), x, y, similarity=similarity)
-    return linkage.master(a, b, linkage.outcome(x, y, linkage.assigned(scored)), include_b_only=False)
+    return linkage.master(a, b, linkage.outcome(x, y, linkage.assigned(linkage.linked(x, y, similarity=similarity))), include_b_only=False)
 
 
 def with_angi(master: DataFrame, angi: DataFrame, similarity=text.name_similarity) -> DataFrame:
