@@ -136,9 +136,10 @@ def _swept(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     Page 2 follows page 1 everywhere, but page 1 of every fifth anchor holds no usable listing."""
     k = F.col("place")
     places = s.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").cast("long").alias("place"), F.concat(F.lit("Place "), F.col("c_custkey").cast("string")).alias("query"))
-    lat, lon = 25 + (k % 20), -80 - (k / 1000)
-    at = F.when(k % 4 > 0, F.concat(lat.cast("string"), F.lit(","), F.round(lon, 3).cast("string")))
-    around = geo.coverage_points(places.where("place % 4 > 0").withColumns({"lat": lat.cast("double"), "lon": F.round(lon, 3)}), 25.0, 5).where("point > 0 and (place + point) % 3 > 0")
+    # No two places share a point, however many there are: an answer is captured once for a query, and longitudes that go on would come round.
+    lat, lon = F.round(25 + (k % 20) + F.floor(k / 100_000) / 1000, 3), F.round(-80 - (k % 100_000) / 1000, 3)
+    at = F.when(k % 4 > 0, F.concat(lat.cast("string"), F.lit(","), lon.cast("string")))
+    around = geo.coverage_points(places.where("place % 4 > 0").withColumns({"lat": lat, "lon": lon}), 25.0, 5).where("point > 0 and (place + point) % 3 > 0")
     asked = places.select("place", F.lit(0).alias("point"), "query").unionByName(around.select("place", "point", coverage.anchor_text(F.col("point_lat"), F.col("point_lon")).alias("query")))
     asked = asked.withColumn("asked_page", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))).withColumn("usable", ((k + F.col("point")) % 5 > 0) | (F.col("asked_page") > 1))
     name = F.concat_ws("-", k.cast("string"), F.col("point").cast("string"), F.col("asked_page").cast("string"))

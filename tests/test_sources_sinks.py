@@ -272,3 +272,15 @@ def test_runs(spark, tmp_path):
     publish.write_datasets(sets, str(tmp_path / "sets"))
     publish.write_datasets(sets.where("metro = 'n'").withColumn("k", F.lit(9)), str(tmp_path / "sets"))
     assert sorted(r.k for r in spark.read.json(str(tmp_path / "sets")).collect()) == [1, 9]
+
+
+def test_places_beyond_one_turn_of_longitudes_keep_their_own_answers(spark, tmp_path):
+    """Places 360,000 apart had the same points around them, so each got the answers of both."""
+    from leadmill.operators import coverage
+    from leadmill.plans import captured
+
+    keys = [k + turn for k in (1, 2, 3, 7) for turn in (0, 100_000, 360_000, 720_000)]
+    spark.createDataFrame([(k,) for k in keys], "c_custkey long").write.parquet(str(tmp_path / "customer.parquet"))
+    got = {(x.place, x.point, x.asked_page, x.listing_id) for x in coverage.ring_sweep(*captured._swept(spark, str(tmp_path)), 25.0, 5, 2).collect()}
+    want = {(k, p, page, f"{k}-{p}-{page}") for k in keys for p in range(5) for page in (1, 2) if (p == 0 or (k + p) % 3) and (k + p) % 5}
+    assert got == want
