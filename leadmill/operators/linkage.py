@@ -48,32 +48,32 @@ def candidates(a: DataFrame, b: DataFrame, miles: float = BLOCK_MILES) -> DataFr
     cells with their neighbours and then measures.  A join leaves out what those before it find, so each pair comes once
     and brings its records along: nothing is made distinct or joined back.
     """
-    return _union(_records(_met(a, b, "phone"), a, b), *(_records(f, a, b) for f in _elsewhere(a, b, miles)))
+    return _union(_records(met(a, b, "phone"), a, b), *(_records(f, a, b) for f in elsewhere(a, b, miles)))
 
 
 def _union(*found: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, found)
 
 
-def _records(met: DataFrame, a: DataFrame, b: DataFrame, *more: Column) -> DataFrame:
+def _records(found: DataFrame, a: DataFrame, b: DataFrame, *more: Column) -> DataFrame:
     record = lambda side, df: F.struct(*[F.col(f"{side}.`{c}`") for c in df.columns]).alias(side)
-    return met.select("a.list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"), record("a", a), record("b", b), *more)
+    return found.select("a.list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"), record("a", a), record("b", b), *more)
 
 
 def _same(key: str) -> Column:
     return F.coalesce(F.col(f"a.{key}") == F.col(f"b.{key}"), F.lit(False))
 
 
-def _met(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
+def met(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
     """Records of a list (aliases a and b) that are equal in all of keys."""
     keys = ("list_id", *keys)
     left = _dealt(a.where(" and ".join(f"{k} is not null" for k in keys)), *keys)
     return left.alias("a").join(b.alias("b"), reduce(Column.__and__, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]))
 
 
-def _elsewhere(a: DataFrame, b: DataFrame, miles: float, *keys: str) -> list[DataFrame]:
+def elsewhere(a: DataFrame, b: DataFrame, miles: float, *keys: str) -> list[DataFrame]:
     """Records without a common phone: of equal zip, and of other zips at most `miles` apart; keys must be equal as well."""
-    return [_met(a, b, "zip", *keys).where(~_same("phone")), _near(a, b, miles, *keys).where(~_same("phone") & ~_same("zip"))]
+    return [met(a, b, "zip", *keys).where(~_same("phone")), _near(a, b, miles, *keys).where(~_same("phone") & ~_same("zip"))]
 
 
 def near(a: DataFrame, b: DataFrame, miles: float) -> DataFrame:
@@ -93,14 +93,26 @@ def _close(miles: float) -> Column:
     return (chord <= high) & ((chord < low) | (geo.distance_miles(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")) <= miles))
 
 
-def _near(a: DataFrame, b: DataFrame, miles: float, *keys: str) -> DataFrame:
+def _cells(a: DataFrame, b: DataFrame, miles: float) -> tuple[DataFrame, DataFrame]:
+    """a with its grid cell (cy, cx), and b with a row for every cell around."""
     lat, lon = F.col("lat"), F.col("lon")
     cell = lambda df: df.select("*", "__cell.cy", "__cell.cx").drop("__cell")
-    placed = cell(_there(a, "a").withColumn("__cell", geo.cell(lat, lon, miles))).withColumn("__part", F.pmod(F.xxhash64("idx"), F.lit(PARTS)).cast("int"))
-    around = cell(_there(b, "b").withColumn("__cell", F.explode(geo.cells_around(lat, lon, miles)))).withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    return cell(_there(a, "a").withColumn("__cell", geo.cell(lat, lon, miles))), cell(_there(b, "b").withColumn("__cell", F.explode(geo.cells_around(lat, lon, miles))))
+
+
+def _near(a: DataFrame, b: DataFrame, miles: float, *keys: str) -> DataFrame:
+    placed, around = _cells(a, b, miles)
+    placed, around = placed.withColumn("__part", F.pmod(F.xxhash64("idx"), F.lit(PARTS)).cast("int")), around.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
     on = ("list_id", "cy", "cx", "__part", *keys)
-    met = _dealt(placed, *on).alias("a").join(around.alias("b"), reduce(Column.__and__, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in on]))
-    return met.where(_close(miles))
+    met_ = _dealt(placed, *on).alias("a").join(around.alias("b"), reduce(Column.__and__, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in on]))
+    return met_.where(_close(miles))
+
+
+def beside(a: DataFrame, b: DataFrame, miles: float) -> DataFrame:
+    """The records of a with one of b in their list at most `miles` apart."""
+    placed, around = _cells(a, b, miles)
+    on = reduce(Column.__and__, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ("list_id", "cy", "cx")])
+    return _dealt(placed, "list_id", "idx").alias("a").join(around.alias("b"), on & _close(miles), "left_semi").select(*a.columns)
 
 
 def names(a: DataFrame, b: DataFrame, similarity=text.name_similarity, most: int | None = None) -> DataFrame | None:
@@ -131,7 +143,7 @@ def similarities(a: DataFrame, b: DataFrame, similarity=text.name_similarity, mi
         return signals(candidates(a, b, miles), a, b, similarity).select("list_id", "a_idx", "b_idx", "sig_name")
     hashed = lambda df: df.withColumn("__name", F.xxhash64(F.array_join("words", " "))).drop("name", "words")
     x, y = hashed(a), hashed(b)
-    pairs = _union(*(f.select("a.list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"), pair_key(F.col("a.__name"), F.col("b.__name")).alias("__pair")) for f in (_met(x, y, "phone"), *_elsewhere(x, y, miles))))
+    pairs = _union(*(f.select("a.list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"), pair_key(F.col("a.__name"), F.col("b.__name")).alias("__pair")) for f in (met(x, y, "phone"), *elsewhere(x, y, miles))))
     known = scores.select(pair_key(F.xxhash64("name_a"), F.xxhash64("name_b")).alias("__pair"), "sig_name")
     return pairs.join(F.broadcast(known), "__pair").select("list_id", "a_idx", "b_idx", "sig_name")
 
@@ -155,8 +167,8 @@ def linked(a: DataFrame, b: DataFrame, least: float = REVIEW, similarity=text.na
         return scored(candidates(a, b, miles), a, b, least, similarity)
     wide, other = named(a, b, scores, WEAK_NAME)
     own = lambda side: F.array_join(f"{side}.words", " ")
-    phone = _records(_met(a, b, "phone"), a, b).join(F.broadcast(scores), (own("a") == F.col("name_a")) & (own("b") == F.col("name_b"))).drop("name_a", "name_b")
-    pairs = _union(phone, *(_records(f, a, b, F.col("a.sig_name")) for f in _elsewhere(wide, other, miles, "name_b")))
+    phone = _records(met(a, b, "phone"), a, b).join(F.broadcast(scores), (own("a") == F.col("name_a")) & (own("b") == F.col("name_b"))).drop("name_a", "name_b")
+    pairs = _union(phone, *(_records(f, a, b, F.col("a.sig_name")) for f in elsewhere(wide, other, miles, "name_b")))
     return _judged(signals(pairs, a, b, lambda x, y, least: F.col("p.sig_name")), least)
 
 

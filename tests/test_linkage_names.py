@@ -39,3 +39,14 @@ def test_a_place_full_of_other_names_makes_no_pairs(spark):
     assert linkage.candidates(a, b).count() == 160_000
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("name_b") > 4 and "CartesianProduct" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_picks_of_blocks_are_those_of_all_candidates(spark):
+    from leadmill.operators import enrich
+    from pyspark.sql import functions as F
+
+    a, b = sides(spark)
+    b = b.withColumn("reviews", F.when(F.col("idx") % 3 > 0, F.col("idx") % 3))
+    c = linkage.candidates(a, b).select(F.col("a_idx").alias("query_id"), F.col("b_idx").alias("cand_idx"), F.col("b.name").alias("name"), F.col("b.phone").alias("phone"), F.col("b.reviews").alias("reviews"))
+    want = rows_of(enrich.picked(a.select(F.col("idx").alias("query_id"), "name", "phone"), c, text.token_similarity))
+    assert len(want) > 30 and rows_of(enrich.picked_of_blocks(a, b, text.token_similarity)) == want
