@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
-from ..session import stored
+from ..session import spread, stored
 from . import graph
 
 RECORD = ("list_id", "idx", "name", "phone", "postal", "city", "state", "lat", "lon")
@@ -36,11 +36,6 @@ def prepared(df: DataFrame) -> DataFrame:
     )
 
 
-def _dealt(df: DataFrame, *keys: str | Column) -> DataFrame:
-    """df dealt by keys over all shuffle partitions: a blocking join makes many rows of few bytes, so the bytes read say nothing about its tasks."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-
-
 def candidates(a: DataFrame, b: DataFrame, miles: float = BLOCK_MILES) -> DataFrame:
     """(list_id, a_idx, b_idx, a, b) with equal phone, equal zip, or at most `miles` apart; a and b are the records as structs.
 
@@ -67,7 +62,7 @@ def _same(key: str) -> Column:
 def met(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
     """Records of a list (aliases a and b) that are equal in all of keys."""
     keys = ("list_id", *keys)
-    left = _dealt(a.where(" and ".join(f"{k} is not null" for k in keys)), *keys)
+    left = spread(a.where(" and ".join(f"{k} is not null" for k in keys)), *keys)
     return left.alias("a").join(b.alias("b"), reduce(Column.__and__, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]))
 
 
@@ -104,7 +99,7 @@ def _near(a: DataFrame, b: DataFrame, miles: float, *keys: str) -> DataFrame:
     placed, around = _cells(a, b, miles)
     placed, around = placed.withColumn("__part", F.pmod(F.xxhash64("idx"), F.lit(PARTS)).cast("int")), around.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
     on = ("list_id", "cy", "cx", "__part", *keys)
-    met_ = _dealt(placed, *on).alias("a").join(around.alias("b"), reduce(Column.__and__, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in on]))
+    met_ = spread(placed, *on).alias("a").join(around.alias("b"), reduce(Column.__and__, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in on]))
     return met_.where(_close(miles))
 
 
@@ -112,7 +107,7 @@ def beside(a: DataFrame, b: DataFrame, miles: float) -> DataFrame:
     """The records of a with one of b in their list at most `miles` apart."""
     placed, around = _cells(a, b, miles)
     on = reduce(Column.__and__, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ("list_id", "cy", "cx")])
-    return _dealt(placed, "list_id", "idx").alias("a").join(around.alias("b"), on & _close(miles), "left_semi").select(*a.columns)
+    return spread(placed, "list_id", "idx").alias("a").join(around.alias("b"), on & _close(miles), "left_semi").select(*a.columns)
 
 
 def names(a: DataFrame, b: DataFrame, similarity=text.name_similarity, most: int | None = None) -> DataFrame | None:

@@ -30,6 +30,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def spread(df: DataFrame, *keys) -> DataFrame:
+    """df dealt by keys over all shuffle partitions: where few bytes make much work, the bytes read say nothing about its tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def kept(df: DataFrame) -> DataFrame:
     """df computed once and written to the shared folder: loops start anew from it, and lost executors cost nothing."""
     shared_dir(df.sparkSession)

@@ -284,3 +284,11 @@ def test_places_beyond_one_turn_of_longitudes_keep_their_own_answers(spark, tmp_
     got = {(x.place, x.point, x.asked_page, x.listing_id) for x in coverage.ring_sweep(*captured._swept(spark, str(tmp_path)), 25.0, 5, 2).collect()}
     want = {(k, p, page, f"{k}-{p}-{page}") for k in keys for p in range(5) for page in (1, 2) if (p == 0 or (k + p) % 3) and (k + p) % 5}
     assert got == want
+
+
+def test_profile_pages_of_one_file_are_dealt_over_tasks(spark):
+    from leadmill.sources import profiles
+
+    pages = spark.range(40).selectExpr("id", "concat('<p>', id, '</p>') as html").coalesce(1)
+    got = profiles.pros_details(pages)
+    assert got.count() == 40 and got.select(F.spark_partition_id().alias("p")).distinct().count() > 1
