@@ -20,6 +20,8 @@ RECORD = ("list_id", "idx", "name", "phone", "postal", "city", "state", "lat", "
 WEIGHTS = {"phone": 0.40, "name": 0.34, "geo": 0.16, "zip": 0.06, "city": 0.04}
 CONFIDENT, REVIEW = 0.80, 0.60
 NEAR_MILES, BLOCK_MILES = 2.0, 3.0
+#: What zips that differ count where city and state are equal.
+SAME_PLACE = 0.4
 WEAK_NAME, PHONE_NAME, PHONE_FLOOR = 0.50, 0.55, 0.90
 #: Parts of a grid cell's records that meet in tasks of their own.
 PARTS = 8
@@ -28,8 +30,8 @@ NAME_PAIRS = 1 << 18
 
 
 def prepared(df: DataFrame) -> DataFrame:
-    """RECORD with the keys that blocking and scoring use."""
-    return df.select(
+    """RECORD with the keys that blocking and scoring use; dealt first, as a listing of few bytes would be one task's work."""
+    return spread(df.select(*RECORD), "list_id", "idx").select(
         "list_id", "idx", "name", "lat", "lon",
         text.phone_key(F.col("phone")).alias("phone"), text.zip5(F.col("postal")).alias("zip"),
         text.city_key(F.col("city")).alias("city"), F.upper(F.trim("state")).alias("state"), text.name_words(F.col("name")).alias("words"),
@@ -154,17 +156,49 @@ def named(a: DataFrame, b: DataFrame, scores: DataFrame, least: float) -> tuple[
 
 
 def linked(a: DataFrame, b: DataFrame, least: float = REVIEW, similarity=text.name_similarity, miles: float = BLOCK_MILES) -> DataFrame:
-    """What `scored` gives of all `candidates`.  Without a common phone a pair needs a name score of WEAK_NAME, so those blocks are joined on
-    the names that reach it as well; names that stand on many records are compared once."""
+    """What `scored` gives of all `candidates`.  Without a common phone a pair needs a name score of WEAK_NAME, and more where both have a
+    phone (`least_name`), so those blocks are joined on the names that reach it as well; names that stand on many records are compared once."""
     a, b = stored(a, "a")[0], stored(b, "b")[0]
     scores = names(a, b, similarity)
     if scores is None:
         return scored(candidates(a, b, miles), a, b, least, similarity)
-    wide, other = named(a, b, scores, WEAK_NAME)
-    own = lambda side: F.array_join(f"{side}.words", " ")
-    phone = _records(met(a, b, "phone"), a, b).join(F.broadcast(scores), (own("a") == F.col("name_a")) & (own("b") == F.col("name_b"))).drop("name_a", "name_b")
-    pairs = _union(phone, *(_records(f, a, b, F.col("a.sig_name")) for f in elsewhere(wide, other, miles, "name_b")))
-    return _judged(signals(pairs, a, b, lambda x, y, least: F.col("p.sig_name")), least)
+    x, y = (df.select("list_id", "idx", "lat", "lon", "phone", "zip", "city", "state", F.array_join("words", " ").alias("__name")) for df in (a, b))
+    by_phone = (F.col("a.__name") == F.col("name_a")) & (F.col("b.__name") == F.col("name_b"))
+    found = [_records(met(x, y, "phone").join(F.broadcast(scores), by_phone), x, y, F.col("sig_name"))]
+    for block, zip_ in ((lambda u, v: met(u, v, "zip", "__kind", "__key"), True), (lambda u, v: _near(u, v, miles, "__kind", "__key").where(~_same("zip")), False)):
+        least_names = [max(WEAK_NAME, least_name(least, phone, zip_)) for phone in (False, True)]
+        found.append(_records(block(*_apart(x, y, scores, *least_names)).where(~_same("phone")), x, y, F.coalesce("a.__score", "b.__score").alias("sig_name")))
+    return _judged(signals(_union(*found), x, y, lambda x, y, least: F.col("p.sig_name")), least)
+
+
+def least_name(least: float, phone: bool, zip_: bool) -> float:
+    """The name score below which no pair without a common phone has a confidence of `least`: phone says whether both have one, zip_ whether
+    their zips are equal.  Signals that are there and full only raise the mean; zips that differ count SAME_PLACE at most, or are absent."""
+    w = WEIGHTS
+    rest, weight = w["geo"] + w["city"], w["name"] + w["geo"] + w["city"] + (w["phone"] if phone else 0)
+    zips = [(w["zip"], w["zip"])] if zip_ else [(0, 0), (w["zip"] * SAME_PLACE, w["zip"])]
+    # Confidence is rounded to 4 decimals: what is within the last one may reach the limit.
+    return min(((least - 0.0001) * (weight + there) - rest - got) / w["name"] for got, there in zips)
+
+
+def _apart(a: DataFrame, b: DataFrame, scores: DataFrame, open_: float, other: float) -> tuple[DataFrame, DataFrame]:
+    """a and b with rows for every name that they may be met under without a common phone: (__kind, __key, __score).
+
+    Kind 0: a has no phone, and b's names that score open_ or more; 1: only b has none, and a's names likewise; 2: both have
+    one, and b's names that score `other` or more.  The names are listed on the side that has fewer records, those without a phone.
+    """
+    own = lambda df, kind: df.withColumns({"__kind": F.lit(kind), "__key": F.col("__name"), "__score": F.lit(None).cast("double")})
+    has, none = "phone is not null", "phone is null"
+
+    def each(df, kind, mine, theirs, least):
+        close = scores.where(F.col("sig_name") >= least).select(F.col(mine).alias("__name"), F.lit(kind).alias("__kind"), F.col(theirs).alias("__key"), F.col("sig_name").alias("__score"))
+        return df.join(F.broadcast(close), "__name").select(*df.columns, "__kind", "__key", "__score")
+
+    left, right = [each(a.where(none), 0, "name_a", "name_b", open_), own(a.where(has), 1)], [own(b, 0), each(b.where(none), 1, "name_b", "name_a", open_)]
+    if other <= 1:
+        left.append(each(a.where(has), 2, "name_a", "name_b", other))
+        right.append(own(b.where(has), 2))
+    return _union(*left), _union(*right)
 
 
 def signals(pairs: DataFrame, a: DataFrame, b: DataFrame, similarity=text.name_similarity, worth: bool = False) -> DataFrame:
@@ -192,7 +226,7 @@ def signals(pairs: DataFrame, a: DataFrame, b: DataFrame, similarity=text.name_s
         F.when(c("a.phone").isNotNull() & c("b.phone").isNotNull(), one(c("a.phone") == c("b.phone"))).alias("sig_phone"),
         similarity(c("a.words"), c("b.words"), least=asked).alias("sig_name"),
         F.greatest(F.when(miles.isNotNull(), F.lit(0.0)), 1 - miles / NEAR_MILES).alias("sig_geo"),
-        F.when(c("a.zip").isNotNull() & c("b.zip").isNotNull(), F.when(c("a.zip") == c("b.zip"), 1.0).when(same_place, 0.4).otherwise(0.0)).alias("sig_zip"),
+        F.when(c("a.zip").isNotNull() & c("b.zip").isNotNull(), F.when(c("a.zip") == c("b.zip"), 1.0).when(same_place, SAME_PLACE).otherwise(0.0)).alias("sig_zip"),
         F.when((c("a.city") != "") & (c("b.city") != ""), one(c("a.city") == c("b.city"))).alias("sig_city"),
     ))))
 
