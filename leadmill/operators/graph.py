@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -65,10 +67,10 @@ def assigned(edges: DataFrame, within: str, left: str, right: str, order: list[t
     """One-to-one assignment within each value of `within`: what a sequential pass over the edges in `order` takes, which skips
     edges with an end that it has taken already.  order: (column, "ascending" or "descending"), unique among the edges of a list.
 
-    What is not connected does not compete, so the pass is cut where the edges are.  Lists of at most `together` edges are dealt whole to tasks
-    of about that size.  Larger ones are cut into connected components, which are dealt the same way.  A component that is larger still is
-    cut into bands of `together` edges in order: each is one task's pass over the edges that the bands before have left open.  So the
-    rounds are those of the components, and the bands of the largest one; chains of improving edges, however long, add none.
+    Lists of at most `together` edges are dealt whole to tasks of about that size.  Of a larger one the first `together` edges in order are one
+    task's pass, and all edges whose ends it took go; so most of a dense list goes in a few rounds (`_prefixes`).  Where a round leaves
+    more than three quarters, what is left is cut where it is not connected, as such edges do not compete: components are dealt like lists,
+    and those that are larger still have their first edges passed and removed until none are left.  Chains of improving edges, however long, add no rounds.
     """
     together = together or TOGETHER
     columns = edges.columns
@@ -83,36 +85,45 @@ def assigned(edges: DataFrame, within: str, left: str, right: str, order: list[t
     if most <= together:
         return kept(_greedy(e.withColumn("__g", bucket(within, total)), ["__g"], ends, order).select(*columns))
     large = kept(sizes.where(F.col("__k") > together).select(within))
-    small = e.join(large, within, "left_anti").withColumn("__g", bucket(within, total))
-    rest = kept(e.join(large, within, "left_semi"))
-    roots = kept(components(rest, "__u", "__v"))
-    rest = kept(rest.join(roots.withColumnsRenamed({"node": "__u", "root": "__c"}), "__u"))
-    counts = kept(rest.groupBy("__c").agg(F.count("*").alias("__k")).withColumn("__huge", F.col("__k") > together).drop("__k"))
-    rest = rest.join(counts, "__c")
-    found = [_greedy(small, ["__g"], ends, order).select(*columns), _greedy(rest.where("not __huge").withColumn("__g", bucket("__c", total)), ["__g"], ends, order).select(*columns)]
-    if counts.where("__huge").limit(1).count():
-        found.append(_banded(rest.where("__huge"), ends, order, together).select(*columns))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return kept(out)
-
-
-def _banded(rest: DataFrame, ends: tuple[list[str], list[str]], order: list[tuple[str, str]], together: int) -> DataFrame:
-    """The pass over components (__c) of more than `together` edges, band by band."""
-    by = ["__c", *[F.col(c).desc() if how == "descending" else F.col(c).asc() for c, how in order]]
-    # One sort in ranges: an edge's number holds its range and its place there.
-    rows = kept(rest.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__n", F.monotonically_increasing_id())).withColumn("__range", F.shiftright("__n", 33))
-    ranges = rows.groupBy("__c", "__range").agg(F.min("__n").alias("__low"), F.count("*").alias("__k"))
-    before = F.coalesce(F.sum("__k").over(W.partitionBy("__c").orderBy("__range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    ranges = kept(ranges.withColumn("__before", before).drop("__k"))
-    rows = kept(rows.join(ranges, ["__c", "__range"]).withColumn("__band", F.floor((F.col("__before") + F.col("__n") - F.col("__low")) / together)))
-    found = None
-    for k in range(rows.agg(F.max("__band")).first()[0] + 1):
-        band = rows.where(F.col("__band") == k)
-        if found is not None:
-            for side in ends:
-                band = band.join(found.select(*side), side, "left_anti")
-        now = kept(_greedy(band, ["__c"], ends, order))
-        found = now if found is None else found.unionByName(now)
-    return found
+    small = e.join(F.broadcast(large), within, "left_anti").withColumn("__g", bucket(within, total))
+    found, rest = _prefixes(e.join(F.broadcast(large), within, "left_semi"), within, ends, order, together)
+    found.append(_greedy(small, ["__g"], ends, order))
+    if rest is not None:
+        roots = kept(components(rest, "__u", "__v"))
+        rest = stored(rest.join(roots.withColumnsRenamed({"node": "__u", "root": "__c"}), "__u"), "parts")[0]
+        counts = kept(rest.groupBy("__c").agg(F.count("*").alias("__k")).withColumn("__huge", F.col("__k") > together).drop("__k"))
+        rest = rest.join(counts, "__c")
+        found.append(_greedy(rest.where("not __huge").withColumn("__g", bucket("__c", total)), ["__g"], ends, order))
+        if counts.where("__huge").limit(1).count():
+            found += _prefixes(rest.where("__huge"), "__c", ends, order, together, whole=True)[0]
+    return kept(reduce(DataFrame.union, [f.select(*columns) for f in found]))
+
+
+def _prefixes(edges: DataFrame, key: str, ends: tuple[list[str], list[str]], order: list[tuple[str, str]], together: int, whole: bool = False) -> tuple[list[DataFrame], DataFrame | None]:
+    """The pass over all edges of every key: the first `together` of them in one task, then without those that have an end it took, and again.
+
+    Returns what was taken, and what is left where a round leaves more than three quarters (whole: never).
+    """
+    spark, columns = edges.sparkSession, edges.columns
+    by = [key, *[F.col(c).desc() if how == "descending" else F.col(c).asc() for c, how in order]]
+    # One sort in ranges: an edge's number holds its range and its place there, and a cell is some edges in a row.
+    numbered = edges.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__cell", F.floor(F.monotonically_increasing_id() / F.lit(max(1, together >> 6))))
+    rows, path = stored(numbered, "ordered")
+    n, found = rows.count(), []
+    while n:
+        cells = rows.groupBy(key, "__cell").agg(F.count("*").alias("__k"))
+        cells = cells.withColumn("__upto", F.sum("__k").over(W.partitionBy(key).orderBy("__cell")))
+        last = kept(cells.where((F.col("__upto") <= together) | (F.col("__upto") == F.col("__k"))).groupBy(key).agg(F.max("__cell").alias("__last")))
+        cut = rows.join(F.broadcast(last), key)
+        now = kept(_greedy(cut.where("__cell <= __last").select(*columns), [key], ends, order))
+        found.append(now)
+        rest = cut.where("__cell > __last").drop("__last")
+        for side in ends:
+            rest = rest.join(now.select(*side), side, "left_anti")
+        before, (rows, after) = n, stored(rest, "ordered")
+        dropped(spark, path)
+        path, n = after, rows.count()
+        if n and not whole and 4 * n > 3 * before:
+            return found, rows.select(*columns)
+    dropped(spark, path)
+    return found, None

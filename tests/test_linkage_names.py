@@ -50,3 +50,40 @@ def test_picks_of_blocks_are_those_of_all_candidates(spark):
     c = linkage.candidates(a, b).select(F.col("a_idx").alias("query_id"), F.col("b_idx").alias("cand_idx"), F.col("b.name").alias("name"), F.col("b.phone").alias("phone"), F.col("b.reviews").alias("reviews"))
     want = rows_of(enrich.picked(a.select(F.col("idx").alias("query_id"), "name", "phone"), c, text.token_similarity))
     assert len(want) > 30 and rows_of(enrich.picked_of_blocks(a, b, text.token_similarity)) == want
+
+
+def test_other_phones_make_pairs_only_where_the_rest_can_reach_the_limit(spark, monkeypatch):
+    """Two hundred records of one name at one place, other phones and zips on either side: no pair can reach the limit, and none is made."""
+    rows = lambda phone, zip_: linkage.prepared(spark.createDataFrame([(0, i, "Oak Roofing", f"{phone}{i:04}", zip_, "Elgin", "IL", 42.0, -88.0) for i in range(200)], SIDE))
+    a, b = rows("212555", "60120"), rows("312555", "60121")
+    made = []
+    monkeypatch.setattr(linkage, "_judged", lambda s, least, f=linkage._judged: made.append(s.count()) or f(s, least))
+    assert linkage.linked(a, b).count() == 0 and made == [0]
+    # At a lower limit they all reach it.
+    assert linkage.linked(a, b, least=0.5).count() == 40_000
+
+
+def test_no_score_below_the_least_name_reaches_the_limit():
+    r, w = random.Random(7), linkage.WEIGHTS
+    for _ in range(20_000):
+        phone, zip_, least = r.random() < 0.5, r.random() < 0.5, r.choice([0.5, 0.6, 0.8])
+        got = {"name": r.random(), "geo": r.choice([None, r.random(), 1.0]), "city": r.choice([None, 0.0, 1.0]), "zip": 1.0 if zip_ else r.choice([None, 0.0, linkage.SAME_PLACE]), "phone": 0.0 if phone else None}
+        there = {k: v for k, v in got.items() if v is not None}
+        mean = sum(w[k] * v for k, v in there.items()) / sum(w[k] for k in there)
+        assert round(mean, 4) < least or got["name"] >= linkage.least_name(least, phone, zip_)
+
+
+def test_a_dense_list_goes_in_few_rounds(spark, monkeypatch):
+    """Every pair of 40 and 40 records, 50 edges a pass: bands alone would be 32 rounds."""
+    from leadmill.operators import graph
+
+    r = random.Random(3)
+    edges = sorted(((1, i, j, r.randrange(30) / 100) for i in range(40) for j in range(40)), key=lambda e: (-e[3], e[1], e[2]))
+    want, used = set(), (set(), set())
+    for e in edges:
+        if e[1] not in used[0] and e[2] not in used[1]:
+            used[0].add(e[1]), used[1].add(e[2]), want.add(e)
+    passes = []
+    monkeypatch.setattr(graph, "_greedy", lambda *x, f=graph._greedy: passes.append(1) or f(*x))
+    found = linkage.assigned(spark.createDataFrame(edges, "list_id long, a_idx long, b_idx long, confidence double"), together=50)
+    assert {tuple(x) for x in found.collect()} == want and len(passes) < 20
