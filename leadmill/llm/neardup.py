@@ -3,7 +3,8 @@
 Two texts are near-duplicates where the sets of their five-word shingles have a Jaccard similarity of 0.8 or more; one
 document of every component stays.  Words are those of `simhash.fingerprint`; fewer words than a shingle are one shingle.
 
-Keys: the 32 ring masks of the SimHash fingerprint meet every pair within 3 bits.  Pairs at 0.8 often differ in more
+Keys: `simhash.links` finds the fingerprints within MOST bits (ring masks as keys, chain check, Hamming check), and texts of one
+component of theirs share a key, so every pair within MOST bits does.  Pairs at 0.8 often differ in more
 bits than masks can meet, so BANDS bands of ROWS MinHash values are keys as well: a pair at 0.8 shares none of
 them with a chance of (1 - 0.8 ** ROWS) ** BANDS, below 1e-4, and closer pairs with less.
 
@@ -29,11 +30,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import components, written
 from .licenses import multipliers, shingles
 from .simhash import BLOCK, fingerprint, ring_masks
 
 WORDS, BANDS, ROWS, SKETCH = 5, 25, 5, 75
+#: Bits in which the fingerprints of a SimHash link differ at most.
+MOST = 3
 #: Texts, and shingles, in a block whose sets are compared; a pair of blocks holds about twice as many.
 POOL_TEXTS, POOL_SHINGLES = 512, 1 << 18
 #: Shingles that are hashed for the sketch at a time.
@@ -214,10 +218,17 @@ def joined(members: DataFrame, own: DataFrame) -> DataFrame:
     return pools.mapInArrow(each, "u long, v long").distinct()
 
 
+def groups(heads: DataFrame) -> DataFrame:
+    """(__t, key): a key for each component of fingerprints that SimHash links of at most MOST bits join."""
+    own = written(heads.select("fp").distinct(), "fingerprints")
+    roots = components(simhash.links(own.select("fp", F.col("fp").alias("root")), MOST, ring_masks()))
+    roots = written(roots.withColumnRenamed("node", "fp"), "groups")
+    return heads.select("__t", "fp").join(roots, "fp", "left").select("__t", F.xxhash64(F.lit("simhash"), F.coalesce("root", "fp")).alias("key"))
+
+
 def links(heads: DataFrame, docs: DataFrame) -> DataFrame:
     """(u, v): confirmed links of text hashes that keep every component whole."""
-    ring = F.transform(F.arrays_zip(F.sequence(F.lit(1), F.lit(len(ring_masks()))).alias("k"), F.lit(ring_masks()).alias("m")), lambda x: F.xxhash64(x["k"], F.col("fp").bitwiseAND(x["m"])))
-    keys = heads.select("__t", F.explode(F.concat("bands", ring)).alias("key"))
+    keys = heads.select("__t", F.explode("bands").alias("key")).unionByName(groups(heads))
     met = written(keys.groupBy("key").agg(F.count("*").alias("n_key"), F.min("__t").alias("u")).where("n_key > 1"), "met")
     members = written(keys.join(met, "key"), "members")
     star = members.select("u", F.col("__t").alias("v")).where("u <> v").distinct()

@@ -101,3 +101,17 @@ def test_columns_of_any_name_stay(spark):
     docs = spark.createDataFrame([(1, "a b c", "x", 5, True), (2, "a b c", "y", 6, False)], "doc_id long, text string, __t string, row int, __unnamed boolean")
     got = neardup.first_of_each(docs)
     assert got.columns == docs.columns and [tuple(x) for x in got.collect()] == [(1, "a b c", "x", 5, True)]
+
+
+def test_simhash_proposes_what_its_chain_and_hamming_checks_leave(spark, monkeypatch):
+    """Fingerprints that agree under a ring mask but differ in more than three bits are no pair; those within three bits are, and without a common band."""
+    far = 0b1111 << 40
+    assert any(far & m == 0 for m in neardup.ring_masks())
+    made = []
+    monkeypatch.setattr(neardup, "confirmed", lambda pairs, heads, docs: made.append({(x.u, x.v) for x in pairs.collect()}) or pairs)
+    docs = neardup.keyed(spark.createDataFrame([(0, "")], "doc_id long, text string"))
+    for fps, want in (((0, far), set()), ((0, 0b111 << 40), {(1, 2)}), ((0, 0b111 << 40, 0b111111 << 40), {(1, 2), (1, 3)})):
+        rows = [(i, False, i, fp, 1, bytearray(125), [100 + i]) for i, fp in enumerate(fps, 1)]
+        heads = spark.createDataFrame(rows, "__t long, __unnamed boolean, __d long, fp long, n long, sketch binary, bands array<long>")
+        neardup.links(heads, docs)
+        assert made.pop() == want
