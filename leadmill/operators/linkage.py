@@ -27,6 +27,8 @@ WEAK_NAME, PHONE_NAME, PHONE_FLOOR = 0.50, 0.55, 0.90
 PARTS = 8
 #: Pairs of different names that are scored beforehand and sent to all tasks.
 NAME_PAIRS = 1 << 18
+#: Limits of confidence down to which `matches` goes in turn, and pairs of records of the two sides up to which it goes at once.
+BANDS, FEW = (PHONE_FLOOR, 0.75), 1 << 33
 
 
 def prepared(df: DataFrame) -> DataFrame:
@@ -159,18 +161,46 @@ def linked(a: DataFrame, b: DataFrame, least: float = REVIEW, similarity=text.na
     """What `scored` gives of all `candidates`.  Without a common phone a pair needs a name score of WEAK_NAME, and more where both have a
     phone (`least_name`), so those blocks are joined on the names that reach it as well; names that stand on many records are compared once."""
     a, b = stored(a, "a")[0], stored(b, "b")[0]
-    scores = names(a, b, similarity)
+    return _linked(a, b, names(a, b, similarity), least, similarity, miles)
+
+
+def _linked(a: DataFrame, b: DataFrame, scores: DataFrame | None, least: float, similarity, miles: float) -> DataFrame:
     if scores is None:
         return scored(candidates(a, b, miles), a, b, least, similarity)
     x, y = (df.select("list_id", "idx", "lat", "lon", "phone", "zip", "city", "state", F.array_join("words", " ").alias("__name")) for df in (a, b))
     by_phone = (F.col("a.__name") == F.col("name_a")) & (F.col("b.__name") == F.col("name_b"))
-    found = [_records(met(x, y, "phone").join(F.broadcast(scores), by_phone), x, y, F.col("sig_name"))]
+    found = [_records(met(x, y, "phone").join(F.broadcast(scores.where(F.col("sig_name") >= least_of_phone(least))), by_phone), x, y, F.col("sig_name"))]
     for block, zip_ in ((lambda u, v: met(u, v, "zip", "__kind", "__key"), True), (lambda u, v: _near(u, v, miles, "__kind", "__key").where(~_same("zip")), False)):
         least_names = [max(WEAK_NAME, least_name(least, phone, zip_)) for phone in (False, True)]
         found.append(_records(block(*_apart(x, y, scores, *least_names)).where(~_same("phone")), x, y, F.coalesce("a.__score", "b.__score").alias("sig_name")))
     return _judged(signals(_union(*found), x, y, lambda x, y, least: F.col("p.sig_name")), least)
 
 
+def matches(a: DataFrame, b: DataFrame, least: float = REVIEW, similarity=text.name_similarity, miles: float = BLOCK_MILES, bands: tuple[float, ...] = BANDS) -> DataFrame:
+    """(list_id, a_idx, b_idx, confidence): what `assigned` takes of all that `linked` gives.
+
+    The pass over edges by confidence is cut at the limits of `bands`: the edges of each are made only between records that those
+    above have left, so most of the pairs that a sure match settles are never made.  Sides of up to FEW pairs go at once.
+    """
+    a, b = stored(a, "a")[0], stored(b, "b")[0]
+    scores, found = names(a, b, similarity), []
+    several = scores is not None and a.count() * b.count() > FEW
+    limits = [*[x for x in bands if several and x > least], least]
+    for limit in limits:
+        taken = assigned(_linked(a, b, scores, limit, similarity, miles).select("list_id", "a_idx", "b_idx", "confidence"))
+        found.append(taken)
+        if limit > least:
+            a, b = (stored(df.join(taken, df["list_id"].eqNullSafe(taken["list_id"]) & df["idx"].eqNullSafe(taken[k]), "left_anti"), "open")[0] for df, k in ((a, "a_idx"), (b, "b_idx")))
+    return _union(*found)
+
+
+def least_of_phone(least: float) -> float:
+    """The name score below which no pair of a common phone has a confidence of `least`: all other signals are full, or the floor of similar names holds."""
+    rest = 1 - WEIGHTS["name"]
+    mean = (least - 0.0001 - rest) / WEIGHTS["name"]
+    return min(mean, PHONE_NAME) if least <= PHONE_FLOOR else mean
+
+
 def least_name(least: float, phone: bool, zip_: bool) -> float:
     """The name score below which no pair without a common phone has a confidence of `least`: phone says whether both have one, zip_ whether
     their zips are equal.  Signals that are there and full only raise the mean; zips that differ count SAME_PLACE at most, or are absent."""

@@ -87,3 +87,29 @@ def test_a_dense_list_goes_in_few_rounds(spark, monkeypatch):
     monkeypatch.setattr(graph, "_greedy", lambda *x, f=graph._greedy: passes.append(1) or f(*x))
     found = linkage.assigned(spark.createDataFrame(edges, "list_id long, a_idx long, b_idx long, confidence double"), together=50)
     assert {tuple(x) for x in found.collect()} == want and len(passes) < 20
+
+
+def test_matches_in_bands_are_those_of_one_pass(spark, monkeypatch):
+    """Ties, records with null and repeated keys, both scores: bands take what one pass takes, and the lower ones see fewer edges than there are."""
+    a, b = sides(spark)
+    a, b = (df.union(df.where("idx in (4, 5)")).union(df.where("idx = 7").selectExpr("list_id", "cast(null as bigint) as idx", *df.columns[2:])) for df in (a, b))
+    for similarity in (text.token_similarity, text.name_similarity):
+        edges = linkage.linked(a, b, similarity=similarity).select("list_id", "a_idx", "b_idx", "confidence")
+        want = rows_of(linkage.assigned(edges))
+        with monkeypatch.context() as m:
+            m.setattr(linkage, "FEW", 0)
+            made = []
+            m.setattr(linkage, "assigned", lambda e, f=linkage.assigned: made.append(e.count()) or f(e))
+            got = linkage.matches(a, b, similarity=similarity)
+        assert len(want) > 20 and rows_of(got) == want and len(made) == 3 and sum(made) < 0.7 * edges.count()
+
+
+def test_no_name_score_below_the_least_of_a_phone_reaches_the_limit():
+    r, w = random.Random(5), linkage.WEIGHTS
+    for _ in range(20_000):
+        least = r.choice([0.6, 0.75, 0.9, 0.95])
+        got = {"name": r.random(), "geo": r.choice([None, r.random(), 1.0]), "city": r.choice([None, 0.0, 1.0]), "zip": r.choice([None, 1.0, 0.0, linkage.SAME_PLACE]), "phone": 1.0}
+        there = {k: v for k, v in got.items() if v is not None}
+        mean = sum(w[k] * v for k, v in there.items()) / sum(w[k] for k in there)
+        mean = max(mean, linkage.PHONE_FLOOR) if got["name"] >= linkage.PHONE_NAME else mean
+        assert round(mean, 4) < least or got["name"] >= linkage.least_of_phone(least)
