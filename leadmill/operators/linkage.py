@@ -25,6 +25,8 @@ SAME_PLACE = 0.4
 WEAK_NAME, PHONE_NAME, PHONE_FLOOR = 0.50, 0.55, 0.90
 #: Parts of a grid cell's records that meet in tasks of their own.
 PARTS = 8
+#: Records of one point, about, that meet others as one row.
+TOGETHER = 1 << 10
 #: Pairs of different names that are scored beforehand and sent to all tasks.
 NAME_PAIRS = 1 << 18
 #: Limits of confidence down to which `matches` goes in turn, and pairs of records of the two sides up to which it goes at once.
@@ -77,7 +79,30 @@ def elsewhere(a: DataFrame, b: DataFrame, miles: float, *keys: str) -> list[Data
 
 def near(a: DataFrame, b: DataFrame, miles: float) -> DataFrame:
     """(list_id, a_idx, b_idx) of records at most `miles` apart, each pair once."""
-    return _near(a, b, miles).select("a.list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"))
+    return _met_near(a, b, miles, "idx").select("list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"))
+
+
+def pairs(a: DataFrame, b: DataFrame, miles: float, *carried: str) -> DataFrame:
+    """What `candidates` gives, as (list_id, a, b) with the columns `carried` alone: points are measured, not the records that stand on them."""
+    row = lambda side: F.struct(*[F.col(f"{side}.{c}").alias(c) for c in carried]).alias(side)
+    close = _met_near(a, b, miles, *dict.fromkeys([*carried, "phone", "zip"])).where(~_same("phone") & ~_same("zip"))
+    return _union(*(f.select("a.list_id", row("a"), row("b")) for f in (met(a, b, "phone"), met(a, b, "zip").where(~_same("phone")))), close.select("list_id", row("a"), row("b")))
+
+
+def _met_near(a: DataFrame, b: DataFrame, miles: float, *carried: str) -> DataFrame:
+    """(list_id, a, b) of records at most `miles` apart, as structs of `carried`: pairs of points meet, and their records go with them in arrays."""
+    found = _near(_points(a, *carried), _points(b, *carried), miles)
+    found = found.select("a.list_id", F.explode("a.__rows").alias("a"), F.col("b.__rows").alias("__b"))
+    return found.select("list_id", "a", F.explode("__b").alias("b"))
+
+
+def _points(df: DataFrame, *carried: str) -> DataFrame:
+    """(list_id, lat, lon, idx, __rows): the records of a point; those of a crowded one are dealt by idx to rows of about TOGETHER."""
+    point = ["list_id", "lat", "lon"]
+    df = df.where("list_id is not null and lat is not null and lon is not null").select(*point, "idx", F.struct(*carried).alias("__row"))
+    crowded = df.groupBy(*point).agg(F.count("*").alias("__k")).where(F.col("__k") > TOGETHER)
+    dealt = df.join(crowded, point, "left").withColumn("__chunk", F.pmod(F.xxhash64("idx"), F.coalesce(F.ceil(F.col("__k") / TOGETHER), F.lit(1))))
+    return dealt.groupBy(*point, "__chunk").agg(F.min("idx").alias("idx"), F.collect_list("__row").alias("__rows")).drop("__chunk")
 
 
 def _there(df: DataFrame, side: str) -> DataFrame:
@@ -142,9 +167,9 @@ def similarities(a: DataFrame, b: DataFrame, similarity=text.name_similarity, mi
         return signals(candidates(a, b, miles), a, b, similarity).select("list_id", "a_idx", "b_idx", "sig_name")
     hashed = lambda df: df.withColumn("__name", F.xxhash64(F.array_join("words", " "))).drop("name", "words")
     x, y = hashed(a), hashed(b)
-    pairs = _union(*(f.select("a.list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"), pair_key(F.col("a.__name"), F.col("b.__name")).alias("__pair")) for f in (met(x, y, "phone"), *elsewhere(x, y, miles))))
+    found = pairs(x, y, miles, "idx", "__name").select("list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"), pair_key(F.col("a.__name"), F.col("b.__name")).alias("__pair"))
     known = scores.select(pair_key(F.xxhash64("name_a"), F.xxhash64("name_b")).alias("__pair"), "sig_name")
-    return pairs.join(F.broadcast(known), "__pair").select("list_id", "a_idx", "b_idx", "sig_name")
+    return found.join(F.broadcast(known), "__pair").select("list_id", "a_idx", "b_idx", "sig_name")
 
 
 def named(a: DataFrame, b: DataFrame, scores: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:

@@ -113,3 +113,21 @@ def test_no_name_score_below_the_least_of_a_phone_reaches_the_limit():
         mean = sum(w[k] * v for k, v in there.items()) / sum(w[k] for k in there)
         mean = max(mean, linkage.PHONE_FLOOR) if got["name"] >= linkage.PHONE_NAME else mean
         assert round(mean, 4) < least or got["name"] >= linkage.least_of_phone(least)
+
+
+def test_pairs_measure_points_not_records(spark, monkeypatch):
+    """Three hundred records at one point, others around, null places, phones and zips: each pair once, as all candidates, and few points meet."""
+    from pyspark.sql import functions as F
+
+    r = random.Random(9)
+    maybe = lambda x, p=0.3: None if r.random() < p else x
+    rows = lambda: [(i % 2, i, r.choice(NAMES), maybe(f"21255501{r.randrange(12):02}"), maybe(f"6012{r.randrange(4)}"), "Elgin", "IL", *((42.0, -88.0) if i < 300 else (maybe(42 + r.randrange(90) / 1000, 0.1), -88.0))) for i in range(340)]
+    a, b = (linkage.prepared(spark.createDataFrame(rows(), SIDE)) for _ in range(2))
+    want = rows_of(linkage.candidates(a, b).select("list_id", "a_idx", "b_idx"))
+    met = []
+    monkeypatch.setattr(linkage, "_near", lambda x, y, *m, f=linkage._near: met.append(f(x, y, *m).count()) or f(x, y, *m))
+    for together in (1 << 10, 7):
+        monkeypatch.setattr(linkage, "TOGETHER", together)
+        got = linkage.pairs(a, b, linkage.BLOCK_MILES, "idx")
+        assert len(want) > 40_000 and rows_of(got.select("list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"))) == want
+    assert met[0] < 1000 and met[0] < met[1] < 10_000
