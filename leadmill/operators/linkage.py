@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
-from ..session import spread, stored
+from ..session import large, spread, stored
 from . import graph
 
 RECORD = ("list_id", "idx", "name", "phone", "postal", "city", "state", "lat", "lon")
@@ -69,7 +69,7 @@ def met(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
     """Records of a list (aliases a and b) that are equal in all of keys."""
     keys = ("list_id", *keys)
     left = spread(a.where(" and ".join(f"{k} is not null" for k in keys)), *keys)
-    return left.alias("a").join(b.alias("b"), reduce(Column.__and__, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]))
+    return left.alias("a").join(large(b).alias("b"), reduce(Column.__and__, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]))
 
 
 def elsewhere(a: DataFrame, b: DataFrame, miles: float, *keys: str) -> list[DataFrame]:
@@ -128,7 +128,7 @@ def _near(a: DataFrame, b: DataFrame, miles: float, *keys: str) -> DataFrame:
     placed, around = _cells(a, b, miles)
     placed, around = placed.withColumn("__part", F.pmod(F.xxhash64("idx"), F.lit(PARTS)).cast("int")), around.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
     on = ("list_id", "cy", "cx", "__part", *keys)
-    met_ = spread(placed, *on).alias("a").join(around.alias("b"), reduce(Column.__and__, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in on]))
+    met_ = spread(placed, *on).alias("a").join(large(around).alias("b"), reduce(Column.__and__, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in on]))
     return met_.where(_close(miles))
 
 
@@ -136,7 +136,7 @@ def beside(a: DataFrame, b: DataFrame, miles: float) -> DataFrame:
     """The records of a with one of b in their list at most `miles` apart."""
     placed, around = _cells(a, b, miles)
     on = reduce(Column.__and__, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ("list_id", "cy", "cx")])
-    return spread(placed, "list_id", "idx").alias("a").join(around.alias("b"), on & _close(miles), "left_semi").select(*a.columns)
+    return spread(placed, "list_id", "idx").alias("a").join(large(around).alias("b"), on & _close(miles), "left_semi").select(*a.columns)
 
 
 def names(a: DataFrame, b: DataFrame, similarity=text.name_similarity, most: int | None = None) -> DataFrame | None:
@@ -267,7 +267,7 @@ def signals(pairs: DataFrame, a: DataFrame, b: DataFrame, similarity=text.name_s
     on = lambda side, k: (F.col("p.list_id") == F.col(f"{side}.list_id")) & (F.col(f"p.{side}_idx") == F.col(f"{side}.idx"))  # noqa: E731, ARG005
     j = pairs.alias("p")
     if not {"a", "b"} <= set(pairs.columns):
-        j = j.join(a.alias("a"), on("a", 0)).join(b.alias("b"), on("b", 0))
+        j = j.join(large(a).alias("a"), on("a", 0)).join(large(b).alias("b"), on("b", 0))
     one = lambda c: c.cast("double")
     c = F.col
     if worth:

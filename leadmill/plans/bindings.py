@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import large
+
 A = """select cast(c_nationkey % 5 as bigint) as list_id, cast(c_custkey as bigint) as idx,
  concat(p.p_name, case c_custkey % 5 when 0 then ' LLC' when 1 then ' & Sons, Inc.' when 2 then ' Auto Sales' when 3 then '''s Group' else '' end) as name,
  case when c_custkey % 11 = 0 then null when c_custkey % 2 = 0 then concat('(', cast(200 + c_custkey % 150 as string), ') 555-', lpad(cast(c_nationkey * 37 as string), 4, '0')) else concat('+1', cast(200 + c_custkey % 150 as string), '555', lpad(cast(c_nationkey * 37 as string), 4, '0')) end as phone,
@@ -50,8 +52,9 @@ _NAME = re.compile(r"\{(\w+)\}")
 
 
 def bound(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """The SELECT over the tables under sf_dir."""
-    return spark.sql(sql, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in sorted(set(_NAME.findall(sql)))})
+    """The SELECT over the tables under sf_dir.  Tables that it joins grow with the input."""
+    read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    return spark.sql(sql, **{t: large(read(t)) if " join " in sql else read(t) for t in sorted(set(_NAME.findall(sql)))})
 
 
 def plain(sql: str) -> str:

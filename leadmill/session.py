@@ -35,6 +35,15 @@ def spread(df: DataFrame, *keys) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def large(df: DataFrame) -> DataFrame:
+    """df as a side of a join that grows with the input: both sides are dealt by the keys and sorted, never sent whole to all tasks through the driver.
+
+    Spark takes the size of stored rows from their compressed files, and takes rows that explode for as many as before, so it would send
+    gigabytes for a limit of 10 MB.
+    """
+    return df.hint("merge")
+
+
 def kept(df: DataFrame) -> DataFrame:
     """df computed once and written to the shared folder: loops start anew from it, and lost executors cost nothing."""
     shared_dir(df.sparkSession)

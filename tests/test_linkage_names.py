@@ -1,6 +1,7 @@
 """Names that stand on many records are compared once, and blocks are joined on them."""
 
 import random
+import re
 
 from leadmill.functions import text
 from leadmill.operators import linkage
@@ -131,3 +132,31 @@ def test_pairs_measure_points_not_records(spark, monkeypatch):
         got = linkage.pairs(a, b, linkage.BLOCK_MILES, "idx")
         assert len(want) > 40_000 and rows_of(got.select("list_id", F.col("a.idx").alias("a_idx"), F.col("b.idx").alias("b_idx"))) == want
     assert met[0] < 1000 and met[0] < met[1] < 10_000
+
+
+def sent_whole(df):
+    """The keys of the joins for which df, run to its end, sends a side whole to all tasks."""
+    df.collect()
+    return re.findall(r"BroadcastHashJoin \[(.*?)\], \[", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_the_picker_sends_no_records_whole_to_all_tasks(spark, monkeypatch):
+    """Nothing but names: records take little room in files, and exploded by cell they filled the driver."""
+    from leadmill.operators import enrich
+    from pyspark.sql import functions as F
+
+    a, b = sides(spark)
+    b = b.withColumn("reviews", F.col("idx") % 3)
+    for similarity in (text.token_similarity, text.name_similarity):
+        with monkeypatch.context() as m:
+            keys = []
+            m.setattr(enrich, "stored", lambda df, name, f=enrich.stored, keys=keys: keys.extend(sent_whole(df)) or f(df, name))
+            keys += sent_whole(enrich.picked_of_blocks(a, b, similarity))
+            assert keys and all(re.fullmatch(r"name_a#\d+", k) for k in keys)
+
+
+def test_bound_tables_are_not_sent_whole_to_all_tasks(spark, data):
+    from leadmill.plans import bindings
+
+    for sql in (bindings.A, bindings.B, bindings.MASTER):
+        assert sent_whole(bindings.bound(spark, data, sql)) == []
