@@ -160,3 +160,11 @@ def test_bound_tables_are_not_sent_whole_to_all_tasks(spark, data):
 
     for sql in (bindings.A, bindings.B, bindings.MASTER):
         assert sent_whole(bindings.bound(spark, data, sql)) == []
+
+
+def test_similarities_send_no_records_whole_to_all_tasks(spark):
+    """Nothing but scores of names, and which points are crowded."""
+    a, b = sides(spark)
+    for similarity in (text.token_similarity, text.name_similarity):
+        keys = sent_whole(linkage.similarities(a, b, similarity))
+        assert keys and all(re.fullmatch(r"__pair#\d+L", k) or "knownfloatingpointnormalized" in k for k in keys)
